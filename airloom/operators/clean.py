@@ -36,14 +36,8 @@ def _utc_of(text: Column) -> Column:
     return F.when(_is_object(text), F.get_json_object(text, "$.utc"))
 
 
-def flatten_readings(
-    df: DataFrame, record_col: str = "record", opts: FlattenOptions = FlattenOptions()
-) -> DataFrame:
-    """Flatten a column of raw reading structs (``schema.RAW_READING``).
-
-    Every other column of ``df`` (file, position, partition date, ...) is
-    kept. A null or missing ``location_meta`` gives null name/city/country.
-    """
+def flat_columns(record_col: str = "record", opts: FlattenOptions = FlattenOptions()):
+    """The flat-reading columns of a raw reading struct, as named Columns."""
     r = F.col(record_col)
     meta = r["location_meta"]
     if opts.profile == "canonical":
@@ -62,9 +56,7 @@ def flatten_readings(
         )
         date_utc = _utc_of(source)
         unit = r["unit"]
-    others = [F.col(c) for c in df.columns if c != record_col]
-    return df.select(
-        *others,
+    return [
         location_id.alias("location_id"),
         meta["name"].alias("location_name"),
         meta["city"].alias("city"),
@@ -73,7 +65,19 @@ def flatten_readings(
         r["value"].alias("value"),
         unit.alias("unit"),
         date_utc.alias("date_utc"),
-    )
+    ]
+
+
+def flatten_readings(
+    df: DataFrame, record_col: str = "record", opts: FlattenOptions = FlattenOptions()
+) -> DataFrame:
+    """Flatten a column of raw reading structs (``schema.RAW_READING``).
+
+    Every other column of ``df`` (file, position, partition date, ...) is
+    kept. A null or missing ``location_meta`` gives null name/city/country.
+    """
+    others = [F.col(c) for c in df.columns if c != record_col]
+    return df.select(*others, *flat_columns(record_col, opts))
 
 
 def drop_sentinels(df: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:

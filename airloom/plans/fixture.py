@@ -122,3 +122,137 @@ def derived_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORDER = ("src", "pos")
+
+
+# -- landed API pages derived from the tables --------------------------------
+
+PAGE_SIZE = 1000
+PM10_ID, PM25_ID = 1, 2
+
+
+def _sensors(k):
+    pm10 = F.struct(
+        (k * 10 + PM10_ID).alias("id"),
+        F.struct(F.lit(PM10_ID).cast("bigint").alias("id"), F.lit("pm10").alias("name")).alias(
+            "parameter"
+        ),
+    )
+    pm25 = F.struct(
+        (k * 10 + PM25_ID).alias("id"),
+        F.struct(F.lit(PM25_ID).cast("bigint").alias("id"), F.lit("pm25").alias("name")).alias(
+            "parameter"
+        ),
+    )
+    return F.when(k % 7 == 0, F.array(pm10)).otherwise(F.array(pm10, pm25))
+
+
+def location_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One location-detail result per station (customer), as the API shapes it.
+
+    ``locality`` is the city rule above; the ISO code is the first two
+    letters of the region, empty for nation keys divisible by 5 (so the
+    country name is the fallback); stations with key divisible by 7 have no
+    pm25 sensor.
+    """
+    st = stations(spark, sf_dir)
+    k = F.col("c_custkey")
+    code = F.when(F.col("n_nationkey") % 5 == 0, F.lit("")).otherwise(
+        F.upper(F.substring("r_name", 1, 2))
+    )
+    loc = F.struct(
+        k.alias("id"),
+        F.col("c_name").alias("name"),
+        city_expr().alias("locality"),
+        F.struct(code.alias("code"), F.col("r_name").alias("name")).alias("country"),
+        _sensors(k).alias("sensors"),
+    )
+    return st.select(k.alias("location_id"), loc.alias("loc"))
+
+
+def location_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(location_id, text): the detail envelope landed per station.
+
+    Stations with key divisible by 13 are unknown to the API: empty results.
+    """
+    res = location_results(spark, sf_dir)
+    results = F.when(
+        F.col("location_id") % 13 == 0, F.filter(F.array("loc"), lambda _: F.lit(False))
+    ).otherwise(F.array("loc"))
+    return res.select("location_id", F.to_json(F.struct(results.alias("results"))).alias("text"))
+
+
+def failed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations whose detail lookup failed (key divisible by 17)."""
+    return (
+        table(spark, sf_dir, "customer")
+        .where(F.col("c_custkey") % 17 == 0)
+        .select(F.col("c_custkey").alias("location_id"))
+    )
+
+
+def is_cached(location_id):
+    """Stations already in the dimension cache before the run."""
+    return location_id % 3 != 0
+
+
+def latest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page, text): latest-readings pages of ``PAGE_SIZE`` events by event_id.
+
+    A page holds at most ``PAGE_SIZE`` distinct event ids, so no page array
+    grows with the data.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    item = F.struct(
+        F.col("event_id").alias("_k"),
+        F.col("user_id").alias("locationsId"),
+        F.col("value").alias("value"),
+        F.struct(F.date_format("ts", TS_FORMAT).alias("utc")).alias("datetime"),
+    )
+    grouped = e.groupBy((F.expr("event_id div 1000") + 1).alias("page")).agg(
+        F.array_sort(F.collect_list(item)).alias("items")
+    )
+    results = F.transform("items", lambda x: x.dropFields("_k"))
+    return grouped.select("page", F.to_json(F.struct(results.alias("results"))).alias("text"))
+
+
+def measurement_utc():
+    eid = F.col("event_id")
+    return (
+        F.when(eid % 211 == 0, F.lit(""))
+        .when(eid % 223 == 0, F.lit(None).cast("string"))
+        .otherwise(F.date_format("ts", TS_FORMAT))
+    )
+
+
+def measurement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sensor_id, page, text): measurement pages per sensor.
+
+    Events of a station are its sensor's history: the pm25 sensor, or the
+    pm10 one where the station has no pm25 sensor (those never resolve).
+    A page is (sensor, event_id div 1000): at most 1000 results.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    sensor = F.col("user_id") * 10 + F.when(F.col("user_id") % 7 == 0, PM10_ID).otherwise(PM25_ID)
+    utc = measurement_utc()
+    item = F.struct(
+        F.col("event_id").alias("_k"),
+        F.col("value").alias("value"),
+        F.struct(
+            F.when(utc.isNull(), F.struct(F.lit(None).cast("string").alias("utc")))
+            .otherwise(F.struct(utc.alias("utc")))
+            .alias("datetimeFrom")
+        ).alias("period"),
+    )
+    grouped = e.groupBy(
+        sensor.alias("sensor_id"), (F.expr("event_id div 1000") + 1).alias("page")
+    ).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    results = F.transform("items", lambda x: x.dropFields("_k"))
+    return grouped.select(
+        "sensor_id", "page", F.to_json(F.struct(results.alias("results"))).alias("text")
+    )
+
+
+MEASURE_FROM, MEASURE_TO = "2024-01-08", "2024-01-22"
+SEARCH_COUNTRY, SEARCH_TEXT, SEARCH_LIMIT = "AM", "nation_1", 100
+LATEST_LIMIT = 2500
+CAP_PER_LOCATION = 24

@@ -189,3 +189,153 @@ UNION ALL SELECT 'bad_date', bad_date FROM after
 UNION ALL SELECT 'rows_remaining', rows_remaining FROM after
 UNION ALL SELECT 'flagged_kept', flagged_kept FROM after""",
 }
+
+
+# -- landing, curated table, streaming --------------------------------------
+
+RAW_SCAN_SELECT = """SELECT 'run_' || CAST(src AS VARCHAR) AS run_id, pos,
+  strftime(ts, '%Y-%m-%d') AS date, location_id, location_name, city, country, parameter,
+  value, unit, date_str AS date_utc FROM raw"""
+
+# Per-date dedup scope: the landing date joins the dedup key.
+FIRSTS_BY_DAY = """firsts AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), location_id, parameter,
+                                 date_str ORDER BY src, pos) AS rn
+    FROM valid) WHERE rn = 1
+)"""
+
+CURATED_TABLE = with_(RAW, VALID, FIRSTS_BY_DAY, CUR) + f"SELECT {CURATED_COLS}, date FROM cur"
+
+# -- stations and pages -------------------------------------------------------
+
+STATIONS = """st AS (
+  SELECT c.c_custkey AS k, c.c_name, n.n_nationkey, n.n_name, r.r_name
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+)"""
+
+CITY = ("CASE WHEN n_nationkey % 12 = 11 THEN '  ' WHEN n_nationkey % 12 = 10 THEN NULL "
+        "ELSE n_name END")
+
+DIM = f"""dim AS (
+  SELECT k AS location_id,
+    CASE WHEN k % 13 = 0 THEN NULL ELSE c_name END AS name,
+    CASE WHEN k % 13 = 0 THEN NULL ELSE {CITY} END AS city,
+    CASE WHEN k % 13 = 0 THEN NULL WHEN n_nationkey % 5 = 0 THEN r_name
+         ELSE upper(substr(r_name, 1, 2)) END AS country
+  FROM st
+)"""
+
+SENS = """sens AS (
+  SELECT k AS location_id,
+    CASE WHEN k % 13 = 0 OR k % 7 = 0 THEN NULL ELSE k * 10 + 2 END AS sensor_id
+  FROM st
+)"""
+
+MEAS = f"""m AS (
+  SELECT e.user_id * 10 + CASE WHEN e.user_id % 7 = 0 THEN 1 ELSE 2 END AS sensor_id,
+    e.event_id, e.value,
+    CASE WHEN e.event_id % 211 = 0 THEN '' WHEN e.event_id % 223 = 0 THEN NULL
+         ELSE {TS} END AS date_utc
+  FROM events e
+)"""
+
+IDS = """ids AS (SELECT DISTINCT location_id FROM raw WHERE location_id IS NOT NULL)"""
+CACHE = """cache AS (SELECT * FROM dim WHERE location_id % 3 <> 0)"""
+TODO = """todo AS (SELECT location_id FROM ids
+  WHERE location_id NOT IN (SELECT location_id FROM cache))"""
+
+SQL.update(
+    {
+        "raw_scan": with_(RAW) + RAW_SCAN_SELECT,
+        "raw_scan_date": with_(RAW)
+        + RAW_SCAN_SELECT
+        + " WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15'",
+        "curate_roundtrip": CURATED_TABLE,
+        "curated_scan": CURATED_TABLE,
+        "incremental_curation": CURATED_TABLE,
+        "flatten_readings": with_(RAW) + f"SELECT {FLAT_COLS} FROM raw",
+        "flatten_fallback": with_(RAW)
+        + """SELECT src, pos,
+  CASE WHEN pos % 4 = 1 THEN NULL ELSE location_id END AS canonical_location_id,
+  CASE WHEN pos % 4 IN (0, 2) THEN date_str END AS canonical_date_utc,
+  location_id AS deployed_location_id,
+  CASE WHEN pos % 4 IN (0, 1) THEN date_str END AS deployed_date_utc
+FROM raw""",
+        "location_dim_normalize": with_(STATIONS, DIM) + "SELECT * FROM dim",
+        "resolve_sensor": with_(STATIONS, SENS) + "SELECT * FROM sens",
+        "enrich_readings": with_(RAW, STATIONS, DIM)
+        + """SELECT r.src, r.pos, r.location_id, r.value, r.date_str AS date_utc,
+  d.name AS location_name, d.city, d.country
+FROM raw r LEFT JOIN dim d ON r.location_id = d.location_id""",
+        "distinct_locations": with_(RAW, IDS) + "SELECT location_id FROM ids",
+        "unresolved_locations": with_(RAW, STATIONS, DIM, IDS, CACHE, TODO)
+        + "SELECT location_id FROM todo",
+        "dim_upsert": with_(RAW, STATIONS, DIM, IDS, CACHE, TODO)
+        + """SELECT * FROM cache
+UNION ALL
+SELECT * FROM dim WHERE location_id IN (SELECT location_id FROM todo) AND location_id % 17 <> 0""",
+        "dim_cache_load": with_(STATIONS, DIM, CACHE) + "SELECT * FROM cache",
+        "coverage_rate": with_(RAW, STATIONS, DIM)
+        + """, per AS (
+  SELECT r.location_id, max(d.city IS NOT NULL) AS resolved
+  FROM raw r LEFT JOIN dim d ON r.location_id = d.location_id
+  WHERE r.location_id IS NOT NULL GROUP BY r.location_id
+)
+SELECT count(*) AS distinct_locations,
+  count(*) FILTER (WHERE resolved) AS resolved_locations,
+  CAST(count(*) FILTER (WHERE resolved) AS DOUBLE) / NULLIF(count(*), 0) AS coverage
+FROM per""",
+        "measurement_reshape": with_(STATIONS, SENS, MEAS)
+        + """SELECT s.location_id, m.sensor_id, m.value, m.date_utc
+FROM m JOIN sens s ON m.sensor_id = s.sensor_id
+WHERE CAST(TRY_CAST(m.date_utc AS TIMESTAMP) AS DATE) >= DATE '2024-01-08'
+  AND CAST(TRY_CAST(m.date_utc AS TIMESTAMP) AS DATE) < DATE '2024-01-22'""",
+        "backfill_cap": with_(STATIONS, SENS, MEAS)
+        + """SELECT location_id, sensor_id, value, date_utc FROM (
+  SELECT s.location_id, m.sensor_id, m.value, m.date_utc,
+    row_number() OVER (PARTITION BY s.location_id ORDER BY m.event_id) AS rn
+  FROM m JOIN sens s ON m.sensor_id = s.sensor_id)
+WHERE rn <= 24""",
+        "backfill_by_date": with_(STATIONS, DIM, SENS, MEAS)
+        + """SELECT substr(m.date_utc, 1, 10) AS date,
+  'backfill_location_' || CAST(s.location_id AS VARCHAR) AS run_id,
+  s.location_id, m.sensor_id, m.value, m.date_utc,
+  d.name AS location_name, d.city, d.country
+FROM m JOIN sens s ON m.sensor_id = s.sensor_id
+LEFT JOIN dim d ON d.location_id = s.location_id
+WHERE length(m.date_utc) > 0""",
+        "union_sources": with_(RAW, STATIONS, SENS, MEAS)
+        + """SELECT 'run' AS origin, location_id, CAST(NULL AS BIGINT) AS sensor_id, value,
+  date_str AS date_utc FROM raw
+UNION ALL
+SELECT 'backfill', s.location_id, m.sensor_id, m.value, m.date_utc
+FROM m JOIN sens s ON m.sensor_id = s.sensor_id""",
+        "location_search": with_(STATIONS)
+        + f""", cat AS (
+  SELECT k AS id, c_name AS name, {CITY} AS locality,
+    CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE upper(substr(r_name, 1, 2)) END AS code,
+    k % 7 <> 0 AS has_pm25
+  FROM st
+), lim AS (
+  SELECT * FROM cat WHERE code = 'AM' AND has_pm25 ORDER BY id LIMIT 100
+)
+SELECT id, substr(coalesce(name, ''), 1, 35) AS name,
+  substr(coalesce(locality, ''), 1, 25) AS locality, coalesce(code, '') AS country
+FROM lim
+WHERE contains(lower(coalesce(name, '')), 'nation_1')
+   OR contains(lower(coalesce(locality, '')), 'nation_1')""",
+        "page_explode_limit": f"""WITH pages AS (
+  SELECT event_id // 1000 + 1 AS page, count(*) AS n FROM events GROUP BY 1
+), rows AS (
+  SELECT e.event_id // 1000 + 1 AS page,
+    row_number() OVER (PARTITION BY e.event_id // 1000 ORDER BY e.event_id) - 1 AS pos,
+    e.user_id AS location_id, e.value, {TS} AS date_utc
+  FROM events e
+)
+SELECT page, pos, location_id, value, date_utc FROM rows
+WHERE page <= coalesce((SELECT min(page) FROM pages WHERE n < 1000), 9223372036854775807)
+ORDER BY page, pos LIMIT 2500""",
+    }
+)

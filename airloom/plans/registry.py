@@ -10,11 +10,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from airloom.operators import clean as C
+from airloom.operators import dimension as D
+from airloom.operators import history as H
 from airloom.operators import metrics as M
-from airloom.options import MetricOptions, QualityRules
+from airloom.operators import search as S
+from airloom.options import PARAMETER_ID, FlattenOptions, MetricOptions, QualityRules
 from airloom.plans import fixture as FX
-from airloom.session import configure
+from airloom.plans import jobs as J
+from airloom.schema import (
+    LOCATION_CACHE,
+    LOCATION_PAGE,
+    MEASUREMENT_PAGE,
+    RAW_READING,
+    READINGS_PAGE,
+)
+from airloom.sinks.raw import reading_record, write_raw
+from airloom.sources.curated import read_curated, register_table
+from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
+from airloom.sources.raw import read_raw, read_raw_dates
+from airloom.session import configure, scratch_path
+from airloom.streaming.incremental import curate_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +119,309 @@ def q_weekly_avg(spark, sf_dir):
     return M.weekly_avg(curated_fixture(spark, sf_dir), _opts("warehouse"))
 
 
+# -- raw landing, curated table, incremental curation ----------------------
+
+FIXTURE_FLATTEN = FlattenOptions(unit=FX.FIXTURE_UNIT)
+SCAN_DAY = "2024-01-15"
+RAW_OUT = [
+    "run_id",
+    "pos",
+    "date",
+    "location_id",
+    "location_name",
+    "city",
+    "country",
+    "parameter",
+    "value",
+    "unit",
+    "date_utc",
+]
+
+
+def land_fixture(spark: SparkSession, sf_dir: str, root: str, srcs=(0, 1)) -> str:
+    """Land the derived readings as raw JSON lines: one run per ``src``,
+    partitioned by the reading day of the event."""
+    raw = FX.derived_raw(spark, sf_dir).where(F.col("src").isin(*srcs))
+    record = reading_record(
+        F.col("location_id"),
+        F.col("value"),
+        F.col("date_str"),
+        F.col("location_name"),
+        F.col("city"),
+        F.col("country"),
+    )
+    write_raw(
+        raw.select(
+            F.date_format("ts", "yyyy-MM-dd").alias("date"),
+            F.concat(F.lit("run_"), F.col("src").cast("string")).alias("run_id"),
+            "pos",
+            record.alias("record"),
+        ),
+        root,
+    )
+    return root
+
+
+def _scan_out(df: DataFrame) -> DataFrame:
+    flat = C.flatten_readings(df, "record", FIXTURE_FLATTEN)
+    return flat.select(F.col("_file").alias("run_id"), F.col("_pos").alias("pos"), *RAW_OUT[2:])
+
+
+def q_raw_scan(spark, sf_dir):
+    configure(spark)
+    root = land_fixture(spark, sf_dir, scratch_path(spark, "raw"))
+    return _scan_out(read_raw(spark, root, layout="lines"))
+
+
+def q_raw_scan_date(spark, sf_dir):
+    configure(spark)
+    root = land_fixture(spark, sf_dir, scratch_path(spark, "raw"))
+    return _scan_out(read_raw_dates(spark, root, [SCAN_DAY], layout="lines"))
+
+
+def _curated_root(spark, sf_dir) -> str:
+    configure(spark)
+    raw_root = land_fixture(spark, sf_dir, scratch_path(spark, "raw"))
+    out = scratch_path(spark, "curated")
+    J.curate(spark, raw_root, out, flatten=FIXTURE_FLATTEN)
+    return out
+
+
+def q_curate_roundtrip(spark, sf_dir):
+    return read_curated(spark, _curated_root(spark, sf_dir))
+
+
+def q_curated_scan(spark, sf_dir):
+    root = _curated_root(spark, sf_dir)
+    name = "air_quality_curated_" + root.rsplit("-", 1)[-1]
+    return register_table(spark, name, root).select(*C.CURATED_COLUMNS, "date")
+
+
+def q_incremental_curation(spark, sf_dir):
+    """Two landings arrive one after the other; each stream run re-curates
+    the dates it touched from their whole raw partitions."""
+    configure(spark)
+    raw_root = scratch_path(spark, "raw")
+    out = scratch_path(spark, "curated")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    land_fixture(spark, sf_dir, raw_root, srcs=(0,))
+    curate_incremental(spark, raw_root, out, ckpt, flatten=FIXTURE_FLATTEN)
+    land_fixture(spark, sf_dir, raw_root, srcs=(1,))
+    curate_incremental(spark, raw_root, out, ckpt, flatten=FIXTURE_FLATTEN)
+    return read_curated(spark, out)
+
+
+# -- JSON shapes: flattening ------------------------------------------------
+
+
+def q_flatten_readings(spark, sf_dir):
+    """Raw records serialised to JSON text and parsed back, then flattened."""
+    configure(spark)
+    raw = FX.derived_raw(spark, sf_dir)
+    record = reading_record(
+        F.col("location_id"),
+        F.col("value"),
+        F.col("date_str"),
+        F.col("location_name"),
+        F.col("city"),
+        F.col("country"),
+    )
+    text = raw.select("src", "pos", F.to_json(record).alias("text"))
+    parsed = text.select("src", "pos", F.from_json("text", RAW_READING).alias("record"))
+    return C.flatten_readings(parsed, "record", FIXTURE_FLATTEN).select(*FLAT_OUT)
+
+
+def _variant_text():
+    """Four record shapes by ``event_id % 4``: current keys; legacy keys
+    (``locationId``, ``date``); scalar ``datetime`` with top-level
+    ``date_utc``; no timestamp at all."""
+    k = F.col("pos") % 4
+    utc = F.col("date_str")
+    loc = F.col("location_id")
+    val = F.col("value")
+    current = F.struct(loc.alias("locationsId"), val.alias("value"),
+                       F.struct(utc.alias("utc")).alias("datetime"))
+    legacy = F.struct(loc.alias("locationId"), val.alias("value"),
+                      F.struct(utc.alias("utc")).alias("date"))
+    scalar = F.struct(loc.alias("locationsId"), val.alias("value"),
+                      utc.alias("datetime"), utc.alias("date_utc"))
+    bare = F.struct(loc.alias("locationsId"), val.alias("value"))
+    return (
+        F.when(k == 0, F.to_json(current))
+        .when(k == 1, F.to_json(legacy))
+        .when(k == 2, F.to_json(scalar))
+        .otherwise(F.to_json(bare))
+    )
+
+
+def q_flatten_fallback(spark, sf_dir):
+    configure(spark)
+    raw = FX.derived_raw(spark, sf_dir)
+    parsed = raw.select(
+        "src", "pos", F.from_json(_variant_text(), RAW_READING).alias("record")
+    )
+    cols_c = C.flat_columns("record", FlattenOptions(profile="canonical"))
+    cols_d = C.flat_columns("record", FlattenOptions(profile="deployed"))
+    # Both profiles in one projection of the same parsed rows.
+    return parsed.select(
+        "src",
+        "pos",
+        cols_c[0].alias("canonical_location_id"),
+        cols_c[7].alias("canonical_date_utc"),
+        cols_d[0].alias("deployed_location_id"),
+        cols_d[7].alias("deployed_date_utc"),
+    )
+
+
+# -- station dimension -------------------------------------------------------
+
+
+def _details(spark, sf_dir) -> DataFrame:
+    configure(spark)
+    return parse_envelope(FX.location_detail_pages(spark, sf_dir), "text", LOCATION_PAGE)
+
+
+def _dim(spark, sf_dir) -> DataFrame:
+    return D.normalize_location(_details(spark, sf_dir))
+
+
+def _cache(spark, sf_dir) -> DataFrame:
+    return _dim(spark, sf_dir).where(FX.is_cached(F.col("location_id")))
+
+
+def _readings(spark, sf_dir) -> DataFrame:
+    return FX.derived_raw(spark, sf_dir).select(
+        "src", "pos", "location_id", "value", F.col("date_str").alias("date_utc")
+    )
+
+
+def q_location_dim_normalize(spark, sf_dir):
+    return _dim(spark, sf_dir)
+
+
+def q_resolve_sensor(spark, sf_dir):
+    return D.resolve_sensor(_details(spark, sf_dir), PARAMETER_ID)
+
+
+def q_enrich_readings(spark, sf_dir):
+    enriched = D.enrich(_readings(spark, sf_dir), _dim(spark, sf_dir))
+    return enriched.select(
+        "src",
+        "pos",
+        "location_id",
+        "value",
+        "date_utc",
+        F.col("location_meta.name").alias("location_name"),
+        F.col("location_meta.city").alias("city"),
+        F.col("location_meta.country").alias("country"),
+    )
+
+
+def q_distinct_locations(spark, sf_dir):
+    configure(spark)
+    return D.distinct_locations(_readings(spark, sf_dir)).orderBy("location_id")
+
+
+def q_unresolved_locations(spark, sf_dir):
+    ids = D.distinct_locations(_readings(spark, sf_dir))
+    return D.unresolved_locations(ids, _cache(spark, sf_dir))
+
+
+def q_dim_upsert(spark, sf_dir):
+    cache = _cache(spark, sf_dir)
+    todo = D.unresolved_locations(D.distinct_locations(_readings(spark, sf_dir)), cache)
+    details = _details(spark, sf_dir).join(todo, "location_id", "left_semi")
+    return D.upsert(cache, D.normalize_location(details), FX.failed_lookups(spark, sf_dir))
+
+
+def q_dim_cache_load(spark, sf_dir):
+    """Cache entries serialised as JSON maps keyed by the id string."""
+    cache = _cache(spark, sf_dir)
+    entry = F.create_map(
+        F.col("location_id").cast("string"), F.struct(*D.DIM_COLUMNS)
+    )
+    text = cache.select(F.to_json(entry).alias("text"))
+    return D.load_cache(text.select(F.from_json("text", LOCATION_CACHE).alias("cache")))
+
+
+def q_coverage_rate(spark, sf_dir):
+    return D.coverage(D.enrich(_readings(spark, sf_dir), _dim(spark, sf_dir)))
+
+
+# -- history and backfill ----------------------------------------------------
+
+
+def _measurements(spark, sf_dir) -> DataFrame:
+    pages = parse_envelope(FX.measurement_pages(spark, sf_dir), "text", MEASUREMENT_PAGE)
+    return explode_pages(pages, group_cols=["sensor_id"])
+
+
+def _sensors(spark, sf_dir) -> DataFrame:
+    return D.resolve_sensor(_details(spark, sf_dir), PARAMETER_ID)
+
+
+def q_measurement_reshape(spark, sf_dir):
+    shaped = H.reshape_measurements(
+        _measurements(spark, sf_dir),
+        _sensors(spark, sf_dir),
+        datetime_from=FX.MEASURE_FROM,
+        datetime_to=FX.MEASURE_TO,
+    )
+    return shaped.select("location_id", "sensor_id", "value", "date_utc")
+
+
+def q_backfill_cap(spark, sf_dir):
+    shaped = H.reshape_measurements(_measurements(spark, sf_dir), _sensors(spark, sf_dir))
+    capped = H.cap_per_location(shaped, FX.CAP_PER_LOCATION)
+    return capped.select("location_id", "sensor_id", "value", "date_utc")
+
+
+def q_backfill_by_date(spark, sf_dir):
+    configure(spark)
+    rows = J.backfill_rows(
+        FX.measurement_pages(spark, sf_dir), FX.location_detail_pages(spark, sf_dir)
+    )
+    return rows.select(
+        "date",
+        "run_id",
+        "location_id",
+        "sensor_id",
+        "value",
+        "date_utc",
+        F.col("location_meta.name").alias("location_name"),
+        F.col("location_meta.city").alias("city"),
+        F.col("location_meta.country").alias("country"),
+    )
+
+
+def q_union_sources(spark, sf_dir):
+    """Run landings and backfill landings read together (bag union by name)."""
+    runs = _readings(spark, sf_dir).select(
+        F.lit("run").alias("origin"), "location_id", "value", "date_utc"
+    )
+    backfill = H.reshape_measurements(
+        _measurements(spark, sf_dir), _sensors(spark, sf_dir)
+    ).select(F.lit("backfill").alias("origin"), "location_id", "sensor_id", "value", "date_utc")
+    return runs.unionByName(backfill, allowMissingColumns=True)
+
+
+# -- catalogue search and latest-readings pages --------------------------------
+
+
+def q_location_search(spark, sf_dir):
+    configure(spark)
+    catalogue = FX.location_results(spark, sf_dir).select("loc.*")
+    return S.find_locations(catalogue, FX.SEARCH_COUNTRY, FX.SEARCH_TEXT, FX.SEARCH_LIMIT)
+
+
+def q_page_explode_limit(spark, sf_dir):
+    configure(spark)
+    pages = parse_envelope(FX.latest_pages(spark, sf_dir), "text", READINGS_PAGE)
+    rows = latest_readings(pages, FX.LATEST_LIMIT)
+    flat = C.flatten_readings(rows, "result", FIXTURE_FLATTEN)
+    return flat.select("page", "pos", "location_id", "value", "date_utc")
+
+
 QUERIES: dict[str, Query] = {
     "drop_sentinels": q_drop_sentinels,
     "drop_below_floor": q_drop_below_floor,
@@ -117,6 +438,27 @@ QUERIES: dict[str, Query] = {
     "wow_trend_warehouse": _metric(M.wow_trend, "warehouse"),
     "wow_trend_athena": _metric(M.wow_trend, "athena"),
     "flagged_outliers": q_flagged_outliers,
+    "raw_scan": q_raw_scan,
+    "raw_scan_date": q_raw_scan_date,
+    "curate_roundtrip": q_curate_roundtrip,
+    "curated_scan": q_curated_scan,
+    "incremental_curation": q_incremental_curation,
+    "flatten_readings": q_flatten_readings,
+    "flatten_fallback": q_flatten_fallback,
+    "location_dim_normalize": q_location_dim_normalize,
+    "resolve_sensor": q_resolve_sensor,
+    "enrich_readings": q_enrich_readings,
+    "distinct_locations": q_distinct_locations,
+    "unresolved_locations": q_unresolved_locations,
+    "dim_upsert": q_dim_upsert,
+    "dim_cache_load": q_dim_cache_load,
+    "coverage_rate": q_coverage_rate,
+    "measurement_reshape": q_measurement_reshape,
+    "backfill_cap": q_backfill_cap,
+    "backfill_by_date": q_backfill_by_date,
+    "union_sources": q_union_sources,
+    "location_search": q_location_search,
+    "page_explode_limit": q_page_explode_limit,
 }
 
 FLAGSHIP = "daily_avg_warehouse"
