@@ -23,6 +23,9 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A station or city holding a large share of rows is split by AQE.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # row_number() <= n keeps a partial limit before the shuffle up to this
+    # n (the backfill cap is 60 days x 24 readings).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Many small landed files are packed into one task each.
     "spark.sql.files.openCostInBytes": str(4 * 1024 * 1024),
 }
