@@ -168,48 +168,51 @@ def cleaning_summary(
     one figure) and ``below_floor`` / ``sentinel`` with the floor tested
     first (so -1 counts as floor); ``flagged_kept`` is counted after dedup
     and date parsing, ``flagged_before_dedup`` before them. ``bad_date`` is
-    the count the source log leaves out. Two global aggregates: each task
-    pre-aggregates, only one row per task is shuffled.
+    the count the source log leaves out.
+
+    The input rows and the deduplicated rows are tagged and unioned, then
+    counted by one global aggregation (each task pre-aggregates; one row
+    per task reaches the final step).
     """
     scope = _scope_cols(flat, rules, partition_cols)
     below = is_below_floor("value", rules)
     sentinel = F.coalesce(is_sentinel("value", rules), F.lit(False))
-    valid = ~below & ~sentinel
-    flagged = F.col("value") > F.lit(float(rules.max_plausible))
-    before = flat.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(below).alias("below_floor"),
-        F.count_if(~below & sentinel).alias("sentinel"),
-        F.count_if(~valid).alias("invalid"),
-        F.count_if(valid).alias("valid"),
-        F.count_if(valid & flagged).alias("flagged_before_dedup"),
+    flagged = F.coalesce(F.col("value") > F.lit(float(rules.max_plausible)), F.lit(False))
+    no = F.lit(False)
+    before = flat.select(
+        F.lit(0).alias("_stage"),
+        below.alias("_below"),
+        sentinel.alias("_sentinel"),
+        (~below & ~sentinel).alias("_valid"),
+        flagged.alias("_flagged"),
+        no.alias("_parsed"),
     )
     first = dedup_first(
         flag_outliers(drop_invalid(flat, rules), rules), [*scope, *_dedup_keys(rules)], order_cols
     )
-    parsed = parse_utc("date_utc")
-    after = first.agg(
-        F.count(F.lit(1)).alias("deduped"),
-        F.count_if(parsed.isNull()).alias("bad_date"),
-        F.count_if(parsed.isNotNull()).alias("rows_remaining"),
-        F.count_if(parsed.isNotNull() & F.col("is_extreme_outlier")).alias("flagged_kept"),
-    )
-
-    def longform(frame: DataFrame, names: list[str]) -> DataFrame:
-        pairs = ", ".join(f"'{n}', CAST({n} AS BIGINT)" for n in names)
-        return frame.selectExpr(f"stack({len(names)}, {pairs}) AS (measure, n)")
-
-    before_rows = longform(
-        before, ["rows_in", "below_floor", "sentinel", "invalid", "flagged_before_dedup"]
-    )
-    dup = before.select(F.lit("valid").alias("k"), F.col("valid").alias("v"))
-    after_rows = longform(after, ["bad_date", "rows_remaining", "flagged_kept"])
-    duplicates = (
-        dup.unionByName(after.select(F.lit("deduped").alias("k"), F.col("deduped").alias("v")))
-        .agg(
-            (F.sum(F.when(F.col("k") == "valid", F.col("v")))
-             - F.sum(F.when(F.col("k") == "deduped", F.col("v")))).alias("n")
-        )
-        .select(F.lit("duplicates").alias("measure"), F.col("n").cast("bigint").alias("n"))
+    after = first.select(
+        F.lit(1).alias("_stage"),
+        no.alias("_below"),
+        no.alias("_sentinel"),
+        F.lit(True).alias("_valid"),
+        flagged.alias("_flagged"),
+        parse_utc("date_utc").isNotNull().alias("_parsed"),
     )
-    return before_rows.unionByName(duplicates).unionByName(after_rows)
+    tagged = before.unionByName(after)
+    s0, s1 = F.col("_stage") == 0, F.col("_stage") == 1
+    b, snt, v, fl, ok = (F.col(c) for c in ("_below", "_sentinel", "_valid", "_flagged",
+                                             "_parsed"))
+    measures = {
+        "rows_in": F.count_if(s0),
+        "below_floor": F.count_if(s0 & b),
+        "sentinel": F.count_if(s0 & ~b & snt),
+        "invalid": F.count_if(s0 & ~v),
+        "flagged_before_dedup": F.count_if(s0 & v & fl),
+        "duplicates": F.count_if(s0 & v) - F.count_if(s1),
+        "bad_date": F.count_if(s1 & ~ok),
+        "rows_remaining": F.count_if(s1 & ok),
+        "flagged_kept": F.count_if(s1 & ok & fl),
+    }
+    counts = tagged.agg(*(c.cast("bigint").alias(n) for n, c in measures.items()))
+    pairs = ", ".join(f"'{n}', {n}" for n in measures)
+    return counts.selectExpr(f"stack({len(measures)}, {pairs}) AS (measure, n)")

@@ -61,23 +61,39 @@ def unresolved_locations(ids: DataFrame, cache: DataFrame) -> DataFrame:
     return ids.join(cache.select("location_id"), "location_id", "left_anti")
 
 
+# Buckets over which null-id readings are spread in a lookup join.
+NULL_KEY_BUCKETS = 256
+
+
 def enrich(readings: DataFrame, dim: DataFrame, id_col: str = "location_id") -> DataFrame:
     """Attach ``location_meta`` (name, city, country) to every reading.
 
     Left outer lookup: unmatched and null ids get a struct of nulls. The
     dimension must hold one row per id (see ``assert_unique``), so the join
-    never multiplies readings.
+    never multiplies readings. Null ids cannot match, but in a shuffled join
+    they would all hash to one partition; they get a non-zero salt (a hash
+    of the row) while every dimension row has salt 0, so they spread over
+    ``NULL_KEY_BUCKETS`` partitions and still match nothing.
     """
+    salt = F.when(
+        F.col(id_col).isNull(),
+        F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in readings.columns]),
+                          F.lit(NULL_KEY_BUCKETS)),
+    ).otherwise(F.lit(0))
+    left = readings.withColumn("_salt", salt.cast("int"))
     d = dim.select(
         F.col("location_id").alias("_dim_id"),
+        F.lit(0).alias("_dim_salt"),
         F.struct("name", "city", "country").alias("_meta"),
     )
-    joined = readings.join(d, readings[id_col] == d["_dim_id"], "left")
+    joined = left.join(
+        d, (left[id_col] == d["_dim_id"]) & (left["_salt"] == d["_dim_salt"]), "left"
+    )
     meta = F.coalesce(
         F.col("_meta"),
         F.struct(*(F.lit(None).cast("string").alias(c) for c in ("name", "city", "country"))),
     )
-    return joined.withColumn("location_meta", meta).drop("_dim_id", "_meta")
+    return joined.withColumn("location_meta", meta).drop("_dim_id", "_dim_salt", "_meta", "_salt")
 
 
 def duplicate_keys(dim: DataFrame) -> DataFrame:
