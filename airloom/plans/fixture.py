@@ -21,8 +21,26 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 AS_OF = "2024-01-30"
 
 
+_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Reuse an already analysed plan for the same session and inputs.
+
+    Only the logical plan is reused (file listing, schema, analysis); every
+    action still reads all the data.
+    """
+    hit = _PLANS.get((id(spark), *key))
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _PLANS[(id(spark), *key)] = (spark, df)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +83,10 @@ def readings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, ("derived_raw", sf_dir), lambda: _derived_raw(spark, sf_dir))
+
+
+def _derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat raw readings: (src, pos, location_id, location_name, city, country,
     parameter, value, unit, date_str, ts).
 
@@ -107,6 +129,10 @@ def derived_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The raw timestamp string is ``date_utc``; ``(src, pos)`` give input order.
     """
+    return _memo(spark, ("derived_flat", sf_dir), lambda: _derived_flat(spark, sf_dir))
+
+
+def _derived_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived_raw(spark, sf_dir).select(
         "src",
         "pos",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.operators import clean as C
@@ -30,17 +30,29 @@ def curate(
     layout: str = "lines",
     rules: QualityRules = QualityRules(),
     flatten: FlattenOptions = FlattenOptions(),
-) -> DataFrame:
+) -> dict:
     """Curate many raw dates in one job (per-date dedup scope by default).
 
     Reads the raw partitions (all, or ``dates`` by static pruning), cleans
     them and overwrites exactly the curated dates that have surviving rows.
-    Returns the cleaned frame that was written.
+    Returns the counts of the write, gathered by the same job through an
+    ``Observation`` (no second pass): rows, dates, flagged outliers.
     """
     raw = read_raw_dates(spark, raw_root, list(dates) if dates else None, layout=layout)
     cleaned = C.clean_readings(C.flatten_readings(raw, "record", flatten), rules)
-    write_curated(cleaned, out_root)
-    return cleaned
+    obs = Observation("curate")
+    observed = cleaned.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows_curated"),
+        F.count_if(F.col("is_extreme_outlier")).alias("flagged"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+    write_curated(observed, out_root)
+    try:
+        return obs.get
+    except Exception:  # noqa: BLE001 - no row reached the write: nothing was observed
+        return {"rows_curated": 0, "flagged": 0, "first_date": None, "last_date": None}
 
 
 def enrich_job(
@@ -58,7 +70,8 @@ def enrich_job(
     ``latest_page_texts``: (page, text) of the run's pages;
     ``detail_texts``: (location_id, text) detail envelopes fetched for the
     run's unresolved stations; ``cache``: the dimension before the run.
-    Returns the updated dimension (write it to a new version path).
+    Returns the updated dimension; write it to a new version path (see
+    ``sinks.dimension.write_dimension``), never over the path it was read from.
     """
     pages = parse_envelope(latest_page_texts, "text", READINGS_PAGE)
     readings = latest_readings(pages, limit)

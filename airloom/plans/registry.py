@@ -58,7 +58,9 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curated_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture cleaned in memory (no write): the input of the metric views."""
-    return C.clean_readings(_flat(spark, sf_dir), RULES, order_cols=FX.ORDER)
+    flat = _flat(spark, sf_dir)
+    return FX._memo(spark, ("curated", sf_dir),
+                    lambda: C.clean_readings(flat, RULES, order_cols=FX.ORDER))
 
 
 def _opts(profile: str) -> MetricOptions:

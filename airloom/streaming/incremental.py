@@ -101,10 +101,11 @@ def clean_append_stream(
     does not reproduce keep-first exactly; ``curate_incremental`` does.
     """
     valid = C.flag_outliers(C.drop_invalid(flat_stream, rules), rules)
-    parsed = valid.withColumn("_raw_ts", F.col("date_utc"))
-    parsed = C.parse_dates(parsed)
+    parsed = C.parse_dates(valid.withColumn("_raw_ts", F.col("date_utc")))
+    # Watermarks need an instant type; date_utc is UTC wall clock (NTZ).
     return (
-        parsed.withWatermark("date_utc", watermark)
+        parsed.withColumn("_event_time", F.col("date_utc").cast("timestamp"))
+        .withWatermark("_event_time", watermark)
         .dropDuplicatesWithinWatermark(["location_id", "parameter", "_raw_ts"])
-        .drop("_raw_ts")
+        .drop("_raw_ts", "_event_time")
     )
