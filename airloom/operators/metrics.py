@@ -105,13 +105,16 @@ def weekly_avg(curated: DataFrame, opts: MetricOptions = MetricOptions.warehouse
     )
 
 
-def wow_trend(curated: DataFrame, opts: MetricOptions = MetricOptions.warehouse()) -> DataFrame:
+def wow_trend(
+    curated: DataFrame, opts: MetricOptions = MetricOptions.warehouse(), ordered: bool = False
+) -> DataFrame:
     """Week-over-week change of the weekly average.
 
     The previous value is the previous *present* week of the same city
     (``LAG``). Partitioning by city only interleaves same-named cities of
     different countries; ``country`` is added to the order to make ties
     deterministic. One window operator serves all three LAG uses.
+    ``ordered`` sorts by (city, week_start) for presentation.
     """
     weekly = weekly_avg(curated, opts)
     part = ["city", "country"] if opts.partition_by_country else ["city"]
@@ -120,7 +123,7 @@ def wow_trend(curated: DataFrame, opts: MetricOptions = MetricOptions.warehouse(
     if opts.require_adjacent_week:
         prev_week = F.lag("week_start").over(w)
         prev = F.when(prev_week == F.col("week_start") - F.expr("INTERVAL 7 DAYS"), prev)
-    return weekly.select(
+    out = weekly.select(
         "city",
         "country",
         "week_start",
@@ -128,6 +131,7 @@ def wow_trend(curated: DataFrame, opts: MetricOptions = MetricOptions.warehouse(
         prev.alias("prev_week_avg_pm25"),
         rounded_pct(F.col("avg_pm25") - prev, prev).alias("pct_change_wow"),
     )
+    return out.orderBy("city", "week_start") if ordered else out
 
 
 def flagged_outliers(
@@ -159,7 +163,12 @@ def publish_views(
     for name, view in VIEWS.items():
         if name == "vw_flagged_outliers" and not opts.exclude_outliers:
             continue
-        view(curated, opts).createOrReplaceTempView(name)
+        if name == "vw_wow_pm25_trend":
+            # Only the warehouse trend view is ordered (city, week_start).
+            df = view(curated, opts, ordered=opts.exclude_outliers)
+        else:
+            df = view(curated, opts)
+        df.createOrReplaceTempView(name)
         names.append(name)
     curated.createOrReplaceTempView("air_quality_curated")
     return names

@@ -33,14 +33,16 @@ def write_warehouse(df: DataFrame, root: str, buckets: int = 64) -> None:
     """Warehouse layout: a ``load_date`` column, files clustered by
     ``location_id`` and sorted by ``date_utc`` (distribution and sort keys).
 
-    Hash-partitioning by ``location_id`` lets a later join on the station
-    key reuse the layout; ``buckets`` is the number of files per write.
+    ``REBALANCE(location_id)`` clusters stations into files like a
+    distribution key, and AQE splits the partition of a station holding a
+    large share of rows instead of writing it from one task; ``buckets`` is
+    the initial number of partitions.
     """
     (
         df.select(*CURATED_COLUMNS)
         .withColumn("load_date", F.current_date())
-        .repartition(buckets, "location_id")
-        .sortWithinPartitions("date_utc")
+        .hint("rebalance", buckets, "location_id")
+        .sortWithinPartitions("location_id", "date_utc")
         .write.mode("append")
         .parquet(root)
     )

@@ -106,3 +106,14 @@ def test_append_stream_variant(spark, tmp_path):
     q.stop()
     rows = spark.sql("SELECT * FROM append_out").collect()
     assert len(rows) == 1 and rows[0].location_id == 1
+
+
+def test_warehouse_layout(spark, tmp_path):
+    from airloom.sinks.curated import write_warehouse
+    from airloom.schema import CURATED
+
+    rows = [(i % 3, "n", "C", "K", "pm25", float(i), "u", dt.datetime(2026, 8, 27, i % 24), False)
+            for i in range(50)]
+    write_warehouse(spark.createDataFrame(rows, CURATED), str(tmp_path / "wh"), buckets=4)
+    back = spark.read.parquet(str(tmp_path / "wh"))
+    assert back.count() == 50 and "load_date" in back.columns
