@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from airloom.operators import clean as C
 from airloom.operators import dimension as D
 from airloom.operators import history as H
-from airloom.options import PARAMETER_ID, FlattenOptions, QualityRules
+from airloom.options import (
+    BACKFILL_DAYS,
+    PARAMETER_ID,
+    READINGS_PER_DAY,
+    FlattenOptions,
+    QualityRules,
+)
 from airloom.schema import LOCATION_PAGE, MEASUREMENT_PAGE, READINGS_PAGE
 from airloom.sinks.curated import write_curated
 from airloom.sinks.raw import reading_record, write_raw
@@ -100,15 +106,16 @@ def backfill_rows(
     measurement_texts: DataFrame,
     detail_texts: DataFrame,
     parameter_id: int = PARAMETER_ID,
-    cap: int | None = None,
+    cap: int | None = BACKFILL_DAYS * READINGS_PER_DAY,
 ) -> DataFrame:
     """Backfill records for every station with landed history.
 
     ``measurement_texts``: (sensor_id, page, text); ``detail_texts``:
     (location_id, text). The station's sensor for ``parameter_id`` is
     resolved from its detail; history is capped per station in fetch order
-    (``cap``), rows without a timestamp are skipped and each row gets its
-    reading day as ``date`` and the station metadata.
+    (``cap``, the fetch limit of days x 24 readings), rows without a
+    timestamp are skipped and each row gets its reading day as ``date`` and
+    the station metadata.
     """
     details = parse_envelope(detail_texts, "text", LOCATION_PAGE)
     sensors = D.resolve_sensor(details, parameter_id)
@@ -122,14 +129,16 @@ def backfill_rows(
 
 
 def backfill_job(rows: DataFrame, backfill_root: str) -> DataFrame:
-    """Land backfill rows under their reading day and station.
+    """Land backfill rows under their reading day, replacing those days.
 
     The backfill root is separate from the run landings and partitioned by
-    ``(date, location_id)``: a rerun replaces exactly the station-days it
-    fetched again. Curate with both roots (``curate(raw_root=[...])``).
-
-    Returns the per-(date, location) counts of what was written. An empty
-    input writes nothing.
+    ``date`` only: a backfill run covers its full station list, and dynamic
+    overwrite replaces exactly the days it fetched (older days stay).
+    Within a day, rows are rebalanced by date (AQE splits a large day) and
+    sorted by station, so a station-day is contiguous in the files; each
+    row keeps ``run_id = backfill_location_<id>`` for keep-first order.
+    Curate with both roots (``curate(raw_root=[...])``). Returns the
+    per-(date, location) counts of what was written.
     """
     record = reading_record(
         F.col("location_id"),
@@ -140,18 +149,17 @@ def backfill_job(rows: DataFrame, backfill_root: str) -> DataFrame:
         F.col("location_meta.country"),
         sensor_id=F.col("sensor_id"),
     )
-    write_raw(
+    landed = (
         rows.select(
             "date",
             "run_id",
             (F.col("page") * 1000 + F.col("pos")).alias("pos"),
             record.alias("record"),
-            "location_id",
-        ),
-        backfill_root,
-        mode="overwrite",
-        extra_partitions=("location_id",),
+        )
+        .hint("rebalance", "date")
+        .sortWithinPartitions("date", "run_id", "pos")
     )
+    write_raw(landed, backfill_root, mode="overwrite")
     return H.counts_by_day(rows)
 
 

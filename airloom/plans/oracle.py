@@ -241,6 +241,14 @@ MEAS = f"""m AS (
   FROM events e
 )"""
 
+# History capped per station at the fetch limit (60 days x 24), in fetch order.
+CAPPED = """capped AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT s.location_id, m.*,
+      row_number() OVER (PARTITION BY s.location_id ORDER BY m.event_id) AS rn
+    FROM m JOIN sens s ON m.sensor_id = s.sensor_id) WHERE rn <= 1440
+)"""
+
 IDS = """ids AS (SELECT DISTINCT location_id FROM raw WHERE location_id IS NOT NULL)"""
 CACHE = """cache AS (SELECT * FROM dim WHERE location_id % 3 <> 0)"""
 TODO = """todo AS (SELECT location_id FROM ids
@@ -298,13 +306,13 @@ WHERE CAST(TRY_CAST(m.date_utc AS TIMESTAMP) AS DATE) >= DATE '2024-01-08'
     row_number() OVER (PARTITION BY s.location_id ORDER BY m.event_id) AS rn
   FROM m JOIN sens s ON m.sensor_id = s.sensor_id)
 WHERE rn <= 24""",
-        "backfill_by_date": with_(STATIONS, DIM, SENS, MEAS)
+        "backfill_by_date": with_(STATIONS, DIM, SENS, MEAS, CAPPED)
         + """SELECT substr(m.date_utc, 1, 10) AS date,
-  'backfill_location_' || CAST(s.location_id AS VARCHAR) AS run_id,
-  s.location_id, m.sensor_id, m.value, m.date_utc,
+  'backfill_location_' || CAST(m.location_id AS VARCHAR) AS run_id,
+  m.location_id, m.sensor_id, m.value, m.date_utc,
   d.name AS location_name, d.city, d.country
-FROM m JOIN sens s ON m.sensor_id = s.sensor_id
-LEFT JOIN dim d ON d.location_id = s.location_id
+FROM capped m
+LEFT JOIN dim d ON d.location_id = m.location_id
 WHERE length(m.date_utc) > 0""",
         "union_sources": with_(RAW, STATIONS, SENS, MEAS)
         + """SELECT 'run' AS origin, location_id, CAST(NULL AS BIGINT) AS sensor_id, value,
@@ -339,3 +347,74 @@ WHERE page <= coalesce((SELECT min(page) FROM pages WHERE n < 1000), 92233720368
 ORDER BY page, pos LIMIT 2500""",
     }
 )
+
+
+# -- composite jobs ------------------------------------------------------------
+
+LATEST = f"""latest AS (
+  SELECT e.event_id // 1000 + 1 AS page, e.event_id, e.user_id AS location_id, e.value,
+    {TS} AS date_utc
+  FROM events e
+), pagesizes AS (
+  SELECT page, count(*) AS n FROM latest GROUP BY page
+), fetched AS (
+  SELECT * FROM latest
+  WHERE page <= coalesce((SELECT min(page) FROM pagesizes WHERE n < 1000), 9223372036854775807)
+  ORDER BY page, event_id LIMIT 2500
+)"""
+
+SQL.update(
+    {
+        "ingest_run": with_(STATIONS, DIM, CACHE, LATEST)
+        + """, run_ids AS (SELECT DISTINCT location_id FROM fetched WHERE location_id IS NOT NULL),
+todo AS (SELECT location_id FROM run_ids
+  WHERE location_id NOT IN (SELECT location_id FROM cache)),
+newdim AS (
+  SELECT * FROM cache
+  UNION ALL
+  SELECT * FROM dim WHERE location_id IN (SELECT location_id FROM todo)
+    AND location_id % 17 <> 0
+)
+SELECT '2024-01-30' AS date,
+  f.page * 1000 + (row_number() OVER (PARTITION BY f.page ORDER BY f.event_id) - 1) AS pos,
+  f.location_id, f.value, f.date_utc, d.name AS location_name, d.city, d.country
+FROM fetched f LEFT JOIN newdim d ON f.location_id = d.location_id""",
+        "curate_with_backfill": with_(RAW, STATIONS, DIM, SENS, MEAS, CAPPED)
+        + """, landed AS (
+  SELECT 'run_' || CAST(src AS VARCHAR) AS f, pos AS p, location_id, location_name, city,
+    country, value, date_str, strftime(ts, '%Y-%m-%d') AS date
+  FROM raw
+  UNION ALL
+  SELECT 'backfill_location_' || CAST(m.location_id AS VARCHAR), m.event_id, m.location_id,
+    d.name, d.city, d.country, m.value, m.date_utc, substr(m.date_utc, 1, 10)
+  FROM capped m
+  LEFT JOIN dim d ON d.location_id = m.location_id
+  WHERE length(m.date_utc) > 0
+), ok AS (
+  SELECT * FROM landed
+  WHERE value NOT IN (-1, -999, 9999, 99999) AND value >= 0 AND NOT isnan(value)
+), first_rows AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, location_id, date_str ORDER BY f, p) AS rn
+    FROM ok) WHERE rn = 1
+)
+SELECT location_id, location_name, city, country, 'pm25' AS parameter, value, 'ug/m3' AS unit,
+  TRY_CAST(date_str AS TIMESTAMP) AS date_utc, value > 500 AS is_extreme_outlier, date
+FROM first_rows WHERE TRY_CAST(date_str AS TIMESTAMP) IS NOT NULL""",
+        "metric_views_sql": with_(RAW, VALID, FIRSTS, CUR)
+        + f""", d AS (
+  SELECT city, country, CAST(date_utc AS DATE) AS reading_date, {EXACT_AVG} AS avg_pm25
+  FROM cur WHERE {_metric_where("warehouse")}
+  GROUP BY city, country, CAST(date_utc AS DATE)
+), b AS (
+  SELECT city, country, CAST(date_utc AS DATE) AS reading_date,
+    ROUND(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN value > 15 THEN 1 ELSE 0 END)
+          / NULLIF(count(*), 0), 1) AS breach_pct
+  FROM cur WHERE {_metric_where("warehouse")}
+  GROUP BY city, country, CAST(date_utc AS DATE)
+)
+SELECT b.city, b.country, b.reading_date, b.breach_pct, d.avg_pm25
+FROM b JOIN d ON b.city = d.city AND b.country IS NOT DISTINCT FROM d.country
+  AND b.reading_date = d.reading_date""",
+    }
+)

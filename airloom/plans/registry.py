@@ -424,6 +424,60 @@ def q_page_explode_limit(spark, sf_dir):
     return flat.select("page", "pos", "location_id", "value", "date_utc")
 
 
+# -- composite jobs ------------------------------------------------------------
+
+
+def q_ingest_run(spark, sf_dir):
+    """G1: one ingestion run lands the latest readings with station metadata
+    (cached stations, plus newly resolved ones; failed lookups stay null)."""
+    configure(spark)
+    root = scratch_path(spark, "raw")
+    J.enrich_job(
+        FX.latest_pages(spark, sf_dir),
+        FX.location_detail_pages(spark, sf_dir),
+        _cache(spark, sf_dir),
+        root,
+        run_id="run_000000",
+        date=FX.AS_OF,
+        failed=FX.failed_lookups(spark, sf_dir),
+        limit=FX.LATEST_LIMIT,
+    )
+    flat = C.flatten_readings(read_raw(spark, root, layout="lines"), "record", FIXTURE_FLATTEN)
+    return flat.select(
+        "date", F.col("_pos").alias("pos"), "location_id", "value", "date_utc",
+        "location_name", "city", "country",
+    )
+
+
+def q_curate_with_backfill(spark, sf_dir):
+    """U1 + W3 + G2 + G4: run landings and backfill landings curated together.
+
+    The same reading arrives from both; the backfill landing sorts first, so
+    its copy wins keep-first.
+    """
+    configure(spark)
+    runs = land_fixture(spark, sf_dir, scratch_path(spark, "raw"))
+    backfill = scratch_path(spark, "backfill")
+    J.backfill_job(
+        J.backfill_rows(FX.measurement_pages(spark, sf_dir),
+                        FX.location_detail_pages(spark, sf_dir)),
+        backfill,
+    )
+    out = scratch_path(spark, "curated")
+    J.curate(spark, [runs, backfill], out, flatten=FIXTURE_FLATTEN)
+    return read_curated(spark, out)
+
+
+def q_metric_views_sql(spark, sf_dir):
+    """K6: the views published in the session and queried with SQL."""
+    M.publish_views(spark, curated_fixture(spark, sf_dir), _opts("warehouse"))
+    return spark.sql(
+        "SELECT b.city, b.country, b.reading_date, b.breach_pct, d.avg_pm25 "
+        "FROM vw_who_threshold_breach_rate b JOIN vw_daily_avg_pm25_by_city d "
+        "ON b.city = d.city AND b.country <=> d.country AND b.reading_date = d.reading_date"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "drop_sentinels": q_drop_sentinels,
     "drop_below_floor": q_drop_below_floor,
@@ -461,6 +515,9 @@ QUERIES: dict[str, Query] = {
     "union_sources": q_union_sources,
     "location_search": q_location_search,
     "page_explode_limit": q_page_explode_limit,
+    "ingest_run": q_ingest_run,
+    "curate_with_backfill": q_curate_with_backfill,
+    "metric_views_sql": q_metric_views_sql,
 }
 
 FLAGSHIP = "daily_avg_warehouse"

@@ -59,9 +59,8 @@ def write_raw(
     Every line carries ``run_id`` and ``pos`` so that the scan keeps the
     input order (file, position) that keep-first dedup depends on. The
     default ``append`` never replaces earlier landings; ``overwrite`` with
-    dynamic partition overwrite replaces only the partitions present.
-    A backfill lands under its own root partitioned by ``(date,
-    location_id)``, so its rerun replaces exactly one station-day at a time.
+    dynamic partition overwrite replaces only the partitions present (a
+    backfill, under its own root, replaces the days it fetched again).
     """
     (
         df.select(

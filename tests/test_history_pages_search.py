@@ -98,7 +98,7 @@ def test_backfill_groups_by_reading_day(spark, tmp_path):
     landed = read_raw(spark, root, layout="lines").collect()
     assert {r._file for r in landed} == {"backfill_location_42"}
     assert {r.record.location_meta.city for r in landed} == {"Testville"}
-    # A rerun replaces the station-days instead of appending to them.
+    # A rerun replaces the days it fetched instead of appending to them.
     J.backfill_job(rows, root)
     assert read_raw(spark, root, layout="lines").count() == 3
 
