@@ -2,14 +2,17 @@
 
 Two layouts are read:
 
-* ``array``: one JSON array per file (what the ingestion lands). Each file
-  is parsed whole (``wholetext``), so a file is one task; fine for run-sized
-  files, and many small files are packed per task by the file source.
+* ``array``: one JSON array per file (what the ingestion lands), pretty
+  printed or compact. The multi-line JSON reader streams each file's
+  elements as rows, so a large file is never held as one string or one
+  array; a file is read by one task (JSON text cannot be split), and many
+  small files are packed into one task by the file source.
 * ``lines``: one JSON object per line with explicit ``run_id`` and ``pos``
   (what ``sinks.raw.write_raw`` writes). Splittable.
 
 Both return ``date`` (partition, STRING), ``_file`` and ``_pos`` (the input
-order used by keep-first dedup) and ``record`` (``schema.RAW_READING``).
+order used by keep-first dedup: ``_pos`` increases along each file) and
+``record`` (``schema.RAW_READING``).
 """
 
 from __future__ import annotations
@@ -58,18 +61,20 @@ def read_raw(
     layout: str = "array",
     mode: str = "PERMISSIVE",
     with_corrupt: bool = False,
+    dates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Scan every ``*.json`` landing file under ``root``.
 
-    A missing ``root`` gives an empty frame with the scan schema. With
-    ``mode="FAILFAST"`` a malformed file fails the job; otherwise its rows
-    are null and, with ``with_corrupt=True``, a ``_corrupt`` column marks
-    the file (a file that is not a JSON array yields one marked row).
+    A missing ``root`` gives an empty frame with the scan schema. A
+    malformed file is dropped by default, fails the job with
+    ``mode="FAILFAST"``, and with ``with_corrupt=True`` yields one row
+    marked ``_corrupt`` (Spark refuses a scan that needs nothing but that
+    marker, so select it together with ``record``).
     """
     if not isinstance(root, str):
         # Landing roots may be partitioned differently (runs by date,
         # backfill by date and station): scan each, then union.
-        frames = [read_raw(spark, r, layout, mode, with_corrupt) for r in root]
+        frames = [read_raw(spark, r, layout, mode, with_corrupt, dates) for r in root]
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
@@ -91,29 +96,47 @@ def read_raw(
                 F.col("pos").alias("_pos"),
                 "record",
             )
+            if dates is not None:
+                out = out.where(F.col("date").isin(*dates))  # static partition pruning
             if with_corrupt:
                 out = out.withColumn("_corrupt", F.col("record").isNull())
             return out
-        text = reader.text(root, wholetext=True)
+        # Records may carry a legacy "date" key, so the partition column is
+        # not discovered (it would shadow that key): the date directories are
+        # globbed, which also lists only the requested dates.
+        days = "*" if dates is None else "{" + ",".join(dates) + "}"
+        if with_corrupt:
+            schema, read_mode = _WITH_CORRUPT, "PERMISSIVE"
+        else:
+            schema, read_mode = RAW_READING, ("FAILFAST" if mode == "FAILFAST" else "DROPMALFORMED")
+        df = (
+            reader.options(**JSON_OPTIONS)
+            .option("multiLine", True)
+            .option("mode", read_mode)
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .schema(schema)
+            .json(f"{root.rstrip('/')}/date={days}")
+        )
     except AnalysisException as exc:
         if _is_missing_path(exc):
             return empty_raw(spark)
         raise
-    parsed = text.select(
-        "date",
+    # Rows of a file come out in file order, and a file is never split, so
+    # an id that increases along each task orders the rows within a file.
+    cols = [
+        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
         F.col("_metadata.file_path").alias("_file"),
-        F.from_json("value", T.ArrayType(RAW_READING), {**JSON_OPTIONS, "mode": mode}).alias(
-            "records"
-        ),
-    )
-    # explode_outer keeps one marked row for an unparseable file.
-    rows = parsed.select(
-        "date", "_file", F.posexplode_outer("records").alias("_pos", "record"),
-        F.col("records").isNull().alias("_corrupt"),
-    ).withColumn("_pos", F.col("_pos").cast("bigint"))
+        F.monotonically_increasing_id().alias("_pos"),
+        F.struct(*(F.col(f.name) for f in RAW_READING.fields)).alias("record"),
+    ]
     if with_corrupt:
-        return rows
-    return rows.where(~F.col("_corrupt")).drop("_corrupt")
+        cols.append(F.col("_corrupt_record").isNotNull().alias("_corrupt"))
+    return df.select(*cols)
+
+
+_WITH_CORRUPT = T.StructType(
+    RAW_READING.fields + [T.StructField("_corrupt_record", T.StringType())]
+)
 
 
 def read_raw_dates(
@@ -124,13 +147,12 @@ def read_raw_dates(
     Dates must be ``YYYY-MM-DD``: a bare prefix such as ``2026-08`` is
     rejected instead of silently taking a month.
     """
-    df = read_raw(spark, root, **kwargs)
-    if dates is None:
-        return df
-    for d in dates:
-        if not _is_day(d):
-            raise ValueError(f"expected a YYYY-MM-DD date, got {d!r}")
-    return df.where(F.col("date").isin(*dates))
+    if dates is not None:
+        dates = list(dates)
+        for d in dates:
+            if not _is_day(d):
+                raise ValueError(f"expected a YYYY-MM-DD date, got {d!r}")
+    return read_raw(spark, root, dates=dates, **kwargs)
 
 
 def _is_day(text: str) -> bool:
