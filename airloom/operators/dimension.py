@@ -83,7 +83,10 @@ def enrich(readings: DataFrame, dim: DataFrame, id_col: str = "location_id") ->
     left = readings.withColumn("_salt", salt.cast("int"))
     d = dim.select(
         F.col("location_id").alias("_dim_id"),
-        F.lit(0).alias("_dim_salt"),
+        # 0 for every (non-null) dimension key, written so that Catalyst
+        # cannot fold it to a literal: a literal would be dropped from the
+        # join keys, and null ids would again share one partition.
+        (F.col("location_id") - F.col("location_id")).cast("int").alias("_dim_salt"),
         F.struct("name", "city", "country").alias("_meta"),
     )
     joined = left.join(
