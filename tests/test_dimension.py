@@ -94,3 +94,18 @@ def test_coverage(spark):
     d = dim(spark, [(1, "a", "Dallas", "US"), (2, "b", None, None)])
     r = D.coverage(D.enrich(readings, d)).first()
     assert (r.distinct_locations, r.resolved_locations, r.coverage) == (3, 1, 1 / 3)
+
+
+def test_small_dimension_is_broadcast_by_size(spark, tmp_path):
+    from airloom.plans.explain import plan_text
+
+    readings = spark.range(1000).select((F.col("id") % 10).alias("location_id"))
+    dim(spark, [(i, f"n{i}", f"c{i}", "K") for i in range(10)]).write.parquet(
+        str(tmp_path / "dim"))
+    d = spark.read.parquet(str(tmp_path / "dim"))  # file size gives the estimate
+    assert "BroadcastHashJoin" in plan_text(D.enrich(readings, d))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan_text(D.enrich(readings, d))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -143,3 +143,10 @@ def test_metric_filters_reach_the_parquet_scan(spark, tmp_path):
     # Unused columns are pruned from the scan.
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "location_name" not in read_schema and "unit" not in read_schema
+
+
+def test_trend_uses_one_window_for_all_lags(spark):
+    df = curated(spark, [(1, "A", "X", 10.0, "2024-01-03 00:00:00", False)])
+    plan = plan_text(M.wow_trend(df, MetricOptions.warehouse(require_adjacent_week=True)))
+    tree = plan.split("\n\n")[0]
+    assert sum(1 for line in tree.splitlines() if line.strip().lstrip("+- ").startswith("Window ")) == 1
