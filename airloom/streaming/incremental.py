@@ -22,8 +22,18 @@ from airloom.sources.raw import JSON_OPTIONS, RAW_LINE, read_raw_dates
 RAW_LINE_PARTITIONED = T.StructType(RAW_LINE.fields + [T.StructField("date", T.StringType())])
 
 
-def raw_stream(spark: SparkSession, raw_root: str, max_files: int | None = None) -> DataFrame:
-    """File stream over the JSON-lines landing area (declared schema)."""
+def raw_stream(
+    spark: SparkSession,
+    raw_root: str,
+    max_files: int | None = None,
+    max_file_age: str | None = None,
+) -> DataFrame:
+    """File stream over the JSON-lines landing area (declared schema).
+
+    ``max_files`` bounds a micro-batch; ``max_file_age`` (e.g. ``"30d"``)
+    bounds the stream's log of seen files on a landing area that keeps
+    growing (older files are no longer considered).
+    """
     reader = (
         spark.readStream.schema(RAW_LINE_PARTITIONED)
         .options(**JSON_OPTIONS)
@@ -31,6 +41,8 @@ def raw_stream(spark: SparkSession, raw_root: str, max_files: int | None = None)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     return reader.json(raw_root)
 
 
@@ -65,6 +77,7 @@ def curate_incremental(
     rules: QualityRules = QualityRules(),
     flatten: FlattenOptions = FlattenOptions(),
     max_files: int | None = None,
+    max_file_age: str | None = None,
 ) -> list[list[str]]:
     """Process every raw file landed since the last run, then stop.
 
@@ -77,7 +90,7 @@ def curate_incremental(
         touched.append(recurate_touched(spark, batch, raw_root, out_root, rules, flatten))
 
     query = (
-        raw_stream(spark, raw_root, max_files)
+        raw_stream(spark, raw_root, max_files, max_file_age)
         .writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

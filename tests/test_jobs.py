@@ -13,7 +13,7 @@ from airloom.schema import RAW_READING
 from airloom.sinks.csv import export_csv
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sinks.raw import reading_record, write_raw
-from airloom.sources.curated import read_curated, read_legacy_curated
+from airloom.sources.curated import read_legacy_curated
 from airloom.sources.raw import read_raw
 from airloom.streaming.incremental import clean_append_stream
 
