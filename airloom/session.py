@@ -39,15 +39,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     shuffle_partitions: int = 8,
     app_name: str = "airloom",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session with the settings used by tests and bench."""
+    """Build (or reuse) a session with the settings used by tests and bench.
+
+    ``master=None`` keeps the master given by ``spark-submit`` (or Spark's
+    local default when there is none).
+    """
+    builder = SparkSession.builder
+    if master is not None:
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
