@@ -94,8 +94,18 @@ def _derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing partitions.
     """
     e = readings_source(spark, sf_dir)
-    st = stations(spark, sf_dir)
-    j = e.join(st, e.user_id == st.c_custkey)
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # Events meet the plain customer scan first, so the planner compares
+    # the two by their file sizes (a join's estimate is the product of its
+    # inputs and would make the dimension side look larger than the facts);
+    # the fixed-size nation and region are broadcast onto the result.
+    j = (
+        e.join(customer, e.user_id == customer.c_custkey)
+        .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
+        .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    )
     eid = F.col("event_id")
     value = (
         F.when(eid % 97 == 0, F.lit(-1.0))
