@@ -7,7 +7,7 @@ read from the environment.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source pipeline's for equal results):
@@ -96,7 +96,6 @@ class MetricOptions:
     partition_by_country: bool = False
     # Trend: compare only with the calendar week just before (gaps give null).
     require_adjacent_week: bool = False
-    extra: dict = field(default_factory=dict, compare=False)
 
     @classmethod
     def athena(cls, **overrides) -> "MetricOptions":
@@ -114,6 +113,4 @@ class MetricOptions:
 
     def trend(self) -> "MetricOptions":
         """Trend views never apply the date window."""
-        from dataclasses import replace
-
         return replace(self, lookback_days=None)
