@@ -36,10 +36,17 @@ def exact_avg(c: str | Column) -> Column:
     """Average whose value does not depend on summation order.
 
     Values are summed as DECIMAL(38,4) (exact for readings with up to four
-    decimals) and divided once as DOUBLE.
+    decimals) and divided once as DOUBLE. A group holding a value that does
+    not fit (a kept outlier near 1e34, say) or whose sum overflows gets the
+    plain floating-point average instead of failing the job.
     """
     v = _col(c)
-    return F.sum(v.cast("decimal(38,4)")).cast("double") / F.count(v)
+    dec = v.try_cast("decimal(38,4)")
+    total = F.try_sum(dec)
+    unfit = F.count_if(v.isNotNull() & dec.isNull())
+    exact = total.cast("double") / F.count(v)
+    fits = (unfit == 0) & (total.isNotNull() | (F.count(v) == 0))
+    return F.when(fits, exact).otherwise(F.avg(v))
 
 
 def rounded_pct(numerator: Column, denominator: Column, digits: int = 1) -> Column:

@@ -150,3 +150,12 @@ def test_trend_uses_one_window_for_all_lags(spark):
     plan = plan_text(M.wow_trend(df, MetricOptions.warehouse(require_adjacent_week=True)))
     tree = plan.split("\n\n")[0]
     assert sum(1 for line in tree.splitlines() if line.strip().lstrip("+- ").startswith("Window ")) == 1
+
+
+def test_exact_average_falls_back_for_values_out_of_decimal_range(spark):
+    df = curated(spark, [(1, "A", "X", 1e36, "2024-01-30 01:00:00", True),
+                         (2, "A", "X", 2.0, "2024-01-30 02:00:00", False),
+                         (3, "B", "X", 2.5, "2024-01-30 02:00:00", False)])
+    got = {r.city: r.avg_pm25 for r in
+           M.daily_avg(df, MetricOptions.athena(as_of="2024-01-30", exact=True)).collect()}
+    assert got == {"A": (1e36 + 2.0) / 2, "B": 2.5}
