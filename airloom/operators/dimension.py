@@ -128,11 +128,12 @@ def upsert(cache: DataFrame, resolved: DataFrame, failed: DataFrame | None = Non
 def load_cache(entries: DataFrame, map_col: str = "cache") -> DataFrame:
     """Cache maps ``{"<id>": {location_id, name, city, country}}`` -> rows.
 
-    Keys are strings in the file and become BIGINT ids.
+    Keys are strings in the file and become BIGINT ids (a key that is not a
+    number gives a null id instead of failing the job).
     """
     kv = entries.select(F.explode(F.col(map_col)).alias("k", "v"))
     return kv.select(
-        F.col("k").cast("bigint").alias("location_id"),
+        F.col("k").try_cast("bigint").alias("location_id"),
         F.col("v.name").alias("name"),
         F.col("v.city").alias("city"),
         F.col("v.country").alias("country"),
