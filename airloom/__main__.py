@@ -114,7 +114,7 @@ def main(argv: list[str] | None = None) -> None:
         cache = read_dimension(spark, args.dimension)
         dim = J.enrich_job(pages, details, cache, args.raw, f"run_{now:%H%M%S}",
                            f"{now:%Y-%m-%d}", limit=args.limit)
-        print(write_dimension(dim, args.dimension))
+        print(write_dimension(dim, args.dimension, previous=cache) or "dimension unchanged")
     elif args.job == "find":
         cat = spark.read.schema(LOCATION_RESULT).json(args.catalogue)
         found = S.find_locations(cat, args.country, args.search, args.limit)

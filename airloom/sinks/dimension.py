@@ -12,13 +12,17 @@ from airloom.operators.dimension import DIM_COLUMNS
 from airloom.schema import LOCATION_DIM
 
 
-def write_dimension(dim: DataFrame, root: str) -> str:
+def write_dimension(dim: DataFrame, root: str, previous: DataFrame | None = None) -> str | None:
     """Write a new version directory ``root/v=<id>`` and return its path.
 
     The upsert reads the current version while it writes the next one, so
     the two must be different paths; readers pick the latest version with
-    ``read_dimension``. Versions sort by a time-ordered id.
+    ``read_dimension``. Versions sort by a time-ordered id. With
+    ``previous`` (the version the upsert started from), nothing is written
+    when no station was added (an upsert only adds), and None is returned.
     """
+    if previous is not None and dim.count() == previous.count():
+        return None
     version = f"{root.rstrip('/')}/v={time.time_ns():020d}{uuid.uuid4().hex[:8]}"
     dim.select(*DIM_COLUMNS).write.mode("errorifexists").parquet(version)
     return version

@@ -48,7 +48,8 @@ def test_enrich_job_lands_readings_with_metadata_and_updates_cache(spark, tmp_pa
     root = str(tmp_path / "dim")
     assert read_dimension(spark, root).count() == 0
     write_dimension(cache, root)
-    write_dimension(dim, root)
+    assert write_dimension(cache, root, previous=read_dimension(spark, root)) is None
+    assert write_dimension(dim, root, previous=read_dimension(spark, root)) is not None
     assert read_dimension(spark, root).count() == 2
 
 
