@@ -66,3 +66,72 @@ def test_clean_matches_brute_force(spark, batch):
     got = sorted(((r.location_id, r.value, r.date_utc, r.is_extreme_outlier)
                   for r in C.clean_readings(flat).collect()), key=repr)
     assert got == brute_force(batch)
+
+
+# -- metric views against a brute-force statement ----------------------------
+
+from collections import defaultdict  # noqa: E402
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from airloom.operators import metrics as M  # noqa: E402
+from airloom.options import MetricOptions  # noqa: E402
+from airloom.schema import CURATED  # noqa: E402
+
+curated_row = st.tuples(
+    st.sampled_from(["A", "B", "  ", None]),
+    st.sampled_from(["X", "Y", None]),
+    st.sampled_from([0.0, 3.25, 14.99, 15.0, 15.01, 42.5, 499.99, 500.5, 900.0]),
+    st.integers(min_value=0, max_value=24 * 20),  # hours after 2024-01-01
+)
+
+
+def _round1(x):
+    return float(Decimal(repr(x)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+
+
+def _exact_avg(vals):
+    return float(sum(Decimal(repr(v)).quantize(Decimal("0.0001")) for v in vals)) / len(vals)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(curated_row, max_size=30))
+def test_metrics_match_brute_force(spark, rows):
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, "n", city, country, "pm25", v, "u", base + dt.timedelta(hours=h), v > 500)
+            for i, (city, country, v, h) in enumerate(rows)]
+    df = spark.createDataFrame(data, CURATED)
+    opts = MetricOptions.warehouse(exact=True)
+    kept = [r for r in data if r[2] is not None and not r[8]]
+
+    groups = defaultdict(list)
+    for r in kept:
+        groups[(r[2], r[3], r[7].date())].append(r[5])
+    want_daily = {k: (_exact_avg(v), len(v)) for k, v in groups.items()}
+    got_daily = {(r.city, r.country, r.reading_date): (r.avg_pm25, r.reading_count)
+                 for r in M.daily_avg(df, opts).collect()}
+    assert got_daily == want_daily
+
+    want_breach = {k: (len(v), sum(x > 15 for x in v), _round1(100.0 * sum(x > 15 for x in v)
+                                                                / len(v)))
+                   for k, v in groups.items()}
+    got_breach = {(r.city, r.country, r.reading_date): (r.total_readings, r.breaches,
+                                                         r.breach_pct)
+                  for r in M.breach_rate(df, opts).collect()}
+    assert got_breach == want_breach
+
+    weeks = defaultdict(list)
+    for r in kept:
+        monday = (r[7] - dt.timedelta(days=r[7].weekday())).replace(hour=0)
+        weeks[(r[2], r[3], monday)].append(r[5])
+    weekly = sorted(((c, w, k or "", k, _exact_avg(v)) for (c, k, w), v in weeks.items()),
+                    key=lambda t: (t[0], t[1], t[3] is not None, t[2]))
+    want_trend, prev_by_city = {}, {}
+    for city, week, _, country, avg in weekly:
+        prev = prev_by_city.get(city)
+        pct = None if prev is None or prev == 0 else _round1(100.0 * (avg - prev) / prev)
+        want_trend[(city, country, week)] = (avg, prev, pct)
+        prev_by_city[city] = avg
+    got_trend = {(r.city, r.country, r.week_start): (r.avg_pm25, r.prev_week_avg_pm25,
+                                                     r.pct_change_wow)
+                 for r in M.wow_trend(df, opts).collect()}
+    assert got_trend == want_trend
