@@ -135,6 +135,23 @@ SELECT city, country, CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25,
 FROM lagged"""
 
 
+def wow_trend_adjacent() -> str:
+    return with_(RAW, VALID, FIRSTS, CUR, weekly("warehouse")) + """,
+lagged AS (
+  SELECT city, country, week_start, avg_pm25,
+         LAG(avg_pm25) OVER (PARTITION BY city, country ORDER BY week_start) AS prev_any,
+         LAG(week_start) OVER (PARTITION BY city, country ORDER BY week_start) AS prev_week
+  FROM weekly
+), adj AS (
+  SELECT *, CASE WHEN prev_week = week_start - INTERVAL 7 DAY THEN prev_any END AS prev
+  FROM lagged
+)
+SELECT city, country, CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25,
+       prev AS prev_week_avg_pm25,
+       ROUND(CAST(100.0 AS DOUBLE) * (avg_pm25 - prev) / NULLIF(prev, 0), 1) AS pct_change_wow
+FROM adj"""
+
+
 SQL: dict[str, str] = {
     "drop_sentinels": with_(RAW)
     + f"SELECT {FLAT_COLS} FROM raw WHERE value IS NULL OR value NOT IN (-1, -999, 9999, 99999)",
@@ -156,6 +173,7 @@ FROM raw WHERE TRY_CAST(date_str AS TIMESTAMP) IS NOT NULL""",
     "weekly_avg": weekly_avg(),
     "wow_trend_warehouse": wow_trend("warehouse"),
     "wow_trend_athena": wow_trend("athena"),
+    "wow_trend_adjacent": wow_trend_adjacent(),
     "flagged_outliers": CLEAN
     + """SELECT location_id, location_name, city, country, value, unit, date_utc
 FROM cur WHERE parameter = 'pm25' AND is_extreme_outlier""",

@@ -117,6 +117,13 @@ def q_flagged_outliers(spark, sf_dir):
     return M.flagged_outliers(curated_fixture(spark, sf_dir), _opts("warehouse"))
 
 
+def q_wow_trend_adjacent(spark, sf_dir):
+    """Trend variant: LAG per (city, country), only from the adjacent week."""
+    opts = MetricOptions.warehouse(exact=True, partition_by_country=True,
+                                   require_adjacent_week=True)
+    return M.wow_trend(curated_fixture(spark, sf_dir), opts)
+
+
 def q_weekly_avg(spark, sf_dir):
     return M.weekly_avg(curated_fixture(spark, sf_dir), _opts("warehouse"))
 
@@ -493,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "weekly_avg": q_weekly_avg,
     "wow_trend_warehouse": _metric(M.wow_trend, "warehouse"),
     "wow_trend_athena": _metric(M.wow_trend, "athena"),
+    "wow_trend_adjacent": q_wow_trend_adjacent,
     "flagged_outliers": q_flagged_outliers,
     "raw_scan": q_raw_scan,
     "raw_scan_date": q_raw_scan_date,
