@@ -17,7 +17,6 @@ import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.operators import metrics as M
@@ -34,13 +33,7 @@ from airloom.schema import LOCATION_PAGE, LOCATION_RESULT, MEASUREMENT_PAGE, REA
 from airloom.session import build_session
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sources.curated import read_curated
-
-
-def _pages(spark, path: str, envelope: T.StructType, keys: list[tuple[str, T.DataType]]):
-    """Landed pages: JSON lines ``{<keys>..., "results": [...]}`` -> (keys, text)."""
-    schema = T.StructType([T.StructField(k, t) for k, t in keys] + envelope.fields)
-    df = spark.read.schema(schema).json(path)
-    return df.select(*(k for k, _ in keys), F.to_json(F.struct("results")).alias("text"))
+from airloom.sources.pages import read_landed_pages
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -101,16 +94,18 @@ def main(argv: list[str] | None = None) -> None:
         for name in M.publish_views(spark, cur, opts):
             spark.table(name).write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "backfill":
-        meas = _pages(spark, args.measurements, MEASUREMENT_PAGE,
+        meas = read_landed_pages(spark, args.measurements, MEASUREMENT_PAGE,
                       [("sensor_id", T.LongType()), ("page", T.LongType())])
-        details = _pages(spark, args.details, LOCATION_PAGE, [("location_id", T.LongType())])
+        details = read_landed_pages(spark, args.details, LOCATION_PAGE,
+                                    [("location_id", T.LongType())])
         rows = J.backfill_rows(meas, details, cap=args.days * READINGS_PER_DAY)
         counts = J.backfill_job(rows, args.out)
         print(json.dumps({"station_days": counts.count()}))
     elif args.job == "ingest":
         now = dt.datetime.now(dt.timezone.utc)
-        pages = _pages(spark, args.pages, READINGS_PAGE, [("page", T.LongType())])
-        details = _pages(spark, args.details, LOCATION_PAGE, [("location_id", T.LongType())])
+        pages = read_landed_pages(spark, args.pages, READINGS_PAGE, [("page", T.LongType())])
+        details = read_landed_pages(spark, args.details, LOCATION_PAGE,
+                                    [("location_id", T.LongType())])
         cache = read_dimension(spark, args.dimension)
         dim = J.enrich_job(pages, details, cache, args.raw, f"run_{now:%H%M%S}",
                            f"{now:%Y-%m-%d}", limit=args.limit)

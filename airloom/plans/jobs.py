@@ -25,7 +25,7 @@ from airloom.schema import LOCATION_PAGE, MEASUREMENT_PAGE, READINGS_PAGE
 from airloom.sinks.curated import write_curated
 from airloom.sinks.raw import reading_record, write_raw
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
-from airloom.sources.raw import read_raw, read_raw_dates
+from airloom.sources.raw import read_raw_dates
 
 
 def curate(
@@ -161,8 +161,3 @@ def backfill_job(rows: DataFrame, backfill_root: str) -> DataFrame:
     )
     write_raw(landed, backfill_root, mode="overwrite")
     return H.counts_by_day(rows)
-
-
-def raw_layouts(spark: SparkSession, root: str, layout: str = "lines") -> DataFrame:
-    """Flattened scan of a landing root (helper for checks and reports)."""
-    return C.flatten_readings(read_raw(spark, root, layout=layout))

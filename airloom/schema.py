@@ -95,21 +95,6 @@ LOCATION_DIM = T.StructType(
 
 LOCATION_CACHE = T.MapType(T.StringType(), LOCATION_DIM)
 
-# Flat reading after flattening, before cleaning: the timestamp is still the
-# raw string.
-FLAT_READING = T.StructType(
-    [
-        T.StructField("location_id", T.LongType()),
-        T.StructField("location_name", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("parameter", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("unit", T.StringType()),
-        T.StructField("date_utc", T.StringType()),
-    ]
-)
-
 # Curated table. ``date_utc`` is a zone-less UTC wall-clock timestamp, as the
 # table's TIMESTAMP column; ``date`` (STRING) is the partition column.
 CURATED_COLUMNS = [

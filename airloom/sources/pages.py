@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airloom.options import DEFAULT_PAGE_LIMIT, PAGE_SIZE_CAP
 from airloom.sources.raw import JSON_OPTIONS
 
 
@@ -21,9 +22,17 @@ def parse_envelope(df: DataFrame, text_col: str, schema: T.StructType, alias: st
     return df.withColumn(alias, F.from_json(F.col(text_col), schema, JSON_OPTIONS)).drop(text_col)
 
 
-def read_page_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Scan landed page files (one envelope per line) with a declared schema."""
-    return spark.read.options(**JSON_OPTIONS).schema(schema).json(root)
+def read_landed_pages(
+    spark: SparkSession, root: str, envelope: T.StructType, keys: list[tuple[str, T.DataType]]
+) -> DataFrame:
+    """Landed pages, one JSON object per line: ``{<keys>..., "results": [...]}``.
+
+    Returns the key columns and the envelope as JSON text, the shape the
+    page operators take (``parse_envelope`` parses it with its schema).
+    """
+    schema = T.StructType([T.StructField(k, t) for k, t in keys] + envelope.fields)
+    df = spark.read.options(**JSON_OPTIONS).schema(schema).json(root)
+    return df.select(*(k for k, _ in keys), F.to_json(F.struct("results")).alias("text"))
 
 
 def explode_pages(
@@ -73,12 +82,12 @@ def explode_pages(
 
 
 def latest_readings(
-    pages: DataFrame, limit: int | None = None, page_limit_default: int = 1000
+    pages: DataFrame, limit: int | None = None, page_limit_default: int = DEFAULT_PAGE_LIMIT
 ) -> DataFrame:
-    """Results of a latest-readings fetch, as ``fetch_latest_readings`` returns.
+    """Results of a latest-readings fetch, as the fetch returns them.
 
     ``limit`` of None or 0 falls back to the default; the page size is
-    ``min(limit, 1000)`` (the API cap).
+    ``min(limit, PAGE_SIZE_CAP)`` (the API cap).
     """
     limit = limit or page_limit_default
-    return explode_pages(pages, page_size=min(limit, 1000), limit=limit)
+    return explode_pages(pages, page_size=min(limit, PAGE_SIZE_CAP), limit=limit)

@@ -159,3 +159,11 @@ def test_exact_average_falls_back_for_values_out_of_decimal_range(spark):
     got = {r.city: r.avg_pm25 for r in
            M.daily_avg(df, MetricOptions.athena(as_of="2024-01-30", exact=True)).collect()}
     assert got == {"A": (1e36 + 2.0) / 2, "B": 2.5}
+
+
+def test_view_column_contracts(spark):
+    df = curated(spark, [(1, "A", "X", 10.0, "2024-01-02 01:00:00", True)])
+    assert M.daily_avg(df).columns == M.DAILY_COLUMNS
+    assert M.breach_rate(df).columns == M.BREACH_COLUMNS
+    assert M.wow_trend(df).columns == M.TREND_COLUMNS
+    assert M.flagged_outliers(df).columns == M.OUTLIER_COLUMNS
