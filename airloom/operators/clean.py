@@ -29,7 +29,9 @@ def _is_object(text: Column) -> Column:
 
 
 def _is_truthy(text: Column) -> Column:
-    return text.isNotNull() & ~F.trim(text).isin(*_FALSY_JSON)
+    # Untrimmed: a whitespace-only string is a non-empty (true) value. A JSON
+    # string "0" and the number 0 read alike as text; both count as false.
+    return text.isNotNull() & ~text.isin(*_FALSY_JSON)
 
 
 def _utc_of(text: Column) -> Column:
