@@ -24,7 +24,7 @@ AS_OF = "2024-01-30"
 _PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse an already analysed plan for the same session and inputs.
 
     Only the logical plan is reused (file listing, schema, analysis); every
@@ -40,7 +40,7 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def city_expr(nationkey: str = "n_nationkey", name: str = "n_name"):
@@ -58,7 +58,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     TPC-H definition, and independently, so both broadcasts run at once;
     customer, which grows with the data, is never broadcast by hand.
     """
-    return _memo(spark, ("stations", sf_dir), lambda: _stations(spark, sf_dir))
+    return memo(spark, ("stations", sf_dir), lambda: _stations(spark, sf_dir))
 
 
 def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def readings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("derived_raw", sf_dir), lambda: _derived_raw(spark, sf_dir))
+    return memo(spark, ("derived_raw", sf_dir), lambda: _derived_raw(spark, sf_dir))
 
 
 def _derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +138,7 @@ def derived_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The raw timestamp string is ``date_utc``; ``(src, pos)`` give input order.
     """
-    return _memo(spark, ("derived_flat", sf_dir), lambda: _derived_flat(spark, sf_dir))
+    return memo(spark, ("derived_flat", sf_dir), lambda: _derived_flat(spark, sf_dir))
 
 
 def _derived_flat(spark: SparkSession, sf_dir: str) -> DataFrame:

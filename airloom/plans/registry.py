@@ -59,7 +59,7 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture cleaned in memory (no write): the input of the metric views."""
     flat = _flat(spark, sf_dir)
-    return FX._memo(spark, ("curated", sf_dir),
+    return FX.memo(spark, ("curated", sf_dir),
                     lambda: C.clean_readings(flat, RULES, order_cols=FX.ORDER))
 
 
