@@ -166,6 +166,24 @@ FROM raw WHERE TRY_CAST(date_str AS TIMESTAMP) IS NOT NULL""",
     "dedup_first": with_(RAW, VALID, FIRSTS)
     + f"SELECT {FLAT_COLS}, value > 500 AS is_extreme_outlier FROM firsts",
     "clean_readings": CLEAN + f"SELECT {CURATED_COLS} FROM cur",
+    "dedup_instant": with_(RAW)
+    + """, spelled AS (
+  SELECT * REPLACE (CASE WHEN src = 1 AND date_str <> 'not-a-date'
+                         THEN regexp_replace(date_str, 'Z$', '+00:00') ELSE date_str END
+                    AS date_str)
+  FROM raw
+), ok AS (
+  SELECT * FROM spelled
+  WHERE value NOT IN (-1, -999, 9999, 99999) AND value >= 0 AND NOT isnan(value)
+), first_rows AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY location_id, parameter,
+                                 TRY_CAST(date_str AS TIMESTAMP) ORDER BY src, pos) AS rn
+    FROM ok) WHERE rn = 1
+)
+SELECT location_id, location_name, city, country, parameter, value, unit,
+  TRY_CAST(date_str AS TIMESTAMP) AS date_utc, value > 500 AS is_extreme_outlier
+FROM first_rows WHERE TRY_CAST(date_str AS TIMESTAMP) IS NOT NULL""",
     "daily_avg_warehouse": daily_avg("warehouse"),
     "daily_avg_athena": daily_avg("athena"),
     "breach_rate_warehouse": breach_rate("warehouse"),

@@ -98,6 +98,18 @@ def q_clean_readings(spark, sf_dir):
     return curated_fixture(spark, sf_dir)
 
 
+def q_dedup_instant(spark, sf_dir):
+    """Keep-first on the parsed instant: the later copies spell the time with
+    a ``+00:00`` offset, so only an instant key sees them as duplicates."""
+    flat = _flat(spark, sf_dir)
+    respelled = F.when(
+        (F.col("src") == 1) & (F.col("date_utc") != F.lit("not-a-date")),
+        F.regexp_replace("date_utc", "Z$", "+00:00"),
+    ).otherwise(F.col("date_utc"))
+    flat = flat.withColumn("date_utc", respelled)
+    return C.clean_readings(flat, QualityRules(dedup_key="instant"), order_cols=FX.ORDER)
+
+
 def q_cleaning_summary(spark, sf_dir):
     return C.cleaning_summary(_flat(spark, sf_dir), RULES, order_cols=FX.ORDER)
 
@@ -492,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "parse_dates": q_parse_dates,
     "dedup_first": q_dedup_first,
     "clean_readings": q_clean_readings,
+    "dedup_instant": q_dedup_instant,
     "cleaning_summary": q_cleaning_summary,
     "daily_avg_warehouse": _metric(M.daily_avg, "warehouse"),
     "daily_avg_athena": _metric(M.daily_avg, "athena"),
