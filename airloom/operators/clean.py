@@ -133,6 +133,13 @@ def _scope_cols(df: DataFrame, rules: QualityRules, partition_cols: Sequence[str
     return []
 
 
+def _order(df: DataFrame, scope: list[str], order_cols: Sequence[str | Column]):
+    """Input order; across dates (global scope) the earlier landing day first."""
+    if "date" in df.columns and "date" not in scope:
+        return ["date", *order_cols]
+    return list(order_cols)
+
+
 def _dedup_keys(rules: QualityRules) -> list[str | Column]:
     if rules.dedup_key == "instant":
         return ["location_id", "parameter", parse_utc("date_utc")]
@@ -153,9 +160,12 @@ def clean_readings(
     """
     scope = _scope_cols(flat, rules, partition_cols)
     valid = flag_outliers(drop_invalid(flat, rules), rules)
-    first = dedup_first(valid, [*scope, *_dedup_keys(rules)], order_cols)
+    first = dedup_first(valid, [*scope, *_dedup_keys(rules)], _order(flat, scope, order_cols))
     parsed = parse_dates(first)
-    return parsed.select(*CURATED_COLUMNS, *scope)
+    # The landing date is kept whatever the dedup scope: the curated table is
+    # partitioned by it (with global scope, the kept copy's landing date).
+    keep = scope + (["date"] if "date" in flat.columns and "date" not in scope else [])
+    return parsed.select(*CURATED_COLUMNS, *keep)
 
 
 def cleaning_summary(
@@ -190,7 +200,9 @@ def cleaning_summary(
         no.alias("_parsed"),
     )
     first = dedup_first(
-        flag_outliers(drop_invalid(flat, rules), rules), [*scope, *_dedup_keys(rules)], order_cols
+        flag_outliers(drop_invalid(flat, rules), rules),
+        [*scope, *_dedup_keys(rules)],
+        _order(flat, scope, order_cols),
     )
     after = first.select(
         F.lit(1).alias("_stage"),

@@ -39,7 +39,8 @@ class QualityRules:
     and ``…+00:00`` are different readings, as in the source pipeline);
     ``"instant"`` compares the parsed instant instead.
     ``dedup_scope="partition"`` deduplicates within each raw ``date``
-    partition (one curation run per date); ``"global"`` across all dates.
+    partition (one curation run per date); ``"global"`` across all dates,
+    where the earliest landing day wins, then landing order within it.
     """
 
     min_valid: float = MIN_VALID_VALUE

@@ -454,3 +454,33 @@ FROM b JOIN d ON b.city = d.city AND b.country IS NOT DISTINCT FROM d.country
   AND b.reading_date = d.reading_date""",
     }
 )
+
+
+# -- dedup scope over stale copies landed a day later ------------------------------
+
+def stale_curated(scope: str) -> str:
+    part = "landed, " if scope == "partition" else ""
+    order = "" if scope == "partition" else "landed, "
+    return with_(RAW) + f""", stale AS (
+  SELECT *, strftime(ts + CASE WHEN src = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END,
+                     '%Y-%m-%d') AS landed
+  FROM raw
+), ok AS (
+  SELECT * FROM stale
+  WHERE value NOT IN (-1, -999, 9999, 99999) AND value >= 0 AND NOT isnan(value)
+), first_rows AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {part}location_id, parameter, date_str
+                                 ORDER BY {order}src, pos) AS rn
+    FROM ok) WHERE rn = 1
+)
+SELECT location_id, location_name, city, country, parameter, value, unit,
+  TRY_CAST(date_str AS TIMESTAMP) AS date_utc, value > 500 AS is_extreme_outlier,
+  landed AS date
+FROM first_rows WHERE TRY_CAST(date_str AS TIMESTAMP) IS NOT NULL"""
+
+
+SQL.update({
+    "curate_stale_copies": stale_curated("partition"),
+    "curate_global_scope": stale_curated("global"),
+})

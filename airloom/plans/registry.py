@@ -159,10 +159,18 @@ RAW_OUT = [
 ]
 
 
-def land_fixture(spark: SparkSession, sf_dir: str, root: str, srcs=(0, 1)) -> str:
+def land_fixture(
+    spark: SparkSession, sf_dir: str, root: str, srcs=(0, 1), stale_copies: bool = False
+) -> str:
     """Land the derived readings as raw JSON lines: one run per ``src``,
-    partitioned by the reading day of the event."""
+    partitioned by the reading day of the event. With ``stale_copies`` the
+    later copies (``src = 1``) land one day later, as a feed that repeats a
+    stale reading on the next day."""
     raw = FX.derived_raw(spark, sf_dir).where(F.col("src").isin(*srcs))
+    landed_on = F.col("ts")
+    if stale_copies:
+        landed_on = F.when(F.col("src") == 1, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(
+            F.col("ts"))
     record = reading_record(
         F.col("location_id"),
         F.col("value"),
@@ -173,7 +181,7 @@ def land_fixture(spark: SparkSession, sf_dir: str, root: str, srcs=(0, 1)) -> st
     )
     write_raw(
         raw.select(
-            F.date_format("ts", "yyyy-MM-dd").alias("date"),
+            F.date_format(landed_on, "yyyy-MM-dd").alias("date"),
             F.concat(F.lit("run_"), F.col("src").cast("string")).alias("run_id"),
             "pos",
             record.alias("record"),
@@ -208,6 +216,25 @@ def _curated_root(spark, sf_dir) -> str:
     return out
 
 
+def _stale_curated(spark, sf_dir, scope: str) -> DataFrame:
+    configure(spark)
+    raw_root = land_fixture(spark, sf_dir, scratch_path(spark, "raw"), stale_copies=True)
+    out = scratch_path(spark, "curated")
+    J.curate(spark, raw_root, out, rules=QualityRules(dedup_scope=scope),
+             flatten=FIXTURE_FLATTEN)
+    return read_curated(spark, out)
+
+
+def q_curate_stale_copies(spark, sf_dir):
+    """Per-date scope: a stale copy landed on a later day is kept in that day."""
+    return _stale_curated(spark, sf_dir, "partition")
+
+
+def q_curate_global_scope(spark, sf_dir):
+    """Global scope: the first landing of a reading wins across all days."""
+    return _stale_curated(spark, sf_dir, "global")
+
+
 def q_curate_roundtrip(spark, sf_dir):
     return read_curated(spark, _curated_root(spark, sf_dir))
 
@@ -518,6 +545,8 @@ QUERIES: dict[str, Query] = {
     "raw_scan": q_raw_scan,
     "raw_scan_date": q_raw_scan_date,
     "curate_roundtrip": q_curate_roundtrip,
+    "curate_stale_copies": q_curate_stale_copies,
+    "curate_global_scope": q_curate_global_scope,
     "curated_scan": q_curated_scan,
     "incremental_curation": q_incremental_curation,
     "flatten_readings": q_flatten_readings,

@@ -129,3 +129,16 @@ def test_register_table_discovers_new_partitions(spark, tmp_path):
     J.curate(spark, raw, out, dates=["2026-08-29"])
     assert register_table(spark, "cur_t1", out).count() == 2
     spark.sql("DROP TABLE cur_t1")
+
+
+def test_global_scope_curates_first_landing_across_dates(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
+    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z"),
+                        ("2026-08-28", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
+    from airloom.options import QualityRules
+
+    J.curate(spark, raw, out, rules=QualityRules(dedup_scope="global"))
+    assert [(r.date, r.location_id) for r in read_curated(spark, out).collect()] == [
+        ("2026-08-27", 1)]
+    J.curate(spark, raw, str(tmp_path / "cur2"))
+    assert read_curated(spark, str(tmp_path / "cur2")).count() == 2
