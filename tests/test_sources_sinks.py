@@ -142,3 +142,26 @@ def test_global_scope_curates_first_landing_across_dates(spark, tmp_path):
         ("2026-08-27", 1)]
     J.curate(spark, raw, str(tmp_path / "cur2"))
     assert read_curated(spark, str(tmp_path / "cur2")).count() == 2
+
+
+def test_array_layout_order_survives_file_packing(spark, tmp_path):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "raw")
+    for d in range(2):
+        for f in range(6):
+            land_array(root, f"2026-08-2{d}", f"run_{f:03d}.json",
+                       [rec(id=f, value=float(i), utc=f"2026-08-2{d}T00:00:{i:02d}Z")
+                        for i in range(40)], indent=1)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_raw(spark, root)
+        assert df.rdd.getNumPartitions() < 12  # several files share a task
+        w = Window.partitionBy("_file").orderBy("_pos")
+        ranked = df.select("_file", "_pos", F.col("record.value").alias("v")).withColumn(
+            "rank", F.row_number().over(w) - 1)
+        assert ranked.where(F.col("rank").cast("double") != F.col("v")).count() == 0
+        assert ranked.count() == 480
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", str(4 * 1024 * 1024))
