@@ -61,25 +61,35 @@ def build_session(
     for key, value in {**RESULT_SETTINGS, **PLAN_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return configure(spark)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no local context
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root named by ``spark.checkpoint.dir``.
 
     Only when the session names none (a test or a laptop run) is a local
     one created and registered, so later ``checkpoint()`` calls use it too.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="airloom-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
