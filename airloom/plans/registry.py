@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from airloom.operators import clean as C
@@ -59,8 +58,9 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture cleaned in memory (no write): the input of the metric views."""
     flat = _flat(spark, sf_dir)
-    return FX.memo(spark, ("curated", sf_dir),
-                    lambda: C.clean_readings(flat, RULES, order_cols=FX.ORDER))
+    return FX.memo(
+        spark, ("curated", sf_dir), lambda: C.clean_readings(flat, RULES, order_cols=FX.ORDER)
+    )
 
 
 def _opts(profile: str) -> MetricOptions:
