@@ -1,6 +1,7 @@
 """Job runner: ``python -m airloom <job> ...`` (or ``spark-submit -m``-style).
 
     curate     raw landings -> curated table (all dates, or --date ...)
+    stream     new raw landings since the last run -> re-curated dates (checkpointed)
     views      curated table -> metric views written as Parquet
     backfill   landed measurement pages + location details -> backfill landing
     ingest     landed latest-readings pages + details + station cache -> run landing
@@ -34,6 +35,7 @@ from airloom.session import build_session
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sources.curated import read_curated
 from airloom.sources.pages import read_landed_pages
+from airloom.streaming.incremental import curate_incremental
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -49,6 +51,13 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--profile", choices=["canonical", "deployed"], default="canonical")
     c.add_argument("--dedup-scope", choices=["partition", "global"], default="partition")
 
+    st = sub.add_parser("stream")
+    st.add_argument("--raw", required=True, help="landing root")
+    st.add_argument("--out", required=True)
+    st.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
+    st.add_argument("--layout", choices=["array", "lines"], default="array")
+    st.add_argument("--max-files", type=int, default=None)
+
     v = sub.add_parser("views")
     v.add_argument("--curated", required=True)
     v.add_argument("--out", required=True)
@@ -87,6 +96,10 @@ def main(argv: list[str] | None = None) -> None:
             flatten=FlattenOptions(profile=args.profile),
         )
         print(json.dumps(counts, default=str))
+    elif args.job == "stream":
+        batches = curate_incremental(spark, args.raw, args.out, args.checkpoint,
+                                     max_files=args.max_files, layout=args.layout)
+        print(json.dumps({"batches": batches}))
     elif args.job == "views":
         opts = (MetricOptions.athena(as_of=args.as_of) if args.profile == "athena"
                 else MetricOptions.warehouse())

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from airloom.operators import clean as C
 from airloom.options import FlattenOptions, QualityRules
 from airloom.sinks.curated import write_curated
+from airloom.schema import RAW_READING
 from airloom.sources.raw import JSON_OPTIONS, RAW_LINE, read_raw_dates
 
 RAW_LINE_PARTITIONED = T.StructType(RAW_LINE.fields + [T.StructField("date", T.StringType())])
@@ -27,23 +28,34 @@ def raw_stream(
     raw_root: str,
     max_files: int | None = None,
     max_file_age: str | None = None,
+    layout: str = "lines",
 ) -> DataFrame:
-    """File stream over the JSON-lines landing area (declared schema).
-
-    ``max_files`` bounds a micro-batch; ``max_file_age`` (e.g. ``"30d"``)
-    bounds the stream's log of seen files on a landing area that keeps
-    growing (older files are no longer considered).
+    """File stream over the landing area (declared schema) with a ``date``
+    column.
+
+    ``layout="lines"`` reads our JSON-lines landings (partition discovery);
+    ``"array"`` reads one JSON array per file, globbing the ``date=``
+    directories and taking the date from the file path (see
+    ``sources.raw.read_raw``). ``max_files`` bounds a micro-batch;
+    ``max_file_age`` (e.g. ``"30d"``) bounds the stream's log of seen files on
+    a landing area that keeps growing.
     """
-    reader = (
-        spark.readStream.schema(RAW_LINE_PARTITIONED)
-        .options(**JSON_OPTIONS)
-        .option("pathGlobFilter", "*.json")
-    )
+    reader = spark.readStream.options(**JSON_OPTIONS).option("pathGlobFilter", "*.json")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_file_age:
         reader = reader.option("maxFileAge", max_file_age)
-    return reader.json(raw_root)
+    if layout == "lines":
+        return reader.schema(RAW_LINE_PARTITIONED).json(raw_root)
+    df = (
+        reader.schema(RAW_READING)
+        .option("multiLine", True)
+        .option("mode", "DROPMALFORMED")
+        .json(f"{raw_root.rstrip('/')}/date=*")
+    )
+    return df.select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date")
+    )
 
 
 def recurate_touched(
@@ -53,6 +65,7 @@ def recurate_touched(
     out_root: str,
     rules: QualityRules,
     flatten: FlattenOptions,
+    layout: str = "lines",
 ) -> list[str]:
     """Re-curate, from the whole raw partition, every date present in ``batch``.
 
@@ -63,7 +76,7 @@ def recurate_touched(
     dates = sorted(r["date"] for r in batch.select("date").distinct().collect() if r["date"])
     if not dates:
         return []
-    raw = read_raw_dates(spark, raw_root, dates, layout="lines")
+    raw = read_raw_dates(spark, raw_root, dates, layout=layout)
     cleaned = C.clean_readings(C.flatten_readings(raw, "record", flatten), rules)
     write_curated(cleaned, out_root)
     return dates
@@ -78,6 +91,7 @@ def curate_incremental(
     flatten: FlattenOptions = FlattenOptions(),
     max_files: int | None = None,
     max_file_age: str | None = None,
+    layout: str = "lines",
 ) -> list[list[str]]:
     """Process every raw file landed since the last run, then stop.
 
@@ -87,10 +101,12 @@ def curate_incremental(
     touched: list[list[str]] = []
 
     def each(batch: DataFrame, _batch_id: int) -> None:
-        touched.append(recurate_touched(spark, batch, raw_root, out_root, rules, flatten))
+        touched.append(
+            recurate_touched(spark, batch, raw_root, out_root, rules, flatten, layout)
+        )
 
     query = (
-        raw_stream(spark, raw_root, max_files, max_file_age)
+        raw_stream(spark, raw_root, max_files, max_file_age, layout)
         .writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

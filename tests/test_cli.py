@@ -16,6 +16,10 @@ def test_curate_views_and_find(spark, tmp_path):
     out = str(tmp_path / "cur")
     main(["curate", "--raw", str(tmp_path / "raw"), "--out", out])
     assert read_curated(spark, out).count() == 2
+    streamed = str(tmp_path / "streamed")
+    main(["stream", "--raw", str(tmp_path / "raw"), "--out", streamed,
+          "--checkpoint", str(tmp_path / "ck")])
+    assert read_curated(spark, streamed).count() == 2
     main(["views", "--curated", out, "--out", str(tmp_path / "views"),
           "--profile", "warehouse"])
     daily = spark.read.parquet(str(tmp_path / "views" / "vw_daily_avg_pm25_by_city"))

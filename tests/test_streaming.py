@@ -30,3 +30,28 @@ def test_incremental_curation(spark, tmp_path):
     assert curate_incremental(spark, raw, out, ck) == [["2026-08-27"]]
     got = sorted((r.location_id, r.value) for r in read_curated(spark, out).collect())
     assert got == [(1, 5.0), (2, 3.0)]
+
+
+def test_incremental_curation_of_array_landings(spark, tmp_path):
+    import json
+    import os
+
+    from conftest import rec
+
+    raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
+
+    def land(date, name, records):
+        d = os.path.join(raw, f"date={date}")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(json.dumps(records, indent=2))
+
+    land("2026-08-27", "run_100000.json", [rec(id=1, value=9.0), rec(id=2, value=3.0)])
+    assert curate_incremental(spark, raw, out, ck, layout="array") == [["2026-08-27"]]
+    assert curate_incremental(spark, raw, out, ck, layout="array") == []
+    land("2026-08-27", "run_090000.json", [rec(id=1, value=5.0)])
+    land("2026-08-28", "run_090000.json", [rec(id=3, value=4.0, utc="2026-08-28T01:00:00Z")])
+    batches = curate_incremental(spark, raw, out, ck, layout="array")
+    assert sorted(d for b in batches for d in b) == ["2026-08-27", "2026-08-28"]
+    got = sorted((r.date, r.location_id, r.value) for r in read_curated(spark, out).collect())
+    assert got == [("2026-08-27", 1, 5.0), ("2026-08-27", 2, 3.0), ("2026-08-28", 3, 4.0)]
