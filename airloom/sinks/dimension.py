@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -29,15 +30,19 @@ def write_dimension(dim: DataFrame, root: str, previous: DataFrame | None = None
 
 
 def read_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """The latest complete version under ``root`` (empty when none exists)."""
+    """The latest complete version under ``root`` (empty when none exists).
+
+    Versions are found from the file listing (no job is run); a version
+    directory only becomes visible to readers once its write committed.
+    """
     try:
-        versions = spark.read.parquet(root).select("v").distinct().collect()
+        files = spark.read.parquet(root).inputFiles()
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc) or \
                 "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return spark.createDataFrame([], LOCATION_DIM)
         raise
+    versions = {m.group(1) for f in files if (m := re.search(r"/v=([^/]+)/", f))}
     if not versions:
         return spark.createDataFrame([], LOCATION_DIM)
-    latest = max(str(r["v"]) for r in versions)
-    return spark.read.schema(LOCATION_DIM).parquet(f"{root.rstrip('/')}/v={latest}")
+    return spark.read.schema(LOCATION_DIM).parquet(f"{root.rstrip('/')}/v={max(versions)}")
