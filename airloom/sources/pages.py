@@ -47,7 +47,8 @@ def explode_pages(
 
     ``page_size``: a fetch stops at its first page holding fewer results
     than ``page_size`` (that page is kept) or at an empty page; later pages
-    of the same fetch are ignored. ``limit``: keep the first ``limit``
+    of the same fetch are ignored. Pages are numbered 1..n without gaps, as
+    a fetch lands them. ``limit``: keep the first ``limit``
     results of each fetch. Output: group columns, ``page``, ``pos``,
     ``result``.
     """

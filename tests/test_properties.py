@@ -135,3 +135,42 @@ def test_metrics_match_brute_force(spark, rows):
                                                      r.pct_change_wow)
                  for r in M.wow_trend(df, opts).collect()}
     assert got_trend == want_trend
+
+
+# -- page envelopes against the fetch loop --------------------------------------
+
+import json  # noqa: E402
+
+from airloom.schema import READINGS_PAGE  # noqa: E402
+from airloom.sources.pages import latest_readings, parse_envelope  # noqa: E402
+
+
+def fetch_loop(pages, limit, page_size):
+    """The pager: pages 1..n until an empty or short page, then truncate."""
+    results, page = [], 1
+    while len(results) < limit:
+        batch = pages[page - 1] if page <= len(pages) else []
+        if not batch:
+            break
+        results.extend(batch)
+        if len(batch) < page_size:
+            break
+        page += 1
+    return results[:limit]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(min_value=1, max_value=6), st.lists(st.integers(0, 6), min_size=1, max_size=6))
+def test_page_reader_matches_fetch_loop(spark, limit, sizes):
+    page_size = min(limit, 1000)
+    pages, n = [], 0
+    for size in sizes:
+        pages.append([n + i for i in range(size)])
+        n += size
+    rows = [(i + 1, json.dumps({"results": [{"locationsId": x, "value": 1.0} for x in p]}))
+            for i, p in enumerate(pages)]
+    df = parse_envelope(spark.createDataFrame(rows, "page long, text string"), "text",
+                        READINGS_PAGE)
+    got = [r.result.locationsId for r in
+           latest_readings(df, limit, page_limit_default=limit).orderBy("page", "pos").collect()]
+    assert got == fetch_loop(pages, limit, page_size)
