@@ -174,3 +174,42 @@ def test_page_reader_matches_fetch_loop(spark, limit, sizes):
     got = [r.result.locationsId for r in
            latest_readings(df, limit, page_limit_default=limit).orderBy("page", "pos").collect()]
     assert got == fetch_loop(pages, limit, page_size)
+
+
+# -- per-station cap and catalogue search ----------------------------------------
+
+from airloom.operators import history as H  # noqa: E402
+from airloom.operators import search as S  # noqa: E402
+from airloom.schema import LOCATION_RESULT  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 3), st.integers(0, 20)),
+                max_size=40, unique=True), st.integers(1, 5))
+def test_cap_matches_brute_force(spark, rows, n):
+    df = spark.createDataFrame(rows, "location_id long, page long, pos long")
+    got = sorted(tuple(r) for r in H.cap_per_location(df, n).collect())
+    want = []
+    for loc in {r[0] for r in rows}:
+        want += sorted(r for r in rows if r[0] == loc)[:n]
+    assert got == sorted(want)
+
+
+names = st.sampled_from(["San Francisco", "SF Bay", "oakland", "São Paulo", None, "", "Bay Area"])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(names, names, st.sampled_from(["US", "BR", None]),
+                          st.sampled_from([1, 2])), max_size=12),
+       st.sampled_from(["bay", "SAN", "são", "x", ""]), st.integers(1, 6))
+def test_find_locations_matches_brute_force(spark, locs, needle, limit):
+    rows = [(i, name, loc, (code, None), [(i * 10, (param, "p"))])
+            for i, (name, loc, code, param) in enumerate(locs)]
+    cat = spark.createDataFrame(rows, LOCATION_RESULT)
+    got = [tuple(r) for r in S.find_locations(cat, "US", needle or None, limit).collect()]
+    listed = [r for r in rows if r[3][0] == "US" and r[4][0][1][0] == 2][:limit]
+    if needle:
+        listed = [r for r in listed if needle.lower() in (r[1] or "").lower()
+                  or needle.lower() in (r[2] or "").lower()]
+    want = [(r[0], (r[1] or "")[:35], (r[2] or "")[:25], r[3][0] or "") for r in listed]
+    assert got == want
