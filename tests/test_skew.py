@@ -95,3 +95,40 @@ def test_null_ids_spread_in_lookup_join(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_station_partition_is_split_by_aqe(spark, tmp_path):
+    """A third of the readings on one station: the sort-merge lookup join is
+    re-planned by AQE with the skewed partition split (test-sized thresholds)."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        readings = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 1000 + 2)
+            .cast("bigint").alias("location_id"),
+            F.col("id").cast("double").alias("value"))
+        spark.range(1100).select(
+            F.col("id").alias("location_id"), F.lit("n").alias("name"),
+            F.concat(F.lit("c"), F.col("id").cast("string")).alias("city"),
+            F.lit("K").alias("country")).write.parquet(str(tmp_path / "dim"))
+        out = D.enrich(readings, spark.read.parquet(str(tmp_path / "dim")))
+        rows = out.collect()
+        assert len(rows) == 30000
+        assert all(r.location_meta.city == f"c{r.location_id}" for r in rows)
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
