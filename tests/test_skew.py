@@ -132,3 +132,24 @@ def test_hot_station_partition_is_split_by_aqe(spark, tmp_path):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
+    import os
+
+    from airloom.schema import CURATED_PARTITIONED
+    from airloom.sinks.curated import write_curated
+
+    rows = [(i, "n", "C", "K", "pm25", float(i), "u",
+             dt.datetime(2026, 8, 27) + dt.timedelta(seconds=i), False,
+             "2026-08-27" if i % 10 else "2026-08-28")
+            for i in range(20000)]
+    df = spark.createDataFrame(rows, CURATED_PARTITIONED).repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        write_curated(df, str(tmp_path / "cur"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(tmp_path / "cur" / "date=2026-08-27") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(str(tmp_path / "cur")).count() == 20000
