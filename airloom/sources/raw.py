@@ -72,8 +72,8 @@ def read_raw(
     marker, so select it together with ``record``).
     """
     if not isinstance(root, str):
-        # Landing roots may be partitioned differently (runs by date,
-        # backfill by date and station): scan each, then union.
+        # Several landing roots (run landings, backfill landings): scan
+        # each with its own file listing, then union.
         frames = [read_raw(spark, r, layout, mode, with_corrupt, dates) for r in root]
         out = frames[0]
         for f in frames[1:]:
@@ -82,11 +82,15 @@ def read_raw(
     if layout not in ("array", "lines"):
         raise ValueError(f"layout must be 'array' or 'lines', got {layout!r}")
     reader = spark.read.option("pathGlobFilter", "*.json")
+    if mode == "FAILFAST":
+        read_mode = "FAILFAST"
+    else:
+        read_mode = "PERMISSIVE" if with_corrupt else "DROPMALFORMED"
     try:
         if layout == "lines":
             df = (
                 reader.options(**JSON_OPTIONS)
-                .option("mode", mode)
+                .option("mode", read_mode)
                 .schema(RAW_LINE)
                 .json(root)
             )
@@ -105,10 +109,7 @@ def read_raw(
         # not discovered (it would shadow that key): the date directories are
         # globbed, which also lists only the requested dates.
         days = "*" if dates is None else "{" + ",".join(dates) + "}"
-        if with_corrupt:
-            schema, read_mode = _WITH_CORRUPT, "PERMISSIVE"
-        else:
-            schema, read_mode = RAW_READING, ("FAILFAST" if mode == "FAILFAST" else "DROPMALFORMED")
+        schema = _WITH_CORRUPT if with_corrupt else RAW_READING
         df = (
             reader.options(**JSON_OPTIONS)
             .option("multiLine", True)
