@@ -165,3 +165,15 @@ def test_array_layout_order_survives_file_packing(spark, tmp_path):
         assert ranked.count() == 480
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", str(4 * 1024 * 1024))
+
+
+def test_lines_layout_malformed_policy(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
+    with open(os.path.join(raw, "date=2026-08-27", "broken.json"), "w") as fh:
+        fh.write('{"run_id": "run_2", "pos": 0, "record": {not json\n')
+    assert read_raw(spark, raw, layout="lines").count() == 1
+    marked = read_raw(spark, raw, layout="lines", with_corrupt=True).collect()
+    assert sorted(r._corrupt for r in marked) == [False, True]
+    with pytest.raises(Exception):
+        read_raw(spark, raw, layout="lines", mode="FAILFAST").count()
