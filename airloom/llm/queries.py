@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import sharding, topk, url_filters, warc
+from airloom.llm import quality, sharding, simhash, topk, url_filters, warc
 from airloom.llm.common import table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -21,10 +21,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=3, shingle=3)
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
     return records.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "text_digest", "block_digest", "content_type", "http_content_type", "title", F.octet_length("block").cast("long").alias("content_length"))
@@ -33,7 +41,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
+    "op4_simhash": op4_simhash,
     "op5_topk": op5_topk,
+    "op6_quality": op6_quality,
     "op8_warc": op8_warc,
 }
 
