@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import quality, sharding, simhash, topk, url_filters, warc
-from airloom.llm.common import table
+from airloom.llm import decontamination, packing, quality, sharding, simhash, token_counts, topk, url_filters, warc
+from airloom.llm.common import save, table
+from airloom.session import scratch_path
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -21,6 +22,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), capacity=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=3, shingle=3)
 
@@ -33,18 +39,43 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
     return records.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "text_digest", "block_digest", "content_type", "http_content_type", "title", F.octet_length("block").cast("long").alias("content_length"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A life of the corpus in four commits: words counted, exact copies deleted,
+    all counts revised for the BPE tokenizer, and the first batch sent again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = docs.withColumns({"words": token_counts.count_words(F.col("text")), "text_id": F.sha2(F.col("text").cast("binary"), 256)})
+    counted = save(token_counts.count_tokens(docs), "token-counts")
+    first = counted.groupBy("text_id").agg(F.min("doc_id").alias("first"))
+    kept = F.col("text_id").isNull() | (F.col("doc_id") == F.col("first"))
+    known = counted.join(first, "text_id", "left").withColumn("kept", F.coalesce(kept, F.lit(False)))
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))
+    loaded = token_counts.deltas(counted, 1, "words-1", "words")
+    rollup.commit("load", loaded)
+    rollup.commit("copies", token_counts.deltas(known.filter("NOT kept"), -1, "words-1", "words"))
+    rollup.commit("revise", token_counts.deltas(known.filter("kept"), -1, "words-1", "words"), token_counts.deltas(known.filter("kept"), 1, "byte_bpe_50k", "tokens"))
+    rollup.commit("load", loaded)
+    return rollup.totals()
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_topk": op5_topk,
     "op6_quality": op6_quality,
+    "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
+    "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {}
