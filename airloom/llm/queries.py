@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import decontamination, packing, quality, sharding, simhash, token_counts, topk, url_filters, warc
+from airloom.llm import decontamination, packing, quality, sharding, simhash, substring_dedup, token_counts, topk, url_filters, warc
 from airloom.llm.common import save, table
 from airloom.session import scratch_path
 
@@ -66,6 +66,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.dedup(table(spark, sf_dir, "documents"), window=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -76,6 +81,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
