@@ -6,12 +6,14 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.session import scratch_path
 
+FILTER_BITS = 26  # size of an id filter in every task, whatever the input
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -77,5 +79,28 @@ def runs(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
 
 
+def id_filter(ids: DataFrame, doc_id: Column) -> Column:
+    """A condition on ``doc_id`` that holds for all of ``ids`` (one column, doc_id) and for few others.
+
+    A bitmap of fixed size: it grows with nothing and only saves shuffles,
+    the joins behind it decide. Null ids do not hold.
+    """
+
+    def bit(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+
+    words = ids.select(bit(F.col("doc_id")).alias("b")).groupBy(F.expr("b div 64").alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bitmap[words.column("i").to_numpy()] = words.column("bits").to_numpy()
+    sent = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def test(b: pd.Series) -> pd.Series:
+        at = b.to_numpy()
+        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return test(bit(doc_id)) & doc_id.isNotNull()
+
+
 def blocks(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))

@@ -158,6 +158,37 @@ def fit(rows: DataFrame, shrink: float = 0.1, ridge: float = 0.02) -> Model:
     return Model(center.tolist(), scale.tolist(), [mean[c].tolist() for c in (0, 1)], whiten, constant)
 
 
+def training_rows(x: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(y, x) of the labelled rows of ``x`` (doc_id, x) that are not held out."""
+    y = (
+        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
+        .filter("y IN (0, 1) AND doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("y").alias("y"), F.max("y").alias("_most"))
+        .filter("y = _most")
+        .drop("_most")
+        .filter(~held_out(F.col("doc_id")))
+    )
+    return x.join(y, "doc_id")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, all columns as they are.
+
+    Rows are judged where they lie: their statistics are computed again
+    rather than joined. Training and odd cases as in ``classify``.
+    """
+    model = fit(training_rows(document_statistics(docs, id_col, text_col), labels))
+    at = docs.columns.index(text_col)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([statistics(t) for t in text_bytes(b.column(at))], dtype=np.float64).reshape(-1, D)
+            yield b.filter(pa.array(model.score(x) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """doc_id, held_out, score (posterior of label 1) and predicted of every row.
 
@@ -169,16 +200,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     every score is 0.5.
     """
     x = save(document_statistics(docs, id_col, text_col), "quality-statistics")
-    y = (
-        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-        .filter("y IN (0, 1) AND doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("y").alias("y"), F.max("y").alias("_most"))
-        .filter("y = _most")
-        .drop("_most")
-        .filter(~held_out(F.col("doc_id")))
-    )
-    model = fit(x.join(y, "doc_id"))
+    model = fit(training_rows(x, labels, id_col, label_col))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

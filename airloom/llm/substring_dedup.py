@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import partitions, runs, save, text_bytes
+from airloom.llm.common import id_filter, partitions, runs, save, text_bytes
 from airloom.llm.fm_index import FMIndex
 
 WINDOW = 13
@@ -34,7 +34,6 @@ SYMBOL_BYTES = 6  # of a word's hash, kept in a segment
 LOCAL_COPIES = 16  # documents of one batch with one seed, from which on only the outer two are dealt
 LARGE_SEED = 200_000  # segments of one seed, from which on its windows are dealt singly
 SHARD_WORDS = 1_000_000  # words of one FM-index, about
-FILTER_BITS = 26  # size of the document filter in every task, whatever the input
 BYTES_AT_ONCE = 2 << 20
 P = np.uint64(0x9E3779B97F4A7C15)
 Q = np.uint64(0xD6E8FEB86659FD93)
@@ -166,33 +165,10 @@ def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _filter(ids: DataFrame, doc_id: Column) -> Column:
-    """A condition on ``doc_id`` that holds for all of ``ids`` (column doc_id) and for few others.
-
-    A bitmap of fixed size: it grows with nothing and only saves shuffles,
-    the joins behind it decide. Null ids do not hold.
-    """
-
-    def bit(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-
-    words = ids.select(bit(F.col("doc_id")).alias("b")).groupBy(F.expr("b div 64").alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bitmap[words.column("i").to_numpy()] = words.column("bits").to_numpy()
-    sent = ids.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def test(b: pd.Series) -> pd.Series:
-        at = b.to_numpy()
-        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    return test(bit(doc_id)) & doc_id.isNotNull()
-
-
 def _segments(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
     """(seed, doc_id, text_id, start, seg): runs of windows with one shared minimizer."""
     per_doc = save(shared.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "shared-seeds")
-    found = docs.filter(_filter(per_doc, F.col("doc_id"))).join(per_doc, "doc_id")
+    found = docs.filter(id_filter(per_doc.select("doc_id"), F.col("doc_id"))).join(per_doc, "doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in _parts(batches, 2):
@@ -321,7 +297,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     cuts = save(found.groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("lo", "hi")).alias("_cuts")), "repeated-intervals")
     names = docs.columns
     keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_text_id": F.xxhash64(F.col(text_col))})
-    tested = keyed.withColumn("_cut", _filter(cuts, F.col("_id")))
+    tested = keyed.withColumn("_cut", id_filter(cuts.select("doc_id"), F.col("_id")))
     cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"), "_cuts")
     some = tested.filter("_cut").join(cuts, ["_id", "_text_id"], "left").select(*names, "_cuts")
     none = tested.filter("NOT _cut").select(*names, F.lit(None).cast(cuts.schema["_cuts"].dataType).alias("_cuts"))

@@ -1,12 +1,74 @@
-"""Corpus pipeline: the cleaning stages of a training corpus in their order."""
+"""Corpus pipeline: from raw documents to packed token sequences.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its
+predecessor kept. All but the last return the columns of ``documents``.
+Documents that a stage does not touch pass through it without a shuffle of
+their text. Rows with a null doc_id cannot be named by a decision about ids
+and stay in the stages 2 to 4.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from airloom.llm import decontamination, packing, quality, simhash, substring_dedup
+from airloom.llm.common import id_filter, save, table
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labelled ones, accepts."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least doc_id, once."""
+    groups = save(simhash.near_duplicates(docs).filter("doc_id IS NOT NULL"), "near-duplicates")
+    odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least")).filter("n > 1 OR least <> doc_id")
+    dropped = odd.filter("least <> doc_id").select("doc_id")
+    tested = docs.withColumn("_odd", id_filter(odd.select("doc_id"), F.col("doc_id")))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"]))
+    kept = tested.filter("_odd").drop("_odd").join(dropped, "doc_id", "left_anti").withColumn("_n", first).filter("_n = 1")
+    return tested.filter("NOT _odd").select(docs.columns).unionByName(kept.select(docs.columns))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of passages that an earlier document holds; emptied documents go."""
+    rows = substring_dedup.dedup(docs).filter("n_removed = 0 OR kept <> ''")
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
+    chars = F.when(changed, F.char_length("kept").cast("long")).otherwise(F.col("n_chars"))
+    return rows.withColumns({"text": text, "n_chars": chars}).select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = save(decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").filter("doc_id IS NOT NULL").distinct(), "leaks")
+    tested = docs.withColumn("_leak", id_filter(leaks, F.col("doc_id")))
+    kept = tested.filter("_leak").drop("_leak").join(leaks, "doc_id", "left_anti")
+    return tested.filter("NOT _leak").select(docs.columns).unionByName(kept.select(docs.columns))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 token ids."""
+    return packing.pack(docs, capacity=1024)
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("simhash near-dedup", near_dedup),
+    ("substring dedup", cut_repeats),
+    ("benchmark decontamination", drop_leaks),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+# Fingerprints, tokens and the classifier are not SQL: tests/llm holds a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what each but the last returns is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
