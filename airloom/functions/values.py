@@ -35,18 +35,17 @@ def is_valid_value(c: str | Column, rules: QualityRules) -> Column:
 def exact_avg(c: str | Column) -> Column:
     """Average whose value does not depend on summation order.
 
-    Values are summed as DECIMAL(38,4) (exact for readings with up to four
-    decimals) and divided once as DOUBLE. A group holding a value that does
-    not fit (a kept outlier near 1e34, say) or whose sum overflows gets the
-    plain floating-point average instead of failing the job.
+    Every group is summed as DECIMAL(38,8) and divided once as DOUBLE:
+    exact for values of up to eight decimals. A value or sum beyond 30
+    digits before the point fails the job.
     """
     v = _col(c)
-    dec = v.try_cast("decimal(38,4)")
+    dec = v.try_cast("decimal(38,8)")
     total = F.try_sum(dec)
-    unfit = F.count_if(v.isNotNull() & dec.isNull())
-    exact = total.cast("double") / F.count(v)
-    fits = (unfit == 0) & (total.isNotNull() | (F.count(v) == 0))
-    return F.when(fits, exact).otherwise(F.avg(v))
+    unfit = (F.count_if(v.isNotNull() & dec.isNull()) > 0) | (total.isNull() & (F.count(v) > 0))
+    return F.when(
+        unfit, F.raise_error(F.lit("a value or sum does not fit DECIMAL(38,8)")).cast("double")
+    ).otherwise(total.cast("double") / F.nullif(F.count(v), F.lit(0)))
 
 
 def rounded_pct(numerator: Column, denominator: Column, digits: int = 1) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions.timestamps import parse_utc, reading_day
-from airloom.options import BACKFILL_DAYS, READINGS_PER_DAY
 
 
 def _day(value: _dt.date | str) -> Column:
@@ -66,7 +65,7 @@ def reshape_measurements(
 
 def cap_per_location(
     df: DataFrame,
-    n: int = BACKFILL_DAYS * READINGS_PER_DAY,
+    n: int,
     order_cols: Sequence[str | Column] = ("page", "pos"),
     key: str = "location_id",
 ) -> DataFrame:

@@ -13,46 +13,41 @@ def search_locations(
     catalogue: DataFrame,
     country: str,
     parameter_id: int = PARAMETER_ID,
-    limit: int = 100,
+    limit: int | None = None,
     order_col: str = "id",
 ) -> DataFrame:
     """Locations of one ISO country with a sensor for ``parameter_id``.
 
-    At most ``limit`` rows in catalogue order (``order_col``).
+    All of them, or the first ``limit`` in catalogue order (``order_col``).
     """
     has_param = F.exists("sensors", lambda s: s["parameter"]["id"] == F.lit(parameter_id))
-    return (
-        catalogue.where((F.col("country.code") == F.lit(country)) & has_param)
-        .orderBy(order_col)
-        .limit(limit)
-    )
+    found = catalogue.where((F.col("country.code") == F.lit(country)) & has_param)
+    return found if limit is None else found.orderBy(order_col).limit(limit)
 
 
 def find_locations(
     catalogue: DataFrame,
     country: str,
     search: str | None = None,
-    limit: int = 100,
+    limit: int | None = None,
     parameter_id: int = PARAMETER_ID,
-    limit_before_search: bool = True,
+    limit_before_search: bool = False,
 ) -> DataFrame:
     """Catalogue search with an optional case-insensitive substring filter.
 
     The needle is a literal (no LIKE or regex) matched against name or
-    locality, null counting as ''. As in the source tool, the limit is
-    applied before the text filter (``limit_before_search=False`` applies
-    it after). Output: id, name (35 chars), locality (25 chars), country
-    code ('' when null).
+    locality, null counting as ''. ``limit`` cuts what was found; with
+    ``limit_before_search`` it cuts the country's locations before the text
+    filter, as the source tool does, so later matches are not found. Output:
+    id, name (35 chars), locality (25 chars), country code ('' when null).
     """
-    if search and not limit_before_search:
-        base = catalogue.where(
-            contains_ci("name", search) | contains_ci("locality", search)
-        )
-        found = search_locations(base, country, parameter_id, limit)
+    matches = F.lit(True)
+    if search:
+        matches = contains_ci("name", search) | contains_ci("locality", search)
+    if limit_before_search:
+        found = search_locations(catalogue, country, parameter_id, limit).where(matches)
     else:
-        found = search_locations(catalogue, country, parameter_id, limit)
-        if search:
-            found = found.where(contains_ci("name", search) | contains_ci("locality", search))
+        found = search_locations(catalogue.where(matches), country, parameter_id, limit)
     return found.select(
         F.col("id"),
         fixed_width("name", 35).alias("name"),

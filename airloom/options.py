@@ -15,8 +15,8 @@ from dataclasses import dataclass, replace
 #   readings below 0 are invalid; sentinel values -1, -999, 9999, 99999
 #   readings above 500 are flagged as extreme outliers (kept)
 #   WHO 24-hour PM2.5 guideline 15 µg/m³ (breach is strictly greater)
-#   API page size cap 1000 rows; default fetch limit 1000
-#   backfill window 60 days, at most 24 readings per location per day
+#   API page size cap 1000 rows
+#   backfill window 60 days
 # ---------------------------------------------------------------------------
 PARAMETER_ID = 2
 PARAMETER_NAME = "pm25"
@@ -26,9 +26,7 @@ SENTINEL_VALUES = (-1.0, -999.0, 9999.0, 99999.0)
 MAX_PLAUSIBLE_VALUE = 500.0
 WHO_PM25_24H_GUIDELINE = 15.0
 PAGE_SIZE_CAP = 1000
-DEFAULT_PAGE_LIMIT = 1000
 BACKFILL_DAYS = 60
-READINGS_PER_DAY = 24
 
 
 @dataclass(frozen=True)
@@ -89,7 +87,7 @@ class MetricOptions:
     parameter: str = PARAMETER_NAME
     # Reference day for ``lookback_days``; None means ``current_date()``.
     as_of: _dt.date | str | None = None
-    # Exact averages: sum the values as DECIMAL(38,4), so the result does not
+    # Exact averages: sum the values as DECIMAL(38,8), so the result does not
     # depend on summation order (equal across engines and partitionings).
     exact: bool = False
     # Trend LAG partitioning: by city only (source behaviour, country breaks

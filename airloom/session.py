@@ -17,6 +17,9 @@ RESULT_SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+# Largest per-group limit that is applied before the shuffle as well.
+GROUP_LIMIT = 100_000
+
 # Settings for the physical plan at scale (runtime-settable as well).
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -24,8 +27,8 @@ PLAN_SETTINGS = {
     # A station or city holding a large share of rows is split by AQE.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # row_number() <= n keeps a partial limit before the shuffle up to this
-    # n (the backfill cap is 60 days x 24 readings).
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # n; a larger n gives the same rows by a plan that ships whole groups.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(GROUP_LIMIT),
     # Many small landed files are packed into one task each.
     "spark.sql.files.openCostInBytes": str(4 * 1024 * 1024),
 }
@@ -67,6 +70,10 @@ def build_session(
     return configure(spark)
 
 
+# Scratch folder of each local application that names none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def _context(spark: SparkSession):
     """The SparkContext, or None for sessions without one (Spark Connect)."""
     try:
@@ -78,16 +85,24 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a test or a laptop run) is a local
-    one created and registered, so later ``checkpoint()`` calls use it too.
+    A session on one machine (a test or a laptop run) that names none gets
+    a local folder of its own. On a cluster that would be another folder on
+    every machine, so there the setting is required.
     """
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="airloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
+        root = _LOCAL_ROOTS.setdefault(sc.applicationId, "") or tempfile.mkdtemp(
+            prefix="airloom-scratch-"
+        )
+        _LOCAL_ROOTS[sc.applicationId] = root
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

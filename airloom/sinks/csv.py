@@ -21,6 +21,8 @@ def export_csv(spark: SparkSession, curated_root: str, dates: list[str], out: st
         df.select(*CURATED_COLUMNS, "date")
         .write.mode("overwrite")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .partitionBy("date")

@@ -22,12 +22,29 @@ def read_curated(spark: SparkSession, root: str) -> DataFrame:
         raise
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where a catalog table lies; None when there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").rstrip("/").replace("//", "/")
+
+
 def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Declare the curated table over ``root`` and discover its partitions.
 
     New ``date=`` folders written by path are invisible to a catalog table
-    until ``MSCK REPAIR TABLE`` runs; it is run here every time.
+    until ``MSCK REPAIR TABLE`` runs; it is run here every time. A table of
+    that name over another root is declared anew over this one (an external
+    table: the files of the other root stay).
     """
+    at = _location(spark, name)
+    if at is not None and _plain(at) != _plain(root):
+        spark.sql(f"DROP TABLE {name}")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CURATED.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `date` STRING) "

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.options import DEFAULT_PAGE_LIMIT, PAGE_SIZE_CAP
+from airloom.options import PAGE_SIZE_CAP
 from airloom.sources.raw import JSON_OPTIONS
 
 
@@ -82,13 +82,10 @@ def explode_pages(
     return rows.orderBy("page", "pos").limit(limit)
 
 
-def latest_readings(
-    pages: DataFrame, limit: int | None = None, page_limit_default: int = DEFAULT_PAGE_LIMIT
-) -> DataFrame:
-    """Results of a latest-readings fetch, as the fetch returns them.
+def latest_readings(pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """Results of a latest-readings fetch, up to its short or empty page.
 
-    ``limit`` of None or 0 falls back to the default; the page size is
-    ``min(limit, PAGE_SIZE_CAP)`` (the API cap).
+    All results without a ``limit``; with one the first ``limit``, fetched in
+    pages of ``min(limit, PAGE_SIZE_CAP)`` (the API cap).
     """
-    limit = limit or page_limit_default
-    return explode_pages(pages, page_size=min(limit, PAGE_SIZE_CAP), limit=limit)
+    return explode_pages(pages, page_size=min(limit or PAGE_SIZE_CAP, PAGE_SIZE_CAP), limit=limit)

@@ -3,16 +3,20 @@
 Two layouts are read:
 
 * ``array``: one JSON array per file (what the ingestion lands), pretty
-  printed or compact. The multi-line JSON reader streams each file's
-  elements as rows, so a large file is never held as one string or one
-  array; a file is read by one task (JSON text cannot be split), and many
-  small files are packed into one task by the file source.
+  printed or compact. A file is read and parsed by one task, so a file must
+  fit a task's memory; many small files are packed into one task.
 * ``lines``: one JSON object per line with explicit ``run_id`` and ``pos``
   (what ``sinks.raw.write_raw`` writes). Splittable.
 
 Both return ``date`` (partition, STRING), ``_file`` and ``_pos`` (the input
 order used by keep-first dedup: ``_pos`` increases along each file) and
 ``record`` (``schema.RAW_READING``).
+
+Every record is parsed by itself and every field of it by itself: a value of
+the wrong type is null in its field and harms no other field, record or
+file, and the rows do not depend on the columns that are asked for. A file
+that is no JSON array, an element that is no object and a line that does not
+parse each give one row with a null ``record``.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +39,20 @@ RAW_SCAN = T.StructType(
     ]
 )
 
+ID_FIELDS = ("locationsId", "locationId", "sensorsId")
+# As parsed: ids are taken as text, so that 4, 4.0 and "4" are one id.
+PARSED_READING = T.StructType(
+    [
+        T.StructField(f.name, T.StringType() if f.name in ID_FIELDS else f.dataType)
+        for f in RAW_READING.fields
+    ]
+)
 # Line layout written by our own sink.
 RAW_LINE = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
         T.StructField("pos", T.LongType()),
-        T.StructField("record", RAW_READING),
+        T.StructField("record", PARSED_READING),
     ]
 )
 
@@ -55,6 +67,21 @@ def _is_missing_path(exc: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
 
 
+def _whole_id(text: Column) -> Column:
+    """A BIGINT id from its text; null when it is no whole number."""
+    number = text.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
+def _reading(parsed: Column) -> Column:
+    """``PARSED_READING`` -> ``RAW_READING``; a null struct stays null."""
+    fields = [
+        (_whole_id(parsed[f.name]) if f.name in ID_FIELDS else parsed[f.name]).alias(f.name)
+        for f in RAW_READING.fields
+    ]
+    return F.when(parsed.isNotNull(), F.struct(*fields))
+
+
 def read_raw(
     spark: SparkSession,
     root: str | Sequence[str],
@@ -62,82 +89,64 @@ def read_raw(
     mode: str = "PERMISSIVE",
     with_corrupt: bool = False,
     dates: Sequence[str] | None = None,
+    pattern: str = "*.json",
 ) -> DataFrame:
-    """Scan every ``*.json`` landing file under ``root``.
-
-    A missing ``root`` gives an empty frame with the scan schema. A
-    malformed file is dropped by default, fails the job with
-    ``mode="FAILFAST"``, and with ``with_corrupt=True`` yields one row
-    marked ``_corrupt`` (Spark refuses a scan that needs nothing but that
-    marker, so select it together with ``record``).
+    """Scan every ``*.json`` landing file under ``root`` (one root or several).
+
+    ``pattern`` names other files than ``*.json``.
+    A missing ``root`` gives an empty frame with the scan schema. Whatever
+    cannot be read is a row with a null ``record`` (so a cleaning run counts
+    it as invalid); an unreadable array file has a null ``_pos`` as well.
+    ``with_corrupt`` adds ``_corrupt`` to mark those rows;
+    ``mode="FAILFAST"`` fails the job instead.
     """
     if not isinstance(root, str):
         # Several landing roots (run landings, backfill landings): scan
         # each with its own file listing, then union.
-        frames = [read_raw(spark, r, layout, mode, with_corrupt, dates) for r in root]
+        frames = [read_raw(spark, r, layout, mode, with_corrupt, dates, pattern) for r in root]
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
         return out
     if layout not in ("array", "lines"):
         raise ValueError(f"layout must be 'array' or 'lines', got {layout!r}")
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    if mode == "FAILFAST":
-        read_mode = "FAILFAST"
-    else:
-        read_mode = "PERMISSIVE" if with_corrupt else "DROPMALFORMED"
+    opts = {**JSON_OPTIONS, "mode": mode}
+    reader = spark.read.option("pathGlobFilter", pattern)
     try:
         if layout == "lines":
-            df = (
-                reader.options(**JSON_OPTIONS)
-                .option("mode", read_mode)
-                .schema(RAW_LINE)
-                .json(root)
-            )
-            out = df.select(
+            lines = reader.text(root).where(F.trim("value") != "")
+            if dates is not None:
+                lines = lines.where(F.col("date").cast("string").isin(*dates))  # partition pruning
+            line = F.from_json("value", RAW_LINE, opts)
+            out = lines.select(F.col("date").cast("string").alias("date"), line.alias("l")).select(
                 "date",
-                F.col("run_id").alias("_file"),
-                F.col("pos").alias("_pos"),
-                "record",
+                F.col("l.run_id").alias("_file"),
+                F.col("l.pos").alias("_pos"),
+                _reading(F.col("l.record")).alias("record"),
+            )
+        else:
+            # Records may carry a legacy "date" key and files lie by day: the
+            # date directories are globbed, which lists only the requested dates.
+            days = "*" if dates is None else "{" + ",".join(dates) + "}"
+            files = reader.text(f"{root.rstrip('/')}/date={days}", wholetext=True).select(
+                F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
+                F.col("_metadata.file_path").alias("_file"),
+                F.from_json("value", T.ArrayType(T.StringType()), opts).alias("_texts"),
+            )
+            # An unreadable file keeps one row, without a position.
+            rows = F.when(F.col("_texts").isNull(), F.array(F.struct(F.lit(None).cast("bigint").alias("p"), F.lit(None).cast("string").alias("t")))).otherwise(
+                F.transform("_texts", lambda t, p: F.struct(p.cast("bigint").alias("p"), t.alias("t")))
+            )
+            text = F.col("_row.t")
+            parsed = F.when(F.ltrim(text).startswith("{"), F.from_json(text, PARSED_READING, opts))
+            out = files.select("date", "_file", F.explode(rows).alias("_row")).select(
+                "date", "_file", F.col("_row.p").alias("_pos"), _reading(parsed).alias("record")
             )
-            if dates is not None:
-                out = out.where(F.col("date").isin(*dates))  # static partition pruning
-            if with_corrupt:
-                out = out.withColumn("_corrupt", F.col("record").isNull())
-            return out
-        # Records may carry a legacy "date" key, so the partition column is
-        # not discovered (it would shadow that key): the date directories are
-        # globbed, which also lists only the requested dates.
-        days = "*" if dates is None else "{" + ",".join(dates) + "}"
-        schema = _WITH_CORRUPT if with_corrupt else RAW_READING
-        df = (
-            reader.options(**JSON_OPTIONS)
-            .option("multiLine", True)
-            .option("mode", read_mode)
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .schema(schema)
-            .json(f"{root.rstrip('/')}/date={days}")
-        )
     except AnalysisException as exc:
-        if _is_missing_path(exc):
-            return empty_raw(spark)
-        raise
-    # Rows of a file come out in file order, and a file is never split, so
-    # an id that increases along each task orders the rows within a file.
-    cols = [
-        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"),
-        F.struct(*(F.col(f.name) for f in RAW_READING.fields)).alias("record"),
-    ]
-    if with_corrupt:
-        cols.append(F.col("_corrupt_record").isNotNull().alias("_corrupt"))
-    return df.select(*cols)
-
-
-_WITH_CORRUPT = T.StructType(
-    RAW_READING.fields + [T.StructField("_corrupt_record", T.StringType())]
-)
+        if not _is_missing_path(exc):
+            raise
+        out = empty_raw(spark)
+    return out.withColumn("_corrupt", F.col("record").isNull()) if with_corrupt else out
 
 
 def read_raw_dates(
