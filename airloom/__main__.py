@@ -24,7 +24,6 @@ from airloom.operators import metrics as M
 from airloom.operators import search as S
 from airloom.options import (
     BACKFILL_DAYS,
-    READINGS_PER_DAY,
     FlattenOptions,
     MetricOptions,
     QualityRules,
@@ -32,7 +31,7 @@ from airloom.options import (
 from airloom.plans import jobs as J
 from airloom.schema import LOCATION_PAGE, LOCATION_RESULT, MEASUREMENT_PAGE, READINGS_PAGE
 from airloom.session import build_session
-from airloom.sinks.dimension import read_dimension, write_dimension
+from airloom.sinks.dimension import read_dimension
 from airloom.sources.curated import read_curated
 from airloom.sources.pages import read_landed_pages
 from airloom.streaming.incremental import curate_incremental
@@ -52,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--dedup-scope", choices=["partition", "global"], default="partition")
 
     st = sub.add_parser("stream")
-    st.add_argument("--raw", required=True, help="landing root")
+    st.add_argument("--raw", nargs="+", required=True, help="landing root(s)")
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
     st.add_argument("--layout", choices=["array", "lines"], default="array")
@@ -68,20 +67,23 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--measurements", required=True, help="pages: sensor_id, page, results")
     b.add_argument("--details", required=True, help="pages: location_id, results")
     b.add_argument("--out", required=True, help="backfill landing root")
-    b.add_argument("--days", type=int, default=BACKFILL_DAYS)
+    b.add_argument("--days", type=int, default=BACKFILL_DAYS, help="last days up to --as-of")
+    b.add_argument("--as-of", help="YYYY-MM-DD (default: today, UTC)")
+    b.add_argument("--stations", nargs="*", type=int, help="station ids (default: all landed)")
 
     i = sub.add_parser("ingest")
     i.add_argument("--pages", required=True, help="pages: page, results")
     i.add_argument("--details", required=True, help="pages: location_id, results")
     i.add_argument("--dimension", required=True, help="versioned station cache root")
     i.add_argument("--raw", required=True, help="run landing root")
-    i.add_argument("--limit", type=int, default=None)
+    i.add_argument("--run-id", help="landing it again on a day replaces it (default: the time)")
+    i.add_argument("--limit", type=int, default=None, help="readings (default: all)")
 
     f = sub.add_parser("find")
     f.add_argument("--catalogue", required=True, help="JSON lines of location results")
     f.add_argument("--country", required=True)
     f.add_argument("--search")
-    f.add_argument("--limit", type=int, default=100)
+    f.add_argument("--limit", type=int, default=None, help="stations found (default: all)")
     f.add_argument("--out", required=True)
 
     args = ap.parse_args(argv)
@@ -97,9 +99,9 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(json.dumps(counts, default=str))
     elif args.job == "stream":
-        batches = curate_incremental(spark, args.raw, args.out, args.checkpoint,
-                                     max_files=args.max_files, layout=args.layout)
-        print(json.dumps({"batches": batches}))
+        dates = curate_incremental(spark, args.raw, args.out, args.checkpoint,
+                                   max_files=args.max_files, layout=args.layout)
+        print(json.dumps({"dates": dates}))
     elif args.job == "views":
         opts = (MetricOptions.athena(as_of=args.as_of) if args.profile == "athena"
                 else MetricOptions.warehouse())
@@ -111,7 +113,10 @@ def main(argv: list[str] | None = None) -> None:
                       [("sensor_id", T.LongType()), ("page", T.LongType())])
         details = read_landed_pages(spark, args.details, LOCATION_PAGE,
                                     [("location_id", T.LongType())])
-        rows = J.backfill_rows(meas, details, cap=args.days * READINGS_PER_DAY)
+        stations = None
+        if args.stations is not None:
+            stations = spark.createDataFrame([(s,) for s in args.stations], "location_id long")
+        rows = J.backfill_rows(meas, details, days=args.days, as_of=args.as_of, stations=stations)
         counts = J.backfill_job(rows, args.out)
         print(json.dumps({"station_days": counts.count()}))
     elif args.job == "ingest":
@@ -120,9 +125,10 @@ def main(argv: list[str] | None = None) -> None:
         details = read_landed_pages(spark, args.details, LOCATION_PAGE,
                                     [("location_id", T.LongType())])
         cache = read_dimension(spark, args.dimension)
-        dim = J.enrich_job(pages, details, cache, args.raw, f"run_{now:%H%M%S}",
-                           f"{now:%Y-%m-%d}", limit=args.limit)
-        print(write_dimension(dim, args.dimension, previous=cache) or "dimension unchanged")
+        run_id = args.run_id or f"run_{now:%H%M%S}"
+        dim = J.enrich_job(pages, details, cache, args.raw, run_id, f"{now:%Y-%m-%d}",
+                           args.dimension, limit=args.limit)
+        print(json.dumps({"run_id": run_id, "dimension_changed": dim is not cache}))
     elif args.job == "find":
         cat = spark.read.schema(LOCATION_RESULT).json(args.catalogue)
         found = S.find_locations(cat, args.country, args.search, args.limit)

@@ -182,51 +182,47 @@ def cleaning_summary(
     and date parsing, ``flagged_before_dedup`` before them. ``bad_date`` is
     the count the source log leaves out.
 
-    The input rows and the deduplicated rows are tagged and unioned, then
-    counted by one global aggregation (each task pre-aggregates; one row
-    per task reaches the final step).
+    One pass: valid rows are grouped by their dedup key, the others by their
+    outcome alone (each task pre-aggregates both); the groups then hold all
+    that the counts need.
     """
     scope = _scope_cols(flat, rules, partition_cols)
     below = is_below_floor("value", rules)
     sentinel = F.coalesce(is_sentinel("value", rules), F.lit(False))
     flagged = F.coalesce(F.col("value") > F.lit(float(rules.max_plausible)), F.lit(False))
-    no = F.lit(False)
-    before = flat.select(
-        F.lit(0).alias("_stage"),
-        below.alias("_below"),
-        sentinel.alias("_sentinel"),
-        (~below & ~sentinel).alias("_valid"),
-        flagged.alias("_flagged"),
-        no.alias("_parsed"),
-    )
-    first = dedup_first(
-        flag_outliers(drop_invalid(flat, rules), rules),
-        [*scope, *_dedup_keys(rules)],
-        _order(flat, scope, order_cols),
-    )
-    after = first.select(
-        F.lit(1).alias("_stage"),
-        no.alias("_below"),
-        no.alias("_sentinel"),
-        F.lit(True).alias("_valid"),
+    outcome = F.when(below, "below_floor").when(sentinel, "sentinel").otherwise("valid")
+    keys = [F.col(k) if isinstance(k, str) else k for k in [*scope, *_dedup_keys(rules)]]
+    order = [F.col(o) if isinstance(o, str) else o for o in _order(flat, scope, order_cols)]
+    valid = F.col("_outcome") == "valid"
+    rows = flat.select(
+        outcome.alias("_outcome"),
+        *(F.when(~below & ~sentinel, k).alias(f"_k{i}") for i, k in enumerate(keys)),
         flagged.alias("_flagged"),
         parse_utc("date_utc").isNotNull().alias("_parsed"),
+        F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order))).alias("_order"),
     )
-    tagged = before.unionByName(after)
-    s0, s1 = F.col("_stage") == 0, F.col("_stage") == 1
-    b, snt, v, fl, ok = (F.col(c) for c in ("_below", "_sentinel", "_valid", "_flagged",
-                                             "_parsed"))
+    groups = rows.groupBy("_outcome", *(f"_k{i}" for i in range(len(keys)))).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("_flagged").alias("nf"),
+        # of the row that keep-first keeps; for the others it is not used
+        F.min_by(F.struct("_flagged", "_parsed"), "_order").alias("first"),
+    )
+    ok = valid & F.col("first._parsed")
+
+    def rows_of(condition: Column, n: str = "n") -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0))
+
     measures = {
-        "rows_in": F.count_if(s0),
-        "below_floor": F.count_if(s0 & b),
-        "sentinel": F.count_if(s0 & ~b & snt),
-        "invalid": F.count_if(s0 & ~v),
-        "flagged_before_dedup": F.count_if(s0 & v & fl),
-        "duplicates": F.count_if(s0 & v) - F.count_if(s1),
-        "bad_date": F.count_if(s1 & ~ok),
-        "rows_remaining": F.count_if(s1 & ok),
-        "flagged_kept": F.count_if(s1 & ok & fl),
+        "rows_in": rows_of(F.lit(True)),
+        "below_floor": rows_of(F.col("_outcome") == "below_floor"),
+        "sentinel": rows_of(F.col("_outcome") == "sentinel"),
+        "invalid": rows_of(~valid),
+        "flagged_before_dedup": rows_of(valid, "nf"),
+        "duplicates": rows_of(valid) - F.count_if(valid),
+        "bad_date": F.count_if(valid & ~F.col("first._parsed")),
+        "rows_remaining": F.count_if(ok),
+        "flagged_kept": F.count_if(ok & F.col("first._flagged")),
     }
-    counts = tagged.agg(*(c.cast("bigint").alias(n) for n, c in measures.items()))
+    counts = groups.agg(*(c.cast("bigint").alias(n) for n, c in measures.items()))
     pairs = ", ".join(f"'{n}', {n}" for n in measures)
     return counts.selectExpr(f"stack({len(measures)}, {pairs}) AS (measure, n)")

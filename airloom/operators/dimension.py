@@ -112,6 +112,16 @@ def assert_unique(dim: DataFrame) -> DataFrame:
     return dim
 
 
+def new_stations(
+    cache: DataFrame, resolved: DataFrame, failed: DataFrame | None = None
+) -> DataFrame:
+    """Resolved rows to add to the cache: neither cached nor failed (one anti join)."""
+    known = cache.select("location_id")
+    if failed is not None:
+        known = known.unionByName(failed.select("location_id"))
+    return resolved.join(known, "location_id", "left_anti").select(*DIM_COLUMNS)
+
+
 def upsert(cache: DataFrame, resolved: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """Merge newly resolved rows into the cache, keeping existing entries.
 
@@ -119,10 +129,7 @@ def upsert(cache: DataFrame, resolved: DataFrame, failed: DataFrame | None = Non
     run retries them; a lookup that found nothing is stored (its fields are
     null).
     """
-    new = resolved.join(cache.select("location_id"), "location_id", "left_anti")
-    if failed is not None:
-        new = new.join(failed.select("location_id"), "location_id", "left_anti")
-    return cache.select(*DIM_COLUMNS).unionByName(new.select(*DIM_COLUMNS))
+    return cache.select(*DIM_COLUMNS).unionByName(new_stations(cache, resolved, failed))
 
 
 def load_cache(entries: DataFrame, map_col: str = "cache") -> DataFrame:

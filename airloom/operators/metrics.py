@@ -162,6 +162,7 @@ def publish_views(
     names = []
     for name, view in VIEWS.items():
         if name == "vw_flagged_outliers" and not opts.exclude_outliers:
+            spark.catalog.dropTempView(name)  # of an earlier publication
             continue
         if name == "vw_wow_pm25_trend":
             # Only the warehouse trend view is ordered (city, week_start).
@@ -170,5 +171,5 @@ def publish_views(
             df = view(curated, opts)
         df.createOrReplaceTempView(name)
         names.append(name)
-    curated.createOrReplaceTempView("air_quality_curated")
+    curated.createOrReplaceTempView("curated_readings")
     return names

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.schema import CURATED_COLUMNS
+from airloom.storage import delete, folders
+
+
+def drop_dates(spark: SparkSession, root: str, keep: Iterable[str]) -> list[str]:
+    """Delete the ``date`` partitions that are not in ``keep``; returns their dates."""
+    kept = set(keep)
+    dates = [f.removeprefix("date=") for f in folders(spark, root) if f.startswith("date=")]
+    gone = [d for d in dates if d not in kept]
+    for d in gone:
+        delete(spark, f"{root.rstrip('/')}/date={d}")
+    return gone
 
 
 def write_curated(df: DataFrame, root: str, compression: str = "snappy") -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.schema import LOCATION_META
+from airloom.session import scratch_path
+from airloom.storage import exists
 
 _DATETIME_KEYS = ("datetime", "date")
 
@@ -59,11 +61,14 @@ def write_raw(
     Every line carries ``run_id`` and ``pos`` so that the scan keeps the
     input order (file, position) that keep-first dedup depends on. The
     default ``append`` never replaces earlier landings; ``overwrite`` with
-    dynamic partition overwrite replaces only the partitions present (a
-    backfill, under its own root, replaces the days it fetched again).
+    dynamic partition overwrite replaces only the partitions present. Rows
+    are rebalanced by date, so a day gets a few files rather than one from
+    every task.
     """
     (
-        df.select(
+        df.hint("rebalance", date_col)
+        .sortWithinPartitions(date_col, run_col, pos_col)
+        .select(
             F.col(date_col).cast("string").alias("date"),
             F.col(run_col).cast("string").alias("run_id"),
             F.col(pos_col).cast("bigint").alias("pos"),
@@ -76,3 +81,36 @@ def write_raw(
         .option("compression", "none")
         .json(root)
     )
+
+
+def order_key(page: Column, pos: Column) -> Column:
+    """One BIGINT that orders as (page, position in the page) does, whatever the page size."""
+    return F.shiftleft(page.cast("bigint"), 32) + pos.cast("bigint")
+
+
+def replace_runs(landed: DataFrame, root: str) -> DataFrame:
+    """Land (date, run_id, pos, record), replacing every (date, run_id) that is present.
+
+    Other runs of the same dates stay. The rows that stay are written to
+    the shared scratch first and the touched dates are then overwritten, so
+    nothing is read from a path while it is replaced. Landing the same rows
+    twice leaves one copy. Returns (date, run_id, rows) of what was landed.
+    Records that stay keep the fields of ``landed``'s record.
+    """
+    spark: SparkSession = landed.sparkSession
+    fresh = landed.select("date", "run_id", "pos", "record")
+    scratch = scratch_path(spark, "landing")
+    fresh.write.partitionBy("date").parquet(f"{scratch}/new")
+    new = spark.read.schema(fresh.schema).parquet(f"{scratch}/new")
+    counts = new.groupBy("date", "run_id").agg(F.count(F.lit(1)).alias("rows"))
+    dates = [r["date"] for r in counts.select("date").distinct().collect()]  # days, not rows
+    if not dates:
+        return counts
+    out = new
+    if exists(spark, root):
+        old = spark.read.schema(fresh.schema).json(root).where(F.col("date").isin(dates))
+        stay = old.join(counts.select("date", "run_id"), ["date", "run_id"], "left_anti")
+        stay.write.partitionBy("date").parquet(f"{scratch}/stay")
+        out = new.unionByName(spark.read.schema(fresh.schema).parquet(f"{scratch}/stay"))
+    write_raw(out, root, mode="overwrite")
+    return counts

@@ -1,90 +1,75 @@
 """Incremental curation with Structured Streaming.
 
-New raw files are picked up by a file stream (``trigger(availableNow)``:
-process what has landed, then stop; the checkpoint remembers which files
-were seen). A micro-batch holds only the *new* files, so overwriting a date
-with them alone would lose that date's earlier rows: each batch instead
-re-curates every date it touches from the full raw partition, which keeps
-per-date keep-first dedup exact and reruns idempotent.
+New raw files are picked up by a file stream per landing root
+(``trigger(availableNow)``: process what has landed, then stop; the
+checkpoint remembers which files were seen). A micro-batch holds only the
+*new* files, so overwriting a date with them alone would lose that date's
+earlier rows. The stream therefore only notes which dates were touched, and
+the run then re-curates those dates once, from the full raw partitions of
+all roots: per-date keep-first dedup stays exact and reruns are idempotent.
+Noted dates are kept in the checkpoint folder until their curation is done,
+so a run that fails in between loses none.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from airloom.operators import clean as C
 from airloom.options import FlattenOptions, QualityRules
-from airloom.sinks.curated import write_curated
-from airloom.schema import RAW_READING
-from airloom.sources.raw import JSON_OPTIONS, RAW_LINE, read_raw_dates
+from airloom.plans.jobs import curate
+from airloom.storage import exists
 
-RAW_LINE_PARTITIONED = T.StructType(RAW_LINE.fields + [T.StructField("date", T.StringType())])
+NOTE = "token string, date string"
 
 
-def raw_stream(
+def touched_stream(
     spark: SparkSession,
     raw_root: str,
     max_files: int | None = None,
     max_file_age: str | None = None,
-    layout: str = "lines",
 ) -> DataFrame:
-    """File stream over the landing area (declared schema) with a ``date``
-    column.
-
-    ``layout="lines"`` reads our JSON-lines landings (partition discovery);
-    ``"array"`` reads one JSON array per file, globbing the ``date=``
-    directories and taking the date from the file path (see
-    ``sources.raw.read_raw``). ``max_files`` bounds a micro-batch;
-    ``max_file_age`` (e.g. ``"30d"``) bounds the stream's log of seen files on
-    a landing area that keeps growing.
+    """File stream over a landing root: the ``date`` of every new file's rows.
+
+    Only the file paths matter here, so one reader serves both layouts and
+    no content can break it. ``max_files`` bounds a micro-batch;
+    ``max_file_age`` (e.g. ``"30d"``) bounds the stream's log of seen files
+    on a landing area that keeps growing.
     """
-    reader = spark.readStream.options(**JSON_OPTIONS).option("pathGlobFilter", "*.json")
+    reader = spark.readStream.option("pathGlobFilter", "*.json")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_file_age:
         reader = reader.option("maxFileAge", max_file_age)
-    if layout == "lines":
-        return reader.schema(RAW_LINE_PARTITIONED).json(raw_root)
-    df = (
-        reader.schema(RAW_READING)
-        .option("multiLine", True)
-        .option("mode", "DROPMALFORMED")
-        .json(f"{raw_root.rstrip('/')}/date=*")
-    )
-    return df.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date")
-    )
+    files = reader.text(f"{raw_root.rstrip('/')}/date=*")
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1)
+    return files.select(day.alias("date"))
 
 
-def recurate_touched(
-    spark: SparkSession,
-    batch: DataFrame,
-    raw_root: str,
-    out_root: str,
-    rules: QualityRules,
-    flatten: FlattenOptions,
-    layout: str = "lines",
-) -> list[str]:
-    """Re-curate, from the whole raw partition, every date present in ``batch``.
+def _note(batch: DataFrame, folder: str, token: str) -> None:
+    """Note the dates of a batch; a batch that is run again notes the same."""
+    dates = batch.select(F.lit(token).alias("token"), "date").distinct()
+    dates.write.mode("overwrite").parquet(f"{folder}/touched/batch={token}")
 
-    The distinct dates of a batch are partition values (at most one per
-    calendar day landed), so they are brought to the driver and used for
-    static partition pruning of the full raw scan.
-    """
-    dates = sorted(r["date"] for r in batch.select("date").distinct().collect() if r["date"])
-    if not dates:
-        return []
-    raw = read_raw_dates(spark, raw_root, dates, layout=layout)
-    cleaned = C.clean_readings(C.flatten_readings(raw, "record", flatten), rules)
-    write_curated(cleaned, out_root)
-    return dates
+
+def _noted(spark: SparkSession, folder: str) -> DataFrame:
+    """Noted dates whose curation is not done."""
+    if not exists(spark, f"{folder}/touched"):
+        return spark.createDataFrame([], NOTE)
+    notes = spark.read.schema(NOTE).parquet(f"{folder}/touched").select("token", "date")
+    if not exists(spark, f"{folder}/done"):
+        return notes
+    done = spark.read.schema(NOTE).parquet(f"{folder}/done").select("token")
+    return notes.join(done.distinct(), "token", "left_anti")
 
 
 def curate_incremental(
     spark: SparkSession,
-    raw_root: str,
+    raw_root: str | Sequence[str],
     out_root: str,
     checkpoint: str,
     rules: QualityRules = QualityRules(),
@@ -92,30 +77,46 @@ def curate_incremental(
     max_files: int | None = None,
     max_file_age: str | None = None,
     layout: str = "lines",
-) -> list[list[str]]:
+) -> list[str]:
     """Process every raw file landed since the last run, then stop.
 
-    Returns the dates re-curated by each micro-batch. A second run over
-    unchanged input processes nothing.
-    """
-    touched: list[list[str]] = []
+    ``raw_root`` is what ``curate`` takes: one landing root or all of them
+    (run landings, backfill landings). A root without any date folder is
+    looked at again by the next run. Returns the dates that were re-curated;
+    a run over unchanged input returns none. With global dedup scope a new
+    landing re-curates all dates together.
 
-    def each(batch: DataFrame, _batch_id: int) -> None:
-        touched.append(
-            recurate_touched(spark, batch, raw_root, out_root, rules, flatten, layout)
+    The dates of a run are partition values (at most one per calendar day),
+    so they are brought to the driver for static partition pruning.
+    """
+    roots = [raw_root] if isinstance(raw_root, str) else list(raw_root)
+    for root in roots:
+        if not exists(spark, root):
+            continue
+        name = hashlib.sha256(root.rstrip("/").encode()).hexdigest()[:12]
+
+        def each(batch: DataFrame, batch_id: int, name: str = name) -> None:
+            _note(batch, checkpoint, f"{name}-{batch_id}")
+
+        query = (
+            touched_stream(spark, root, max_files, max_file_age)
+            .writeStream.foreachBatch(each)
+            .option("checkpointLocation", f"{checkpoint}/stream-{name}")
+            .trigger(availableNow=True)
+            .start()
         )
-
-    query = (
-        raw_stream(spark, raw_root, max_files, max_file_age, layout)
-        .writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return touched
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    notes = _noted(spark, checkpoint).collect()
+    dates = sorted({r["date"] for r in notes if r["date"]})
+    if not dates:
+        return []
+    whole = rules.dedup_scope == "global"
+    curate(spark, roots, out_root, None if whole else dates, layout, rules, flatten)
+    done = spark.createDataFrame([(r["token"], r["date"]) for r in notes], NOTE)
+    done.coalesce(1).write.mode("append").parquet(f"{checkpoint}/done")
+    return dates
 
 
 def clean_append_stream(
