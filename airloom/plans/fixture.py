@@ -230,6 +230,58 @@ def is_cached(location_id):
     return location_id % 3 != 0
 
 
+ARRAY_FILE_IDS = 100_000  # event ids of one landed array file: its size does not grow
+
+
+def land_arrays(spark: SparkSession, sf_dir: str, root: str, odd: bool = False) -> list[str]:
+    """Land the derived readings as JSON arrays, one per file, as an ingestion does.
+
+    One root per ``src`` (their paths order the copies), one file per day and
+    range of ``ARRAY_FILE_IDS`` event ids. With ``odd`` the value of event
+    ids divisible by 29 is a quoted number, the station id of those
+    divisible by 31 is written as ``4.0``, and every day gets a third
+    landing whose file is the first one's text cut off in the middle.
+    """
+    raw = derived_raw(spark, sf_dir)
+    eid, value, loc = F.col("pos"), F.col("value").cast("string"), F.col("location_id").cast("string")
+    if odd:
+        value = F.when(eid % 29 == 0, F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
+        loc = F.when(eid % 31 == 0, F.concat(loc, F.lit(".0"))).otherwise(loc)
+    rest = F.to_json(
+        F.struct(
+            F.struct(F.col("date_str").alias("utc")).alias("datetime"),
+            F.struct(
+                F.col("location_name").alias("name"), F.col("city"), F.col("country")
+            ).alias("location_meta"),
+        )
+    )
+    null = F.lit("null")
+    text = F.concat(
+        F.lit('{"locationsId":'), F.coalesce(loc, null), F.lit(',"value":'), F.coalesce(value, null),
+        F.lit(","), F.substring(rest, 2, 1 << 20),
+    )
+    item = F.struct(eid.alias("k"), text.alias("t"))
+    files = raw.groupBy(
+        "src", F.date_format("ts", "yyyy-MM-dd").alias("date"), F.expr(f"pos div {ARRAY_FILE_IDS}")
+    ).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    arrays = files.select(
+        "src", "date",
+        F.concat(F.lit("["), F.array_join(F.col("items.t"), ",\n "), F.lit("]")).alias("value"),
+    )
+    roots = [f"{root}/run_0", f"{root}/run_1"]
+    frames = [arrays.where(F.col("src") == n) for n in (0, 1)]
+    if odd:
+        first = frames[0].groupBy("date").agg(F.min("value").alias("value"))
+        frames.append(first.withColumn("value", F.expr("substring(value, 1, length(value) div 2)")))
+        roots.append(f"{root}/run_2")
+    for path, frame in zip(roots, frames):
+        (
+            frame.select("date", "value").write.partitionBy("date")
+            .option("maxRecordsPerFile", 1).text(path)
+        )
+    return roots
+
+
 def latest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, text): latest-readings pages of ``PAGE_SIZE`` events by event_id.
 
@@ -290,4 +342,5 @@ def measurement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 MEASURE_FROM, MEASURE_TO = "2024-01-08", "2024-01-22"
 SEARCH_COUNTRY, SEARCH_TEXT, SEARCH_LIMIT = "AM", "nation_1", 100
 LATEST_LIMIT = 2500
+BACKFILL_AS_OF, BACKFILL_LAST_DAYS = "2024-01-22", 10
 CAP_PER_LOCATION = 24

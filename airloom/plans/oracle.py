@@ -277,12 +277,8 @@ MEAS = f"""m AS (
   FROM events e
 )"""
 
-# History capped per station at the fetch limit (60 days x 24), in fetch order.
-CAPPED = """capped AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT s.location_id, m.*,
-      row_number() OVER (PARTITION BY s.location_id ORDER BY m.event_id) AS rn
-    FROM m JOIN sens s ON m.sensor_id = s.sensor_id) WHERE rn <= 1440
+HISTORY = """history AS (
+  SELECT s.location_id, m.* FROM m JOIN sens s ON m.sensor_id = s.sensor_id
 )"""
 
 IDS = """ids AS (SELECT DISTINCT location_id FROM raw WHERE location_id IS NOT NULL)"""
@@ -320,7 +316,7 @@ FROM raw r LEFT JOIN dim d ON r.location_id = d.location_id""",
         + """SELECT * FROM cache
 UNION ALL
 SELECT * FROM dim WHERE location_id IN (SELECT location_id FROM todo) AND location_id % 17 <> 0""",
-        "dim_cache_load": with_(STATIONS, DIM, CACHE) + "SELECT * FROM cache",
+        "dim_cache_load": with_(STATIONS, DIM) + "SELECT * FROM dim",
         "coverage_rate": with_(RAW, STATIONS, DIM)
         + """, per AS (
   SELECT r.location_id, max(d.city IS NOT NULL) AS resolved
@@ -342,12 +338,12 @@ WHERE CAST(TRY_CAST(m.date_utc AS TIMESTAMP) AS DATE) >= DATE '2024-01-08'
     row_number() OVER (PARTITION BY s.location_id ORDER BY m.event_id) AS rn
   FROM m JOIN sens s ON m.sensor_id = s.sensor_id)
 WHERE rn <= 24""",
-        "backfill_by_date": with_(STATIONS, DIM, SENS, MEAS, CAPPED)
+        "backfill_by_date": with_(STATIONS, DIM, SENS, MEAS, HISTORY)
         + """SELECT substr(m.date_utc, 1, 10) AS date,
   'backfill_location_' || CAST(m.location_id AS VARCHAR) AS run_id,
   m.location_id, m.sensor_id, m.value, m.date_utc,
   d.name AS location_name, d.city, d.country
-FROM capped m
+FROM history m
 LEFT JOIN dim d ON d.location_id = m.location_id
 WHERE length(m.date_utc) > 0""",
         "union_sources": with_(RAW, STATIONS, SENS, MEAS)
@@ -396,7 +392,6 @@ LATEST = f"""latest AS (
 ), fetched AS (
   SELECT * FROM latest
   WHERE page <= coalesce((SELECT min(page) FROM pagesizes WHERE n < 1000), 9223372036854775807)
-  ORDER BY page, event_id LIMIT 2500
 )"""
 
 SQL.update(
@@ -412,10 +407,10 @@ newdim AS (
     AND location_id % 17 <> 0
 )
 SELECT '2024-01-30' AS date,
-  f.page * 1000 + (row_number() OVER (PARTITION BY f.page ORDER BY f.event_id) - 1) AS pos,
+  (f.page << 32) + (row_number() OVER (PARTITION BY f.page ORDER BY f.event_id) - 1) AS pos,
   f.location_id, f.value, f.date_utc, d.name AS location_name, d.city, d.country
 FROM fetched f LEFT JOIN newdim d ON f.location_id = d.location_id""",
-        "curate_with_backfill": with_(RAW, STATIONS, DIM, SENS, MEAS, CAPPED)
+        "curate_with_backfill": with_(RAW, STATIONS, DIM, SENS, MEAS, HISTORY)
         + """, landed AS (
   SELECT 'run_' || CAST(src AS VARCHAR) AS f, pos AS p, location_id, location_name, city,
     country, value, date_str, strftime(ts, '%Y-%m-%d') AS date
@@ -423,7 +418,7 @@ FROM fetched f LEFT JOIN newdim d ON f.location_id = d.location_id""",
   UNION ALL
   SELECT 'backfill_location_' || CAST(m.location_id AS VARCHAR), m.event_id, m.location_id,
     d.name, d.city, d.country, m.value, m.date_utc, substr(m.date_utc, 1, 10)
-  FROM capped m
+  FROM history m
   LEFT JOIN dim d ON d.location_id = m.location_id
   WHERE length(m.date_utc) > 0
 ), ok AS (
@@ -484,3 +479,97 @@ SQL.update({
     "curate_stale_copies": stale_curated("partition"),
     "curate_global_scope": stale_curated("global"),
 })
+
+
+# -- array landings: 4.0 is 4, a quoted value is none, a cut-off file is one bad row -----
+
+ARRAY_ROWS = """arr AS (
+  SELECT src, strftime(ts, '%Y-%m-%d') AS date,
+    row_number() OVER (PARTITION BY src, strftime(ts, '%Y-%m-%d'), pos // 100000 ORDER BY pos) - 1
+      AS place, * EXCLUDE (src)
+  FROM raw
+)"""
+ARRAY_SELECT = """SELECT src, date, place AS pos, location_id, location_name, city, country,
+  parameter, {value} AS value, unit, date_str AS date_utc, false AS corrupt FROM arr"""
+QUOTED = "CASE WHEN pos % 29 = 0 THEN NULL ELSE value END"
+ODD_RAW = RAW.replace("raw AS (", "raw0 AS (", 1) + f""", raw AS (
+  SELECT * REPLACE ({QUOTED} AS value) FROM raw0
+)"""
+
+# The second backfill fetches five readings of its stations, and replaces their days.
+RERUN = """runs AS (
+  SELECT * FROM history WHERE length(date_utc) > 0
+), again AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY event_id) AS rn
+                 FROM history WHERE location_id % 3 <> 1)
+  WHERE rn <= 5 AND length(date_utc) > 0
+), landed AS (
+  SELECT location_id, value, date_utc FROM runs r
+  WHERE location_id % 3 <> 0 AND NOT EXISTS (
+    SELECT 1 FROM again a WHERE a.location_id = r.location_id
+      AND substr(a.date_utc, 1, 10) = substr(r.date_utc, 1, 10))
+  UNION ALL
+  SELECT location_id, value, date_utc FROM again
+)"""
+
+TREND_ATHENA = wow_trend("athena").replace("SELECT city, country, CAST(week_start", ", trend AS (SELECT city, country, CAST(week_start", 1)
+
+SQL.update(
+    {
+        "raw_scan_array": with_(RAW, ARRAY_ROWS) + ARRAY_SELECT.format(value="value"),
+        "raw_scan_malformed": with_(RAW, ARRAY_ROWS)
+        + ARRAY_SELECT.format(value=QUOTED)
+        + """
+UNION ALL
+SELECT DISTINCT 2, date, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), NULL, NULL, NULL, 'pm25',
+  CAST(NULL AS DOUBLE), 'ug/m3', NULL, true FROM arr WHERE src = 0""",
+        "curate_array": with_(ODD_RAW, VALID, FIRSTS_BY_DAY, CUR)
+        + f"SELECT {CURATED_COLS}, date FROM cur",
+        "curate_counts": with_(ODD_RAW, VALID, FIRSTS_BY_DAY, CUR)
+        + """, days AS (SELECT count(DISTINCT strftime(ts, '%Y-%m-%d')) AS d FROM raw WHERE src = 0)
+SELECT 'rows_read' AS measure, (SELECT count(*) FROM raw) + d AS n FROM days
+UNION ALL SELECT 'malformed_records', 0
+UNION ALL SELECT 'malformed_files', d FROM days
+UNION ALL SELECT 'rows_curated', count(*) FROM cur
+UNION ALL SELECT 'flagged', count(*) FROM cur WHERE is_extreme_outlier""",
+        "incremental_with_backfill": SQL["curate_with_backfill"],
+        "incremental_global_scope": stale_curated("global"),
+        "append_stream": with_(RAW, VALID, FIRSTS, CUR)
+        + "SELECT location_id, parameter, date_utc FROM cur",
+        "csv_export": CURATED_TABLE + " WHERE date IN ('2024-01-15', '2024-01-08')",
+        "legacy_curated": CURATED_TABLE,
+        "flatten_unit": with_(RAW)
+        + """SELECT src, pos, 'µg/m³' AS canonical_unit,
+  CASE WHEN pos % 3 = 0 THEN 'ppm' END AS deployed_unit FROM raw""",
+        "backfill_range": with_(STATIONS, DIM, SENS, MEAS, HISTORY)
+        + """SELECT substr(date_utc, 1, 10) AS date,
+  'backfill_location_' || CAST(location_id AS VARCHAR) AS run_id, location_id, sensor_id, value,
+  date_utc
+FROM history
+WHERE location_id % 2 = 0
+  AND TRY_CAST(date_utc AS TIMESTAMP) >= TIMESTAMP '2024-01-12 00:00:00'
+  AND TRY_CAST(date_utc AS TIMESTAMP) < TIMESTAMP '2024-01-23 00:00:00'""",
+        "backfill_rerun": with_(STATIONS, SENS, MEAS, HISTORY, RERUN)
+        + """SELECT substr(date_utc, 1, 10) AS date,
+  'backfill_location_' || CAST(location_id AS VARCHAR) AS run_id, location_id, value, date_utc
+FROM landed""",
+        "location_search_all": SQL["location_search"].replace(" ORDER BY id LIMIT 100", ""),
+        "page_explode_all": SQL["page_explode_limit"].replace("ORDER BY page, pos LIMIT 2500", ""),
+        "metric_views_athena": TREND_ATHENA
+        + f"""), daily AS (
+  SELECT city, country, CAST(date_utc AS DATE) AS reading_date, {EXACT_AVG} AS avg_pm25
+  FROM cur WHERE {_metric_where("athena")} GROUP BY city, country, CAST(date_utc AS DATE)
+)
+SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_pm25,
+  false AS outlier_view
+FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT FROM d.country
+  AND date_trunc('week', d.reading_date) = t.week_start""",
+        "wow_trend_ordered": with_(RAW, VALID, FIRSTS, CUR, weekly("warehouse"))
+        + """
+SELECT CAST(row_number() OVER (ORDER BY city, week_start) AS INTEGER) AS place, city,
+  CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25 FROM weekly""",
+        "flagged_outliers_ordered": CLEAN
+        + """SELECT CAST(row_number() OVER (ORDER BY date_utc DESC) AS INTEGER) AS place, date_utc
+FROM cur WHERE parameter = 'pm25' AND is_extreme_outlier""",
+    }
+)

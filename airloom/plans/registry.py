@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airloom.operators import clean as C
 from airloom.operators import dimension as D
@@ -20,18 +21,20 @@ from airloom.options import PARAMETER_ID, FlattenOptions, MetricOptions, Quality
 from airloom.plans import fixture as FX
 from airloom.plans import jobs as J
 from airloom.schema import (
+    CURATED_PARTITIONED,
     LOCATION_CACHE,
     LOCATION_PAGE,
     MEASUREMENT_PAGE,
     RAW_READING,
     READINGS_PAGE,
 )
+from airloom.sinks.csv import export_csv
 from airloom.sinks.raw import reading_record, write_raw
-from airloom.sources.curated import read_curated, register_table
+from airloom.sources.curated import read_curated, read_legacy_curated, register_table
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
 from airloom.sources.raw import read_raw, read_raw_dates
 from airloom.session import configure, scratch_path
-from airloom.streaming.incremental import curate_incremental
+from airloom.streaming.incremental import clean_append_stream, curate_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,8 +244,7 @@ def q_curate_roundtrip(spark, sf_dir):
 
 def q_curated_scan(spark, sf_dir):
     root = _curated_root(spark, sf_dir)
-    name = "air_quality_curated_" + root.rsplit("-", 1)[-1]
-    return register_table(spark, name, root).select(*C.CURATED_COLUMNS, "date")
+    return register_table(spark, "curated_readings_scan", root).select(*C.CURATED_COLUMNS, "date")
 
 
 def q_incremental_curation(spark, sf_dir):
@@ -259,6 +261,115 @@ def q_incremental_curation(spark, sf_dir):
     return read_curated(spark, out)
 
 
+# -- array landings --------------------------------------------------------------
+
+ARRAY_OUT = ["src", "date", "pos", *RAW_OUT[3:], "corrupt"]
+
+
+def _array_scan(spark, sf_dir, odd: bool) -> DataFrame:
+    configure(spark)
+    roots = FX.land_arrays(spark, sf_dir, scratch_path(spark, "arrays"), odd)
+    scan = read_raw(spark, roots, layout="array", with_corrupt=True, pattern="*.txt")
+    flat = C.flatten_readings(scan, "record", FIXTURE_FLATTEN)
+    src = F.regexp_extract("_file", r"/run_(\d)/", 1).cast("int")
+    return flat.select(src.alias("src"), "date", F.col("_pos").alias("pos"), *RAW_OUT[3:],
+                       F.col("_corrupt").alias("corrupt"))
+
+
+def q_raw_scan_array(spark, sf_dir):
+    return _array_scan(spark, sf_dir, odd=False)
+
+
+def q_raw_scan_malformed(spark, sf_dir):
+    """Quoted values, ids written as floats and a file cut off in every day."""
+    return _array_scan(spark, sf_dir, odd=True)
+
+
+def _curate_odd_arrays(spark, sf_dir) -> tuple[dict, str]:
+    configure(spark)
+    roots = FX.land_arrays(spark, sf_dir, scratch_path(spark, "arrays"), odd=True)
+    out = scratch_path(spark, "curated")
+    counts = J.curate(spark, roots, out, layout="array", flatten=FIXTURE_FLATTEN, pattern="*.txt")
+    return counts, out
+
+
+def q_curate_array(spark, sf_dir):
+    return read_curated(spark, _curate_odd_arrays(spark, sf_dir)[1])
+
+
+def q_curate_counts(spark, sf_dir):
+    """The counts of a run as (measure, n)."""
+    counts, _ = _curate_odd_arrays(spark, sf_dir)
+    names = ("rows_read", "malformed_records", "malformed_files", "rows_curated", "flagged")
+    return spark.createDataFrame([(n, counts[n]) for n in names], "measure string, n long")
+
+
+# -- incremental curation over several roots and scopes ---------------------------
+
+
+def q_incremental_with_backfill(spark, sf_dir):
+    """Run and backfill landings are curated, more lands, the stream catches up."""
+    configure(spark)
+    runs, backfill, out, ckpt = (scratch_path(spark, n) for n in ("raw", "backfill", "curated", "ckpt"))
+    land_fixture(spark, sf_dir, runs, srcs=(0,))
+    J.backfill_job(
+        J.backfill_rows(FX.measurement_pages(spark, sf_dir), FX.location_detail_pages(spark, sf_dir)),
+        backfill,
+    )
+    J.curate(spark, [runs, backfill], out, flatten=FIXTURE_FLATTEN)
+    land_fixture(spark, sf_dir, runs, srcs=(1,))
+    curate_incremental(spark, [runs, backfill], out, ckpt, flatten=FIXTURE_FLATTEN)
+    return read_curated(spark, out)
+
+
+def q_incremental_global_scope(spark, sf_dir):
+    """Stale copies land before the readings that they repeat, which empties dates."""
+    configure(spark)
+    raw, out, ckpt = (scratch_path(spark, n) for n in ("raw", "curated", "ckpt"))
+    rules = QualityRules(dedup_scope="global")
+    for src in (1, 0):
+        land_fixture(spark, sf_dir, raw, srcs=(src,), stale_copies=True)
+        curate_incremental(spark, raw, out, ckpt, rules=rules, flatten=FIXTURE_FLATTEN)
+    return read_curated(spark, out)
+
+
+def q_append_stream(spark, sf_dir):
+    """The keys that the append-mode variant keeps of landed lines."""
+    configure(spark)
+    raw, out, ckpt = (scratch_path(spark, n) for n in ("raw", "appended", "ckpt"))
+    land_fixture(spark, sf_dir, raw)
+    lines = spark.readStream.schema(T.StructType([T.StructField("record", RAW_READING)])).json(raw)
+    flat = C.flatten_readings(lines.select("record"), "record", FIXTURE_FLATTEN)
+    query = (
+        clean_append_stream(flat).writeStream.outputMode("append").format("parquet")
+        .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(out).select("location_id", "parameter", "date_utc")
+
+
+# -- other readers and writers of the curated table --------------------------------
+
+
+def q_csv_export(spark, sf_dir):
+    """K5: exported days read back."""
+    days = [SCAN_DAY, FX.MEASURE_FROM]
+    out = scratch_path(spark, "csv")
+    export_csv(spark, _curated_root(spark, sf_dir), days, out)
+    return spark.read.schema(CURATED_PARTITIONED).option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(out)
+
+
+def q_legacy_curated(spark, sf_dir):
+    """Files with DOUBLE ids and nanosecond times."""
+    configure(spark)
+    out = scratch_path(spark, "legacy")
+    nanos = F.unix_micros(F.col("date_utc").cast("timestamp")) * 1000
+    cur = read_curated(spark, _curated_root(spark, sf_dir))
+    cur.withColumns({"location_id": F.col("location_id").cast("double"), "date_utc": nanos}).write.partitionBy("date").parquet(out)
+    return read_legacy_curated(spark, out)
+
+
 # -- JSON shapes: flattening ------------------------------------------------
 
 
@@ -321,6 +432,19 @@ def q_flatten_fallback(spark, sf_dir):
     )
 
 
+def q_flatten_unit(spark, sf_dir):
+    """The unit is a constant in one profile and the record's in the other."""
+    configure(spark)
+    unit = F.when(F.col("pos") % 3 == 0, F.lit("ppm"))
+    record = F.struct(F.col("location_id").alias("locationsId"), F.col("value"), unit.alias("unit"))
+    parsed = FX.derived_raw(spark, sf_dir).select(
+        "src", "pos", F.from_json(F.to_json(record), RAW_READING).alias("record")
+    )
+    canonical = C.flat_columns("record", FlattenOptions(profile="canonical"))[6]
+    deployed = C.flat_columns("record", FlattenOptions(profile="deployed"))[6]
+    return parsed.select("src", "pos", canonical.alias("canonical_unit"), deployed.alias("deployed_unit"))
+
+
 # -- station dimension -------------------------------------------------------
 
 
@@ -377,14 +501,14 @@ def q_unresolved_locations(spark, sf_dir):
 
 def q_dim_upsert(spark, sf_dir):
     cache = _cache(spark, sf_dir)
-    todo = D.unresolved_locations(D.distinct_locations(_readings(spark, sf_dir)), cache)
-    details = _details(spark, sf_dir).join(todo, "location_id", "left_semi")
+    seen = D.distinct_locations(_readings(spark, sf_dir))
+    details = _details(spark, sf_dir).join(seen, "location_id", "left_semi")
     return D.upsert(cache, D.normalize_location(details), FX.failed_lookups(spark, sf_dir))
 
 
 def q_dim_cache_load(spark, sf_dir):
     """Cache entries serialised as JSON maps keyed by the id string."""
-    cache = _cache(spark, sf_dir)
+    cache = _dim(spark, sf_dir)
     entry = F.create_map(
         F.col("location_id").cast("string"), F.struct(*D.DIM_COLUMNS)
     )
@@ -442,6 +566,34 @@ def q_backfill_by_date(spark, sf_dir):
     )
 
 
+def q_backfill_range(spark, sf_dir):
+    """The last days of a list of stations."""
+    configure(spark)
+    stations = FX.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(
+        F.col("c_custkey").alias("location_id"))
+    rows = J.backfill_rows(
+        FX.measurement_pages(spark, sf_dir), FX.location_detail_pages(spark, sf_dir),
+        days=FX.BACKFILL_LAST_DAYS, as_of=FX.BACKFILL_AS_OF, stations=stations,
+    )
+    return rows.select("date", "run_id", "location_id", "sensor_id", "value", "date_utc")
+
+
+def q_backfill_rerun(spark, sf_dir):
+    """Two runs over the same days with different stations: the second, which
+    fetches less, replaces the station-days it fetched and no others."""
+    configure(spark)
+    root = scratch_path(spark, "backfill")
+    customer = FX.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("location_id"))
+    for left_out, cap in ((0, None), (1, 5)):
+        rows = J.backfill_rows(
+            FX.measurement_pages(spark, sf_dir), FX.location_detail_pages(spark, sf_dir),
+            stations=customer.where(F.col("location_id") % 3 != left_out), cap=cap,
+        )
+        J.backfill_job(rows, root)
+    flat = C.flatten_readings(read_raw(spark, root, layout="lines"), "record", FIXTURE_FLATTEN)
+    return flat.select("date", F.col("_file").alias("run_id"), "location_id", "value", "date_utc")
+
+
 def q_union_sources(spark, sf_dir):
     """Run landings and backfill landings read together (bag union by name)."""
     runs = _readings(spark, sf_dir).select(
@@ -459,13 +611,29 @@ def q_union_sources(spark, sf_dir):
 def q_location_search(spark, sf_dir):
     configure(spark)
     catalogue = FX.location_results(spark, sf_dir).select("loc.*")
-    return S.find_locations(catalogue, FX.SEARCH_COUNTRY, FX.SEARCH_TEXT, FX.SEARCH_LIMIT)
+    return S.find_locations(catalogue, FX.SEARCH_COUNTRY, FX.SEARCH_TEXT, FX.SEARCH_LIMIT,
+                            limit_before_search=True)
+
+
+def q_location_search_all(spark, sf_dir):
+    configure(spark)
+    catalogue = FX.location_results(spark, sf_dir).select("loc.*")
+    return S.find_locations(catalogue, FX.SEARCH_COUNTRY, FX.SEARCH_TEXT)
 
 
 def q_page_explode_limit(spark, sf_dir):
     configure(spark)
     pages = parse_envelope(FX.latest_pages(spark, sf_dir), "text", READINGS_PAGE)
-    rows = latest_readings(pages, FX.LATEST_LIMIT)
+    return _latest_out(latest_readings(pages, FX.LATEST_LIMIT))
+
+
+def q_page_explode_all(spark, sf_dir):
+    configure(spark)
+    pages = parse_envelope(FX.latest_pages(spark, sf_dir), "text", READINGS_PAGE)
+    return _latest_out(latest_readings(pages))
+
+
+def _latest_out(rows: DataFrame) -> DataFrame:
     flat = C.flatten_readings(rows, "result", FIXTURE_FLATTEN)
     return flat.select("page", "pos", "location_id", "value", "date_utc")
 
@@ -485,8 +653,8 @@ def q_ingest_run(spark, sf_dir):
         root,
         run_id="run_000000",
         date=FX.AS_OF,
+        dimension_root=scratch_path(spark, "dimension"),
         failed=FX.failed_lookups(spark, sf_dir),
-        limit=FX.LATEST_LIMIT,
     )
     flat = C.flatten_readings(read_raw(spark, root, layout="lines"), "record", FIXTURE_FLATTEN)
     return flat.select(
@@ -524,6 +692,37 @@ def q_metric_views_sql(spark, sf_dir):
     )
 
 
+def q_metric_views_athena(spark, sf_dir):
+    """K6 in the athena profile, which has no outlier view."""
+    M.publish_views(spark, curated_fixture(spark, sf_dir), _opts("athena"))
+    there = F.lit(spark.catalog.tableExists("vw_flagged_outliers"))
+    joined = spark.sql(
+        "SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_pm25 "
+        "FROM vw_wow_pm25_trend t LEFT JOIN vw_daily_avg_pm25_by_city d ON t.city = d.city "
+        "AND t.country <=> d.country AND date_trunc('week', d.reading_date) = t.week_start"
+    )
+    return joined.withColumn("outlier_view", there)
+
+
+def _placed(df: DataFrame, *cols: str) -> DataFrame:
+    """The rows of an ordered result with their place in it."""
+    by = Window.orderBy("_id")
+    ids = df.select(*cols, F.monotonically_increasing_id().alias("_id"))
+    return ids.select(F.row_number().over(by).alias("place"), *cols)
+
+
+def q_wow_trend_ordered(spark, sf_dir):
+    """O1: the trend view in its order."""
+    trend = M.wow_trend(curated_fixture(spark, sf_dir), _opts("warehouse"), ordered=True)
+    return _placed(trend, "city", "week_start", "avg_pm25")
+
+
+def q_flagged_outliers_ordered(spark, sf_dir):
+    """O2: the outlier view in its order (rows of one time are told apart by nothing)."""
+    flagged = M.flagged_outliers(curated_fixture(spark, sf_dir), _opts("warehouse"), ordered=True)
+    return _placed(flagged, "date_utc")
+
+
 QUERIES: dict[str, Query] = {
     "drop_sentinels": q_drop_sentinels,
     "drop_below_floor": q_drop_below_floor,
@@ -549,7 +748,17 @@ QUERIES: dict[str, Query] = {
     "curate_global_scope": q_curate_global_scope,
     "curated_scan": q_curated_scan,
     "incremental_curation": q_incremental_curation,
+    "raw_scan_array": q_raw_scan_array,
+    "raw_scan_malformed": q_raw_scan_malformed,
+    "curate_array": q_curate_array,
+    "curate_counts": q_curate_counts,
+    "incremental_with_backfill": q_incremental_with_backfill,
+    "incremental_global_scope": q_incremental_global_scope,
+    "append_stream": q_append_stream,
+    "csv_export": q_csv_export,
+    "legacy_curated": q_legacy_curated,
     "flatten_readings": q_flatten_readings,
+    "flatten_unit": q_flatten_unit,
     "flatten_fallback": q_flatten_fallback,
     "location_dim_normalize": q_location_dim_normalize,
     "resolve_sensor": q_resolve_sensor,
@@ -562,12 +771,19 @@ QUERIES: dict[str, Query] = {
     "measurement_reshape": q_measurement_reshape,
     "backfill_cap": q_backfill_cap,
     "backfill_by_date": q_backfill_by_date,
+    "backfill_range": q_backfill_range,
+    "backfill_rerun": q_backfill_rerun,
     "union_sources": q_union_sources,
     "location_search": q_location_search,
+    "location_search_all": q_location_search_all,
+    "page_explode_all": q_page_explode_all,
     "page_explode_limit": q_page_explode_limit,
     "ingest_run": q_ingest_run,
     "curate_with_backfill": q_curate_with_backfill,
     "metric_views_sql": q_metric_views_sql,
+    "metric_views_athena": q_metric_views_athena,
+    "wow_trend_ordered": q_wow_trend_ordered,
+    "flagged_outliers_ordered": q_flagged_outliers_ordered,
 }
 
 FLAGSHIP = "daily_avg_warehouse"
