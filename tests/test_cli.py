@@ -4,14 +4,16 @@ import json
 import os
 
 from airloom.__main__ import main
+from airloom.sinks.dimension import read_dimension
 from airloom.sources.curated import read_curated
-from conftest import rec
+from airloom.sources.raw import read_raw
+from conftest import reading
 
 
 def test_curate_views_and_find(spark, tmp_path):
     raw = tmp_path / "raw" / "date=2026-08-27"
     os.makedirs(raw)
-    (raw / "run_090000.json").write_text(json.dumps([rec(id=1, value=20.0), rec(id=2)],
+    (raw / "run_090000.json").write_text(json.dumps([reading(id=1, value=20.0), reading(id=6)],
                                                     indent=2))
     out = str(tmp_path / "cur")
     main(["curate", "--raw", str(tmp_path / "raw"), "--out", out])
@@ -37,23 +39,24 @@ def test_curate_views_and_find(spark, tmp_path):
 
 
 def test_backfill_and_ingest(spark, tmp_path):
-    det = tmp_path / "details.json"
-    det.write_text(json.dumps({"location_id": 42, "results": [
-        {"name": "Station", "locality": "Testville", "country": {"code": "US"},
-         "sensors": [{"id": 222, "parameter": {"id": 2, "name": "pm25"}}]}]}))
-    meas = tmp_path / "meas.json"
-    meas.write_text(json.dumps({"sensor_id": 222, "page": 1, "results": [
-        {"value": 5.0, "period": {"datetimeFrom": {"utc": "2026-08-01T23:00:00Z"}}},
-        {"value": 6.0, "period": {"datetimeFrom": {"utc": "2026-08-02T00:00:00Z"}}}]}))
-    main(["backfill", "--measurements", str(meas), "--details", str(det),
-          "--out", str(tmp_path / "bf")])
-    assert sorted(d for d in os.listdir(tmp_path / "bf") if d.startswith("date=")) == [
-        "date=2026-08-01", "date=2026-08-02"]
-    pages = tmp_path / "pages.json"
+    det, meas, pages = (tmp_path / f"{n}.json" for n in ("details", "meas", "pages"))
+    det.write_text("\n".join(json.dumps({"location_id": i, "results": [
+        {"name": f"s{i}", "locality": f"town {i}", "country": {"code": "EE"},
+         "sensors": [{"id": i + 500, "parameter": {"id": 2, "name": "p"}}]}]}) for i in (6, 8)))
+    days = ["2026-05-01", "2026-05-20", "2026-05-21", "2026-05-22"]
+    meas.write_text("\n".join(json.dumps({"sensor_id": i + 500, "page": 1, "results": [
+        {"value": 5.0, "period": {"datetimeFrom": {"utc": f"{d}T23:00:00Z"}}} for d in days]})
+        for i in (6, 8)))
+    main(["backfill", "--measurements", str(meas), "--details", str(det), "--days", "2",
+          "--as-of", "2026-05-21", "--stations", "8", "--out", str(tmp_path / "bf")])
+    landed = read_raw(spark, str(tmp_path / "bf"), layout="lines").collect()
+    assert sorted((r.date, r.record.locationsId) for r in landed) == [
+        ("2026-05-20", 8), ("2026-05-21", 8)]
     pages.write_text(json.dumps({"page": 1, "results": [
-        {"locationsId": 42, "value": 7.0, "datetime": {"utc": "2026-08-03T10:00:00Z"}}]}))
+        {"locationsId": i, "value": 7.0, "datetime": {"utc": "2026-08-03T10:00:00Z"}}
+        for i in (6, 8, 9)]}))
     main(["ingest", "--pages", str(pages), "--details", str(det),
           "--dimension", str(tmp_path / "dim"), "--raw", str(tmp_path / "runs")])
-    from airloom.sinks.dimension import read_dimension
-    assert [r.city for r in read_dimension(spark, str(tmp_path / "dim")).collect()] == [
-        "Testville"]
+    towns = sorted(r.city for r in read_dimension(spark, str(tmp_path / "dim")).collect())
+    assert towns == ["town 6", "town 8"]
+    assert read_raw(spark, str(tmp_path / "runs"), layout="lines").count() == 3

@@ -11,46 +11,50 @@ from airloom.operators import clean as C
 from airloom.plans import jobs as J
 from airloom.schema import RAW_READING
 from airloom.sinks.csv import export_csv
-from airloom.sinks.dimension import read_dimension, write_dimension
+from airloom.sinks.dimension import read_dimension
 from airloom.sinks.raw import reading_record, write_raw
 from airloom.sources.curated import read_legacy_curated
 from airloom.sources.raw import read_raw
 from airloom.streaming.incremental import clean_append_stream
 
 
-def _pages(spark):
-    p1 = {"results": [{"locationsId": 1, "value": 10.0, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
-                      {"locationsId": 2, "value": 11.0, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
-                      {"locationsId": 3, "value": 12.0, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
-                      {"locationsId": 1, "value": 13.0, "datetime": {"utc": "2026-08-27T11:00:00Z"}}]}
-    return spark.createDataFrame([(1, json.dumps(p1))], "page long, text string")
+def _pages(spark, value=10.0):
+    results = [{"locationsId": i % 4 + 1, "value": value + i, "datetime": {"utc": f"2026-08-27T{10 + i // 4}:00:00Z"}} for i in range(8)]
+    rows = [(p + 1, json.dumps({"results": results[p * 4 : p * 4 + 4]})) for p in range(2)]
+    return spark.createDataFrame(rows, "page long, text string")
 
 
-def _detail(name, city, code):
-    return json.dumps({"results": [{"name": name, "locality": city, "country": {"code": code}}]})
+def test_enrich_job_lands_readings_with_metadata_and_updates_cache(spark, tmp_path, monkeypatch):
+    from airloom.sources import pages as P
 
-
-def test_enrich_job_lands_readings_with_metadata_and_updates_cache(spark, tmp_path):
-    cache = spark.createDataFrame([(1, "Cached", "Dallas", "US")],
-                                  "location_id long, name string, city string, country string")
-    details = spark.createDataFrame(
-        [(2, _detail("New", "Austin", "US")), (3, _detail("Gone", "Waco", "US"))],
-        "location_id long, text string")
+    monkeypatch.setattr(P, "PAGE_SIZE_CAP", 4)
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "dim")
+    known = [(1, "old 1", "Porto", "PT"), (90, "old 90", None, "NO")]
+    cache = spark.createDataFrame(known, "location_id long, name string, city string, country string")
+    rows = [(i, json.dumps({"results": [{"name": f"new {i}", "locality": f"town {i}", "country": {"code": "EE"}}]})) for i in (1, 2, 3, 4, 5)]
+    details = spark.createDataFrame(rows, "location_id long, text string")
     failed = spark.createDataFrame([(3,)], "location_id long")
-    raw = str(tmp_path / "raw")
-    dim = J.enrich_job(_pages(spark), details, cache, raw, "run_100000", "2026-08-27", failed)
-    assert sorted((r.location_id, r.name) for r in dim.collect()) == [(1, "Cached"), (2, "New")]
-    landed = C.flatten_readings(read_raw(spark, raw, layout="lines")).collect()
-    got = sorted((r.location_id, r.value, r.city) for r in landed)
-    assert got == [(1, 10.0, "Dallas"), (1, 13.0, "Dallas"), (2, 11.0, "Austin"), (3, 12.0, None)]
-    assert {r.date for r in landed} == {"2026-08-27"}
-    # The new dimension goes to a new version, then becomes the latest.
-    root = str(tmp_path / "dim")
-    assert read_dimension(spark, root).count() == 0
-    write_dimension(cache, root)
-    assert write_dimension(cache, root, previous=read_dimension(spark, root)) is None
-    assert write_dimension(dim, root, previous=read_dimension(spark, root)) is not None
-    assert read_dimension(spark, root).count() == 2
+
+    def run(pages, cache, run_id="run_100000"):
+        return J.enrich_job(pages, details, cache, raw, run_id, "2026-08-27", root, failed)
+
+    dim = run(_pages(spark), cache)
+    wanted = {1: "old 1", 90: "old 90", 2: "new 2", 4: "new 4"}  # 3 failed, 5 was not read
+    assert {r.location_id: r.name for r in dim.collect()} == wanted
+    assert {r.location_id: r.name for r in read_dimension(spark, root).collect()} == wanted
+
+    def landed():
+        flat = C.flatten_readings(read_raw(spark, raw, layout="lines")).collect()
+        return sorted((r.value, r.location_id, r.city, r.date_utc) for r in flat)
+
+    towns = {1: "Porto", 2: "town 2", 3: None, 4: "town 4"}
+    first = [(10.0 + i, i % 4 + 1, towns[i % 4 + 1], f"2026-08-27T{10 + i // 4}:00:00Z") for i in range(8)]
+    assert landed() == first
+    # No new station: no new version. The same run again replaces itself, another run is added.
+    assert run(_pages(spark), read_dimension(spark, root)) is not None
+    assert len(os.listdir(root)) == 1 and landed() == first
+    run(_pages(spark, 50.0), read_dimension(spark, root), "run_110000")
+    assert len(landed()) == 16
 
 
 def test_curate_reports_counts_from_the_same_job(spark, tmp_path):
@@ -64,7 +68,10 @@ def test_curate_reports_counts_from_the_same_job(spark, tmp_path):
               raw)
     counts = J.curate(spark, raw, out)
     assert counts == {"rows_curated": 2, "flagged": 1, "first_date": "2026-08-27",
-                      "last_date": "2026-08-28"}
+                      "last_date": "2026-08-28", "rows_read": 2, "malformed_records": 0,
+                      "malformed_files": 0}
+    nothing = J.curate(spark, str(tmp_path / "none"), str(tmp_path / "cur0"))
+    assert (nothing["rows_curated"], nothing["rows_read"], nothing["first_date"]) == (0, 0, None)
     export_csv(spark, out, ["2026-08-28"], str(tmp_path / "csv"))
     text = spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()
     assert [(r.location_id, r.value, r.date) for r in text] == [("2", "800.0", "2026-08-28")]

@@ -152,13 +152,14 @@ def test_trend_uses_one_window_for_all_lags(spark):
     assert sum(1 for line in tree.splitlines() if line.strip().lstrip("+- ").startswith("Window ")) == 1
 
 
-def test_exact_average_falls_back_for_values_out_of_decimal_range(spark):
-    df = curated(spark, [(1, "A", "X", 1e36, "2024-01-30 01:00:00", True),
-                         (2, "A", "X", 2.0, "2024-01-30 02:00:00", False),
-                         (3, "B", "X", 2.5, "2024-01-30 02:00:00", False)])
-    got = {r.city: r.avg_pm25 for r in
-           M.daily_avg(df, MetricOptions.athena(as_of="2024-01-30", exact=True)).collect()}
-    assert got == {"A": (1e36 + 2.0) / 2, "B": 2.5}
+def test_exact_average_has_one_rule(spark):
+    rows = [(i, "A", "X", 0.00000001 * i + 10**9, "2024-01-30 01:00:00", True) for i in range(5)]
+    opts = MetricOptions.athena(as_of="2024-01-30", exact=True)
+    got = M.daily_avg(curated(spark, rows), opts).first().avg_pm25
+    assert abs(got - (10**9 + 0.00000002)) < 1e-6
+    too_large = curated(spark, [(1, "A", "X", 1e36, "2024-01-30 01:00:00", True)])
+    with pytest.raises(Exception, match="DECIMAL"):
+        M.daily_avg(too_large, opts).collect()
 
 
 def test_view_column_contracts(spark):

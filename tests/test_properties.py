@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from airloom.operators import clean as C
 from airloom.options import QualityRules
-from conftest import raw_frame, rec
+from conftest import raw_frame, reading
 
 # Timestamp spellings and what they mean (UTC wall clock), None = unparseable.
 STAMPS = {
@@ -25,7 +25,7 @@ STAMPS = {
 VALUES = [None, math.nan, -1.0, -999.0, 9999.0, 99999.0, -0.5, 0.0, 15.0, 15.1, 500.0, 500.1,
           800.0, 12.5]
 
-reading = st.tuples(
+LANDED = st.tuples(
     st.sampled_from([None, 1, 2, 3]),
     st.sampled_from(VALUES),
     st.sampled_from(sorted(STAMPS)),
@@ -58,9 +58,9 @@ def brute_force(batch, rules=QualityRules()):
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(reading, max_size=12))
+@given(st.lists(LANDED, max_size=12))
 def test_clean_matches_brute_force(spark, batch):
-    records = [rec(id=loc, value=v, utc=s) for loc, v, s, _ in batch]
+    records = [reading(id=loc, value=v, utc=s) for loc, v, s, _ in batch]
     files = [f for *_, f in batch]
     flat = C.flatten_readings(raw_frame(spark, records, files or None))
     got = sorted(((r.location_id, r.value, r.date_utc, r.is_extreme_outlier)
@@ -172,7 +172,7 @@ def test_page_reader_matches_fetch_loop(spark, limit, sizes):
     df = parse_envelope(spark.createDataFrame(rows, "page long, text string"), "text",
                         READINGS_PAGE)
     got = [r.result.locationsId for r in
-           latest_readings(df, limit, page_limit_default=limit).orderBy("page", "pos").collect()]
+           latest_readings(df, limit).orderBy("page", "pos").collect()]
     assert got == fetch_loop(pages, limit, page_size)
 
 

@@ -10,7 +10,7 @@ from airloom.plans import jobs as J
 from airloom.sinks.raw import reading_record, write_raw
 from airloom.sources.curated import read_curated, register_table
 from airloom.sources.raw import read_raw, read_raw_dates
-from conftest import rec
+from conftest import reading
 
 
 def land_array(root, date, name, records, indent=2):
@@ -22,8 +22,8 @@ def land_array(root, date, name, records, indent=2):
 
 def test_array_layout_reads_pretty_printed_files_in_order(spark, tmp_path):
     root = str(tmp_path / "raw")
-    land_array(root, "2026-08-27", "run_090000.json", [rec(id=1), rec(id=2, value=3.0)])
-    land_array(root, "2026-08-27", "run_100000.json", [rec(id=3)], indent=None)
+    land_array(root, "2026-08-27", "run_090000.json", [reading(id=1), reading(id=2, value=3.0)])
+    land_array(root, "2026-08-27", "run_100000.json", [reading(id=3)], indent=None)
     with open(os.path.join(root, "date=2026-08-27", "notes.txt"), "w") as fh:
         fh.write("not json")
     df = read_raw(spark, root)
@@ -53,22 +53,62 @@ def test_missing_root_gives_empty_frame(spark, tmp_path):
     assert read_curated(spark, str(tmp_path / "nothing")).count() == 0
 
 
-def test_malformed_file_is_marked_or_fails(spark, tmp_path):
+ODD_ARRAY = """[{"locationsId": 1, "value": "12.5", "datetime": {"utc": "2026-08-27T10:00:00Z"}},
+ {"locationsId": 4.0, "value": 2.5, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
+ {"locationsId": "7", "value": 1e2, "location_meta": {"name": 3}, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
+ {"locationsId": 4.5, "value": true, "location_meta": "x"}, 5, null,
+ {"locationsId": 9, "value": 3, "datetime": {"utc": "2026-08-27T10:00:00Z"}}]"""
+
+
+def odd_landing(root):
+    land_array(root, "2026-08-27", "run_1.json", [reading(id=1)])
+    folder = os.path.join(root, "date=2026-08-27")
+    for name, text in {"run_2": ODD_ARRAY, "run_3": "[{not json", "run_4": ODD_ARRAY[:200], "run_5": '{"locationsId": 1}', "run_6": "[]"}.items():
+        with open(os.path.join(folder, f"{name}.json"), "w") as fh:
+            fh.write(text)
+
+
+def test_one_odd_value_harms_no_other(spark, tmp_path):
     root = str(tmp_path / "raw")
-    land_array(root, "2026-08-27", "run_1.json", [rec(id=1)])
-    with open(os.path.join(root, "date=2026-08-27", "run_2.json"), "w") as fh:
-        fh.write("[{not json")
-    assert read_raw(spark, root).count() == 1
-    marked = read_raw(spark, root, with_corrupt=True).select("_file", "record", "_corrupt")
-    assert [r._file.rsplit("/", 1)[1] for r in marked.collect() if r._corrupt] == ["run_2.json"]
+    odd_landing(root)
+    rows = read_raw(spark, root, with_corrupt=True).collect()
+    by_file = {}
+    for r in sorted(rows, key=lambda r: (r._file, r._pos or 0)):
+        by_file.setdefault(r._file.rsplit("/", 1)[1], []).append(r)
+    got = [(r._pos, r._corrupt, r.record and r.record.locationsId, r.record and r.record.value) for r in by_file["run_2.json"]]
+    assert got == [(0, False, 1, None), (1, False, 4, 2.5), (2, False, 7, 100.0), (3, False, None, None), (4, True, None, None), (5, True, None, None), (6, False, 9, 3.0)]
+    for name in ("run_3.json", "run_4.json", "run_5.json"):  # one marked row for a whole file
+        assert [(r._pos, r._corrupt) for r in by_file[name]] == [(None, True)]
+    assert "run_6.json" not in by_file and len(rows) == 11
+
+
+def test_rows_do_not_depend_on_the_columns(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    odd_landing(root)
+    df = read_raw(spark, root)
+    n = len(df.collect())
+    assert df.count() == n == len(df.select("date").collect()) == len(df.select("record.locationsId").collect()) == len(df.select("record.value").collect())
+
+
+def test_failfast_fails(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    odd_landing(root)
     with pytest.raises(Exception):
-        read_raw(spark, root, mode="FAILFAST").count()
+        read_raw(spark, root, mode="FAILFAST").collect()
+
+
+def test_unreadable_parts_are_counted(spark, tmp_path):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "cur")
+    odd_landing(root)
+    counts = J.curate(spark, root, out, layout="array")
+    assert (counts["rows_read"], counts["malformed_records"], counts["malformed_files"]) == (11, 2, 3)
+    assert sorted(r.location_id for r in read_curated(spark, out).collect()) == [1, 4, 7, 9]
 
 
 def test_date_selection_rejects_prefixes(spark, tmp_path):
     root = str(tmp_path / "raw")
-    land_array(root, "2026-08-27", "run_1.json", [rec(id=1)])
-    land_array(root, "2026-08-28", "run_1.json", [rec(id=2)])
+    land_array(root, "2026-08-27", "run_1.json", [reading(id=1)])
+    land_array(root, "2026-08-28", "run_1.json", [reading(id=2)])
     assert read_raw_dates(spark, root, ["2026-08-28"]).count() == 1
     with pytest.raises(ValueError):
         read_raw_dates(spark, root, ["2026-08"])
@@ -152,7 +192,7 @@ def test_array_layout_order_survives_file_packing(spark, tmp_path):
     for d in range(2):
         for f in range(6):
             land_array(root, f"2026-08-2{d}", f"run_{f:03d}.json",
-                       [rec(id=f, value=float(i), utc=f"2026-08-2{d}T00:00:{i:02d}Z")
+                       [reading(id=f, value=float(i), utc=f"2026-08-2{d}T00:00:{i:02d}Z")
                         for i in range(40)], indent=1)
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
@@ -171,9 +211,56 @@ def test_lines_layout_malformed_policy(spark, tmp_path):
     raw = str(tmp_path / "raw")
     _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
     with open(os.path.join(raw, "date=2026-08-27", "broken.json"), "w") as fh:
-        fh.write('{"run_id": "run_2", "pos": 0, "record": {not json\n')
-    assert read_raw(spark, raw, layout="lines").count() == 1
-    marked = read_raw(spark, raw, layout="lines", with_corrupt=True).collect()
-    assert sorted(r._corrupt for r in marked) == [False, True]
+        fh.write('{"run_id": "run_2", "pos": 0, "record": {not json\n\n{"run_id": "run_3", "pos": 1, "record": {"value": "x", "locationsId": 3.0}}\n')
+    df = read_raw(spark, raw, layout="lines", with_corrupt=True)
+    rows = df.collect()
+    assert df.count() == 3 and sorted(r._corrupt for r in rows) == [False, False, True]
+    assert [(r.record.locationsId, r.record.value) for r in rows if r._file == "run_3"] == [(3, None)]
     with pytest.raises(Exception):
-        read_raw(spark, raw, layout="lines", mode="FAILFAST").count()
+        read_raw(spark, raw, layout="lines", mode="FAILFAST").collect()
+
+
+def test_table_name_follows_its_root(spark, tmp_path):
+    for n in (1, 2):
+        raw, out = str(tmp_path / f"raw{n}"), str(tmp_path / f"cur{n}")
+        _lines(spark, raw, [("2026-08-27", "run_1", i, i, 5.0, "2026-08-27T10:00:00Z") for i in range(n)])
+        J.curate(spark, raw, out)
+        assert register_table(spark, "cur_moved", out).count() == n
+    assert read_curated(spark, str(tmp_path / "cur1")).count() == 1
+    spark.sql("DROP TABLE cur_moved")
+
+
+def test_partial_run_in_global_scope_is_refused(spark, tmp_path):
+    from airloom.options import QualityRules
+
+    with pytest.raises(ValueError):
+        J.curate(spark, str(tmp_path / "raw"), str(tmp_path / "cur"), dates=["2026-08-27"], rules=QualityRules(dedup_scope="global"))
+
+
+def test_landing_writes_few_files_per_day(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    rows = [(f"2026-08-{1 + i % 20:02d}", "run_1", i, i, 5.0, "2026-08-27T10:00:00Z") for i in range(400)]
+    df = spark.createDataFrame(rows, "date string, run_id string, pos long, id long, v double, utc string").repartition(16)
+    write_raw(df.select("date", "run_id", "pos", reading_record(F.col("id"), F.col("v"), F.col("utc")).alias("record")), raw)
+    files = [f for d in os.listdir(raw) if d.startswith("date=") for f in os.listdir(os.path.join(raw, d)) if f.endswith(".json")]
+    assert len(files) == 20
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from airloom.session import shared_dir
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from airloom.sinks.raw import reading_record, write_raw
 from airloom.sources.curated import read_curated
+from airloom.streaming import incremental
 from airloom.streaming.incremental import curate_incremental
 
 
@@ -20,14 +21,14 @@ def test_incremental_curation(spark, tmp_path):
     raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
     land(spark, raw, [("2026-08-27", "run_2", 0, 1, 9.0, "2026-08-27T10:00:00Z"),
                       ("2026-08-27", "run_2", 1, 2, 3.0, "2026-08-27T10:00:00Z")])
-    assert curate_incremental(spark, raw, out, ck) == [["2026-08-27"]]
+    assert curate_incremental(spark, raw, out, ck) == ["2026-08-27"]
     assert read_curated(spark, out).count() == 2
     # Nothing new: nothing processed.
     assert curate_incremental(spark, raw, out, ck) == []
     # An earlier run landing later for the same date and key wins keep-first,
     # and the date keeps its other rows.
     land(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
-    assert curate_incremental(spark, raw, out, ck) == [["2026-08-27"]]
+    assert curate_incremental(spark, raw, out, ck) == ["2026-08-27"]
     got = sorted((r.location_id, r.value) for r in read_curated(spark, out).collect())
     assert got == [(1, 5.0), (2, 3.0)]
 
@@ -36,7 +37,7 @@ def test_incremental_curation_of_array_landings(spark, tmp_path):
     import json
     import os
 
-    from conftest import rec
+    from conftest import reading
 
     raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
 
@@ -46,12 +47,59 @@ def test_incremental_curation_of_array_landings(spark, tmp_path):
         with open(os.path.join(d, name), "w") as fh:
             fh.write(json.dumps(records, indent=2))
 
-    land("2026-08-27", "run_100000.json", [rec(id=1, value=9.0), rec(id=2, value=3.0)])
-    assert curate_incremental(spark, raw, out, ck, layout="array") == [["2026-08-27"]]
+    land("2026-08-27", "run_100000.json", [reading(id=1, value=9.0), reading(id=2, value=3.0)])
+    assert curate_incremental(spark, raw, out, ck, layout="array") == ["2026-08-27"]
     assert curate_incremental(spark, raw, out, ck, layout="array") == []
-    land("2026-08-27", "run_090000.json", [rec(id=1, value=5.0)])
-    land("2026-08-28", "run_090000.json", [rec(id=3, value=4.0, utc="2026-08-28T01:00:00Z")])
-    batches = curate_incremental(spark, raw, out, ck, layout="array")
-    assert sorted(d for b in batches for d in b) == ["2026-08-27", "2026-08-28"]
+    land("2026-08-27", "run_090000.json", [reading(id=1, value=5.0)])
+    land("2026-08-28", "run_090000.json", [reading(id=3, value=4.0, utc="2026-08-28T01:00:00Z")])
+    assert curate_incremental(spark, raw, out, ck, layout="array") == ["2026-08-27", "2026-08-28"]
     got = sorted((r.date, r.location_id, r.value) for r in read_curated(spark, out).collect())
     assert got == [("2026-08-27", 1, 5.0), ("2026-08-27", 2, 3.0), ("2026-08-28", 3, 4.0)]
+
+
+def stations_of(spark, out):
+    return sorted((r.date, r.location_id) for r in read_curated(spark, out).collect())
+
+
+def test_stream_keeps_what_other_roots_landed(spark, tmp_path):
+    raw, more, out, ck = (str(tmp_path / p) for p in ("raw", "backfill", "cur", "ck"))
+    land(spark, raw, [("2026-08-27", "run_1", 0, 1, 9.0, "2026-08-27T10:00:00Z")])
+    land(spark, more, [("2026-08-27", "backfill_location_2", 0, 2, 9.0, "2026-08-27T10:00:00Z")])
+    assert curate_incremental(spark, [raw, more], out, ck) == ["2026-08-27"]
+    land(spark, raw, [("2026-08-27", "run_2", 0, 3, 9.0, "2026-08-27T10:00:00Z")])
+    assert curate_incremental(spark, [raw, more], out, ck) == ["2026-08-27"]
+    assert stations_of(spark, out) == [("2026-08-27", i) for i in (1, 2, 3)]
+    land(spark, more, [("2026-08-28", "backfill_location_4", 0, 4, 9.0, "2026-08-28T10:00:00Z")])
+    assert curate_incremental(spark, [raw, more, str(tmp_path / "none")], out, ck) == ["2026-08-28"]
+    assert stations_of(spark, out)[-1] == ("2026-08-28", 4)
+
+
+def test_failed_curation_is_made_up_for(spark, tmp_path, monkeypatch):
+    import pytest
+
+    raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
+    land(spark, raw, [("2026-08-27", "run_1", 0, 1, 9.0, "2026-08-27T10:00:00Z")])
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "curate", fail)
+        with pytest.raises(RuntimeError):
+            curate_incremental(spark, raw, out, ck)
+    assert curate_incremental(spark, raw, out, ck) == ["2026-08-27"]
+    assert stations_of(spark, out) == [("2026-08-27", 1)]
+    assert curate_incremental(spark, raw, out, ck) == []
+
+
+def test_global_scope_empties_dates_of_stale_copies(spark, tmp_path):
+    from airloom.options import QualityRules
+
+    raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
+    rules = QualityRules(dedup_scope="global")
+    land(spark, raw, [("2026-08-28", "run_1", 0, 1, 9.0, "2026-08-27T10:00:00Z")])
+    curate_incremental(spark, raw, out, ck, rules=rules)
+    assert stations_of(spark, out) == [("2026-08-28", 1)]
+    land(spark, raw, [("2026-08-27", "run_1", 0, 1, 9.0, "2026-08-27T10:00:00Z")])
+    curate_incremental(spark, raw, out, ck, rules=rules)
+    assert stations_of(spark, out) == [("2026-08-27", 1)]
