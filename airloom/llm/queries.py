@@ -127,3 +127,78 @@ FROM scored
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 20
 """
+
+_CRLF = "chr(13) || chr(10)"
+
+
+def _urn(h: str) -> str:
+    return f"'<urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || substr({h}, 17, 4) || '-' || substr({h}, 21, 12) || '>'"
+
+
+def _plain_text(html: str) -> str:
+    t = f"regexp_replace({html}, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<head[^>]*>.*?</head>', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?i)<br[^>]*>|</?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|nav|section|header|footer)(?:[ /][^>]*)?>', chr(10), 'g')"
+    t = f"regexp_replace({t}, '<[^>]*>', '', 'g')"
+    for name, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "' '"), ("&amp;", "'&'")):
+        t = f"replace({t}, '{name}', {char})"
+    t = f"regexp_replace({t}, '[ \\t\\r\\f]+', ' ', 'g')"
+    t = f"regexp_replace({t}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({t}, '\\A[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+SQL["op8_warc"] = f"""
+WITH src AS (
+  SELECT page_id, url AS target_uri, coalesce(html, '') AS body FROM pages
+), resp AS (
+  SELECT *, 'HTTP/1.1 200 OK' || {_CRLF} || 'Content-Type: text/html; charset=utf-8' || {_CRLF} || 'Content-Length: ' || strlen(body) AS http,
+    md5('response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(target_uri, '')) AS h
+  FROM src
+), made AS (
+  SELECT *, {_urn("h")} AS refers_to, 'sha256:' || sha256(body) AS source_digest,
+    'sha256:' || sha256(http || {_CRLF} || {_CRLF} || body) AS source_block_digest,
+    {_plain_text("body")} AS txt,
+    trim(regexp_extract(body, '(?is)<title[^>]*>([^<]*)</title>', 1), ' ') AS title
+  FROM resp
+), named AS (
+  SELECT *, 'sha256:' || sha256(txt) AS text_digest,
+    md5('conversion' || chr(10) || refers_to) AS hc, md5('metadata' || chr(10) || refers_to) AS hm
+  FROM made
+), both_records AS (
+  SELECT *, 'conversion' AS warc_type, {_urn("hc")} AS record_id, 'text/plain; charset=utf-8' AS content_type, txt AS block FROM named
+  UNION ALL
+  SELECT *, 'metadata', {_urn("hm")}, 'application/json',
+    CAST(json_object(
+      'source', json_object('WARC-Record-ID', refers_to, 'WARC-Target-URI', target_uri, 'WARC-Date', '1970-01-01T00:00:00Z',
+                            'WARC-Block-Digest', source_block_digest, 'WARC-Payload-Digest', source_digest),
+      'http', string_split(http, {_CRLF}),
+      'title', title,
+      'conversion', json_object('WARC-Record-ID', {_urn("hc")}, 'WARC-Block-Digest', text_digest)) AS VARCHAR)
+  FROM named
+)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, source_digest, text_digest,
+  'sha256:' || sha256(block) AS block_digest, content_type, 'text/html; charset=utf-8' AS http_content_type, title,
+  CAST(strlen(block) AS BIGINT) AS content_length
+FROM both_records
+"""
+
+SQL["op10_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS g
+  FROM w, unnest(range(1, len(words) - 11)) AS t(i)
+), firsts AS (
+  SELECT g, min(doc_id) AS first_doc FROM win GROUP BY g
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM win JOIN firsts USING (g) WHERE first_doc < doc_id
+), place AS (
+  SELECT doc_id, p, words[p] AS word FROM w, unnest(range(1, len(words) + 1)) AS t(p)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM place ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept k USING (doc_id)
+"""

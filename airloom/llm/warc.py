@@ -57,7 +57,7 @@ def plain_text(html: Column) -> Column:
         t = F.replace(t, F.lit(name), F.lit(char))
     t = F.regexp_replace(t, r"[ \t\r\f]+", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
+    return F.regexp_replace(t, r"\A[ \n]+|[ \n]+\z", "")
 
 
 def title(html: Column) -> Column:
