@@ -29,6 +29,15 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of an Arrow batch of texts: a batch is held in a task's memory several times over.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of BATCH_ROWS rows (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,7 +1,7 @@
 """Exact substring dedup with an FM-index per shard.
 
 A window is 13 consecutive words. Each window is named by its minimizer, the
-6 words in it with the least hash: equal windows have equal minimizers, so
+8 words in it with the least hash: equal windows have equal minimizers, so
 windows can be compared shard by shard. Minimizers that occur in one
 document only are dropped first. Around the others, the runs of windows with
 one minimizer ("segments") go to the shard of that minimizer. A shard builds
@@ -9,14 +9,13 @@ an FM-index of its different segments and streams them through it: backward
 search over the wavelet matrix of the Burrows-Wheeler transform gives, for
 each place, whether the match there reaches 13 words, and the interval of
 its occurrences, whose least document is the one that keeps the words.
-Segments of a minimizer with very many of them are cut into single windows,
-which are dealt by their own words.
+
+What travels is packed: one row holds all that a few thousand documents have
+for one bucket of minimizers or one shard.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,21 +24,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import id_filter, partitions, runs, save, text_bytes
+from airloom.llm.common import id_filter, partitions, runs, save, small_batches, text_bytes
 from airloom.llm.fm_index import FMIndex
 
 WINDOW = 13
-SEED_WORDS = 6
-SYMBOL_BYTES = 6  # of a word's hash, kept in a segment
-LOCAL_COPIES = 16  # documents of one batch with one seed, from which on only the outer two are dealt
-LARGE_SEED = 200_000  # segments of one seed, from which on its windows are dealt singly
-SHARD_WORDS = 1_000_000  # words of one FM-index, about
-BYTES_AT_ONCE = 2 << 20
+SEED_WORDS = 8
+SEED_BYTES = 6  # of a minimizer's hash, where minimizers of documents are compared
+SYMBOL_BYTES = 5  # of a word's hash, where the words of segments are compared
+LOCAL_COPIES = 16  # documents of one batch with one seed, from which on only the outer two are compared
+CROWDED = 200_000  # documents with one seed, from which on its windows are grouped by Spark
+SHARDS = 8  # per shuffle partition
+BYTES_AT_ONCE = 1 << 20
 P = np.uint64(0x9E3779B97F4A7C15)
 Q = np.uint64(0xD6E8FEB86659FD93)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def low_bytes(h: np.ndarray, n: int) -> bytes:
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
+
+
+def from_low_bytes(data: bytes, n: int) -> np.ndarray:
+    wide = np.zeros((len(data) // n, 8), np.uint8)
+    wide[:, :n] = np.frombuffer(data, np.uint8).reshape(-1, n)
+    return wide.view("<u8").ravel()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * Q
     h = (h ^ (h >> np.uint64(29))) * Q
@@ -112,10 +122,21 @@ def _parts(batches: Iterator[pa.RecordBatch], text_column: int) -> Iterator[tupl
                 first, size = i + 1, 0
 
 
+def _bucket_rows(bucket: np.ndarray, order_by: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its rows), rows in the given order: neighbouring documents compress well."""
+    order = np.lexsort((order_by, bucket))
+    cut = runs(bucket[order])
+    for x, y in zip(cut[:-1], cut[1:]):
+        yield int(bucket[order[x]]), order[x:y]
+
+
 def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, seed): the minimizers of each document that occur in another document, too."""
-    spark = docs.sparkSession
-    buckets = partitions(spark)
+    """(doc_id, seed, crowded): the minimizers of each document that occur in another one, too.
+
+    ``seed`` is the low half of the hash, which is enough to find it again
+    in its document. A task holds one bucket of minimizers.
+    """
+    buckets, local_copies, crowd = partitions(docs.sparkSession), LOCAL_COPIES, CROWDED
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "known", "seeds", "docs"]
@@ -131,88 +152,93 @@ def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
             copies = np.repeat(np.diff(bound), np.diff(bound))
             outer = np.zeros(len(seed), bool)
             outer[bound[:-1]] = outer[bound[1:] - 1] = True
-            known = (copies >= LOCAL_COPIES) & ~outer
-            bucket = ((seed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+            known = (copies >= local_copies) & ~outer
+            bucket = ((seed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
             rows = []
-            for is_known, chosen in ((False, ~known), (True, known)):
-                order = np.argsort(bucket[chosen], kind="stable")
-                s, d, k = seed[chosen][order], doc[chosen][order], bucket[chosen][order]
-                cut = runs(k)
-                rows += [(int(k[x]), is_known, s[x:y].tobytes(), d[x:y].tobytes()) for x, y in zip(cut[:-1], cut[1:])]
+            for is_known in (False, True):
+                chosen = np.flatnonzero(known == is_known)
+                for k, at in _bucket_rows(bucket[chosen], doc[chosen]):
+                    at = chosen[at]
+                    rows.append((k, is_known, low_bytes(seed[at], SEED_BYTES), doc[at].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
     def shared(t: pa.Table) -> pa.Table:
-        known = t.column("known").to_numpy(zero_copy_only=False)
-        seeds, ids = t.column("seeds").to_pylist(), t.column("docs").to_pylist()
-        s = np.concatenate([np.frombuffer(x, np.uint64) for x, k in zip(seeds, known) if not k] or [np.zeros(0, np.uint64)])
-        d = np.concatenate([np.frombuffer(x, np.int64) for x, k in zip(ids, known) if not k] or [np.zeros(0, np.int64)])
+        seeds = [from_low_bytes(x, SEED_BYTES) for x in t.column("seeds").to_pylist()]
+        s = np.concatenate(seeds)
+        d = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("docs").to_pylist()])
+        # Of the documents known to share a seed the outer ones stand in the comparison.
         order = np.argsort(s, kind="stable")
         s, d = s[order], d[order]
         bound = runs(s)
-        if len(s):
-            differ = np.minimum.reduceat(d, bound[:-1]) < np.maximum.reduceat(d, bound[:-1])
-            found = np.repeat(differ, np.diff(bound))
-            s, d = s[found], d[found]
-        s = np.concatenate([s, *(np.frombuffer(x, np.uint64) for x, k in zip(seeds, known) if k)])
-        d = np.concatenate([d, *(np.frombuffer(x, np.int64) for x, k in zip(ids, known) if k)])
-        return pa.table({"doc_id": d, "seed": s.view(np.int64)})
+        size = np.diff(bound)
+        differ = np.minimum.reduceat(d, bound[:-1]) < np.maximum.reduceat(d, bound[:-1])
+        found, crowded = np.repeat(differ, size), np.repeat(size >= crowd, size)
+        return pa.table({"doc_id": d[found], "seed": s[found].astype(np.uint32).view(np.int32), "crowded": crowded[found]})
 
     return (
         docs.select("doc_id", "text")
         .mapInArrow(deal, "bucket long, known boolean, seeds binary, docs binary")
         .groupBy("bucket")
-        .applyInArrow(shared, "doc_id long, seed long")
+        .applyInArrow(shared, "doc_id long, seed int, crowded boolean")
     )
 
 
-def _segments(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
-    """(seed, doc_id, text_id, start, seg): runs of windows with one shared minimizer."""
-    per_doc = save(shared.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "shared-seeds")
-    found = docs.filter(id_filter(per_doc.select("doc_id"), F.col("doc_id"))).join(per_doc, "doc_id")
+def _wanted(b: pa.RecordBatch, column: str, text: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Windows whose minimizer is in its document's list."""
+    lists = b.column(b.schema.get_field_index(column))
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    first = np.searchsorted(text, np.arange(b.num_rows + 1))
+    low = seed.astype(np.uint32).view(np.int32)
+    out = np.zeros(len(text), bool)
+    for i in range(b.num_rows):
+        own = slice(first[i], first[i + 1])
+        out[own] = np.isin(low[own], values[at[i] : at[i + 1]])
+    return out
+
+
+def _to_shards(found: DataFrame, window: int, shards: int) -> DataFrame:
+    """(shard, symbols, lengths, docs, texts, starts): the segments, packed by shard."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in _parts(batches, 2):
             h, bounds = words_of(texts)
-            start, text, place, seed = minimizers(h, bounds, window)
-            lists = b.column(3)
-            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            wanted = np.zeros(len(start), bool)
-            first = np.searchsorted(text, np.arange(len(texts) + 1))
-            for i in range(len(texts)):
-                own = slice(first[i], first[i + 1])
-                wanted[own] = np.isin(seed[own], values[at[i] : at[i + 1]].view(np.uint64))
-            start, text, place, seed = start[wanted], text[wanted], place[wanted], seed[wanted]
+            start, text, _, seed = minimizers(h, bounds, window)
+            keep = _wanted(b, "seeds", text, seed)
+            start, text, seed = start[keep], text[keep], seed[keep]
+            if not len(start):
+                continue
             # A segment: neighbouring windows of one text with the same minimizer.
             new = np.ones(len(start), bool)
-            new[1:] = (np.diff(start) != 1) | (np.diff(place) != 0) | (np.diff(text) != 0)
+            new[1:] = (np.diff(start) != 1) | (seed[1:] != seed[:-1]) | (text[1:] != text[:-1])
             begin = np.flatnonzero(new)
-            last = np.concatenate((begin[1:], [len(start)])).astype(np.int64) - 1 if len(begin) else begin
-            octets = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL_BYTES]
-            packed = np.ascontiguousarray(octets).tobytes()
-            a, z = start[begin], start[last] + window if len(begin) else begin
-            segs = [packed[x * SYMBOL_BYTES : y * SYMBOL_BYTES] for x, y in zip(a.tolist(), z.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seed[begin].view(np.int64)), b.column(0).take(pa.array(text[begin])), b.column(1).take(pa.array(text[begin])), pa.array((a - bounds[text[begin]]).astype(np.int32)), pa.array(segs, pa.binary())],
-                names=["seed", "doc_id", "text_id", "start", "seg"],
-            )
-
-    return found.select("doc_id", "text_id", "text", "seeds").mapInArrow(cut, "seed long, doc_id long, text_id long, start int, seg binary")
-
-
-def shard_minima(segs: list[bytes], first_doc: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each segment, the least document of each of its windows, by an FM-index of all."""
-    count = np.array([len(s) // SYMBOL_BYTES for s in segs], np.int64)
-    octets = np.frombuffer(b"".join(segs), np.uint8).reshape(-1, SYMBOL_BYTES)
-    wide = np.zeros((len(octets), 8), np.uint8)
-    wide[:, :SYMBOL_BYTES] = octets
-    _, symbol = np.unique(wide.view("<u8").ravel(), return_inverse=True)
-    owner = np.repeat(np.arange(len(segs)), count)
-    text = np.zeros(len(symbol) + len(segs), np.int64)  # a separator after each segment
-    text[np.arange(len(symbol)) + owner] = symbol + 1
+            last = np.append(begin[1:], len(start)) - 1
+            first_word, owner = start[begin], text[begin]
+            size = start[last] + window - first_word
+            symbols = np.frombuffer(low_bytes(h, SYMBOL_BYTES), np.uint8).reshape(-1, SYMBOL_BYTES)
+            docs, hashes = b.column(0).to_numpy(), b.column(1).to_numpy()
+            shard = ((seed[begin] >> np.uint64(24)) % np.uint64(shards)).astype(np.int64)
+            rows = []
+            for k, at in _bucket_rows(shard, owner):
+                words = np.repeat(first_word[at] - np.cumsum(size[at]) + size[at], size[at]) + np.arange(size[at].sum())
+                rows.append(
+                    (k, symbols[words].tobytes(), size[at].astype(np.int32).tobytes(), docs[owner[at]].tobytes(), hashes[owner[at]].tobytes(), (first_word[at] - bounds[owner[at]]).astype(np.int32).tobytes())
+                )
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "symbols", "lengths", "docs", "texts", "starts"])
+
+    fields = "shard long, symbols binary, lengths binary, docs binary, texts binary, starts binary"
+    return found.select("doc_id", "text_id", "text", "seeds").mapInArrow(cut, fields)
+
+
+def shard_minima(symbols: np.ndarray, count: np.ndarray, first_doc: np.ndarray, window: int) -> np.ndarray:
+    """For every window of the segments (``count`` symbols each), one after another, the
+    least document that has it, by an FM-index of all segments."""
+    owner = np.repeat(np.arange(len(count)), count)
+    text = np.zeros(len(symbols) + len(count), np.int64)  # a separator after each segment
+    text[np.arange(len(symbols)) + owner] = np.unique(symbols, return_inverse=True)[1] + 1
     begin = np.cumsum(count + 1) - (count + 1)
     index = FMIndex(text, window)
     windows = count - window + 1
-    of = np.repeat(np.arange(len(segs)), windows)
+    of = np.repeat(np.arange(len(count)), windows)
     starts = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows) + begin[of]
     lo, hi = index.search(starts, window)
     least = first_doc[of].copy()
@@ -225,7 +251,58 @@ def shard_minima(segs: list[bytes], first_doc: np.ndarray, window: int) -> list[
         cuts = np.column_stack((left, right)).ravel()
         minima = np.minimum.reduceat(np.append(doc_of, np.iinfo(np.int64).max), cuts)[::2]
         least[many] = minima[inverse]
-    return np.split(least, np.cumsum(windows)[:-1])
+    return least
+
+
+def _shard_intervals(t: pa.Table, window: int) -> pa.Table:
+    """What the segments of one shard lose, as (doc_id, text_id, lo, hi)."""
+    column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in t.column(name).to_pylist()])
+    count, doc, text, start = (column(n, k).astype(np.int64) for n, k in (("lengths", np.int32), ("docs", np.int64), ("texts", np.int32), ("starts", np.int32)))
+    packed = b"".join(t.column("symbols").to_pylist())
+    end = np.cumsum(count) * SYMBOL_BYTES
+    # Equal segments stand in the index once, with their least document.
+    number: dict[bytes, int] = {}
+    same = np.array([number.setdefault(packed[x:y], len(number)) for x, y in zip((end - count * SYMBOL_BYTES).tolist(), end.tolist())], np.int64)
+    first_doc = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(first_doc, same, doc)
+    sizes = np.array([len(x) for x in number], np.int64) // SYMBOL_BYTES
+    least = shard_minima(from_low_bytes(b"".join(number), SYMBOL_BYTES), sizes, first_doc, window)
+    windows = sizes - window + 1
+    begin = np.cumsum(windows) - windows
+    n = windows[same]
+    row = np.repeat(np.arange(len(same)), n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    later = least[begin[same[row]] + place] < doc[row]
+    row, place = row[later], place[later]
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (np.diff(place) != 1)
+    a = np.flatnonzero(new)
+    z = np.append(a[1:], len(row))[: len(a)] - 1
+    r = row[a]
+    return pa.table(
+        {"doc_id": doc[r], "text_id": text[r].astype(np.int32), "lo": (start[r] + place[a]).astype(np.int32), "hi": (start[r] + place[z] + window).astype(np.int32)}
+    )
+
+
+def _crowded_intervals(found: DataFrame, window: int) -> DataFrame:
+    """The same for the minimizers of very many documents: each window is grouped by its
+    words, which Spark combines on the map side and whose join it splits where it is skewed."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in _parts(batches, 2):
+            h, bounds = words_of(texts)
+            start, text, _, seed = minimizers(h, bounds, window)
+            keep = _wanted(b, "crowded", text, seed)
+            start, owner = start[keep], pa.array(text[keep])
+            packed = low_bytes(h, SYMBOL_BYTES)
+            words = [packed[x * SYMBOL_BYTES : (x + window) * SYMBOL_BYTES] for x in start.tolist()]
+            lo = pa.array((start - bounds[text[keep]]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), b.column(0).take(owner), b.column(1).take(owner), lo], names=["words", "doc_id", "text_id", "lo"])
+
+    rows = found.filter("size(crowded) > 0").select("doc_id", "text_id", "text", "crowded")
+    each = save(rows.mapInArrow(cut, "words binary, doc_id long, text_id int, lo int"), "crowded-windows")
+    firsts = each.groupBy("words").agg(F.min("doc_id").alias("first_doc"))
+    return each.join(firsts, "words").filter("first_doc < doc_id").select("doc_id", "text_id", "lo", (F.col("lo") + window).alias("hi"))
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -233,50 +310,20 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``docs`` has doc_id (not null), text_id (a hash of the text) and text.
     """
-    spark = docs.sparkSession
-    segs = save(_segments(docs, _shared_seeds(docs, window), window), "segments")
-    words, large = segs.agg(F.sum(F.octet_length("seg")).alias("n")).first()[0] or 0, F.lit(LARGE_SEED)
-    shards = max(partitions(spark), math.ceil(words / SYMBOL_BYTES / SHARD_WORDS))
-    distinct = segs.groupBy("seed", "seg").agg(F.min("doc_id").alias("first_doc"))
-    crowded = segs.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= large).select("seed", F.lit(True).alias("crowded"))
-    h = F.xxhash64("seg")
-    dealt = distinct.join(crowded, "seed", "left").withColumns({"h": h, "at": F.lit(0)})
-    one = F.expr(f"transform(sequence(0, cast(octet_length(seg) / {SYMBOL_BYTES} as int) - {window}), i -> struct(i as at, substring(seg, i * {SYMBOL_BYTES} + 1, {window * SYMBOL_BYTES}) as seg))")
-    single = dealt.filter("crowded").select("seed", "h", "first_doc", F.explode(one).alias("w")).select("seed", "h", "first_doc", "w.at", "w.seg")
-    whole = dealt.filter("crowded IS NULL").select("seed", "h", "first_doc", "at", "seg")
-    key = F.pmod(F.xxhash64("seed"), F.lit(shards))
-    own = F.pmod(F.xxhash64("seg"), F.lit(shards))
-    to_shards = whole.withColumn("shard", key).unionByName(single.withColumn("shard", own))
-
-    def match(t: pa.Table) -> pa.Table:
-        least = shard_minima(t.column("seg").to_pylist(), t.column("first_doc").to_numpy(), window)
-        n = np.array([len(x) for x in least])
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(np.concatenate(least)))
-        return pa.table({"seed": t.column("seed"), "h": t.column("h"), "at": t.column("at"), "least": lists})
-
-    minima = to_shards.groupBy("shard").applyInArrow(match, "seed long, h long, at int, least array<long>")
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, start = b.column(0).to_numpy(), b.column(2).to_numpy()
-            lists = b.column(3)
-            bound = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            least = lists.flatten().to_numpy()
-            row = np.repeat(np.arange(len(doc)), np.diff(bound))
-            later = least < doc[row]
-            begin = np.flatnonzero(later & np.concatenate(([True], ~later[:-1] | (row[1:] != row[:-1]))))
-            end = np.flatnonzero(later & np.concatenate((~later[1:] | (row[1:] != row[:-1]), [True])))
-            r = row[begin]
-            lo = start[r] + (begin - bound[r])
-            hi = start[r] + (end - bound[r]) + window
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), b.column(1).take(pa.array(r)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["doc_id", "text_id", "lo", "hi"])
-
-    occurrences = segs.select("seed", h.alias("h"), "doc_id", "text_id", "start")
-    return (
-        occurrences.join(minima, ["seed", "h"])
-        .select("doc_id", "text_id", (F.col("start") + F.col("at")).alias("start"), "least")
-        .mapInArrow(report, "doc_id long, text_id long, lo int, hi int")
+    shared = _shared_seeds(docs, window)
+    per_doc = save(
+        shared.groupBy("doc_id").agg(
+            F.collect_set(F.when(~F.col("crowded"), F.col("seed"))).alias("seeds"),
+            F.collect_set(F.when(F.col("crowded"), F.col("seed"))).alias("crowded"),
+        ),
+        "shared-seeds",
     )
+    found = docs.filter(id_filter(per_doc.select("doc_id"), F.col("doc_id"))).join(per_doc, "doc_id")
+    packed = _to_shards(found, window, SHARDS * partitions(docs.sparkSession))
+    intervals = packed.groupBy("shard").applyInArrow(lambda t: _shard_intervals(t, window), "doc_id long, text_id int, lo int, hi int")
+    if not per_doc.filter("size(crowded) > 0").isEmpty():
+        intervals = intervals.unionByName(_crowded_intervals(found, window))
+    return intervals
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,12 +338,13 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     columns and an empty table come back as they are; columns n_words,
     n_removed and kept of the input are replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed", "kept")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col)).alias("text_id"), F.col(text_col).cast("string").alias("text"))
     found = repeated_intervals(rows.filter("doc_id IS NOT NULL AND text IS NOT NULL"), window)
     cuts = save(found.groupBy("doc_id", "text_id").agg(F.collect_set(F.struct("lo", "hi")).alias("_cuts")), "repeated-intervals")
     names = docs.columns
-    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_text_id": F.xxhash64(F.col(text_col))})
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_text_id": F.hash(F.col(text_col))})
     tested = keyed.withColumn("_cut", id_filter(cuts.select("doc_id"), F.col("_id")))
     cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"), "_cuts")
     some = tested.filter("_cut").join(cuts, ["_id", "_text_id"], "left").select(*names, "_cuts")

@@ -55,14 +55,19 @@ def test_shared_passages(spark, window):
     assert run(spark, rows, window) == slow(rows, window)
 
 
+def test_packed_bytes_round_trip():
+    h = np.array([0, 1, 2**40 - 1, 2**63], np.uint64)
+    assert S.from_low_bytes(S.low_bytes(h, 5), 5).tolist() == [0, 1, 2**40 - 1, 0]
+
+
 def test_few_words_repeat_often(spark):
     r = random.Random(7)
     rows = [doc(i, " ".join(r.choice("ab") for _ in range(r.randint(10, 60)))) for i in range(60)]
     assert run(spark, rows) == slow(rows, 13)
 
 
-def test_crowded_seeds_are_cut_into_windows(spark, monkeypatch):
-    monkeypatch.setattr(S, "LARGE_SEED", 3)
+def test_crowded_seeds_are_grouped_by_window(spark, monkeypatch):
+    monkeypatch.setattr(S, "CROWDED", 4)
     monkeypatch.setattr(S, "LOCAL_COPIES", 3)
     rows = shared_passages(99) + [doc(2000 + i, prose(i, 9) + " " + prose(5, 25) + " " + prose(i + 500, 9)) for i in range(40)]
     assert run(spark, rows) == slow(rows, 13)
