@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airloom.llm.common import save
+from airloom.llm.common import save, small_batches
 
 FILTER_BITS = 26  # size of the seed filter in every task: 2**26 bits, whatever the benchmark
 FIRST_LENGTH = 20  # first search length of the tiling
@@ -154,6 +154,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, thre
     out; empty tables give an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("item_text")).withColumn("item_key", F.xxhash64("item_id", "item_text"))
     seeds = _item_seeds(items.select("item_key", "item_text").distinct(), min_match, threshold)
     bitmap = spark.sparkContext.broadcast(_seed_filter(seeds))

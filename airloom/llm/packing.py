@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import blocks, save
+from airloom.llm.common import blocks, save, small_batches
 from airloom.llm.tokens import default_vocabulary, encoder, parts
 
 OPEN_WINDOWS = 256
@@ -99,7 +99,7 @@ def pack(docs: DataFrame, capacity: int = 1024, open_windows: int = OPEN_WINDOWS
     are packed like any others; other columns are left out. An empty table
     gives an empty result. sequence_id is unique, not gapless.
     """
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

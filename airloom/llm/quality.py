@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import save, text_bytes
+from airloom.llm.common import save, small_batches, text_bytes
 
 FEATURES = (
     "log_bytes", "log_words", "word_length", "distinct_words", "top_word", "repeated_pairs",
@@ -77,6 +77,8 @@ def statistics(text: bytes) -> list[float]:
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, x array<double>) of every row; a null text counts as empty."""
 
+    small_batches(docs.sparkSession)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([statistics(t) for t in text_bytes(b.column(1))], dtype=np.float64).reshape(-1, D)

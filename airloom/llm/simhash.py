@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import grouped_rows, partitions, runs, save, text_bytes
+from airloom.llm.common import grouped_rows, partitions, runs, save, small_batches, text_bytes
 from airloom.llm.components import components
 
 SEED = 42
@@ -59,6 +59,8 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
 
+    small_batches(docs.sparkSession)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, shingle) for t in text_bytes(b.column(1))), np.uint64, b.num_rows)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airloom.llm.common import small_batches
 from airloom.llm.tokens import default_vocabulary, encoder, parts
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -24,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def count_tokens(docs: DataFrame, vocabulary: str | None = None, text_col: str = "text", out: str = "tokens") -> DataFrame:
     """``docs`` with the number of BPE ids of the whole text; null counts as empty."""
+    small_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
     kept = [c for c in docs.columns if c not in (out, text_col)]
 
