@@ -17,7 +17,8 @@ from airloom.operators import clean as C
 from airloom.operators import dimension as D
 from airloom.operators import history as H
 from airloom.options import PARAMETER_ID, FlattenOptions, QualityRules
-from airloom.schema import LOCATION_PAGE, MEASUREMENT_PAGE, READINGS_PAGE
+from airloom.schema import LOCATION_DIM, LOCATION_PAGE, MEASUREMENT_PAGE, READINGS_PAGE
+from airloom.session import scratch_path
 from airloom.sinks.curated import drop_dates, write_curated
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sinks.raw import order_key, reading_record, replace_runs
@@ -122,7 +123,10 @@ def enrich_job(
     details = parse_envelope(detail_texts.join(ids, "location_id", "left_semi"), "text",
                              LOCATION_PAGE)
     # Failed lookups are not stored, so they enrich to null metadata.
-    added = D.new_stations(cache, D.normalize_location(details), failed)
+    # They are written once: to see whether there are any, and to make the next version.
+    path = scratch_path(spark, "new-stations")
+    D.new_stations(cache, D.normalize_location(details), failed).write.parquet(path)
+    added = spark.read.schema(LOCATION_DIM).parquet(path)
     dim = cache
     if not added.isEmpty():
         write_dimension(cache.select(*D.DIM_COLUMNS).unionByName(added), dimension_root)
