@@ -38,6 +38,16 @@ _ODD = _MARK & ~np.isin(_ASCII, np.frombuffer(SENTENCE_MARKS + b"!", np.uint8))
 _BLANK = np.isin(_ASCII, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
 
 
+# Every text is measured as if it went on with so much ordinary prose, so that the
+# shares of a text of a few words stay close to those of prose.
+PRIOR_WORDS, PRIOR_BYTES, PRIOR_LINES = 25, 150, 2
+
+
+def share(part: float, whole: float, prior: float = 0.0, typical: float = 0.0) -> float:
+    """arcsin sqrt of a share, after ``prior`` more of the whole with the ``typical`` share."""
+    return math.asin(math.sqrt(min(1.0, max(0.0, (part + prior * typical) / max(whole + prior, 1)))))
+
+
 def statistics(text: bytes) -> list[float]:
     """The transformed statistics of one whole text, in the order of FEATURES."""
     b = np.frombuffer(text, np.uint8)
@@ -49,28 +59,27 @@ def statistics(text: bytes) -> list[float]:
     counts: dict[bytes, int] = {}
     for x in words:
         counts[x] = counts.get(x, 0) + 1
-    pairs = set(zip(words, words[1:]))
+    again = max(0, w - 1 - len(set(zip(words, words[1:]))))
     lines = [x for x in text.split(b"\n") if x.strip()]
     is_odd, is_blank = _ODD[b], _BLANK[b]
     ends = int((is_odd[:-1] & is_blank[1:]).sum()) if n > 1 else 0
     short = sum(1 for x in counts if len(x) <= 3)
-    dw, dl = max(w, 1), max(len(lines), 1)
-    share = lambda a, c: math.asin(math.sqrt(min(1.0, max(0.0, a / max(c, 1)))))
+    pw, pb, pl = PRIOR_WORDS, PRIOR_BYTES, PRIOR_LINES
     return [
         math.log1p(n),
         math.log1p(w),
-        math.log1p((n - hist[_BLANK].sum()) / dw),
-        share(len(counts), w) * math.log1p(w) / 4,
-        share(max(counts.values(), default=0), w),
-        share(w - 1 - len(pairs), w - 1) if w > 1 else 0.0,
-        share(hist[_UPPER].sum(), letters),
-        share(hist[_DIGIT].sum(), n),
-        share(marks, n),
-        share(odd, n),
-        share(ends, w),
-        math.log1p(n / dl),
-        share(len(lines) - len(set(lines)), dl),
-        share(short, len(counts)),
+        math.log1p((n - hist[_BLANK].sum() + pb) / (w + pw)),
+        share(len(counts), w, pw, 0.8) * math.log1p(w + pw) / 4,
+        share(max(counts.values(), default=0), w, pw, 0.05),
+        share(again, w - 1, pw, 0.02),
+        share(hist[_UPPER].sum(), letters, pb, 0.03),
+        share(hist[_DIGIT].sum(), n, pb, 0.001),
+        share(marks, n, pb, 0.02),
+        share(odd, n, pb),
+        share(ends, w, pw),
+        math.log1p((n + 200 * pl) / (len(lines) + pl)),
+        share(len(lines) - len(set(lines)), len(lines), pl, 0.02),
+        share(short, len(counts), pw, 0.2),
     ]
 
 
