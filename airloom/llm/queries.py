@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import decontamination, packing, quality, sharding, simhash, substring_dedup, token_counts, topk, url_filters, warc
+from airloom.llm import decontamination, packing, quality, sharding, simhash, substring_dedup, token_counts, tokens, topk, url_filters, warc
 from airloom.llm.common import save, table
 from airloom.session import scratch_path
 
@@ -23,7 +23,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), capacity=1024)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), capacity=1024, vocabulary=tokens.tokenizer_file())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -53,7 +53,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     all counts revised for the BPE tokenizer, and the first batch sent again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     docs = docs.withColumns({"words": token_counts.count_words(F.col("text")), "text_id": F.sha2(F.col("text").cast("binary"), 256)})
-    counted = save(token_counts.count_tokens(docs), "token-counts")
+    counted = save(token_counts.count_tokens(docs, tokens.tokenizer_file()), "token-counts")
     # One row of each text, and every row without text: grouped, not joined, so that a text
     # that a third of the documents share is reduced before the shuffle.
     one = F.min_by(F.struct("source", "lang", "words", "tokens"), "doc_id").alias("r")

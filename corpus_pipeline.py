@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airloom.llm import decontamination, packing, quality, simhash, substring_dedup
+from airloom.llm import decontamination, packing, quality, simhash, substring_dedup, tokens
 from airloom.llm.common import id_filter, save, table
 
 
@@ -51,7 +51,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 token ids."""
-    return packing.pack(docs, capacity=1024)
+    return packing.pack(docs, capacity=1024, vocabulary=tokens.tokenizer_file())
 
 
 STAGES = [
