@@ -56,7 +56,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = save(token_counts.count_tokens(docs, tokens.tokenizer_file()), "token-counts")
     # One row of each text, and every row without text: grouped, not joined, so that a text
     # that a third of the documents share is reduced before the shuffle.
-    one = F.min_by(F.struct("source", "lang", "words", "tokens"), "doc_id").alias("r")
+    # Ordered by a struct that is never null: a text may have rows with a null doc_id only.
+    values = ["source", "lang", "words", "tokens"]
+    one = F.min_by(F.struct(*values), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *values)).alias("r")
     kept = counted.filter("text_id IS NOT NULL").groupBy("text_id").agg(one).select("r.*")
     kept = save(kept.unionByName(counted.filter("text_id IS NULL").select(kept.columns)), "kept-counts")
     rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))

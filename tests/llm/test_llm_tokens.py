@@ -55,3 +55,12 @@ def test_packing(spark, sf_dir, ids):
 def test_token_counts(spark, sf_dir, ids):
     (row,) = queries.op9_token_counts(spark, sf_dir).collect()
     assert (row.documents, row.tokens) == (len(ids), sum(map(len, ids)))
+
+
+def test_texts_of_null_ids_count(spark, tmp_path):
+    nobody, shared = prose(2, 30), prose(3, 20)
+    rows = [doc(None, nobody, "fr", "t"), doc(None, nobody, "en", "t"), doc(None, shared, "de"), doc(5, shared, "en"), doc(5, shared, "aa")]
+    frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    count = tokens.encoder(tokens.tokenizer_file()).count
+    got = {(r.source, r.lang, r.documents, r.tokens) for r in queries.op9_token_counts(spark, str(tmp_path)).collect()}
+    assert got == {("t", "en", 1, count(nobody)), ("s", "aa", 1, count(shared))}
