@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm.common import grouped_rows, partitions, runs, save, small_batches, text_bytes
@@ -69,6 +70,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(work, "doc_id long, fp long")
 
 
+def print_of(text: Column, shingle: int = 3) -> Column:
+    """The fingerprint of a text as a signed long, as ``fingerprints`` gives it."""
+
+    @F.pandas_udf("long")
+    def made(texts: pd.Series) -> pd.Series:
+        fp = np.fromiter((fingerprint(t.encode() if isinstance(t, str) else b"", shingle) for t in texts), np.uint64, len(texts))
+        return pd.Series(fp.view(np.int64))
+
+    return made(text.cast("string"))
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Syndrome of each byte at each place (31 positions; the top bit is free), and
     for each syndrome the 15 pairs of positions whose sum it is, as bit masks."""
@@ -160,6 +172,21 @@ def near_links(fps: DataFrame, bits: int = 3) -> DataFrame:
     )
 
 
+def clusters(docs: DataFrame, bits: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp, root and component_id of every row, as ``near_duplicates`` states them.
+
+    ``root`` is a component's own key: components of rows that share a
+    doc_id may have the same component_id.
+    """
+    prints = save(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    first = save(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    roots = components(near_links(first.select("fp"), bits)).select(F.col("node").alias("fp"), "root")
+    named = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = named.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.
 
@@ -171,10 +198,5 @@ def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, id_col: st
     component_id. Repeated rows are returned as often as they come; other
     columns are left out; an empty table gives an empty result.
     """
-    prints = save(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
-    first = save(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    roots = components(near_links(first.select("fp"), bits)).select(F.col("node").alias("fp"), "root")
-    named = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rows = clusters(docs, bits, shingle, id_col, text_col)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -22,13 +22,20 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id, once."""
-    groups = save(simhash.near_duplicates(docs).filter("doc_id IS NOT NULL"), "near-duplicates")
-    odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least")).filter("n > 1 OR least <> doc_id")
-    dropped = odd.filter("least <> doc_id").select("doc_id")
+    """Of each group of near duplicates one row, of the least doc_id.
+
+    A row is judged by its own text: rows that share a doc_id may belong to
+    different groups, and a group may be named by the id of another, too.
+    """
+    groups = save(simhash.clusters(docs).filter("doc_id IS NOT NULL"), "near-duplicates")
+    named = F.col("component_id") == F.col("doc_id")
+    odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(named).alias("names")).filter("n > 1 OR NOT names")
+    dropped = odd.filter("NOT names").select("doc_id")
+    places = groups.filter(named).groupBy("doc_id", F.col("fp").alias("_fp")).agg(F.min("root").alias("_root"))
     tested = docs.withColumn("_odd", id_filter(odd.select("doc_id"), F.col("doc_id")))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"]))
-    kept = tested.filter("_odd").drop("_odd").join(dropped, "doc_id", "left_anti").withColumn("_n", first).filter("_n = 1")
+    rest = tested.filter("_odd").drop("_odd").join(dropped, "doc_id", "left_anti").withColumn("_fp", simhash.print_of(F.col("text")))
+    first = F.row_number().over(Window.partitionBy("doc_id", "_root").orderBy(*[c for c in docs.columns if c != "doc_id"]))
+    kept = rest.join(places, ["doc_id", "_fp"]).withColumn("_n", first).filter("_n = 1")
     return tested.filter("NOT _odd").select(docs.columns).unionByName(kept.select(docs.columns))
 
 
