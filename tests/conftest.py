@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 
@@ -6,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from airloom.schema import RAW_READING  # noqa: E402
 from airloom.session import build_session  # noqa: E402
 
 
@@ -17,33 +13,3 @@ def spark():
     s = build_session("local[4]", shuffle_partitions=4, app_name="airloom-tests")
     yield s
     s.stop()
-
-
-TOWNS = ["Porto", "Gdansk", "Bergen", "Lucca", "Tartu"]
-
-
-def reading(id=1, value=10.0, utc="2026-08-27T10:00:00Z", **extra):
-    """A landed reading of station ``id``, with the metadata that station always has."""
-    n = id if isinstance(id, int) else 0
-    meta = {"name": f"station {n}", "city": TOWNS[n % 5], "country": "PTPLNOITEE"[n % 5 * 2:][:2]}
-    made = {"value": value, "locationsId": id, "sensorsId": n * 10 + 2, "location_meta": meta}
-    return {**made, "datetime": {"utc": utc, "local": "ignored"}, **extra}
-
-
-def raw_frame(spark, records, files=None):
-    """Records -> (_file, _pos, record) parsed from JSON text with the raw schema.
-
-    ``files`` gives the landed file of each record (default one file).
-    """
-    files = files or ["run_000000.json"] * len(records)
-    rows, pos = [], {}
-    for f, r in zip(files, records):
-        p = pos.get(f, 0)
-        pos[f] = p + 1
-        text = r if isinstance(r, str) else json.dumps(r, allow_nan=True)
-        rows.append((f, p, text))
-    df = spark.createDataFrame(rows, "_file string, _pos long, text string")
-    return df.select(
-        "_file", "_pos", F.from_json("text", RAW_READING, {"allowNonNumericNumbers": "true"})
-        .alias("record")
-    )

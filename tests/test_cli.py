@@ -7,7 +7,7 @@ from airloom.__main__ import main
 from airloom.sinks.dimension import read_dimension
 from airloom.sources.curated import read_curated
 from airloom.sources.raw import read_raw
-from conftest import reading
+from landings import reading
 
 
 def test_curate_views_and_find(spark, tmp_path):

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from airloom.operators import clean as C
 from airloom.options import QualityRules
-from conftest import raw_frame, reading
+from landings import raw_frame, reading
 
 # Timestamp spellings and what they mean (UTC wall clock), None = unparseable.
 STAMPS = {

@@ -10,7 +10,7 @@ from airloom.plans import jobs as J
 from airloom.sinks.raw import reading_record, write_raw
 from airloom.sources.curated import read_curated, register_table
 from airloom.sources.raw import read_raw, read_raw_dates
-from conftest import reading
+from landings import reading
 
 
 def land_array(root, date, name, records, indent=2):

@@ -37,7 +37,7 @@ def test_incremental_curation_of_array_landings(spark, tmp_path):
     import json
     import os
 
-    from conftest import reading
+    from landings import reading
 
     raw, out, ck = (str(tmp_path / p) for p in ("raw", "cur", "ck"))
 
