@@ -114,7 +114,7 @@ def wow_trend(
     (``LAG``). Partitioning by city only interleaves same-named cities of
     different countries; ``country`` is added to the order to make ties
     deterministic. One window operator serves all three LAG uses.
-    ``ordered`` sorts by (city, week_start) for presentation.
+    ``ordered`` sorts by (city, week_start, country) for presentation.
     """
     weekly = weekly_avg(curated, opts)
     part = ["city", "country"] if opts.partition_by_country else ["city"]
@@ -131,7 +131,7 @@ def wow_trend(
         prev.alias("prev_week_avg_pm25"),
         rounded_pct(F.col("avg_pm25") - prev, prev).alias("pct_change_wow"),
     )
-    return out.orderBy("city", "week_start") if ordered else out
+    return out.orderBy("city", "week_start", "country") if ordered else out
 
 
 def flagged_outliers(

@@ -566,7 +566,7 @@ FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT
   AND date_trunc('week', d.reading_date) = t.week_start""",
         "wow_trend_ordered": with_(RAW, VALID, FIRSTS, CUR, weekly("warehouse"))
         + """
-SELECT CAST(row_number() OVER (ORDER BY city, week_start) AS INTEGER) AS place, city,
+SELECT CAST(row_number() OVER (ORDER BY city, week_start, country) AS INTEGER) AS place, city, country,
   CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25 FROM weekly""",
         "flagged_outliers_ordered": CLEAN
         + """SELECT CAST(row_number() OVER (ORDER BY date_utc DESC) AS INTEGER) AS place, date_utc

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from airloom.operators import dimension as D
 from airloom.operators import history as H
 from airloom.operators import metrics as M
 from airloom.operators import search as S
+from airloom.operators.ordering import numbered
 from airloom.options import PARAMETER_ID, FlattenOptions, MetricOptions, QualityRules
 from airloom.plans import fixture as FX
 from airloom.plans import jobs as J
@@ -704,23 +705,22 @@ def q_metric_views_athena(spark, sf_dir):
     return joined.withColumn("outlier_view", there)
 
 
-def _placed(df: DataFrame, *cols: str) -> DataFrame:
-    """The rows of an ordered result with their place in it."""
-    by = Window.orderBy("_id")
-    ids = df.select(*cols, F.monotonically_increasing_id().alias("_id"))
-    return ids.select(F.row_number().over(by).alias("place"), *cols)
+def _placed(df: DataFrame, order, *cols: str) -> DataFrame:
+    """The rows of an ordered result with their place in it, from 1."""
+    rows = numbered(df, *order).select("place", *cols)
+    return rows.withColumn("place", (F.col("place") + 1).cast("int"))
 
 
 def q_wow_trend_ordered(spark, sf_dir):
     """O1: the trend view in its order."""
-    trend = M.wow_trend(curated_fixture(spark, sf_dir), _opts("warehouse"), ordered=True)
-    return _placed(trend, "city", "week_start", "avg_pm25")
+    trend = M.wow_trend(curated_fixture(spark, sf_dir), _opts("warehouse"))
+    return _placed(trend, ["city", "week_start", "country"], "city", "country", "week_start", "avg_pm25")
 
 
 def q_flagged_outliers_ordered(spark, sf_dir):
     """O2: the outlier view in its order (rows of one time are told apart by nothing)."""
-    flagged = M.flagged_outliers(curated_fixture(spark, sf_dir), _opts("warehouse"), ordered=True)
-    return _placed(flagged, "date_utc")
+    flagged = M.flagged_outliers(curated_fixture(spark, sf_dir), _opts("warehouse"), ordered=False)
+    return _placed(flagged, [F.col("date_utc").desc()], "date_utc")
 
 
 QUERIES: dict[str, Query] = {
