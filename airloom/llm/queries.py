@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import decontamination, packing, quality, sharding, simhash, substring_dedup, token_counts, tokens, topk, url_filters, warc
+from airloom.llm import ball_kmeans, decontamination, merkle, packing, quality, sharding, simhash, substring_dedup, suffix_tree, token_counts, tokens, topk, url_filters, warc
 from airloom.llm.common import save, table
 from airloom.session import scratch_path
 
@@ -75,6 +75,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def _id_crc32():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"), _id_crc32() % 7 == 2)
+
+
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ball_kmeans.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    code = ball_kmeans.code_text(F.col("now")).alias("code")
+    sha256 = F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    return ball_kmeans.with_label_errors(coded).select("vec_id", code, "error", "label_error", sha256)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's proof; rows with an even checksum of their id are verified with their line breaks gone."""
+    tampered = F.when(_id_crc32() % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    leaves = merkle.leaves(table(spark, sf_dir, "documents"), changed={"text": tampered})
+    proven = merkle.verified(merkle.proofs(merkle.build(leaves)))
+    proof = merkle.proof_digest(F.col("path")).alias("proof_sha256")
+    return proven.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -86,6 +110,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_suffix_tree": op11_suffix_tree,
+    "op12_ball_kmeans": op12_ball_kmeans,
+    "op13_merkle": op13_merkle,
 }
 
 SQL: dict[str, str] = {}
@@ -206,3 +233,99 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
   sha256(coalesce(k.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept k USING (doc_id)
 """
+
+
+def _kmeans_rounds(rounds: int) -> str:
+    """The codebook after each round, and the assignment to it."""
+    sql = ""
+    for n in range(rounds + 1):
+        sql += f"""
+, near{n} AS MATERIALIZED (
+  SELECT vec_id, p, min(struct_pack(d := CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS BIGINT), e := e)) AS best
+  FROM parts JOIN book{n} USING (p) GROUP BY vec_id, p
+)"""
+        if n < rounds:
+            sql += f"""
+, sums{n} AS (
+  SELECT p, e, list(CAST(floor(s / n) AS DOUBLE) ORDER BY k) AS c
+  FROM (SELECT p, best.e AS e, k, sum(x[k]) AS s, count(*) AS n
+        FROM parts JOIN near{n} USING (vec_id, p), unnest(range(1, len(x) + 1)) AS t(k) GROUP BY ALL)
+  GROUP BY p, e
+), book{n + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(s.c, b.c) AS c FROM book{n} b LEFT JOIN sums{n} s USING (p, e)
+)"""
+    return sql
+
+
+SQL["op12_ball_kmeans"] = f"""
+WITH ok AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, q[p * (len(q) // 4) + 1:(p + 1) * (len(q) // 4)] AS x FROM ok, range(4) AS t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, e, x AS c
+  FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < 256
+){_kmeans_rounds(4)}
+, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near4 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(c[k] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, k)) AS h
+  FROM book4, unnest(range(1, len(c) + 1)) AS t(k)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN ok USING (vec_id), books
+"""
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _siblings(nodes: str) -> str:
+    around = [f"coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i {x} a.i), '') AS {name}" for x, name in (("<", "before"), (">", "after"))]
+    return f"""SELECT a.g, a.l, a.i, {", ".join(around)}
+  FROM {nodes} a JOIN {nodes} b ON a.g IS NOT DISTINCT FROM b.g AND a.l = b.l AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY a.g, a.l, a.i"""
+
+
+def _climb(nodes: str) -> str:
+    return f"SELECT g, l + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM {nodes} WHERE n > 1 GROUP BY g, l, i // 3"
+
+
+def _walk(walk: str, siblings: str) -> str:
+    return f"""SELECT rid, w.g, w.l + 1, w.i // 3, sha256(before || d || after), proof || before || after
+  FROM {walk} w JOIN {siblings} s ON w.g IS NOT DISTINCT FROM s.g AND w.l = s.l AND w.i = s.i"""
+
+
+# crc32 of the decimal id, bit by bit: each byte meets the register, then seven steps without one.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda r, b: CASE WHEN xor(r, b) & 1 = 1 THEN xor(xor(r, b) >> 1, 3988292384) ELSE xor(r, b) >> 1 END)"""
+
+SQL["op13_merkle"] = f"""
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, source AS g, {_leaf("text")} AS leaf,
+    CASE WHEN xor({_CRC}, 4294967295) % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS now
+  FROM documents
+), ranked AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM rows
+), nodes AS (
+  SELECT g, 0 AS l, i, n, leaf AS d FROM ranked UNION ALL {_climb("nodes")}
+), tops AS MATERIALIZED (
+  SELECT g AS source, l AS height, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS g, 0 AS l, i, n, d FROM tops UNION ALL {_climb("upper")}
+), sib AS MATERIALIZED ({_siblings("nodes")}
+), usib AS MATERIALIZED ({_siblings("upper")}
+), walk AS (
+  SELECT rid, g, 0 AS l, i, now AS d, '' AS proof FROM ranked UNION ALL {_walk("walk", "sib")}
+), uwalk AS (
+  SELECT rid, 0 AS g, 0 AS l, t.i, w.d, proof FROM walk w JOIN tops t ON w.g IS NOT DISTINCT FROM t.source AND w.l = t.height
+  UNION ALL {_walk("uwalk", "usib")}
+), root AS (SELECT d, l FROM upper WHERE n = 1)
+SELECT r.doc_id, r.leaf, t.d AS subroot, root.d AS root, sha256(w.proof) AS proof_sha256, w.d AS folded_root, w.d = root.d AS verified
+FROM ranked r JOIN tops t ON r.g IS NOT DISTINCT FROM t.source JOIN uwalk w USING (rid) JOIN root ON w.l = root.l
+"""

@@ -1,0 +1,100 @@
+"""Ball k-means against plain k-means on lists of integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from airloom.llm import ball_kmeans as B
+from airloom.llm import queries
+
+SCHEMA = "vec_id long, embedding array<double>, label int, vector string, now int, error double, part int"
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(*r, "x", 1, 0.5, 2) for r in rows], SCHEMA).repartition(parts)
+
+
+def slow(rows, parts, entries, rounds, scale):
+    """Sorted (vec_id, codes, error) and the codebooks."""
+    whole = [(i, [math.floor(scale * x) for x in v]) for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    first = sorted(whole, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    width = len(first[0][1]) // parts
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    books = [[cut(v, p) for _, v in first] for p in range(parts)]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def assign():
+        return [[min((apart(cut(v, p), e), j) for j, e in enumerate(books[p])) for p in range(parts)] for _, v in whole]
+
+    for _ in range(rounds):
+        found = assign()
+        for p in range(parts):
+            for j in range(len(first)):
+                own = [cut(v, p) for (_, v), f in zip(whole, found) if f[p][1] == j]
+                if own:
+                    books[p][j] = [sum(x) // len(own) for x in zip(*own)]
+    return sorted((str(i), [j for _, j in f], sum(d for d, _ in f)) for (i, _), f in zip(whole, assign())), books
+
+
+def check(spark, rows, **sizes):
+    coded, books = B.compress(frame(spark, rows), **sizes)
+    want, own = slow(rows, *(sizes[k] for k in ("parts", "entries", "rounds", "scale")))
+    assert sorted((str(r.vec_id), r.now, r.error) for r in coded.collect()) == want
+    assert [b.entries.tolist() for b in books.books] == own
+    assert books.sha256() == hashlib.sha256(",".join(str(x) for b in own for e in b for x in e).encode()).hexdigest()
+    return coded, books
+
+
+def test_many_ties_and_empty_entries(spark):
+    r = random.Random(1)
+    rows = [(i, [float(r.randrange(-2, 3)) for _ in range(6)], i % 3) for i in range(300)]
+    coded, books = check(spark, rows, parts=3, entries=20, rounds=5, scale=1)
+    back = {x.vec_id: x.vector for x in B.decoded(coded, books).collect()}
+    assert all(sum((a - b) ** 2 for a, b in zip(back[x.vec_id], rows[x.vec_id][1])) == x.error for x in coded.collect())
+
+
+def test_clusters_with_stable_cores(spark):
+    r = random.Random(2)
+    rows = [(1000 - i, [r.gauss(i % 7, 0.3) for _ in range(8)], None if i % 4 else 1) for i in range(400)]
+    coded, _ = check(spark, rows, parts=2, entries=16, rounds=6, scale=100)
+    errors = {x.label: x.label_error for x in B.with_label_errors(coded).collect()}
+    assert errors == {k: sum(x.error for x in coded.collect() if x.label == k) for k in (None, 1)}
+
+
+def test_odd_vectors(spark):
+    rows = [(1, [0.5, -0.5, 1.0, 2.0], 1), (2, None, 1), (3, [1.0, None, 0.0, 0.0], 1), (4, [math.nan, 0.0, 0.0, 0.0], 2), (5, [0.0, math.inf, 0.0, 0.0], 2)]
+    rows += [(None, [0.1, 0.2, 0.3, 0.4], None), (1, [0.5, -0.5, 1.0, 2.0], 1), (1, [-0.001, 3.0, 1.0, 2.0], 2), (None, [0.0, 0.0, 0.0, 0.0], 3)]
+    check(spark, rows, parts=4, entries=256, rounds=4, scale=1024)
+    check(spark, rows, parts=2, entries=2, rounds=0, scale=10)
+    coded, books = B.compress(frame(spark, rows).limit(0))
+    assert coded.collect() == [] and books is None
+    for bad in ([(1, [1.0] * 4, 0), (2, [1.0] * 8, 0)], [(1, [1.0] * 6, 0)], [(1, [1e9] * 4, 0)]):
+        with pytest.raises(ValueError):
+            B.compress(frame(spark, bad))
+    check(spark, [(1, [], 0), (2, [], 1)], parts=4, entries=256, rounds=4, scale=1024)
+
+
+def test_rings_skip_only_what_cannot_win():
+    r = np.random.default_rng(3)
+    x, entries = r.integers(-50, 50, (500, 4)), r.integers(-50, 50, (30, 4))
+    was, _ = B.nearest(x, entries)
+    moved = np.zeros(30, bool)
+    now = entries.copy()
+    for e in (3, 17, 18):
+        now[e] += 5
+        moved[e] = True
+    book = B.Book(now, moved)
+    entry, d = B.reassign(x, was, book, book.neighbours())
+    want, best = B.nearest(x, now)
+    assert (entry == want).all() and (d == best).all()
+
+
+def test_empty_table_query(spark, tmp_path):
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    df = queries.op12_ball_kmeans(spark, str(tmp_path))
+    assert df.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"] and df.collect() == []
+    assert B.code_text(F.col("now")) is not None

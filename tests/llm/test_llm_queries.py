@@ -22,7 +22,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.SQL) <= set(E.oracle_sql())
 
 
