@@ -29,7 +29,7 @@ from airloom.options import (
     QualityRules,
 )
 from airloom.plans import jobs as J
-from airloom.schema import LOCATION_PAGE, LOCATION_RESULT, MEASUREMENT_PAGE, READINGS_PAGE
+from airloom.schema import LOCATION_PAGE, LOCATION_RESULT, MEASUREMENT_PAGE, RESULT_TEXTS
 from airloom.session import build_session
 from airloom.sinks.dimension import read_dimension
 from airloom.sources.curated import read_curated
@@ -46,15 +46,16 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--raw", nargs="+", required=True, help="landing root(s)")
     c.add_argument("--out", required=True)
     c.add_argument("--date", nargs="*", help="YYYY-MM-DD (default: all dates)")
-    c.add_argument("--layout", choices=["array", "lines"], default="array")
+    c.add_argument("--layout", choices=["array", "lines", "auto"], default="auto")
     c.add_argument("--profile", choices=["canonical", "deployed"], default="canonical")
     c.add_argument("--dedup-scope", choices=["partition", "global"], default="partition")
+    c.add_argument("--versioned", action="store_true", help="publish the run as one version")
 
     st = sub.add_parser("stream")
     st.add_argument("--raw", nargs="+", required=True, help="landing root(s)")
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
-    st.add_argument("--layout", choices=["array", "lines"], default="array")
+    st.add_argument("--layout", choices=["array", "lines", "auto"], default="auto")
     st.add_argument("--max-files", type=int, default=None)
 
     v = sub.add_parser("views")
@@ -78,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--raw", required=True, help="run landing root")
     i.add_argument("--run-id", help="landing it again on a day replaces it (default: the time)")
     i.add_argument("--limit", type=int, default=None, help="readings (default: all)")
+    i.add_argument("--layout", choices=["lines", "array"], default="lines", help="of the landing")
 
     f = sub.add_parser("find")
     f.add_argument("--catalogue", required=True, help="JSON lines of location results")
@@ -95,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
         counts = J.curate(
             spark, args.raw, args.out, dates=args.date or None, layout=args.layout,
             rules=QualityRules(dedup_scope=args.dedup_scope),
-            flatten=FlattenOptions(profile=args.profile),
+            flatten=FlattenOptions(profile=args.profile), versioned=args.versioned,
         )
         print(json.dumps(counts, default=str))
     elif args.job == "stream":
@@ -121,13 +123,13 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({"station_days": counts.count()}))
     elif args.job == "ingest":
         now = dt.datetime.now(dt.timezone.utc)
-        pages = read_landed_pages(spark, args.pages, READINGS_PAGE, [("page", T.LongType())])
+        pages = read_landed_pages(spark, args.pages, RESULT_TEXTS, [("page", T.LongType())])
         details = read_landed_pages(spark, args.details, LOCATION_PAGE,
                                     [("location_id", T.LongType())])
         cache = read_dimension(spark, args.dimension)
         run_id = args.run_id or f"run_{now:%H%M%S}"
         dim = J.enrich_job(pages, details, cache, args.raw, run_id, f"{now:%Y-%m-%d}",
-                           args.dimension, limit=args.limit)
+                           args.dimension, limit=args.limit, layout=args.layout)
         print(json.dumps({"run_id": run_id, "dimension_changed": dim is not cache}))
     elif args.job == "find":
         cat = spark.read.schema(LOCATION_RESULT).json(args.catalogue)

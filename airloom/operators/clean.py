@@ -38,8 +38,14 @@ def _utc_of(text: Column) -> Column:
     return F.when(_is_object(text), F.get_json_object(text, "$.utc"))
 
 
-def flat_columns(record_col: str = "record", opts: FlattenOptions = FlattenOptions()):
-    """The flat-reading columns of a raw reading struct, as named Columns."""
+def flat_columns(
+    record_col: str = "record", opts: FlattenOptions = FlattenOptions(), raw_col: str | None = None
+):
+    """The flat-reading columns of a raw reading struct, as named Columns.
+
+    ``raw_col`` is the record's VARIANT, which tells a missing key from an
+    explicit null.
+    """
     r = F.col(record_col)
     meta = r["location_meta"]
     if opts.profile == "canonical":
@@ -50,9 +56,13 @@ def flat_columns(record_col: str = "record", opts: FlattenOptions = FlattenOptio
         )
         unit = F.lit(opts.unit).cast("string")
     else:
-        # Struct reading cannot tell a missing key from an explicit null, so
-        # the fallback id is used whenever locationsId is null.
-        location_id = F.coalesce(r["locationsId"], r["locationId"])
+        if raw_col is None:
+            # Struct reading cannot tell a missing key from an explicit null, so
+            # the fallback id is used whenever locationsId is null.
+            location_id = F.coalesce(r["locationsId"], r["locationId"])
+        else:
+            key = F.try_variant_get(F.col(raw_col), "$.locationsId", "variant")
+            location_id = F.when(key.isNotNull(), r["locationsId"]).otherwise(r["locationId"])
         source = F.when(_is_truthy(r["datetime"]), r["datetime"]).when(
             _is_truthy(r["date"]), r["date"]
         )
@@ -71,15 +81,20 @@ def flat_columns(record_col: str = "record", opts: FlattenOptions = FlattenOptio
 
 
 def flatten_readings(
-    df: DataFrame, record_col: str = "record", opts: FlattenOptions = FlattenOptions()
+    df: DataFrame,
+    record_col: str = "record",
+    opts: FlattenOptions = FlattenOptions(),
+    raw_col: str | None = None,
 ) -> DataFrame:
     """Flatten a column of raw reading structs (``schema.RAW_READING``).
 
     Every other column of ``df`` (file, position, partition date, ...) is
     kept. A null or missing ``location_meta`` gives null name/city/country.
+    With ``raw_col`` (the record's VARIANT, consumed as well) the ``deployed``
+    id falls back only where the key is missing, not where it is null.
     """
-    others = [F.col(c) for c in df.columns if c != record_col]
-    return df.select(*others, *flat_columns(record_col, opts))
+    others = [F.col(c) for c in df.columns if c not in (record_col, raw_col)]
+    return df.select(*others, *flat_columns(record_col, opts, raw_col))
 
 
 def drop_sentinels(df: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:

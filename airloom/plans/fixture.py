@@ -302,6 +302,36 @@ def latest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("page", F.to_json(F.struct(results.alias("results"))).alias("text"))
 
 
+def latest_pages_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page, text): the latest-readings pages with what no declared field holds.
+
+    Records of even event ids have ``coordinates``; values of ids divisible
+    by 29 are quoted numbers; ``note`` is null for ids divisible by 3, absent
+    else; the station id is null, with the old key ``locationId`` beside it,
+    for ids divisible by 5, and only has the old key for those divisible by 7.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    eid, user, value = F.col("event_id"), F.col("user_id").cast("string"), F.col("value").cast("string")
+    quoted = F.when(eid % 29 == 0, F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
+    station = (
+        F.when(eid % 5 == 0, F.concat(F.lit('"locationsId":null,"locationId":'), user))
+        .when(eid % 7 == 0, F.concat(F.lit('"locationId":'), user))
+        .otherwise(F.concat(F.lit('"locationsId":'), user))
+    )
+    text = F.concat(
+        F.lit("{"), station, F.lit(',"value":'), quoted,
+        F.when(eid % 2 == 0, F.concat(F.lit(',"coordinates":{"latitude":'), eid.cast("string"), F.lit("}"))).otherwise(F.lit("")),
+        F.when(eid % 3 == 0, F.lit(',"note":null')).otherwise(F.lit("")),
+        F.lit(',"datetime":{"utc":"'), F.date_format("ts", TS_FORMAT), F.lit('","local":"here"}}'),
+    )
+    item = F.struct(eid.alias("k"), text.alias("t"))
+    pages = e.groupBy((F.expr("event_id div 1000") + 1).alias("page")).agg(
+        F.array_sort(F.collect_list(item)).alias("items")  # at most PAGE_SIZE ids of a page
+    )
+    joined = F.array_join(F.col("items.t"), ",")
+    return pages.select("page", F.concat(F.lit('{"results":['), joined, F.lit("]}")).alias("text"))
+
+
 def measurement_utc():
     eid = F.col("event_id")
     return (

@@ -17,13 +17,14 @@ from airloom.operators import clean as C
 from airloom.operators import dimension as D
 from airloom.operators import history as H
 from airloom.options import PARAMETER_ID, FlattenOptions, QualityRules
-from airloom.schema import LOCATION_DIM, LOCATION_PAGE, MEASUREMENT_PAGE, READINGS_PAGE
+from airloom.schema import LOCATION_DIM, LOCATION_PAGE, MEASUREMENT_PAGE, RESULT_TEXTS
 from airloom.session import scratch_path
 from airloom.sinks.curated import drop_dates, write_curated
 from airloom.sinks.dimension import read_dimension, write_dimension
-from airloom.sinks.raw import order_key, reading_record, replace_runs
+from airloom.sinks.versions import publish, write_version
+from airloom.sinks.raw import order_key, reading_record, replace_runs, with_metadata, write_run_array
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
-from airloom.sources.raw import read_raw_dates
+from airloom.sources.raw import parse_reading, read_raw_dates
 
 
 def curate(
@@ -36,13 +37,19 @@ def curate(
     flatten: FlattenOptions = FlattenOptions(),
     mode: str = "PERMISSIVE",
     pattern: str = "*.json",
+    versioned: bool = False,
 ) -> dict:
     """Curate many raw dates in one job (per-date dedup scope by default).
 
     Reads the raw partitions (all, or ``dates`` by static pruning), cleans
     them and overwrites exactly the curated dates that have surviving rows.
     With global dedup scope all dates depend on each other: ``dates`` is
-    refused, and dates that no longer have rows are deleted.
+    refused, and dates that no longer have rows are deleted. A run of which
+    no row survives (a missing root, an empty one) writes and deletes
+    nothing in either scope.
+    ``versioned`` publishes the run as one version of the table
+    (``sinks.versions``) instead of overwriting dates: readers see the run
+    whole or not at all.
 
     Returns the counts of the run, gathered by the same job through
     observations (no second pass): rows curated, flagged outliers, first and
@@ -69,13 +76,22 @@ def curate(
         F.max("date").alias("last_date"),
         F.collect_set("date").alias("dates"),
     )
-    write_curated(observed, out_root)
+    version = None
+    if versioned:
+        version = write_version(observed, out_root)
+    else:
+        write_curated(observed, out_root)
     nothing = {"rows_curated": 0, "flagged": 0, "first_date": None, "last_date": None, "dates": []}
     counts = _observed(written, nothing) | _observed(
         read, {"rows_read": 0, "malformed_records": 0, "malformed_files": 0}
     )
     curated_dates = counts.pop("dates")
-    if rules.dedup_scope == "global":
+    if counts["rows_curated"] == 0:
+        return counts
+    whole = rules.dedup_scope == "global"
+    if versioned:
+        publish(spark, out_root, version, curated_dates, keep_others=not whole)
+    elif whole:
         drop_dates(spark, out_root, keep=curated_dates)
     return counts
 
@@ -104,6 +120,7 @@ def enrich_job(
     dimension_root: str,
     failed: DataFrame | None = None,
     limit: int | None = None,
+    layout: str = "lines",
 ) -> DataFrame:
     """Land one ingestion run: readings + station metadata as raw JSON.
 
@@ -114,11 +131,16 @@ def enrich_job(
     ``dimension_root`` (if a station was added), and the readings are
     enriched from what was written. Returns that dimension. A run landed
     again under its ``run_id`` replaces its earlier landing of the day.
+    Records land as they came, with their unknown fields, and ``location_meta``
+    added. ``layout="array"`` lands the run as one JSON array (built in one
+    task) instead of lines.
     """
+    if layout not in ("lines", "array"):
+        raise ValueError(f"layout must be 'lines' or 'array', got {layout!r}")
     spark = cache.sparkSession
-    pages = parse_envelope(latest_page_texts, "text", READINGS_PAGE)
+    pages = parse_envelope(latest_page_texts, "text", RESULT_TEXTS)
     readings = latest_readings(pages, limit)
-    flat = readings.select("page", "pos", F.col("result").alias("r"))
+    flat = readings.select("page", "pos", "result", parse_reading(F.col("result")).alias("r"))
     ids = D.distinct_locations(flat.select(F.col("r.locationsId").alias("location_id")))
     details = parse_envelope(detail_texts.join(ids, "location_id", "left_semi"), "text",
                              LOCATION_PAGE)
@@ -132,16 +154,16 @@ def enrich_job(
         write_dimension(cache.select(*D.DIM_COLUMNS).unionByName(added), dimension_root)
         dim = read_dimension(spark, dimension_root)
     enriched = D.enrich(flat.withColumn("location_id", F.col("r.locationsId")), dim)
-    record = F.col("r").withField("location_meta", F.col("location_meta"))
-    replace_runs(
-        enriched.select(
-            F.lit(date).alias("date"),
-            F.lit(run_id).alias("run_id"),
-            order_key(F.col("page"), F.col("pos")).alias("pos"),
-            record.alias("record"),
-        ),
-        raw_root,
+    landed = enriched.select(
+        F.lit(date).alias("date"),
+        F.lit(run_id).alias("run_id"),
+        order_key(F.col("page"), F.col("pos")).alias("pos"),
+        with_metadata(F.col("result"), F.col("r"), F.col("location_meta")).alias("record"),
     )
+    if layout == "array":
+        write_run_array(landed, raw_root, date, run_id)
+    else:
+        replace_runs(landed, raw_root)
     return dim
 
 

@@ -152,6 +152,9 @@ SELECT city, country, CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25,
 FROM adj"""
 
 
+# Position of a reading of the latest pages in its landed run.
+PLACE = "(f.page << 32) + (row_number() OVER (PARTITION BY f.page ORDER BY f.event_id) - 1)"
+
 SQL: dict[str, str] = {
     "drop_sentinels": with_(RAW)
     + f"SELECT {FLAT_COLS} FROM raw WHERE value IS NULL OR value NOT IN (-1, -999, 9999, 99999)",
@@ -564,6 +567,44 @@ SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_
   false AS outlier_view
 FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT FROM d.country
   AND date_trunc('week', d.reading_date) = t.week_start""",
+        "landing_replace": with_(RAW)
+        + """, landed AS (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS date,
+    max(CASE WHEN src = 1 AND pos % 20 = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY strftime(ts, '%Y-%m-%d')) AS again
+  FROM raw
+)
+SELECT 'run_' || src AS run_id, pos, date, location_id,
+  CASE WHEN src = 1 AND again = 1 THEN value + 1000 ELSE value END AS value, date_str AS date_utc
+FROM landed WHERE src = 0 OR again = 0 OR pos % 20 = 3""",
+        "raw_fields_kept": with_(LATEST) + f"""SELECT {PLACE} AS pos,
+  CASE WHEN event_id % 29 <> 0 THEN value END AS value, value AS raw_value, event_id % 29 = 0 AS quoted,
+  CASE WHEN event_id % 2 = 0 THEN event_id END AS latitude, 'here' AS local,
+  event_id % 3 = 0 AS has_note, CASE WHEN event_id % 3 = 0 THEN true ELSE false END AS note_is_null
+FROM fetched f""",
+        "raw_fields_kept_array": with_(STATIONS, DIM, LATEST)
+        + """SELECT '2024-01-30' AS date, row_number() OVER (ORDER BY event_id) - 1 AS pos,
+  CASE WHEN event_id % 2 = 0 THEN event_id END AS latitude,
+  CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN f.location_id END AS location_id,
+  CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN d.name END AS location_name
+FROM fetched f LEFT JOIN dim d ON f.location_id = d.location_id""",
+        "flatten_missing_vs_null": with_(LATEST) + f"""SELECT {PLACE} AS pos,
+  CASE WHEN event_id % 5 <> 0 THEN location_id END AS location_id,
+  CASE WHEN event_id % 29 <> 0 THEN value END AS value, date_utc
+FROM fetched f""",
+        "ingest_then_curate": with_(STATIONS, DIM, LATEST)
+        + """, one AS (
+  SELECT * FROM fetched
+  WHERE value NOT IN (-1, -999, 9999, 99999) AND value >= 0 AND NOT isnan(value)
+  QUALIFY row_number() OVER (PARTITION BY location_id, date_utc ORDER BY event_id) = 1
+)
+SELECT one.location_id, d.name AS location_name, d.city, d.country, 'pm25' AS parameter, value,
+  'µg/m³' AS unit, CAST(date_utc AS TIMESTAMP) AS date_utc, value > 500 AS is_extreme_outlier
+FROM one LEFT JOIN dim d ON one.location_id = d.location_id""",
+        "curate_empty_run": CURATED_TABLE,
+        "curate_atomic": with_(RAW, VALID, FIRSTS_BY_DAY, CUR)
+        + """, states AS (SELECT unnest([0, 1]) AS state)
+SELECT state, cur.* REPLACE (CASE WHEN state = 1 AND date = '2024-01-15' THEN 'later' ELSE unit END AS unit)
+FROM states CROSS JOIN cur""",
         "wow_trend_ordered": with_(RAW, VALID, FIRSTS, CUR, weekly("warehouse"))
         + """
 SELECT CAST(row_number() OVER (ORDER BY city, week_start, country) AS INTEGER) AS place, city, country,

@@ -30,7 +30,8 @@ from airloom.schema import (
     READINGS_PAGE,
 )
 from airloom.sinks.csv import export_csv
-from airloom.sinks.raw import reading_record, write_raw
+from airloom.sinks.raw import new_landing, reading_record, replace_runs, write_raw
+from airloom.sinks.versions import read_versioned, write_version
 from airloom.sources.curated import read_curated, read_legacy_curated, register_table
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
 from airloom.sources.raw import read_raw, read_raw_dates
@@ -664,6 +665,118 @@ def q_ingest_run(spark, sf_dir):
     )
 
 
+RERUN_SHIFT = 1000.0
+
+
+def q_landing_replace(spark, sf_dir):
+    """K1/G1: a run that lands again replaces its own days; others keep every line.
+
+    ``run_1`` lands, lands again with half of its readings (values shifted),
+    and a third landing of it dies before its log entry is written. Lines of
+    another writer (``run_0``), which no log names, are in the same days.
+    """
+    configure(spark)
+    root = land_fixture(spark, sf_dir, scratch_path(spark, "raw"), srcs=(0,))
+    raw = FX.derived_raw(spark, sf_dir).where("src = 1")
+
+    def rows(df, value):
+        record = reading_record(F.col("location_id"), value, F.col("date_str"))
+        day = F.date_format("ts", "yyyy-MM-dd").alias("date")
+        return df.select(day, F.lit("run_1").alias("run_id"), "pos", record.alias("record"))
+
+    replace_runs(rows(raw, F.col("value")), root)
+    replace_runs(rows(raw.where("pos % 20 = 3"), F.col("value") + F.lit(RERUN_SHIFT)), root)
+    write_raw(rows(raw, F.lit(0.0)), root, landing=new_landing())
+    flat = C.flatten_readings(read_raw(spark, root, layout="lines"), "record", FIXTURE_FLATTEN)
+    return flat.select(F.col("_file").alias("run_id"), F.col("_pos").alias("pos"), "date", "location_id", "value", "date_utc")
+
+
+def _rich_landing(spark, sf_dir, layout: str = "lines") -> DataFrame:
+    """An ingested run of records with undeclared fields, as (_pos, record, raw)."""
+    configure(spark)
+    root = scratch_path(spark, "raw")
+    J.enrich_job(
+        FX.latest_pages_with_extras(spark, sf_dir), FX.location_detail_pages(spark, sf_dir),
+        _cache(spark, sf_dir), root, run_id="run_000000", date=FX.AS_OF,
+        dimension_root=scratch_path(spark, "dimension"), layout=layout,
+    )
+    return read_raw(spark, root, layout="auto", with_raw=True)
+
+
+def q_raw_fields_kept(spark, sf_dir):
+    """What no declared field holds survives landing and scan."""
+    raw = F.col("raw")
+    of = lambda path, kind: F.try_variant_get(raw, path, kind)
+    note = of("$.note", "variant")
+    return _rich_landing(spark, sf_dir).select(
+        F.col("_pos").alias("pos"),
+        F.col("record.value").alias("value"),
+        of("$.value", "string").cast("double").alias("raw_value"),
+        (F.schema_of_variant(of("$.value", "variant")) == "STRING").alias("quoted"),
+        of("$.coordinates.latitude", "bigint").alias("latitude"),
+        of("$.datetime.local", "string").alias("local"),
+        note.isNotNull().alias("has_note"),
+        F.coalesce(F.is_variant_null(note), F.lit(False)).alias("note_is_null"),
+    )
+
+
+def q_flatten_missing_vs_null(spark, sf_dir):
+    """The old id key counts only where the new one is missing."""
+    rows = _rich_landing(spark, sf_dir)
+    flat = C.flatten_readings(rows, "record", FlattenOptions(profile="deployed"), raw_col="raw")
+    return flat.select(F.col("_pos").alias("pos"), "location_id", "value", "date_utc")
+
+
+def q_raw_fields_kept_array(spark, sf_dir):
+    """K1: the same run landed as one JSON array."""
+    rows = _rich_landing(spark, sf_dir, layout="array")
+    return rows.select(
+        "date", F.col("_pos").alias("pos"),
+        F.try_variant_get("raw", "$.coordinates.latitude", "bigint").alias("latitude"),
+        F.col("record.locationsId").alias("location_id"), F.col("record.location_meta.name").alias("location_name"),
+    )
+
+
+def q_ingest_then_curate(spark, sf_dir):
+    """G1 + G4 by the job runner with its defaults: what it lands, it curates."""
+    from airloom.__main__ import main
+
+    configure(spark)
+    pages, details, raw, out, dim = (scratch_path(spark, n) for n in ("pages", "details", "raw", "curated", "dimension"))
+    whole = lambda key: F.concat(F.lit(f'{{"{key}":'), F.col(key).cast("string"), F.lit(","), F.substring("text", 2, 1 << 30))
+    FX.latest_pages(spark, sf_dir).select(whole("page")).write.text(pages)
+    FX.location_detail_pages(spark, sf_dir).select(whole("location_id")).write.text(details)
+    main(["ingest", "--pages", pages, "--details", details, "--dimension", dim, "--raw", raw])
+    main(["curate", "--raw", raw, "--out", out])
+    return read_curated(spark, out).drop("date")
+
+
+def q_curate_empty_run(spark, sf_dir):
+    """K2: runs over a missing root leave the table as it was, in both scopes."""
+    out = _curated_root(spark, sf_dir)
+    for scope in ("partition", "global"):
+        J.curate(spark, scratch_path(spark, "nothing"), out, rules=QualityRules(dedup_scope=scope))
+    return read_curated(spark, out)
+
+
+def q_curate_atomic(spark, sf_dir):
+    """A run that dies between its write and its switch is not seen; then one day
+    is curated anew and the others keep their version."""
+    configure(spark)
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "versioned")
+    land_fixture(spark, sf_dir, raw)
+    J.curate(spark, raw, out, flatten=FIXTURE_FLATTEN, versioned=True)
+    write_version(read_versioned(spark, out).withColumn("value", F.lit(-7.0)), out)
+    before = read_versioned(spark, out)
+    later = [SCAN_DAY]
+    shifted = FlattenOptions(unit="later")
+    J.curate(spark, raw, out, dates=later, flatten=shifted, versioned=True)
+    J.curate(spark, scratch_path(spark, "nothing"), out, versioned=True, rules=QualityRules(dedup_scope="global"))
+    states = ((0, before), (1, read_versioned(spark, out)))
+    frames = [df.select(F.lit(n).alias("state"), "*") for n, df in states]
+    return frames[0].unionByName(frames[1])
+
+
 def q_curate_with_backfill(spark, sf_dir):
     """U1 + W3 + G2 + G4: run landings and backfill landings curated together.
 
@@ -779,6 +892,13 @@ QUERIES: dict[str, Query] = {
     "page_explode_all": q_page_explode_all,
     "page_explode_limit": q_page_explode_limit,
     "ingest_run": q_ingest_run,
+    "landing_replace": q_landing_replace,
+    "raw_fields_kept": q_raw_fields_kept,
+    "raw_fields_kept_array": q_raw_fields_kept_array,
+    "flatten_missing_vs_null": q_flatten_missing_vs_null,
+    "ingest_then_curate": q_ingest_then_curate,
+    "curate_empty_run": q_curate_empty_run,
+    "curate_atomic": q_curate_atomic,
     "curate_with_backfill": q_curate_with_backfill,
     "metric_views_sql": q_metric_views_sql,
     "metric_views_athena": q_metric_views_athena,

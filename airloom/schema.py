@@ -34,6 +34,9 @@ RAW_ARRAY = T.ArrayType(RAW_READING)
 # Latest-readings page envelope.
 READINGS_PAGE = T.StructType([T.StructField("results", RAW_ARRAY)])
 
+# Any page envelope with its results left as JSON text, field for field.
+RESULT_TEXTS = T.StructType([T.StructField("results", T.ArrayType(T.StringType()))])
+
 SENSOR = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -1,15 +1,25 @@
-"""Raw landing sink (bronze): appends, never cleans."""
+"""Raw landing sink (bronze): appends, never cleans, never rewrites.
+
+What has landed stays as it is. A run that lands again does not touch its
+earlier files: every line carries the id of its landing, and a log below
+``<root>/_runs`` says which (date, run) each landing holds. Readers take the
+latest committed landing of a (date, run); the entry is written last, so a
+landing that failed half-way is never seen. Files of other origin carry no
+landing id and are always read.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.schema import LOCATION_META
 from airloom.session import scratch_path
-from airloom.storage import exists
-
-_DATETIME_KEYS = ("datetime", "date")
+from airloom.sources.run_log import entry_path
+from airloom.storage import move_only_file
 
 
 def reading_record(
@@ -46,6 +56,23 @@ def reading_record(
     return F.struct(*fields)
 
 
+def with_metadata(text: Column, reading: Column, meta: Column) -> Column:
+    """A record's JSON text as VARIANT with ``location_meta`` (struct or null) added.
+
+    All fields of the text stay as they are. A record that has the key
+    already is written from its parsed ``reading``, with the new metadata.
+    """
+    inner = F.substring(F.trim(text), F.lit(2), F.length(F.trim(text)) - 2)
+    comma = F.when(F.trim(inner) == "", F.lit("")).otherwise(F.lit(","))
+    added = F.coalesce(F.to_json(meta, {"ignoreNullFields": "false"}), F.lit("null"))
+    whole = F.concat(F.lit("{"), inner, comma, F.lit('"location_meta":'), added, F.lit("}"))
+    parsed = F.when(reading.isNotNull(), F.to_json(reading.withField("location_meta", meta)))
+    is_object = F.trim(text).startswith("{")
+    return F.when(is_object, F.coalesce(F.try_parse_json(whole), F.try_parse_json(parsed))).otherwise(
+        F.try_parse_json(text)
+    )
+
+
 def write_raw(
     df: DataFrame,
     root: str,
@@ -55,6 +82,7 @@ def write_raw(
     date_col: str = "date",
     mode: str = "append",
     extra_partitions: tuple[str, ...] = (),
+    landing: str | None = None,
 ) -> None:
     """Land records as JSON lines under ``root/date=D/``.
 
@@ -63,8 +91,11 @@ def write_raw(
     default ``append`` never replaces earlier landings; ``overwrite`` with
     dynamic partition overwrite replaces only the partitions present. Rows
     are rebalanced by date, so a day gets a few files rather than one from
-    every task.
+    every task. The record is a struct or a VARIANT, which lands as it
+    came. ``landing`` marks the lines as part of a landing that is read once
+    it is in the run log.
     """
+    mark = [F.lit(landing).alias("landing")] if landing else []
     (
         df.hint("rebalance", date_col)
         .sortWithinPartitions(date_col, run_col, pos_col)
@@ -72,6 +103,7 @@ def write_raw(
             F.col(date_col).cast("string").alias("date"),
             F.col(run_col).cast("string").alias("run_id"),
             F.col(pos_col).cast("bigint").alias("pos"),
+            *mark,
             F.col(record_col).alias("record"),
             *(F.col(c) for c in extra_partitions),
         )
@@ -88,29 +120,52 @@ def order_key(page: Column, pos: Column) -> Column:
     return F.shiftleft(page.cast("bigint"), 32) + pos.cast("bigint")
 
 
+def new_landing() -> str:
+    """An id of one landing; later landings have greater ids."""
+    return f"{time.time_ns():020d}{uuid.uuid4().hex[:8]}"
+
+
 def replace_runs(landed: DataFrame, root: str) -> DataFrame:
     """Land (date, run_id, pos, record), replacing every (date, run_id) that is present.
 
-    Other runs of the same dates stay. The rows that stay are written to
-    the shared scratch first and the touched dates are then overwritten, so
-    nothing is read from a path while it is replaced. Landing the same rows
-    twice leaves one copy. Returns (date, run_id, rows) of what was landed.
-    Records that stay keep the fields of ``landed``'s record.
+    Only adds files: the lines, marked with a landing id, and then one entry
+    of the run log. Other runs, other days and files of other origin keep
+    every byte; the replaced lines stay too, but readers take the latest
+    landing of a (date, run_id). Landing the same rows twice reads as one
+    copy; a landing that fails before its entry is written reads as none.
+    Returns (date, run_id, rows) of what was landed.
     """
     spark: SparkSession = landed.sparkSession
     fresh = landed.select("date", "run_id", "pos", "record")
     scratch = scratch_path(spark, "landing")
-    fresh.write.partitionBy("date").parquet(f"{scratch}/new")
-    new = spark.read.schema(fresh.schema).parquet(f"{scratch}/new")
+    fresh.write.parquet(scratch)
+    new = spark.read.schema(fresh.schema).parquet(scratch)
     counts = new.groupBy("date", "run_id").agg(F.count(F.lit(1)).alias("rows"))
-    dates = [r["date"] for r in counts.select("date").distinct().collect()]  # days, not rows
-    if not dates:
+    if new.isEmpty():
         return counts
-    out = new
-    if exists(spark, root):
-        old = spark.read.schema(fresh.schema).json(root).where(F.col("date").isin(dates))
-        stay = old.join(counts.select("date", "run_id"), ["date", "run_id"], "left_anti")
-        stay.write.partitionBy("date").parquet(f"{scratch}/stay")
-        out = new.unionByName(spark.read.schema(fresh.schema).parquet(f"{scratch}/stay"))
-    write_raw(out, root, mode="overwrite")
-    return counts
+    landing = new_landing()
+    write_raw(new, root, landing=landing)
+    entry = entry_path(root, landing)
+    counts.withColumn("landing", F.lit(landing)).coalesce(1).write.mode("errorifexists").parquet(entry)
+    return spark.read.schema(counts.schema).parquet(entry)
+
+
+def write_run_array(landed: DataFrame, root: str, date: str, run_id: str) -> str:
+    """Land one run of a day as one JSON array, ``root/date=D/<run_id>.json``.
+
+    The layout of the source pipeline: one object per run, replaced when the
+    run lands again, and no other object is touched. The array is built by
+    one task, so it suits runs whose records fit there (a run of an hourly
+    ingestion); ``replace_runs`` has no such bound. ``landed`` has (pos,
+    record); the file is written aside and then moved into place. Returns its
+    path.
+    """
+    spark = landed.sparkSession
+    row = F.struct(F.col("pos").cast("bigint").alias("pos"), F.to_json("record").alias("text"))
+    rows = landed.select(row.alias("row")).groupBy().agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    text = F.concat(F.lit("["), F.array_join("rows.text", ",\n"), F.lit("]")).alias("value")
+    aside = f"{root.rstrip('/')}/_arrays/{new_landing()}"
+    rows.select(text).coalesce(1).write.text(aside)
+    path = f"{root.rstrip('/')}/date={date}/{run_id}.json"
+    move_only_file(spark, aside, path)
+    return path

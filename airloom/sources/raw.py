@@ -6,9 +6,12 @@ Two layouts are read:
   printed or compact. A file is read and parsed by one task, so a file must
   fit a task's memory; many small files are packed into one task.
 * ``lines``: one JSON object per line with explicit ``run_id`` and ``pos``
-  (what ``sinks.raw.write_raw`` writes). Splittable.
+  (what ``sinks.raw.write_raw`` writes). Splittable. Lines of a landing that
+  the run log does not name as the latest of its (date, run) are left out.
+* ``auto``: both in one root, told apart by file name: Spark's writers name
+  their files ``part-...``, every other file is an array.
 
-Both return ``date`` (partition, STRING), ``_file`` and ``_pos`` (the input
+All return ``date`` (partition, STRING), ``_file`` and ``_pos`` (the input
 order used by keep-first dedup: ``_pos`` increases along each file) and
 ``record`` (``schema.RAW_READING``).
 
@@ -16,7 +19,9 @@ Every record is parsed by itself and every field of it by itself: a value of
 the wrong type is null in its field and harms no other field, record or
 file, and the rows do not depend on the columns that are asked for. A file
 that is no JSON array, an element that is no object and a line that does not
-parse each give one row with a null ``record``.
+parse each give one row with a null ``record``. What the declared fields do
+not hold (unknown fields, quoted numbers, a missing key beside a null) is in
+the record's VARIANT, which the scan adds on request.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.schema import RAW_READING
+from airloom.sources.run_log import latest
 
 RAW_SCAN = T.StructType(
     [
@@ -36,6 +42,7 @@ RAW_SCAN = T.StructType(
         T.StructField("_file", T.StringType()),
         T.StructField("_pos", T.LongType()),
         T.StructField("record", RAW_READING),
+        T.StructField("raw", T.VariantType()),
     ]
 )
 
@@ -52,9 +59,12 @@ RAW_LINE = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
         T.StructField("pos", T.LongType()),
+        T.StructField("landing", T.StringType()),
         T.StructField("record", PARSED_READING),
     ]
 )
+LINE_FILES = "part-*"  # the names that Spark's writers give
+OTHER_FILES = "{[!p],p[!a],pa[!r],par[!t],part[!-]}*"
 
 JSON_OPTIONS = {"allowNonNumericNumbers": "true"}
 
@@ -82,6 +92,67 @@ def _reading(parsed: Column) -> Column:
     return F.when(parsed.isNotNull(), F.struct(*fields))
 
 
+def parse_reading(text: Column, opts: dict | None = None) -> Column:
+    """``schema.RAW_READING`` of one record's JSON text; null unless it is an object."""
+    parsed = F.from_json(text, PARSED_READING, opts or JSON_OPTIONS)
+    return _reading(F.when(F.ltrim(text).startswith("{"), parsed))
+
+
+def _latest_only(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
+    """Lines (date, l, ...) without those of replaced and of uncommitted landings.
+
+    One pass over the lines. Those without a landing id can match nothing
+    and get keys of their own, so that they do not meet in one task.
+    """
+    now = latest(spark, root).select(
+        F.col("date").alias("_date"), F.col("run_id").alias("_run"), F.col("landing").alias("_landing")
+    )
+    spread = F.concat(F.lit("none "), (F.xxhash64("l.pos", "l.run_id") % 4096).cast("string"))
+    keyed = lines.withColumn("_key", F.coalesce(F.col("l.landing"), spread))
+    same = (F.col("_key") == F.col("_landing")) & (F.col("date") == F.col("_date")) & (
+        F.col("l.run_id") == F.col("_run")
+    )
+    stays = F.col("l.landing").isNull() | F.col("_landing").isNotNull()
+    return keyed.join(now, same, "left").where(stays).drop("_key", "_date", "_run", "_landing")
+
+
+def _read_lines(spark, root, reader, opts, dates) -> DataFrame:
+    lines = reader.text(root).where(F.trim("value") != "")
+    if "date" not in lines.columns:  # no such file in any day
+        return empty_raw(spark)
+    lines = lines.withColumn("date", F.col("date").cast("string"))
+    if dates is not None:
+        lines = lines.where(F.col("date").isin(*dates))  # partition pruning
+    parsed = lines.select("date", "value", F.from_json("value", RAW_LINE, opts).alias("l"))
+    return _latest_only(spark, root, parsed).select(
+        "date",
+        F.col("l.run_id").alias("_file"),
+        F.col("l.pos").alias("_pos"),
+        _reading(F.col("l.record")).alias("record"),
+        F.try_variant_get(F.try_parse_json("value"), "$.record", "variant").alias("raw"),
+    )
+
+
+def _read_arrays(root, reader, opts, dates) -> DataFrame:
+    # Records may carry a legacy "date" key and files lie by day: the
+    # date directories are globbed, which lists only the requested dates.
+    days = "*" if dates is None else "{" + ",".join(dates) + "}"
+    files = reader.text(f"{root.rstrip('/')}/date={days}", wholetext=True).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.from_json("value", T.ArrayType(T.StringType()), opts).alias("_texts"),
+    )
+    # An unreadable file keeps one row, without a position.
+    nothing = F.struct(F.lit(None).cast("bigint").alias("p"), F.lit(None).cast("string").alias("t"))
+    each = F.transform("_texts", lambda t, p: F.struct(p.cast("bigint").alias("p"), t.alias("t")))
+    rows = F.when(F.col("_texts").isNull(), F.array(nothing)).otherwise(each)
+    text = F.col("_row.t")
+    return files.select("date", "_file", F.explode(rows).alias("_row")).select(
+        "date", "_file", F.col("_row.p").alias("_pos"), parse_reading(text, opts).alias("record"),
+        F.try_parse_json(text).alias("raw"),
+    )
+
+
 def read_raw(
     spark: SparkSession,
     root: str | Sequence[str],
@@ -90,10 +161,12 @@ def read_raw(
     with_corrupt: bool = False,
     dates: Sequence[str] | None = None,
     pattern: str = "*.json",
+    with_raw: bool = False,
 ) -> DataFrame:
     """Scan every ``*.json`` landing file under ``root`` (one root or several).
 
-    ``pattern`` names other files than ``*.json``.
+    ``pattern`` names other files than ``*.json`` (not with ``auto``).
+    ``with_raw`` adds ``raw``, the whole record as a VARIANT.
     A missing ``root`` gives an empty frame with the scan schema. Whatever
     cannot be read is a row with a null ``record`` (so a cleaning run counts
     it as invalid); an unreadable array file has a null ``_pos`` as well.
@@ -103,49 +176,32 @@ def read_raw(
     if not isinstance(root, str):
         # Several landing roots (run landings, backfill landings): scan
         # each with its own file listing, then union.
-        frames = [read_raw(spark, r, layout, mode, with_corrupt, dates, pattern) for r in root]
+        frames = [read_raw(spark, r, layout, mode, with_corrupt, dates, pattern, with_raw) for r in root]
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
         return out
-    if layout not in ("array", "lines"):
-        raise ValueError(f"layout must be 'array' or 'lines', got {layout!r}")
+    if layout not in ("array", "lines", "auto"):
+        raise ValueError(f"layout must be 'array', 'lines' or 'auto', got {layout!r}")
+    if layout == "auto":
+        parts = [
+            read_raw(spark, root, one, mode, with_corrupt, dates, f"{names}.json", with_raw)
+            for one, names in (("array", OTHER_FILES), ("lines", LINE_FILES))
+        ]
+        return parts[0].unionByName(parts[1])
     opts = {**JSON_OPTIONS, "mode": mode}
     reader = spark.read.option("pathGlobFilter", pattern)
     try:
         if layout == "lines":
-            lines = reader.text(root).where(F.trim("value") != "")
-            if dates is not None:
-                lines = lines.where(F.col("date").cast("string").isin(*dates))  # partition pruning
-            line = F.from_json("value", RAW_LINE, opts)
-            out = lines.select(F.col("date").cast("string").alias("date"), line.alias("l")).select(
-                "date",
-                F.col("l.run_id").alias("_file"),
-                F.col("l.pos").alias("_pos"),
-                _reading(F.col("l.record")).alias("record"),
-            )
+            out = _read_lines(spark, root, reader, opts, dates)
         else:
-            # Records may carry a legacy "date" key and files lie by day: the
-            # date directories are globbed, which lists only the requested dates.
-            days = "*" if dates is None else "{" + ",".join(dates) + "}"
-            files = reader.text(f"{root.rstrip('/')}/date={days}", wholetext=True).select(
-                F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
-                F.col("_metadata.file_path").alias("_file"),
-                F.from_json("value", T.ArrayType(T.StringType()), opts).alias("_texts"),
-            )
-            # An unreadable file keeps one row, without a position.
-            rows = F.when(F.col("_texts").isNull(), F.array(F.struct(F.lit(None).cast("bigint").alias("p"), F.lit(None).cast("string").alias("t")))).otherwise(
-                F.transform("_texts", lambda t, p: F.struct(p.cast("bigint").alias("p"), t.alias("t")))
-            )
-            text = F.col("_row.t")
-            parsed = F.when(F.ltrim(text).startswith("{"), F.from_json(text, PARSED_READING, opts))
-            out = files.select("date", "_file", F.explode(rows).alias("_row")).select(
-                "date", "_file", F.col("_row.p").alias("_pos"), _reading(parsed).alias("record")
-            )
+            out = _read_arrays(root, reader, opts, dates)
     except AnalysisException as exc:
         if not _is_missing_path(exc):
             raise
         out = empty_raw(spark)
+    if not with_raw:
+        out = out.drop("raw")
     return out.withColumn("_corrupt", F.col("record").isNull()) if with_corrupt else out
 
 

@@ -26,3 +26,15 @@ def folders(spark: SparkSession, root: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
+
+
+def move_only_file(spark: SparkSession, folder: str, path: str) -> None:
+    """Move the one data file that a job wrote into ``folder`` to ``path``, replacing that file."""
+    p, fs = _path(spark, folder)
+    (file,) = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+    target, _ = _path(spark, path)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    if not fs.rename(file, target):
+        raise OSError(f"could not move {file} to {path}")
+    fs.delete(p, True)
