@@ -244,6 +244,26 @@ FIRSTS_BY_DAY = """firsts AS (
     FROM valid) WHERE rn = 1
 )"""
 
+
+
+def RAW_AND(more: str) -> str:
+    """Readings of a further landing beside the fixture's."""
+    return f"""more AS (
+  SELECT src, pos, location_id, location_name, city, country, parameter, value, unit, date_str, ts FROM raw
+  UNION ALL BY NAME {more}
+)"""
+
+
+VALID_OF_ALL = VALID.replace("FROM raw", "FROM more")
+# One day's readings landed once more, a second later and 1.5 higher.
+LATE = with_(
+    RAW,
+    RAW_AND("""SELECT 9 AS src, * EXCLUDE (src) REPLACE (value + 1.5 AS value,
+      strftime(ts + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS date_str)
+    FROM raw WHERE src = 0 AND pos % 211 <> 0 AND strftime(ts, '%Y-%m-%d') = '2024-01-15'"""),
+    VALID_OF_ALL, FIRSTS_BY_DAY, CUR,
+)
+
 CURATED_TABLE = with_(RAW, VALID, FIRSTS_BY_DAY, CUR) + f"SELECT {CURATED_COLS}, date FROM cur"
 
 # -- stations and pages -------------------------------------------------------
@@ -567,6 +587,18 @@ SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_
   false AS outlier_view
 FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT FROM d.country
   AND date_trunc('week', d.reading_date) = t.week_start""",
+        "incremental_delta": with_(RAW, RAW_AND("""SELECT 2 AS src, * EXCLUDE (src) REPLACE (CAST(0.5 AS DOUBLE) AS value)
+    FROM raw WHERE src = 0 AND pos % 7 = 0 AND (pos % 14 = 0 OR NOT EXISTS (
+      SELECT 1 FROM raw o WHERE o.src = 0 AND o.pos % 14 = 0
+        AND strftime(o.ts, '%Y-%m-%d') = strftime(raw.ts, '%Y-%m-%d')))"""), VALID_OF_ALL, FIRSTS_BY_DAY, CUR)
+        + f"SELECT {CURATED_COLS}, date FROM cur",
+        "daily_avg_incremental": LATE
+        + f"""SELECT city, country, CAST(date_utc AS DATE) AS reading_date, {EXACT_AVG} AS avg_pm25,
+  count(*) AS reading_count
+FROM cur WHERE {_metric_where("warehouse")} GROUP BY city, country, CAST(date_utc AS DATE)""",
+        "breach_rate_incremental": LATE + breach_rate("warehouse").removeprefix(CLEAN),
+        "weekly_avg_incremental": LATE.rstrip() + ",\n" + weekly("warehouse") + """
+SELECT city, country, CAST(week_start AS TIMESTAMP) AS week_start, avg_pm25 FROM weekly""",
         "landing_replace": with_(RAW)
         + """, landed AS (
   SELECT *, strftime(ts, '%Y-%m-%d') AS date,

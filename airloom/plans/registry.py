@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from airloom.operators import clean as C
 from airloom.operators import dimension as D
 from airloom.operators import history as H
+from airloom.operators import metric_state as MS
 from airloom.operators import metrics as M
 from airloom.operators import search as S
 from airloom.operators.ordering import numbered
@@ -36,6 +37,8 @@ from airloom.sources.curated import read_curated, read_legacy_curated, register_
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
 from airloom.sources.raw import read_raw, read_raw_dates
 from airloom.session import configure, scratch_path
+from airloom.storage import folders
+from airloom.streaming.delta import curate_delta, read_delta
 from airloom.streaming.incremental import clean_append_stream, curate_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,6 +338,59 @@ def q_incremental_global_scope(spark, sf_dir):
     return read_curated(spark, out)
 
 
+def q_incremental_delta(spark, sf_dir):
+    """Later copies land first, then the readings that come before them in landing
+    order, then a run again with fewer rows, then once more whole; only winners change."""
+    configure(spark)
+    raw, table, ckpt = (scratch_path(spark, n) for n in ("raw", "delta", "ckpt"))
+    run = lambda: curate_delta(spark, raw, table, ckpt, flatten=FIXTURE_FLATTEN)
+    land_fixture(spark, sf_dir, raw, srcs=(1,))
+    run()
+    land_fixture(spark, sf_dir, raw, srcs=(0,))
+    run()
+    late = FX.derived_raw(spark, sf_dir).where("src = 0 AND pos % 7 = 0")
+    record = reading_record(F.col("location_id"), F.lit(0.5), F.col("date_str"), F.col("location_name"), F.col("city"), F.col("country"))
+    rows = late.select(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit("run_2").alias("run_id"), "pos", record.alias("record"))
+    for part in (rows, rows.where("pos % 14 = 0")):
+        replace_runs(part, raw)
+        run()
+    return read_delta(spark, table)
+
+
+def _metric_state(spark, sf_dir) -> DataFrame:
+    """Partials of a table whose days come in two landings, the second one late."""
+    configure(spark)
+    raw, out, state = (scratch_path(spark, n) for n in ("raw", "curated", "partials"))
+    for srcs in ((1,), (0,)):
+        land_fixture(spark, sf_dir, raw, srcs=srcs)
+        J.curate(spark, raw, out, flatten=FIXTURE_FLATTEN)
+        days = [f.removeprefix("date=") for f in folders(spark, out) if f.startswith("date=")]
+        MS.update_partials(spark, read_curated(spark, out), state, days)
+    # One more landing touches one day only.
+    late = FX.derived_raw(spark, sf_dir).where("src = 0").where(F.date_format("ts", "yyyy-MM-dd") == SCAN_DAY)
+    record = reading_record(
+        F.col("location_id"), F.col("value") + F.lit(1.5), F.date_format(F.col("ts") + F.expr("INTERVAL 1 SECOND"), FX.TS_FORMAT),
+        F.col("location_name"), F.col("city"), F.col("country"),
+    )
+    rows = late.where("pos % 211 <> 0").select(F.lit(SCAN_DAY).alias("date"), F.lit("run_9").alias("run_id"), "pos", record.alias("record"))
+    replace_runs(rows, raw)
+    J.curate(spark, raw, out, dates=[SCAN_DAY], flatten=FIXTURE_FLATTEN)
+    MS.update_partials(spark, read_curated(spark, out), state, [SCAN_DAY])
+    return MS.read_partials(spark, state)
+
+
+def q_daily_avg_incremental(spark, sf_dir):
+    return MS.daily_avg(_metric_state(spark, sf_dir))
+
+
+def q_breach_rate_incremental(spark, sf_dir):
+    return MS.breach_rate(_metric_state(spark, sf_dir))
+
+
+def q_weekly_avg_incremental(spark, sf_dir):
+    return MS.weekly_avg(_metric_state(spark, sf_dir))
+
+
 def q_append_stream(spark, sf_dir):
     """The keys that the append-mode variant keeps of landed lines."""
     configure(spark)
@@ -868,6 +924,10 @@ QUERIES: dict[str, Query] = {
     "incremental_with_backfill": q_incremental_with_backfill,
     "incremental_global_scope": q_incremental_global_scope,
     "append_stream": q_append_stream,
+    "incremental_delta": q_incremental_delta,
+    "daily_avg_incremental": q_daily_avg_incremental,
+    "breach_rate_incremental": q_breach_rate_incremental,
+    "weekly_avg_incremental": q_weekly_avg_incremental,
     "csv_export": q_csv_export,
     "legacy_curated": q_legacy_curated,
     "flatten_readings": q_flatten_readings,

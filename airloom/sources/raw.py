@@ -98,8 +98,9 @@ def parse_reading(text: Column, opts: dict | None = None) -> Column:
     return _reading(F.when(F.ltrim(text).startswith("{"), parsed))
 
 
-def _latest_only(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
-    """Lines (date, l, ...) without those of replaced and of uncommitted landings.
+def with_holds(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
+    """Parsed lines (date, l, ...) with ``_holds``: whether they belong to no landing, or to
+    the one that the run log of ``root`` names as the latest of their (date, run).
 
     One pass over the lines. Those without a landing id can match nothing
     and get keys of their own, so that they do not meet in one task.
@@ -112,8 +113,25 @@ def _latest_only(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
     same = (F.col("_key") == F.col("_landing")) & (F.col("date") == F.col("_date")) & (
         F.col("l.run_id") == F.col("_run")
     )
-    stays = F.col("l.landing").isNull() | F.col("_landing").isNotNull()
-    return keyed.join(now, same, "left").where(stays).drop("_key", "_date", "_run", "_landing")
+    holds = F.col("l.landing").isNull() | F.col("_landing").isNotNull()
+    joined = keyed.join(now, same, "left").withColumn("_holds", holds)
+    return joined.drop("_key", "_date", "_run", "_landing")
+
+
+def parse_lines(lines: DataFrame, opts: dict | None = None) -> DataFrame:
+    """Lines (date, value) -> (date, value, l), ``l`` being the parsed line."""
+    return lines.select("date", "value", F.from_json("value", RAW_LINE, opts or JSON_OPTIONS).alias("l"))
+
+
+def line_rows(parsed: DataFrame) -> DataFrame:
+    """Parsed lines in the columns of the scan."""
+    return parsed.select(
+        "date",
+        F.col("l.run_id").alias("_file"),
+        F.col("l.pos").alias("_pos"),
+        _reading(F.col("l.record")).alias("record"),
+        F.try_variant_get(F.try_parse_json("value"), "$.record", "variant").alias("raw"),
+    )
 
 
 def _read_lines(spark, root, reader, opts, dates) -> DataFrame:
@@ -123,24 +141,14 @@ def _read_lines(spark, root, reader, opts, dates) -> DataFrame:
     lines = lines.withColumn("date", F.col("date").cast("string"))
     if dates is not None:
         lines = lines.where(F.col("date").isin(*dates))  # partition pruning
-    parsed = lines.select("date", "value", F.from_json("value", RAW_LINE, opts).alias("l"))
-    return _latest_only(spark, root, parsed).select(
-        "date",
-        F.col("l.run_id").alias("_file"),
-        F.col("l.pos").alias("_pos"),
-        _reading(F.col("l.record")).alias("record"),
-        F.try_variant_get(F.try_parse_json("value"), "$.record", "variant").alias("raw"),
-    )
+    return line_rows(with_holds(spark, root, parse_lines(lines, opts)).where("_holds"))
 
 
-def _read_arrays(root, reader, opts, dates) -> DataFrame:
-    # Records may carry a legacy "date" key and files lie by day: the
-    # date directories are globbed, which lists only the requested dates.
-    days = "*" if dates is None else "{" + ",".join(dates) + "}"
-    files = reader.text(f"{root.rstrip('/')}/date={days}", wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1).alias("date"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.from_json("value", T.ArrayType(T.StringType()), opts).alias("_texts"),
+def array_rows(files: DataFrame, opts: dict | None = None) -> DataFrame:
+    """Whole files (date, _file, value) in the columns of the scan."""
+    opts = opts or JSON_OPTIONS
+    files = files.select(
+        "date", "_file", F.from_json("value", T.ArrayType(T.StringType()), opts).alias("_texts")
     )
     # An unreadable file keeps one row, without a position.
     nothing = F.struct(F.lit(None).cast("bigint").alias("p"), F.lit(None).cast("string").alias("t"))
@@ -153,6 +161,20 @@ def _read_arrays(root, reader, opts, dates) -> DataFrame:
     )
 
 
+def day_of_file() -> Column:
+    """The ``date=`` folder of the file that a row is read from."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1)
+
+
+def _read_arrays(root, reader, opts, dates) -> DataFrame:
+    # Records may carry a legacy "date" key and files lie by day: the
+    # date directories are globbed, which lists only the requested dates.
+    days = "*" if dates is None else "{" + ",".join(dates) + "}"
+    files = reader.text(f"{root.rstrip('/')}/date={days}", wholetext=True)
+    path = F.col("_metadata.file_path").alias("_file")
+    return array_rows(files.select(day_of_file().alias("date"), path, "value"), opts)
+
+
 def read_raw(
     spark: SparkSession,
     root: str | Sequence[str],
