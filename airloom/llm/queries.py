@@ -49,8 +49,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A life of the corpus in four commits: words counted, exact copies deleted,
-    all counts revised for the BPE tokenizer, and the first batch sent again."""
+    """A life of the corpus in commits: all rows counted by words and by the BPE tokenizer, whose
+    totals stay; the same word counts of distinct texts, from which copies are deleted and which
+    are then revised for the tokenizer; and the first batch sent again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     docs = docs.withColumns({"words": token_counts.count_words(F.col("text")), "text_id": F.sha2(F.col("text").cast("binary"), 256)})
     counted = save(token_counts.count_tokens(docs, tokens.tokenizer_file()), "token-counts")
@@ -63,9 +64,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = save(kept.unionByName(counted.filter("text_id IS NULL").select(kept.columns)), "kept-counts")
     rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))
     loaded = token_counts.deltas(counted, 1, "words-1", "words")
+    one_each = "words-1-distinct"
     rollup.commit("load", loaded)
-    rollup.commit("copies", token_counts.deltas(counted, -1, "words-1", "words"), token_counts.deltas(kept, 1, "words-1", "words"))
-    rollup.commit("revise", token_counts.deltas(kept, -1, "words-1", "words"), token_counts.deltas(kept, 1, "byte_bpe_50k", "tokens"))
+    rollup.commit("bpe", token_counts.deltas(counted, 1, "byte_bpe_50k", "tokens"))
+    rollup.commit("distinct", token_counts.deltas(counted, 1, one_each, "words"))
+    rollup.commit("copies", token_counts.deltas(counted, -1, one_each, "words"), token_counts.deltas(kept, 1, one_each, "words"))
+    rollup.commit("revise", token_counts.deltas(kept, -1, one_each, "words"), token_counts.deltas(kept, 1, "byte_bpe_50k-distinct", "tokens"))
+    rollup.compact()
     rollup.commit("load", loaded)
     return rollup.totals()
 

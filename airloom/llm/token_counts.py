@@ -10,6 +10,7 @@ again.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from airloom.llm.common import small_batches
 from airloom.llm.tokens import default_vocabulary, encoder, parts
+from airloom.storage import delete, exists, folders
 
 KEYS = ["source", "lang", "tokenizer"]
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,24 +67,32 @@ class Rollup:
     A batch counts when its folder holds the writer's _SUCCESS mark, which
     Spark writes last; what a failed commit left behind is overwritten by
     the next try. Committing an id that is there already changes nothing.
-    One writer at a time commits a given id.
+    One writer at a time commits a given id. ``compact`` sums the batches up
+    to now in a snapshot, which lists their ids: later totals read it and the
+    batches after it only, and the ids stay known.
     """
 
+    SUMS = "source string, lang string, tokenizer string, documents long, tokens long"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _fs(self):
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
+    def _done(self, kind: str) -> list[str]:
+        """Names of the finished folders ``<kind>=<name>``."""
+        names = [f for f in folders(self.spark, self.path) if f.startswith(f"{kind}=")]
+        return sorted(f.removeprefix(f"{kind}=") for f in names if exists(self.spark, f"{self.path}/{f}/_SUCCESS"))
+
+    def _snapshot(self) -> tuple[str | None, set[str]]:
+        """The last whole snapshot and the batch ids that it holds."""
+        done = self._done("snapshot")
+        if not done:
+            return None, set()
+        rows = self.spark.read.schema("batch string").parquet(f"{self.path}/snapshot={done[-1]}").collect()
+        return done[-1], {r["batch"] for r in rows}  # ids, not counts
 
     def batches(self) -> list[str]:
         """Ids of the committed batches."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        mark = self.spark._jvm.org.apache.hadoop.fs.Path
-        folders = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-        return sorted(p.getName().removeprefix("batch=") for p in folders if fs.exists(mark(p, "_SUCCESS")))
+        return sorted({*self._done("batch"), *self._snapshot()[1]})
 
     def commit(self, batch_id: str, *changes: DataFrame) -> bool:
         """Commit the sum of ``changes`` (rows as ``deltas`` gives them); False if the id is there."""
@@ -93,14 +103,40 @@ class Rollup:
         total = changes[0]
         for c in changes[1:]:
             total = total.unionByName(c)
-        summed = total.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        summed.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        self._sums(total).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
         return True
 
+    def _sums(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+
+    def _rows(self) -> tuple[DataFrame, list[str]]:
+        """Sums of the snapshot and the batches after it, and the ids of all."""
+        last, held = self._snapshot()
+        new = [b for b in self._done("batch") if b not in held]
+        paths = [f"{self.path}/batch={b}" for b in new] + ([f"{self.path}/sums={last}"] if last else [])
+        rows = self.spark.read.schema(self.SUMS).parquet(*paths) if paths else self.spark.createDataFrame([], self.SUMS)
+        return rows, sorted({*held, *new})
+
+    def compact(self) -> None:
+        """Sum up what is committed; its batches' folders go once the snapshot is whole.
+
+        The sums are written first and the list of ids last, which makes the
+        snapshot; a reader that began before keeps its files only until the
+        folders go, so compact when no totals are being read.
+        """
+        rows, ids = self._rows()
+        name = new_name()
+        self._sums(rows).write.parquet(f"{self.path}/sums={name}")
+        self.spark.createDataFrame([(i,) for i in ids], "batch string").coalesce(1).write.parquet(f"{self.path}/snapshot={name}")
+        for b in self._done("batch"):
+            if b in ids:
+                delete(self.spark, f"{self.path}/batch={b}")
+
     def totals(self) -> DataFrame:
         """Documents and tokens per key; keys whose documents and tokens are all gone are left out."""
-        schema = "source string, lang string, tokenizer string, documents long, tokens long"
-        paths = [f"{self.path}/batch={b}" for b in self.batches()]
-        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        sums = rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        return sums.filter("documents <> 0 OR tokens <> 0")
+        return self._sums(self._rows()[0]).filter("documents <> 0 OR tokens <> 0")
+
+
+def new_name() -> str:
+    """A name that sorts after all earlier ones."""
+    return f"{time.time_ns():020d}"

@@ -85,7 +85,22 @@ def test_pipeline_on_odd_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     ids = {p.doc_id for p in C.run(spark, str(tmp_path)).collect()}
-    # of 1 and 2 (equal), 3 (other case) and the textless 4, 5, 6 one stays each
-    assert {1, 4, 7, 8, 13, None} <= ids and not {2, 3, 5, 6} & ids
+    # of 1 and 2 (equal), 3 (other case), the row without id (equal) and the textless 4, 5, 6 one stays each
+    assert {1, 4, 7, 8, 13} <= ids and not {2, 3, 5, 6, None} & ids
     frame(spark).select(keep).limit(0).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_or_with_repeated_ids_are_judged_one_by_one(spark, tmp_path):
+    from helpers import doc, frame, prose
+
+    keep = ["doc_id", "text", "lang", "source", "n_chars"]
+    item, passage = prose(70, 25), prose(71, 60)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    leak, clean, other = (f"{prose(n, 30)} {x}" for n, x in ((72, item), (73, passage), (74, prose(75, 30))))
+    rows = [doc(None, leak), doc(None, clean), doc(None, f"{prose(76, 30)} {passage}"), doc(5, other), doc(5, f"{prose(77, 40)} {item}"), doc(None, other)]
+    docs = frame(spark, rows).select(keep)
+    left = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in C.drop_leaks(spark, docs, str(tmp_path)).collect())
+    assert left == sorted((i is None, i or 0, t) for i, t in ((r[0], r[1]) for r in rows) if item not in t)
+    assert sum(passage in r.text for r in C.cut_repeats(spark, docs, "").collect()) == 1
+    assert sorted((r.doc_id is None, r.text) for r in C.near_dedup(spark, docs, "").collect() if r.text == other) == [(False, other)]

@@ -25,7 +25,6 @@ def token_ids(docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return {i: t.encode(d[0], add_special_tokens=False).ids for i, d in docs.items()}
 
 
@@ -101,12 +100,14 @@ def test_decontamination(spark, docs):
 def test_token_counts(spark, docs, token_ids):
     first, totals = {}, Counter()
     for i in sorted(docs):
-        first.setdefault(docs[i][0], i)
-    for text, i in first.items():
-        _, source, lang = docs[i]
-        totals[source, lang, "documents"] += 1
-        totals[source, lang, "tokens"] += len(token_ids[i])
+        text, source, lang = docs[i]
+        seen = first.setdefault(text, i) == i
+        words = len(text.encode().split())
+        for tokenizer, n, counts in (("words-1", words, True), ("byte_bpe_50k", len(token_ids[i]), True), ("byte_bpe_50k-distinct", len(token_ids[i]), seen)):
+            totals[source, lang, tokenizer, "documents"] += counts
+            totals[source, lang, tokenizer, "tokens"] += n * counts
     rows = queries.op9_token_counts(spark, SF_DIR).collect()
-    assert {r.tokenizer for r in rows} == {"byte_bpe_50k"}
-    got = {(r.source, r.lang): (r.documents, r.tokens) for r in rows}
-    assert got == {(s, g): (totals[s, g, "documents"], totals[s, g, "tokens"]) for s, g, _ in totals}
+    got = {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in rows}
+    keys = {k[:3] for k in totals if totals[k]}
+    assert got == {k: (totals[*k, "documents"], totals[*k, "tokens"]) for k in keys}
+    assert sum(r.documents for r in rows if r.tokenizer == "words-1") == len(docs)
