@@ -3,8 +3,10 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows its
 predecessor kept. All but the last return the columns of ``documents``.
 Documents that a stage does not touch pass through it without a shuffle of
-their text. Rows with a null doc_id cannot be named by a decision about ids
-and stay in the stages 2 to 4.
+their text. Rows are judged one by one, whatever their doc_id: rows that
+share one by their own texts, and a row without one as if it came after all
+that have one (its key is a hash of its values), so its repeats and leaks go
+like those of others. Its doc_id stays null.
 """
 
 from __future__ import annotations
@@ -16,6 +18,20 @@ from airloom.llm import decontamination, packing, quality, simhash, substring_de
 from airloom.llm.common import id_filter, save, table
 
 
+AFTER_ALL = 1 << 62  # keys of rows without doc_id begin here
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a doc_id in every row; ``_own_id`` keeps the rows' own."""
+    values = F.xxhash64(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    key = values.bitwiseAND(F.lit(AFTER_ALL - 1)) + F.lit(AFTER_ALL)
+    return docs.withColumns({"_own_id": F.col("doc_id"), "doc_id": F.coalesce(F.col("doc_id").cast("long"), key)})
+
+
+def with_own_ids(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.drop("doc_id").withColumnRenamed("_own_id", "doc_id").select(columns)
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labelled ones, accepts."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -27,7 +43,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row is judged by its own text: rows that share a doc_id may belong to
     different groups, and a group may be named by the id of another, too.
     """
-    groups = save(simhash.clusters(docs).filter("doc_id IS NOT NULL"), "near-duplicates")
+    columns, docs = docs.columns, keyed(docs)
+    groups = save(simhash.clusters(docs), "near-duplicates")
     named = F.col("component_id") == F.col("doc_id")
     odd = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(named).alias("names")).filter("n > 1 OR NOT names")
     dropped = odd.filter("NOT names").select("doc_id")
@@ -36,23 +53,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = tested.filter("_odd").drop("_odd").join(dropped, "doc_id", "left_anti").withColumn("_fp", simhash.print_of(F.col("text")))
     first = F.row_number().over(Window.partitionBy("doc_id", "_root").orderBy(*[c for c in docs.columns if c != "doc_id"]))
     kept = rest.join(places, ["doc_id", "_fp"]).withColumn("_n", first).filter("_n = 1")
-    return tested.filter("NOT _odd").select(docs.columns).unionByName(kept.select(docs.columns))
+    return with_own_ids(tested.filter("NOT _odd").select(docs.columns).unionByName(kept.select(docs.columns)), columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of passages that an earlier document holds; emptied documents go."""
-    rows = substring_dedup.dedup(docs).filter("n_removed = 0 OR kept <> ''")
+    columns = docs.columns
+    rows = substring_dedup.dedup(keyed(docs)).filter("n_removed = 0 OR kept <> ''")
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
     chars = F.when(changed, F.char_length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumns({"text": text, "n_chars": chars}).select(docs.columns)
+    return with_own_ids(rows.withColumns({"text": text, "n_chars": chars}), columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = save(decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").filter("doc_id IS NOT NULL").distinct(), "leaks")
-    tested = docs.withColumn("_leak", id_filter(leaks, F.col("doc_id")))
-    kept = tested.filter("_leak").drop("_leak").join(leaks, "doc_id", "left_anti")
+    # The key of a row is a hash of its id and text, so rows that share an id are judged apart.
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = decontamination.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="_row")
+    leaks = save(found.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
+    tested = rows.withColumn("_leak", id_filter(leaks.select(F.col("_row").alias("doc_id")), F.col("_row")))
+    kept = tested.filter("_leak").join(leaks, "_row", "left_anti")
     return tested.filter("NOT _leak").select(docs.columns).unionByName(kept.select(docs.columns))
 
 
