@@ -587,6 +587,7 @@ SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_
   false AS outlier_view
 FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT FROM d.country
   AND date_trunc('week', d.reading_date) = t.week_start""",
+        "append_stream_exact": CURATED_TABLE,
         "incremental_delta": with_(RAW, RAW_AND("""SELECT 2 AS src, * EXCLUDE (src) REPLACE (CAST(0.5 AS DOUBLE) AS value)
     FROM raw WHERE src = 0 AND pos % 7 = 0 AND (pos % 14 = 0 OR NOT EXISTS (
       SELECT 1 FROM raw o WHERE o.src = 0 AND o.pos % 14 = 0

@@ -35,10 +35,11 @@ from airloom.sinks.raw import new_landing, reading_record, replace_runs, write_r
 from airloom.sinks.versions import read_versioned, write_version
 from airloom.sources.curated import read_curated, read_legacy_curated, register_table
 from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
-from airloom.sources.raw import read_raw, read_raw_dates
+from airloom.sources.raw import day_of_file, line_rows, parse_lines, read_raw, read_raw_dates
 from airloom.session import configure, scratch_path
 from airloom.storage import folders
 from airloom.streaming.delta import curate_delta, read_delta
+from airloom.streaming.exact import CHANGES, holding, keep_first_changes, rocksdb_state
 from airloom.streaming.incremental import clean_append_stream, curate_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +339,24 @@ def q_incremental_global_scope(spark, sf_dir):
     return read_curated(spark, out)
 
 
+def q_append_stream_exact(spark, sf_dir):
+    """Later copies arrive first; the stream takes them back when the first ones arrive."""
+    configure(spark)
+    raw, out, ckpt = (scratch_path(spark, n) for n in ("raw", "changes", "ckpt"))
+    for src in (1, 0):
+        land_fixture(spark, sf_dir, raw, srcs=(src,))
+        files = spark.readStream.option("pathGlobFilter", "*.json").text(f"{raw}/date=*")
+        lines = files.select(day_of_file().alias("date"), "value").where("trim(value) <> ''")
+        flat = C.flatten_readings(line_rows(parse_lines(lines)).drop("raw"), "record", FIXTURE_FLATTEN)
+        with rocksdb_state(spark):
+            query = (
+                keep_first_changes(flat).writeStream.outputMode("append").format("parquet")
+                .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+            )
+            query.awaitTermination()
+    return holding(spark.read.schema(CHANGES).parquet(out))
+
+
 def q_incremental_delta(spark, sf_dir):
     """Later copies land first, then the readings that come before them in landing
     order, then a run again with fewer rows, then once more whole; only winners change."""
@@ -924,6 +943,7 @@ QUERIES: dict[str, Query] = {
     "incremental_with_backfill": q_incremental_with_backfill,
     "incremental_global_scope": q_incremental_global_scope,
     "append_stream": q_append_stream,
+    "append_stream_exact": q_append_stream_exact,
     "incremental_delta": q_incremental_delta,
     "daily_avg_incremental": q_daily_avg_incremental,
     "breach_rate_incremental": q_breach_rate_incremental,
