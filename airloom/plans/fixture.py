@@ -371,6 +371,7 @@ def measurement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MEASURE_FROM, MEASURE_TO = "2024-01-08", "2024-01-22"
 SEARCH_COUNTRY, SEARCH_TEXT, SEARCH_LIMIT = "AM", "nation_1", 100
+SEARCH_NEEDLES = ("nation_1", "R#0", "#", "n_", "On_2", "no such place")
 LATEST_LIMIT = 2500
 BACKFILL_AS_OF, BACKFILL_LAST_DAYS = "2024-01-22", 10
 CAP_PER_LOCATION = 24

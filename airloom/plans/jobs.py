@@ -23,7 +23,7 @@ from airloom.sinks.curated import drop_dates, write_curated
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sinks.versions import publish, write_version
 from airloom.sinks.raw import order_key, reading_record, replace_runs, with_metadata, write_run_array
-from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
+from airloom.sources.pages import explode_pages, parse_envelope, results_of
 from airloom.sources.raw import parse_reading, read_raw_dates
 
 
@@ -138,8 +138,7 @@ def enrich_job(
     if layout not in ("lines", "array"):
         raise ValueError(f"layout must be 'lines' or 'array', got {layout!r}")
     spark = cache.sparkSession
-    pages = parse_envelope(latest_page_texts, "text", RESULT_TEXTS)
-    readings = latest_readings(pages, limit)
+    readings = results_of(latest_page_texts, RESULT_TEXTS, limit)
     flat = readings.select("page", "pos", "result", parse_reading(F.col("result")).alias("r"))
     ids = D.distinct_locations(flat.select(F.col("r.locationsId").alias("location_id")))
     details = parse_envelope(detail_texts.join(ids, "location_id", "left_semi"), "text",

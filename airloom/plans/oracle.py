@@ -587,6 +587,19 @@ SELECT t.city, t.country, t.week_start, t.pct_change_wow, d.reading_date, d.avg_
   false AS outlier_view
 FROM trend t LEFT JOIN daily d ON t.city = d.city AND t.country IS NOT DISTINCT FROM d.country
   AND date_trunc('week', d.reading_date) = t.week_start""",
+        "location_search_indexed": SQL["location_search"].split("), lim AS (")[0]
+        + """), needles AS (SELECT unnest(['nation_1', 'R#0', '#', 'n_', 'On_2', 'no such place']) AS needle)
+SELECT needle, id, substr(coalesce(name, ''), 1, 35) AS name,
+  substr(coalesce(locality, ''), 1, 25) AS locality, coalesce(code, '') AS country
+FROM cat JOIN needles ON contains(lower(coalesce(name, '')), lower(needle))
+  OR contains(lower(coalesce(locality, '')), lower(needle))
+WHERE code = 'AM' AND has_pm25""",
+        "distinct_locations_approx": with_(RAW, IDS)
+        + "SELECT count(*) AS distinct_locations, true AS within_error FROM ids",
+        "coverage_approx": SQL["coverage_rate"].replace("SELECT count(*) AS distinct_locations,\n  count(*) FILTER (WHERE resolved) AS resolved_locations,\n", "SELECT true AS within_error,\n"),
+        "legacy_curated_mixed": with_(RAW, VALID, FIRSTS_BY_DAY, CUR)
+        + """SELECT * REPLACE (CASE WHEN day(CAST(date AS DATE)) % 3 <> 2 THEN location_name END AS location_name,
+  CASE WHEN day(CAST(date AS DATE)) % 3 <> 2 THEN unit END AS unit) FROM cur""",
         "append_stream_exact": CURATED_TABLE,
         "incremental_delta": with_(RAW, RAW_AND("""SELECT 2 AS src, * EXCLUDE (src) REPLACE (CAST(0.5 AS DOUBLE) AS value)
     FROM raw WHERE src = 0 AND pos % 7 = 0 AND (pos % 14 = 0 OR NOT EXISTS (

@@ -18,6 +18,8 @@ from airloom.operators import history as H
 from airloom.operators import metric_state as MS
 from airloom.operators import metrics as M
 from airloom.operators import search as S
+from airloom.operators import search_index as SI
+from airloom.operators import sketches as SK
 from airloom.operators.ordering import numbered
 from airloom.options import PARAMETER_ID, FlattenOptions, MetricOptions, QualityRules
 from airloom.plans import fixture as FX
@@ -34,7 +36,7 @@ from airloom.sinks.csv import export_csv
 from airloom.sinks.raw import new_landing, reading_record, replace_runs, write_raw
 from airloom.sinks.versions import read_versioned, write_version
 from airloom.sources.curated import read_curated, read_legacy_curated, register_table
-from airloom.sources.pages import explode_pages, latest_readings, parse_envelope
+from airloom.sources.pages import explode_pages, parse_envelope, results_of
 from airloom.sources.raw import day_of_file, line_rows, parse_lines, read_raw, read_raw_dates
 from airloom.session import configure, scratch_path
 from airloom.storage import folders
@@ -447,6 +449,22 @@ def q_legacy_curated(spark, sf_dir):
     return read_legacy_curated(spark, out)
 
 
+def q_legacy_curated_mixed(spark, sf_dir):
+    """One root with BIGINT and DOUBLE ids, times as nanoseconds and microseconds,
+    columns of other types and a missing one, by the day of the month."""
+    configure(spark)
+    out = scratch_path(spark, "legacy")
+    cur = read_curated(spark, _curated_root(spark, sf_dir))
+    kind = F.dayofmonth(F.col("date").cast("date")) % 3
+    instant = F.col("date_utc").cast("timestamp")
+    cur.where(kind == 0).write.partitionBy("date").parquet(out)
+    doubles = cur.where(kind == 1).withColumns({"location_id": F.col("location_id").cast("double"), "date_utc": F.unix_micros(instant) * 1000})
+    doubles.write.mode("append").partitionBy("date").parquet(out)
+    odd = cur.where(kind == 2).withColumns({"date_utc": instant, "unit": F.lit(None).cast("int")}).drop("location_name")
+    odd.write.mode("append").partitionBy("date").parquet(out)
+    return read_legacy_curated(spark, out)
+
+
 # -- JSON shapes: flattening ------------------------------------------------
 
 
@@ -698,16 +716,53 @@ def q_location_search_all(spark, sf_dir):
     return S.find_locations(catalogue, FX.SEARCH_COUNTRY, FX.SEARCH_TEXT)
 
 
+def q_location_search_indexed(spark, sf_dir):
+    """The search by posting lists, with needles of one character and more."""
+    configure(spark)
+    catalogue = FX.location_results(spark, sf_dir).select("loc.*")
+    root = scratch_path(spark, "postings")
+    SI.write_postings(catalogue, root)
+    out = None
+    for needle in FX.SEARCH_NEEDLES:
+        found = SI.find_indexed(catalogue, root, FX.SEARCH_COUNTRY, needle).select(F.lit(needle).alias("needle"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _sketches(spark, sf_dir) -> DataFrame:
+    """Sketches of two landings, the second of which replaces some days of the first."""
+    configure(spark)
+    root = scratch_path(spark, "sketches")
+    raw = FX.derived_raw(spark, sf_dir).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+    enriched = D.enrich(raw.select("src", "pos", "date", "location_id"), _dim(spark, sf_dir))
+    whole = SK.station_sketches(enriched, F.col("location_meta.city"))
+    SK.update_sketches(SK.station_sketches(enriched.where("src = 1"), F.col("location_meta.city")), root)
+    SK.update_sketches(whole, root)
+    return SK.read_sketches(spark, root)
+
+
+def q_distinct_locations_approx(spark, sf_dir):
+    """A5: the merged estimate beside the exact count, and whether it is within its error."""
+    exact = D.distinct_locations(_readings(spark, sf_dir)).agg(F.count(F.lit(1))).scalar()
+    near = F.abs(F.col("distinct_locations") - exact) <= F.lit(SK.hll_error()) * exact
+    return SK.distinct_locations_approx(_sketches(spark, sf_dir)).select(exact.alias("distinct_locations"), near.alias("within_error"))
+
+
+def q_coverage_approx(spark, sf_dir):
+    """The merged coverage beside the exact one."""
+    exact = D.coverage(D.enrich(_readings(spark, sf_dir), _dim(spark, sf_dir))).select("coverage").scalar()
+    near = F.abs(F.col("coverage") - exact) <= F.lit(SK.theta_error())
+    return SK.coverage_approx(_sketches(spark, sf_dir)).select(exact.alias("coverage"), near.alias("within_error"))
+
+
 def q_page_explode_limit(spark, sf_dir):
     configure(spark)
-    pages = parse_envelope(FX.latest_pages(spark, sf_dir), "text", READINGS_PAGE)
-    return _latest_out(latest_readings(pages, FX.LATEST_LIMIT))
+    return _latest_out(results_of(FX.latest_pages(spark, sf_dir), READINGS_PAGE, FX.LATEST_LIMIT))
 
 
 def q_page_explode_all(spark, sf_dir):
     configure(spark)
-    pages = parse_envelope(FX.latest_pages(spark, sf_dir), "text", READINGS_PAGE)
-    return _latest_out(latest_readings(pages))
+    return _latest_out(results_of(FX.latest_pages(spark, sf_dir), READINGS_PAGE))
 
 
 def _latest_out(rows: DataFrame) -> DataFrame:
@@ -950,6 +1005,7 @@ QUERIES: dict[str, Query] = {
     "weekly_avg_incremental": q_weekly_avg_incremental,
     "csv_export": q_csv_export,
     "legacy_curated": q_legacy_curated,
+    "legacy_curated_mixed": q_legacy_curated_mixed,
     "flatten_readings": q_flatten_readings,
     "flatten_unit": q_flatten_unit,
     "flatten_fallback": q_flatten_fallback,
@@ -969,6 +1025,9 @@ QUERIES: dict[str, Query] = {
     "union_sources": q_union_sources,
     "location_search": q_location_search,
     "location_search_all": q_location_search_all,
+    "location_search_indexed": q_location_search_indexed,
+    "distinct_locations_approx": q_distinct_locations_approx,
+    "coverage_approx": q_coverage_approx,
     "page_explode_all": q_page_explode_all,
     "page_explode_limit": q_page_explode_limit,
     "ingest_run": q_ingest_run,

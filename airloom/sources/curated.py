@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.schema import CURATED, CURATED_PARTITIONED
+from airloom.session import scratch_path
+from airloom.storage import exists
 
 
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
@@ -55,32 +57,69 @@ def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_legacy_curated(spark: SparkSession, root: str) -> DataFrame:
-    """Scan curated files written by a pandas job.
+def _footers(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Files below ``root`` by their footer's schema (text).
 
-    Those files store ``date_utc`` as nanosecond timestamps (read as a
-    ``long`` with ``spark.sql.legacy.parquet.nanosAsLong``) and may hold a
-    DOUBLE ``location_id``; both are cast to the curated types. The
-    setting is session-wide. Files of one scan must share one footer schema;
-    scan differently-typed partitions separately and union the results.
+    Names come from Spark's listing; a footer is one small read per file, as
+    Spark itself does on the driver to infer a schema. The source pipeline
+    writes one file per day.
     """
-    # Read when the scan runs, so it stays set for the session; it only
-    # changes how nanosecond timestamp columns are typed.
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.option("mergeSchema", "false").parquet(root)
-    ts = df.schema["date_utc"].dataType.simpleString()
-    date_utc = (
-        F.timestamp_micros(F.floor(F.col("date_utc") / F.lit(1000))).cast("timestamp_ntz")
-        if ts in ("bigint", "long")
-        else F.col("date_utc").cast("timestamp_ntz")
-    )
-    return df.select(
-        F.col("location_id").cast("bigint").alias("location_id"),
-        *(F.col(c).cast("string").alias(c) for c in ("location_name", "city", "country")),
-        F.col("parameter").cast("string").alias("parameter"),
-        F.col("value").cast("double").alias("value"),
-        F.col("unit").cast("string").alias("unit"),
-        date_utc.alias("date_utc"),
-        F.col("is_extreme_outlier").cast("boolean").alias("is_extreme_outlier"),
-        F.col("date").cast("string").alias("date"),
-    )
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    paths = [r["path"] for r in names.select("path").collect()]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    groups: dict[str, list[str]] = {}
+    for path in sorted(paths):
+        file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+        schema = reader.getFooter().getFileMetaData().getSchema().toString()
+        reader.close()
+        groups.setdefault(schema, []).append(path)
+    return groups
+
+
+def read_legacy_curated(spark: SparkSession, root: str) -> DataFrame:
+    """Scan curated files of a pandas job whose footers differ from file to file.
+
+    One day's file may have BIGINT ids and the next DOUBLE ones (a null among
+    them), times in nanoseconds or microseconds, or a column without any
+    value, which pandas writes with a type of its own. Files are grouped by
+    footer, each group is one scan cast to the curated types, and the groups
+    are united. Groups with nanosecond times are read under a session
+    setting, so they are written once below the shared scratch root and the
+    setting is put back: nothing of it remains. A missing column reads as
+    null. A root without files gives an empty table.
+    """
+    if not exists(spark, root):
+        return spark.createDataFrame([], CURATED_PARTITIONED)
+    out = spark.createDataFrame([], CURATED_PARTITIONED)
+    for schema, paths in _footers(spark, root).items():
+        out = out.unionByName(_nanos_group(spark, root, paths) if "NANOS" in schema else _group(spark, root, paths))
+    return out
+
+
+def _group(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """Files of one footer, cast to the curated types."""
+    df = spark.read.option("mergeSchema", "false").option("basePath", root).parquet(*paths)
+    columns = []
+    for f in CURATED_PARTITIONED.fields:
+        if f.name not in df.columns:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif f.name == "date_utc" and df.schema["date_utc"].dataType.simpleString() == "bigint":
+            # Whole microseconds by integer arithmetic: a double would be off by one.
+            micros = F.timestamp_micros(F.expr("(date_utc - pmod(date_utc, 1000L)) div 1000L"))
+            columns.append(micros.cast(f.dataType).alias(f.name))
+        else:
+            columns.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(*columns)
+
+
+def _nanos_group(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting, "false")
+    path = scratch_path(spark, "legacy")
+    spark.conf.set(setting, "true")
+    try:
+        _group(spark, root, paths).write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(CURATED_PARTITIONED).parquet(path)

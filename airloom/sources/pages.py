@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airloom.operators.ordering import with_sum_before
 from airloom.options import PAGE_SIZE_CAP
 from airloom.sources.raw import JSON_OPTIONS
 
@@ -82,6 +83,32 @@ def explode_pages(
     return rows.orderBy("page", "pos").limit(limit)
 
 
+def results_of(texts: DataFrame, envelope: T.StructType, limit: int | None = None) -> DataFrame:
+    """Results of one fetch from its page texts (page, text), as ``explode_pages``.
+
+    All up to the short or empty page, or the first ``limit``. With a limit
+    the pages are counted by the lengths of their arrays, without building a
+    result; prefix sums over the pages in order tell which of them the limit
+    reaches, and only those are parsed. Pages of a limited fetch hold
+    ``min(limit, PAGE_SIZE_CAP)`` results.
+    """
+    if limit is None:
+        return latest_readings(parse_envelope(texts, "text", envelope))
+    size = min(limit, PAGE_SIZE_CAP)
+    n = F.coalesce(F.json_array_length(F.get_json_object("text", "$.results")), F.lit(0))
+    counts = texts.select("page", n.cast("bigint").alias("n"))
+    placed = with_sum_before(counts, "n", "page")
+    stop = placed.where(F.col("n") < size).agg(F.min("page")).first()[0]
+    if stop is not None:
+        placed = placed.where(F.col("page") <= stop)
+    last = placed.where(F.col("before") < limit).agg(F.max_by(F.struct("page", "before"), "page")).first()[0]
+    if last is None:  # no page, or a limit of nothing
+        return explode_pages(parse_envelope(texts.limit(0), "text", envelope))
+    reached = parse_envelope(texts.where(F.col("page") <= last["page"]), "text", envelope)
+    rest = limit - last["before"]
+    return explode_pages(reached).where((F.col("page") < last["page"]) | (F.col("pos") < rest))
+
+
 def latest_readings(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """Results of a latest-readings fetch, up to its short or empty page.
 
