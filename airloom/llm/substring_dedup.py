@@ -11,16 +11,19 @@ each place, whether the match there reaches 13 words, and the interval of
 its occurrences, whose least document is the one that keeps the words.
 
 What travels is packed: one row holds all that a few thousand documents have
-for one bucket of minimizers or one shard.
+for one bucket of minimizers or one shard. The numbers of buckets and shards
+follow the bytes of text, so their sizes do not grow with the table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +34,9 @@ WINDOW = 13
 SEED_WORDS = 8
 SEED_BYTES = 6  # of a minimizer's hash, where minimizers of documents are compared
 SYMBOL_BYTES = 5  # of a word's hash, where the words of segments are compared
-LOCAL_COPIES = 16  # documents of one batch with one seed, from which on only the outer two are compared
-CROWDED = 200_000  # documents with one seed, from which on its windows are grouped by Spark
-SHARDS = 8  # per shuffle partition
+BUCKET_BYTES = 32 << 20  # of text, for each bucket of minimizers
+SHARD_BYTES = 4 << 20  # of text, for each shard of segments
+SEGMENTS_KNOWN = 200_000  # segments that a task remembers; more only means that it sends some again
 BYTES_AT_ONCE = 1 << 20
 P = np.uint64(0x9E3779B97F4A7C15)
 Q = np.uint64(0xD6E8FEB86659FD93)
@@ -130,13 +133,15 @@ def _bucket_rows(bucket: np.ndarray, order_by: np.ndarray) -> Iterator[tuple[int
         yield int(bucket[order[x]]), order[x:y]
 
 
-def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, seed, crowded): the minimizers of each document that occur in another one, too.
+def _shared_seeds(docs: DataFrame, window: int, buckets: int) -> DataFrame:
+    """(doc_id, seed): the minimizers of each document that occur in another one, too.
 
     ``seed`` is the low half of the hash, which is enough to find it again
-    in its document. A task holds one bucket of minimizers.
+    in its document. A task holds one bucket of minimizers. Of the documents
+    of a batch that share a seed only the outer two stand in its bucket, so a
+    passage in very many documents is a few rows of each batch there; the
+    documents between them are known to share it and pass by any bucket.
     """
-    buckets, local_copies, crowd = partitions(docs.sparkSession), LOCAL_COPIES, CROWDED
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "known", "seeds", "docs"]
@@ -149,11 +154,10 @@ def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
             if not len(seed):
                 continue
             bound = runs(seed)
-            copies = np.repeat(np.diff(bound), np.diff(bound))
-            outer = np.zeros(len(seed), bool)
-            outer[bound[:-1]] = outer[bound[1:] - 1] = True
-            known = (copies >= local_copies) & ~outer
-            bucket = ((seed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            known = np.ones(len(seed), bool)
+            known[bound[:-1]] = known[bound[1:] - 1] = False  # the outer two
+            bucket = np.where(known, mixed(doc.astype(np.uint64)), seed >> np.uint64(40))
+            bucket = (bucket % np.uint64(buckets)).astype(np.int64)
             rows = []
             for is_known in (False, True):
                 chosen = np.flatnonzero(known == is_known)
@@ -163,23 +167,30 @@ def _shared_seeds(docs: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
     def shared(t: pa.Table) -> pa.Table:
-        seeds = [from_low_bytes(x, SEED_BYTES) for x in t.column("seeds").to_pylist()]
-        s = np.concatenate(seeds)
-        d = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("docs").to_pylist()])
-        # Of the documents known to share a seed the outer ones stand in the comparison.
+        columns = [t.column(c).to_pylist() for c in ("known", "seeds", "docs")]
+
+        def joined(known: bool) -> tuple[np.ndarray, np.ndarray]:
+            own = [(from_low_bytes(x, SEED_BYTES), np.frombuffer(y, np.int64)) for k, x, y in zip(*columns) if k == known]
+            s = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in own)])
+            return s, np.concatenate([np.zeros(0, np.int64), *(y for _, y in own)])
+
+        s, d = joined(False)
         order = np.argsort(s, kind="stable")
         s, d = s[order], d[order]
         bound = runs(s)
-        size = np.diff(bound)
-        differ = np.minimum.reduceat(d, bound[:-1]) < np.maximum.reduceat(d, bound[:-1])
-        found, crowded = np.repeat(differ, size), np.repeat(size >= crowd, size)
-        return pa.table({"doc_id": d[found], "seed": s[found].astype(np.uint32).view(np.int32), "crowded": crowded[found]})
+        if len(s):
+            differ = np.minimum.reduceat(d, bound[:-1]) < np.maximum.reduceat(d, bound[:-1])
+            found = np.repeat(differ, np.diff(bound))
+            s, d = s[found], d[found]
+        known = joined(True)
+        s, d = np.concatenate([s, known[0]]), np.concatenate([d, known[1]])
+        return pa.table({"doc_id": d, "seed": s.astype(np.uint32).view(np.int32)})
 
     return (
         docs.select("doc_id", "text")
         .mapInArrow(deal, "bucket long, known boolean, seeds binary, docs binary")
         .groupBy("bucket")
-        .applyInArrow(shared, "doc_id long, seed int, crowded boolean")
+        .applyInArrow(shared, "doc_id long, seed int")
     )
 
 
@@ -197,9 +208,18 @@ def _wanted(b: pa.RecordBatch, column: str, text: np.ndarray, seed: np.ndarray)
 
 
 def _to_shards(found: DataFrame, window: int, shards: int) -> DataFrame:
-    """(shard, symbols, lengths, docs, texts, starts): the segments, packed by shard."""
+    """(shard, done, symbols, lengths, docs, texts, starts): the segments, packed by shard.
+
+    Equal segments of one task: the shard gets those of the least documents,
+    one after another. A later document's segment is all repeats of words
+    that an earlier one has, so it needs no comparison (``done``) and passes
+    by any shard: a passage in very many documents is a few rows of each task
+    in its shard.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[bytes, int] = {}
+        names = ["shard", "done", "symbols", "lengths", "docs", "texts", "starts"]
         for b, texts in _parts(batches, 2):
             h, bounds = words_of(texts)
             start, text, _, seed = minimizers(h, bounds, window)
@@ -214,18 +234,33 @@ def _to_shards(found: DataFrame, window: int, shards: int) -> DataFrame:
             last = np.append(begin[1:], len(start)) - 1
             first_word, owner = start[begin], text[begin]
             size = start[last] + window - first_word
-            symbols = np.frombuffer(low_bytes(h, SYMBOL_BYTES), np.uint8).reshape(-1, SYMBOL_BYTES)
+            packed = low_bytes(h, SYMBOL_BYTES)
+            symbols = np.frombuffer(packed, np.uint8).reshape(-1, SYMBOL_BYTES)
             docs, hashes = b.column(0).to_numpy(), b.column(1).to_numpy()
             shard = ((seed[begin] >> np.uint64(24)) % np.uint64(shards)).astype(np.int64)
+            done = np.zeros(len(begin), bool)
+            if len(least) > SEGMENTS_KNOWN:
+                least = {}
+            in_order = np.argsort(docs[owner], kind="stable")
+            for i, x, n, d in zip(in_order.tolist(), first_word[in_order].tolist(), size[in_order].tolist(), docs[owner][in_order].tolist()):
+                key = packed[x * SYMBOL_BYTES : (x + n) * SYMBOL_BYTES]
+                if least.setdefault(key, d) < d:
+                    done[i] = True
+                else:
+                    least[key] = d
+            shard[done] = owner[done] % shards
             rows = []
-            for k, at in _bucket_rows(shard, owner):
-                words = np.repeat(first_word[at] - np.cumsum(size[at]) + size[at], size[at]) + np.arange(size[at].sum())
-                rows.append(
-                    (k, symbols[words].tobytes(), size[at].astype(np.int32).tobytes(), docs[owner[at]].tobytes(), hashes[owner[at]].tobytes(), (first_word[at] - bounds[owner[at]]).astype(np.int32).tobytes())
-                )
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "symbols", "lengths", "docs", "texts", "starts"])
-
-    fields = "shard long, symbols binary, lengths binary, docs binary, texts binary, starts binary"
+            for is_done in (False, True):
+                chosen = np.flatnonzero(done == is_done)
+                for k, at in _bucket_rows(shard[chosen], owner[chosen]):
+                    at = chosen[at]
+                    words = np.zeros(0, np.int64) if is_done else np.repeat(first_word[at] - np.cumsum(size[at]) + size[at], size[at]) + np.arange(size[at].sum())
+                    rows.append(
+                        (k, is_done, symbols[words].tobytes(), size[at].astype(np.int32).tobytes(), docs[owner[at]].tobytes(), hashes[owner[at]].tobytes(), (first_word[at] - bounds[owner[at]]).astype(np.int32).tobytes())
+                    )
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+
+    fields = "shard long, done boolean, symbols binary, lengths binary, docs binary, texts binary, starts binary"
     return found.select("doc_id", "text_id", "text", "seeds").mapInArrow(cut, fields)
 
 
@@ -254,10 +289,27 @@ def shard_minima(symbols: np.ndarray, count: np.ndarray, first_doc: np.ndarray,
     return least
 
 
+def _columns(t: pa.Table) -> list[np.ndarray]:
+    """Length, document, text and start of every segment of the rows."""
+    kinds = (("lengths", np.int32), ("docs", np.int64), ("texts", np.int32), ("starts", np.int32))
+    return [np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, k) for x in t.column(n).to_pylist())]) for n, k in kinds]
+
+
 def _shard_intervals(t: pa.Table, window: int) -> pa.Table:
     """What the segments of one shard lose, as (doc_id, text_id, lo, hi)."""
-    column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in t.column(name).to_pylist()])
-    count, doc, text, start = (column(n, k).astype(np.int64) for n, k in (("lengths", np.int32), ("docs", np.int64), ("texts", np.int32), ("starts", np.int32)))
+    done = t.column("done")
+    size, doc, text, start = _columns(t.filter(done))
+    whole = [doc, text, start, start + size]
+    found = _compared(t.filter(pc.invert(done)), window)
+    doc, text, lo, hi = (np.concatenate(pair) for pair in zip(found, whole))
+    return pa.table({"doc_id": doc, "text_id": text.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
+
+
+def _compared(t: pa.Table, window: int) -> list[np.ndarray]:
+    """The same for the segments that need a comparison, as arrays."""
+    count, doc, text, start = _columns(t)
+    if not len(count):
+        return [np.zeros(0, np.int64)] * 4
     packed = b"".join(t.column("symbols").to_pylist())
     end = np.cumsum(count) * SYMBOL_BYTES
     # Equal segments stand in the index once, with their least document.
@@ -279,30 +331,7 @@ def _shard_intervals(t: pa.Table, window: int) -> pa.Table:
     a = np.flatnonzero(new)
     z = np.append(a[1:], len(row))[: len(a)] - 1
     r = row[a]
-    return pa.table(
-        {"doc_id": doc[r], "text_id": text[r].astype(np.int32), "lo": (start[r] + place[a]).astype(np.int32), "hi": (start[r] + place[z] + window).astype(np.int32)}
-    )
-
-
-def _crowded_intervals(found: DataFrame, window: int) -> DataFrame:
-    """The same for the minimizers of very many documents: each window is grouped by its
-    words, which Spark combines on the map side and whose join it splits where it is skewed."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in _parts(batches, 2):
-            h, bounds = words_of(texts)
-            start, text, _, seed = minimizers(h, bounds, window)
-            keep = _wanted(b, "crowded", text, seed)
-            start, owner = start[keep], pa.array(text[keep])
-            packed = low_bytes(h, SYMBOL_BYTES)
-            words = [packed[x * SYMBOL_BYTES : (x + window) * SYMBOL_BYTES] for x in start.tolist()]
-            lo = pa.array((start - bounds[text[keep]]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), b.column(0).take(owner), b.column(1).take(owner), lo], names=["words", "doc_id", "text_id", "lo"])
-
-    rows = found.filter("size(crowded) > 0").select("doc_id", "text_id", "text", "crowded")
-    each = save(rows.mapInArrow(cut, "words binary, doc_id long, text_id int, lo int"), "crowded-windows")
-    firsts = each.groupBy("words").agg(F.min("doc_id").alias("first_doc"))
-    return each.join(firsts, "words").filter("first_doc < doc_id").select("doc_id", "text_id", "lo", (F.col("lo") + window).alias("hi"))
+    return [doc[r], text[r], start[r] + place[a], start[r] + place[z] + window]
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -310,20 +339,14 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``docs`` has doc_id (not null), text_id (a hash of the text) and text.
     """
-    shared = _shared_seeds(docs, window)
-    per_doc = save(
-        shared.groupBy("doc_id").agg(
-            F.collect_set(F.when(~F.col("crowded"), F.col("seed"))).alias("seeds"),
-            F.collect_set(F.when(F.col("crowded"), F.col("seed"))).alias("crowded"),
-        ),
-        "shared-seeds",
-    )
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    least = partitions(docs.sparkSession)
+    buckets, shards = max(least, math.ceil(size / BUCKET_BYTES)), max(least, math.ceil(size / SHARD_BYTES))
+    shared = _shared_seeds(docs, window, buckets)
+    per_doc = save(shared.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "shared-seeds")
     found = docs.filter(id_filter(per_doc.select("doc_id"), F.col("doc_id"))).join(per_doc, "doc_id")
-    packed = _to_shards(found, window, SHARDS * partitions(docs.sparkSession))
-    intervals = packed.groupBy("shard").applyInArrow(lambda t: _shard_intervals(t, window), "doc_id long, text_id int, lo int, hi int")
-    if not per_doc.filter("size(crowded) > 0").isEmpty():
-        intervals = intervals.unionByName(_crowded_intervals(found, window))
-    return intervals
+    packed = _to_shards(found, window, shards)
+    return packed.groupBy("shard").applyInArrow(lambda t: _shard_intervals(t, window), "doc_id long, text_id int, lo int, hi int")
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

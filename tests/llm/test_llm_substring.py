@@ -66,10 +66,13 @@ def test_few_words_repeat_often(spark):
     assert run(spark, rows) == slow(rows, 13)
 
 
-def test_crowded_seeds_are_grouped_by_window(spark, monkeypatch):
-    monkeypatch.setattr(S, "CROWDED", 4)
-    monkeypatch.setattr(S, "LOCAL_COPIES", 3)
-    rows = shared_passages(99) + [doc(2000 + i, prose(i, 9) + " " + prose(5, 25) + " " + prose(i + 500, 9)) for i in range(40)]
+@pytest.mark.parametrize("at_once, known", [(1 << 20, 200_000), (500, 3), (500, 200_000)])
+def test_passages_in_very_many_documents(spark, monkeypatch, at_once, known):
+    # Batches of some documents, so that copies meet in a batch, in a task and between tasks.
+    monkeypatch.setattr(S, "BYTES_AT_ONCE", at_once)
+    monkeypatch.setattr(S, "SEGMENTS_KNOWN", known)
+    monkeypatch.setattr(S, "SHARD_BYTES", 1000)
+    rows = shared_passages(99) + [doc(2000 - i, prose(i, 9) + " " + prose(5, 25) + " " + prose(i + 500, 9)) for i in range(40)]
     assert run(spark, rows) == slow(rows, 13)
 
 
