@@ -65,30 +65,50 @@ class Tiling:
         starts = np.flatnonzero(taken[length : length + len(r)] == taken[: len(r)])
         return starts, r[starts]
 
-    def _scan(self, length: int) -> list[tuple[int, int, int]]:
-        """Longest matches of at least ``length`` as (length, place in pattern, place in text)."""
+    def _scan(self, length: int) -> list[tuple[int, int, np.ndarray]]:
+        """Longest matches of at least ``length`` as (length, place in pattern, places in text).
+
+        Windows of equal hash on one diagonal, one after another, are one
+        match. The pattern's places are taken from the last to the first, each
+        with all its places in the text at once, so the work is one array
+        operation for each of them, on repetitive texts too.
+        """
         at_p, hash_p = self._windows(self.p, self.free_p, length)
         at_t, hash_t = self._windows(self.t, self.free_t, length)
-        shared = np.isin(hash_t, hash_p)
-        where: dict[int, list[int]] = {}
-        for h, i in zip(hash_t[shared].tolist(), at_t[shared].tolist()):
-            where.setdefault(h, []).append(i)
-        found = []
-        for h, i in zip(hash_p.tolist(), at_p.tolist()):
-            for j in where.get(h, ()):
-                if i and j and self.free_p[i - 1] and self.free_t[j - 1] and self.p[i - 1] == self.t[j - 1]:
-                    continue  # part of the match that begins one token earlier
-                n = 0
-                while i + n < len(self.p) and j + n < len(self.t) and self.free_p[i + n] and self.free_t[j + n] and self.p[i + n] == self.t[j + n]:
-                    n += 1
-                if n >= length:
-                    found.append((n, i, j))
+        order = np.argsort(hash_t, kind="stable")
+        at_t, hash_t = at_t[order], hash_t[order]
+        left, right = np.searchsorted(hash_t, hash_p), np.searchsorted(hash_t, hash_p, side="right")
+        run = np.zeros(len(self.t) + 1, np.int64)  # windows that follow at each place of the text
+        last, last_i, found = np.zeros(0, np.int64), -1, []
+
+        def begins(i: int, here: np.ndarray) -> None:
+            found.extend((int(n) + length - 1, i, here[run[here] == n]) for n in np.unique(run[here]))
+
+        for k in np.flatnonzero(right > left)[::-1]:
+            i, here = int(at_p[k]), at_t[left[k] : right[k]]
+            if i + 1 == last_i:
+                follow = run[here + 1] + 1
+                continued = np.zeros(len(self.t) + 1, bool)
+                continued[here + 1] = True
+                begins(last_i, last[~continued[last]])
+            else:
+                begins(last_i, last)
+                follow = np.ones(len(here), np.int64)
+            run[last] = 0
+            run[here] = follow
+            last, last_i = here, i
+        begins(last_i, last)
         return found
 
-    def _mark(self, found: list[tuple[int, int, int]]) -> bool:
+    def _mark(self, found: list[tuple[int, int, np.ndarray]]) -> bool:
         marked = False
-        for n, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if self.free_p[i : i + n].all() and self.free_t[j : j + n].all():
+        for n, i, places in sorted(found, key=lambda x: (-x[0], x[1])):
+            if not self.free_p[i : i + n].all():
+                continue
+            taken = np.concatenate(([0], np.cumsum(~self.free_t)))
+            free = places[taken[places + n] == taken[places]]
+            if len(free):
+                j = int(free[0])
                 self.free_p[i : i + n] = self.free_t[j : j + n] = False
                 self.tiles.append((i, j, n))
                 marked = True
@@ -135,10 +155,9 @@ def _item_seeds(items: DataFrame, min_match: int, threshold: float) -> DataFrame
 def _seed_filter(seeds: DataFrame) -> np.ndarray:
     """A bitmap of the seeds: two bits each, of a size that does not depend on their number."""
     at = F.explode(F.array(F.expr(f"seed & {2**FILTER_BITS - 1}"), F.expr(f"shiftrightunsigned(seed, 32) & {2**FILTER_BITS - 1}")))
-    words = seeds.select(at.alias("b")).groupBy(F.expr("b div 8").alias("i")).agg(F.expr("bit_or(shiftleft(1, cast(b % 8 as int)))").alias("bits")).collect()
+    words = seeds.select(at.alias("b")).groupBy(F.expr("b div 8").alias("i")).agg(F.expr("bit_or(shiftleft(1, cast(b % 8 as int)))").alias("bits")).toArrow()
     bitmap = np.zeros(2**FILTER_BITS // 8, np.uint8)
-    for i, bits in words:
-        bitmap[i] = bits
+    bitmap[words.column("i").to_numpy()] = words.column("bits").to_numpy()
     return bitmap
 
 
