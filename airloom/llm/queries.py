@@ -187,7 +187,7 @@ WITH src AS (
   SELECT page_id, url AS target_uri, coalesce(html, '') AS body FROM pages
 ), resp AS (
   SELECT *, 'HTTP/1.1 200 OK' || {_CRLF} || 'Content-Type: text/html; charset=utf-8' || {_CRLF} || 'Content-Length: ' || strlen(body) AS http,
-    md5('response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(target_uri, '')) AS h
+    md5('response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(target_uri, '') || chr(10) || 'sha256:' || sha256(body)) AS h
   FROM src
 ), made AS (
   SELECT *, {_urn("h")} AS refers_to, 'sha256:' || sha256(body) AS source_digest,

@@ -4,13 +4,17 @@ A record is a row: its named header fields as columns and its block as text.
 ``responses`` builds response records from crawled pages, ``derive`` builds
 two records from each of them, ``to_text`` renders a record as WARC/1.1
 text, ``write_warc`` and ``read_warc`` store and load them with Spark's text
-and binary-file sources. Blocks are UTF-8 text throughout.
+and binary-file sources. A record that was read has its block twice: as the
+bytes that its digests are of, which is what is written again, and as text.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
+import re
+import zlib
 from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,8 @@ FIELDS = (
     ("WARC-Date", "warc_date"),
     ("WARC-Target-URI", "target_uri"),
     ("WARC-Refers-To", "refers_to"),
+    ("WARC-Refers-To-Target-URI", "refers_to_target_uri"),
+    ("WARC-Refers-To-Date", "refers_to_date"),
     ("WARC-Block-Digest", "block_digest"),
     ("WARC-Payload-Digest", "payload_digest"),
     ("Content-Type", "content_type"),
@@ -68,23 +74,24 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """A response record per page: an HTTP header block, then the page.
 
     A null url gives a record without target URI, a null page an empty
-    payload. Repeated pages give repeated records; other columns are left
-    out.
+    payload. The record id depends on page id, url and payload: pages that
+    differ in any of them have different records, repeated pages repeat
+    their record. Other columns are left out.
     """
     body = F.coalesce(F.col(html_col), F.lit(""))
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("_body").cast("string"), F.lit(CRLF * 2))
     return (
         pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("target_uri"), body.alias("_body"))
-        .withColumn("block", F.concat(head, "_body"))
+        .withColumns({"block": F.concat(head, "_body"), "payload_digest": digest(F.col("_body"))})
         .select(
             "page_id",
             F.lit("response").alias("warc_type"),
-            record_id("response", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("target_uri", F.lit(""))).alias("record_id"),
+            record_id("response", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("target_uri", F.lit("")), F.col("payload_digest")).alias("record_id"),
             F.lit(date).alias("warc_date"),
             "target_uri",
-            F.lit(None).cast("string").alias("refers_to"),
+            *(F.lit(None).cast("string").alias(c) for c in ("refers_to", "refers_to_target_uri", "refers_to_date")),
             digest(F.col("block")).alias("block_digest"),
-            digest(F.col("_body")).alias("payload_digest"),
+            "payload_digest",
             F.lit("application/http; msgtype=response").alias("content_type"),
             "block",
         )
@@ -94,8 +101,8 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 def derive(records: DataFrame) -> DataFrame:
     """The metadata and the conversion record of every response record.
 
-    Both name the response in ``refers_to`` and keep its date and target
-    URI. The conversion's block is the page's plain text; the metadata's is
+    Both name the response in ``refers_to`` (with its URI and date) and keep
+    its date and target URI. The conversion's block is the page's plain text; the metadata's is
     JSON with the source's WARC and HTTP headers, digests, title and the
     linked conversion record. ``text_digest`` of both is the digest of the
     plain text, ``source_digest`` the payload digest of the response. Other
@@ -149,6 +156,8 @@ def derive(records: DataFrame) -> DataFrame:
         "warc_date",
         "target_uri",
         "refers_to",
+        F.col("target_uri").alias("refers_to_target_uri"),
+        F.col("warc_date").alias("refers_to_date"),
         digest(F.col("_r.block")).alias("block_digest"),
         F.lit(None).cast("string").alias("payload_digest"),
         "_r.content_type",
@@ -161,46 +170,119 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 def to_text(records: DataFrame) -> DataFrame:
-    """One column ``value``: each record as WARC/1.1 text without its closing blank lines."""
+    """One column ``value``: each record as WARC/1.1 text without its closing blank lines.
+
+    Records with ``raw_block`` are written with these bytes, whatever their
+    charset; a null there gives the text of ``block``, a null block an empty one.
+    """
     clean = [F.concat(F.lit(f"{name}: "), F.regexp_replace(F.col(col), r"[\r\n]+", " "), F.lit(CRLF)) for name, col in FIELDS if col in records.columns]
     lines = [F.coalesce(c, F.lit("")) for c in clean]
-    return records.select(F.concat(F.lit(f"WARC/1.1{CRLF}"), *lines, F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit(CRLF * 2), "block").alias("value"))
+    # The bytes as they are: a string column need not be valid UTF-8 to be written.
+    raw = [F.col("raw_block").cast("string")] if "raw_block" in records.columns else []
+    block = F.coalesce(*raw, F.col("block"), F.lit(""))
+    return records.select(F.concat(F.lit(f"WARC/1.1{CRLF}"), *lines, F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(CRLF * 2), block).alias("value"))
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip", records_per_file: int = 100_000) -> None:
-    """WARC files of a bounded number of records each, written by Spark's text sink."""
+    """WARC files of a bounded number of records each, written by Spark's text sink.
+
+    The text sink compresses a file as one gzip stream, not record by record.
+    """
     to_text(records).write.option("lineSep", RECORD_END).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def _parse(data: bytes) -> Iterator[dict]:
+def _unpacked(data: bytes) -> tuple[bytes, bool]:
+    """The content of a plain or gzip file (one member or one for each record), and whether it was whole."""
+    if data[:2] != b"\x1f\x8b":
+        return data, True
+    out = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(wbits=31)
+        try:
+            out.append(member.decompress(data))
+        except zlib.error:
+            return b"".join(out), False
+        if not member.eof:
+            return b"".join(out), False
+        data = member.unused_data
+    return b"".join(out), not data.strip(b"\0\r\n")
+
+
+def _text(block: bytes, content_type: str | None) -> str:
+    """A block as text: an HTTP body without its content encoding, in its charset."""
+    head, gap, body = block.partition(b"\r\n\r\n") if (content_type or "").lower().startswith("application/http") else (b"", b"", block)
+    if found := re.search(rb"(?i)\r\ncontent-encoding:[ \t]*(x-gzip|gzip|deflate)[ \t]*(?:\r\n|$)", head):
+        try:
+            body = zlib.decompress(body, wbits=47) if found[1].lower() != b"deflate" else _inflated(body)
+        except zlib.error:
+            pass  # as it is
+    charset = re.search(r"(?i)charset=[\"']?([\w.:-]+)", head.decode("latin-1") if gap else content_type or "")
+    try:
+        text = body.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        text = body.decode("utf-8", "replace")
+    return head.decode("utf-8", "replace") + gap.decode() + text
+
+
+def _inflated(body: bytes) -> bytes:
+    try:
+        return zlib.decompress(body)
+    except zlib.error:
+        return zlib.decompress(body, wbits=-15)  # what some servers send
+
+
+def _parse(data: bytes, whole: bool = True) -> Iterator[dict]:
+    """Records in order; what is no record gives one row with ``damaged`` and is passed over."""
     at = 0
-    while (start := data.find(b"WARC/1.", at)) >= 0:
-        end = data.find(b"\r\n\r\n", start)
-        fields = dict(x.split(": ", 1) for x in data[start:end].decode().split(CRLF)[1:] if ": " in x)
-        size = int(fields.get("Content-Length", 0))
-        row = {col: fields.get(name) for name, col in FIELDS}
-        yield row | {"block": data[end + 4 : end + 4 + size].decode("utf-8", "replace")}
-        at = end + 4 + size
+    while True:
+        while data[at : at + 2] == b"\r\n":
+            at += 2
+        if at >= len(data):
+            break
+        end = data.find(b"\r\n\r\n", at)
+        lines = data[at : end if end >= 0 else len(data)].decode("utf-8", "replace").split(CRLF)
+        fields = dict(x.split(":", 1) for x in lines[1:] if ":" in x)
+        size = fields.get("Content-Length", "").strip()
+        known = data.startswith(b"WARC/1.", at) and end >= 0 and size.isascii() and size.isdigit()
+        if known and end + 4 + int(size) <= len(data):
+            block = data[end + 4 : end + 4 + int(size)]
+            row = {col: fields[name].strip() if name in fields else None for name, col in FIELDS}
+            yield row | {"block": _text(block, row["content_type"]), "raw_block": block, "damaged": None}
+            at = end + 4 + int(size)
+            continue
+        yield {"damaged": "record cut off" if known else "no record"}
+        following = data.find(b"\r\n\r\nWARC/1.", at)
+        if following < 0:
+            break
+        at = following + 4
+    if not whole:
+        yield {"damaged": "compressed data"}
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of WARC files, plain or gzip. A file is read by one task."""
-    import gzip
+def read_warc(spark: SparkSession, path: str, with_damaged: bool = False) -> DataFrame:
+    """The records of WARC files, plain or gzip (whole or by record). A file is read by one task.
 
+    Columns: the header fields, ``block`` as text (HTTP bodies unpacked and
+    decoded by their charset, bytes that do not fit replaced) and
+    ``raw_block``, its bytes. A record with a bad length or header, one that
+    is cut off, and broken compressed data are passed over; the records
+    around them are read. ``with_damaged`` returns a row for each of these,
+    with the reason in ``damaged`` and nulls else.
+    """
     names = [c for _, c in FIELDS] + ["block"]
+    schema = pa.schema([*((n, pa.string()) for n in names), ("raw_block", pa.binary()), ("damaged", pa.string())])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                data = content.as_py()
-                rows = _parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
                 chunk = []
-                for r in rows:
+                for r in _parse(*_unpacked(content.as_py())):
                     chunk.append(r)
                     if len(chunk) == 1000:
-                        yield pa.RecordBatch.from_pylist(chunk, schema=pa.schema([(n, pa.string()) for n in names]))
+                        yield pa.RecordBatch.from_pylist(chunk, schema=schema)
                         chunk = []
-                yield pa.RecordBatch.from_pylist(chunk, schema=pa.schema([(n, pa.string()) for n in names]))
+                yield pa.RecordBatch.from_pylist(chunk, schema=schema)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    return files.mapInArrow(parse, ", ".join(f"{n} string" for n in names))
+    rows = files.mapInArrow(parse, ", ".join(f"{n} string" for n in names) + ", raw_block binary, damaged string")
+    return rows if with_damaged else rows.filter("damaged IS NULL").drop("damaged")

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import json
 
@@ -65,3 +66,52 @@ def test_other_records_and_empty_table(spark):
     bare = warc.derive(r.withColumn("block", F.lit("no header"))).filter("warc_type = 'conversion'").first()
     assert bare.block == ""
     assert warc.derive(warc.responses(spark.createDataFrame([], PAGES))).count() == 0
+
+
+def test_pages_of_one_id_and_url_have_their_own_records(spark):
+    made = warc.derive(warc.responses(pages(spark, [(1, "http://a/", "<p>x"), (1, "http://a/", "<p>y"), (1, "http://a/", "<p>y")]))).collect()
+    assert len(made) == 6 and len({r.record_id for r in made}) == 4
+    assert {(r.refers_to_target_uri, r.refers_to_date) for r in made} == {("http://a/", warc.DATE)}
+
+
+def record(block, length=None, kind="application/http; msgtype=response", sep="\r\n"):
+    head = f"WARC/1.0{sep}WARC-Type: response{sep}WARC-Record-ID: <x>{sep}Content-Type: {kind}{sep}Content-Length: {len(block) if length is None else length}{sep}{sep}"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+LATIN = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\ncaf\xe9"
+ZIPPED = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + gzip.compress("né".encode())
+BYTES = bytes(range(256)) * 3
+
+
+def test_bytes_charsets_and_encodings_survive(spark, tmp_path):
+    source, copy = tmp_path / "source", str(tmp_path / "copy")
+    source.mkdir()
+    records = [record(LATIN), record(ZIPPED), record(BYTES, kind="image/png"), record(b"")]
+    (source / "one.warc").write_bytes(b"".join(records))
+    (source / "by-record.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    back = warc.read_warc(spark, str(source))
+    assert sorted(bytes(r.raw_block) for r in back.collect()) == sorted([LATIN, ZIPPED, BYTES, b""] * 2)
+    texts = {r.block.rpartition("\r\n\r\n")[2] for r in back.filter("content_type LIKE 'application/http%'").collect()}
+    assert texts == {"café", "né", ""}
+    for compression in ("none", "gzip"):
+        warc.write_warc(back, f"{copy}-{compression}", compression, records_per_file=3)
+        again = warc.read_warc(spark, f"{copy}-{compression}")
+        assert sorted(bytes(r.raw_block) for r in again.collect()) == sorted([LATIN, ZIPPED, BYTES, b""] * 2)
+
+
+def test_damaged_records_are_counted_and_passed_over(spark, tmp_path):
+    good, files = record(LATIN), tmp_path / "damaged"
+    files.mkdir()
+    (files / "length.warc").write_bytes(good + record(b"abc", "x1") + record(b"abc", "-4") + good + record(b"abc", 10**9) + good)
+    (files / "header.warc").write_bytes(b"junk\r\n\r\n" + good + b"WARC/1.0\r\n\xff\xfe: \xff\r\nContent-Length: 2\r\n\r\nok\r\n\r\n" + good + b"WARC/1.0\r\nno end")
+    whole = gzip.compress(good)
+    (files / "packed.warc.gz").write_bytes(whole + gzip.compress(good * 50)[:-40])
+    (files / "broken.warc.gz").write_bytes(whole + b"\x1f\x8bnot")
+    (files / "empty.warc").write_bytes(b"")
+    rows = warc.read_warc(spark, str(files), with_damaged=True).collect()
+    damaged = sorted(r.damaged for r in rows if r.damaged)
+    assert damaged.count("record cut off") >= 1 and damaged.count("no record") >= 4 and damaged.count("compressed data") == 2
+    kept = warc.read_warc(spark, str(files))
+    assert "damaged" not in kept.columns and kept.filter("warc_type = 'response'").count() >= 7
+    assert all(bytes(r.raw_block) in (LATIN, b"ok") for r in kept.collect())
