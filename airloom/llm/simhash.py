@@ -96,6 +96,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return syndrome, pairs
 
 
+COMPARISONS = 1 << 26  # of one block of an anchor
 SYNDROME, PAIRS = _tables()
 TOP = np.uint32(1 << 31)
 
@@ -141,7 +142,10 @@ def near_links(fps: DataFrame, bits: int = 3) -> DataFrame:
 
     ``fps`` holds each fingerprint once (column fp). The result connects the
     same fingerprints as all links would, with at most one row per
-    fingerprint and anchor. A task holds the fingerprints of one anchor.
+    fingerprint and block of an anchor. A task holds one block: the anchor's
+    fingerprints, some of them at home, of which each is compared with all.
+    An anchor has as many blocks as its comparisons need at COMPARISONS each,
+    so a large group of lightly edited copies is spread over tasks.
     """
     if not 0 <= bits <= MAX_BITS:
         raise ValueError(f"bits must be 0 to {MAX_BITS}")
@@ -163,8 +167,16 @@ def near_links(fps: DataFrame, bits: int = 3) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)], names=["u", "v"])
 
     n = partitions(fps.sparkSession)
+    spread = fps.mapInArrow(_replicate, "key long, fp long, home boolean")
+    work = F.count(F.lit(1)) * F.count_if("home")
+    large = spread.groupBy("key").agg(F.ceil(work / COMPARISONS).alias("blocks")).filter("blocks > 1")
+    divided = spread.join(save(large, "large-anchors"), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("fp"), "blocks")
+    each = divided.withColumn("own", own).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    # The block's number stands above the 33 bits of the anchor.
+    key = F.col("key") + F.shiftleft("block", 34)
     return (
-        fps.mapInArrow(_replicate, "key long, fp long, home boolean")
+        each.select(key.alias("key"), "fp", (F.col("home") & (F.col("block") == F.col("own"))).alias("home"))
         .repartition(n, "key")
         .sortWithinPartitions("key")
         .mapInArrow(compare, "u long, v long")

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from helpers import DOC_SCHEMA, doc, frame, odd_docs, prose
 from pyspark.sql import functions as F
@@ -72,7 +73,9 @@ def test_anchors_cover():
             assert home in a.tolist()
 
 
-def test_links_of_planted_distances(spark):
+@pytest.mark.parametrize("comparisons", [1 << 26, 60])
+def test_links_of_planted_distances(spark, monkeypatch, comparisons):
+    monkeypatch.setattr(simhash, "COMPARISONS", comparisons)
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 60, dtype=np.uint64)
     fps = set(base.tolist())
@@ -80,6 +83,9 @@ def test_links_of_planted_distances(spark):
         for flips in (1, 2, 3, 4):
             bits = rng.choice(64, flips, replace=False)
             fps.add(b ^ sum(1 << int(x) for x in bits))
+    # One anchor with very many: unlike in one half, alike in the other.
+    for other in rng.integers(0, 2**32, 150, dtype=np.uint64).tolist():
+        fps |= {(7 << 32) | other, (7 << 32) | (other ^ 1), (15 << 32) | (other ^ 6)}
     fps = sorted(fps)
     expected = roots(fps, [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 3])
     signed = [x - 2**64 if x >= 2**63 else x for x in fps]
