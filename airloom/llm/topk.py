@@ -12,16 +12,20 @@ this bound is below its kth score. Equal scores go to the smaller id, hence
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from airloom.llm.common import blocks, save
+from airloom.llm.common import blocks, partitions, runs, save
 
-ROWS = 8192  # rows of a candidate block
-QUERIES = 4096  # rows of a query block
+ROWS = 1 << 16  # most rows of a candidate block
+QUERIES = 1 << 16  # most rows of a query block
+FEW = 4096  # rows of a block that need not be divided to have work for more tasks
 BATCH = 256  # queries that go down the lists together
 
 
@@ -41,6 +45,11 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def _narrowest(least: int, most: int) -> type:
+    """The narrowest integers that hold all values."""
+    return next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+
+
 def _exact_type(q: np.ndarray, x: np.ndarray):
     """The fastest type in which every inner product is exact."""
     top = [max(abs(int(a.min(initial=0))), abs(int(a.max(initial=0)))) for a in (q, x)]
@@ -110,29 +119,48 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_i
         .agg(F.min("q").alias("q"), F.max("is_query").alias("is_query")),
         "topk-vectors",
     )
-    n, nq, dim = rows.agg(F.count(F.lit(1)), F.count_if("is_query"), F.max(F.size("q"))).first()
-    nx, ny, dim = blocks(n, ROWS), blocks(nq, QUERIES), dim or 0
+    n, nq, dim, least, most = rows.agg(F.count(F.lit(1)), F.count_if("is_query"), F.max(F.size("q")), F.min(F.array_min("q")), F.max(F.array_max("q"))).first()
+    dim, kind = dim or 0, _narrowest(least or 0, most or 0)
+    # Large blocks: a candidate is sent once for each block of queries, a query once for each of candidates.
+    nx = max(blocks(n, ROWS), min(partitions(spark), blocks(n, FEW)))
+    ny = blocks(nq, QUERIES)
 
     def block(size: int) -> Column:
         return F.pmod(F.xxhash64("id"), F.lit(size)).cast("int")
 
-    def each(size: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A batch's rows of one block as one row, in the narrowest integers."""
+        for b in batches:
+            asks, at = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            ids, m = b.column(2).to_numpy(), _matrix(b.column(3), dim).astype(kind)
+            order = np.lexsort((at, asks))
+            bound = np.union1d(runs(at[order]), runs(asks[order]))
+            parts = [order[x:y] for x, y in zip(bound[:-1], bound[1:])]
+            rows = [(bool(asks[p[0]]), int(at[p[0]]), ids[p].tobytes(), m[p].tobytes()) for p in parts]
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            kinds = (pa.bool_(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["asks", "at", "ids", "vectors"])
+
+    asked = rows.filter("is_query").select(F.lit(True).alias("asks"), block(ny).alias("at"), "id", "q")
+    packed = asked.unionByName(rows.select(F.lit(False).alias("asks"), block(nx).alias("at"), "id", "q")).mapInArrow(pack, "asks boolean, at int, ids binary, vectors binary")
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("asks"), nx).otherwise(ny) - 1))
+    pairs = packed.withColumn("other", other).select(
+        "asks", "ids", "vectors", F.when(F.col("asks"), F.col("at")).otherwise(F.col("other")).alias("qb"), F.when(F.col("asks"), F.col("other")).otherwise(F.col("at")).alias("xb")
+    )
 
-    pairs = (
-        rows.filter("is_query").select(F.lit(True).alias("asks"), "id", "q", block(ny).alias("qb")).withColumn("xb", each(nx))
-        .unionByName(rows.select(F.lit(False).alias("asks"), "id", "q", block(nx).alias("xb")).withColumn("qb", each(ny)))
-    )
+    def unpack(t: pa.Table, asks: bool) -> tuple[np.ndarray, np.ndarray]:
+        own = t.filter(t.column("asks") if asks else pc.invert(t.column("asks")))
+        ids = np.frombuffer(b"".join(own.column("ids").to_pylist()), np.int64)
+        return ids, np.frombuffer(b"".join(own.column("vectors").to_pylist()), kind).reshape(len(ids), dim).astype(np.int64)
 
     def search(t: pa.Table) -> pa.Table:
-        asks = t.column("asks").to_numpy(zero_copy_only=False)
-        ids, m = t.column("id").to_numpy(), _matrix(t.column("q").combine_chunks(), dim)
-        found = threshold_topk(ids[asks], m[asks], ids[~asks], m[~asks], k) if asks.any() and not asks.all() else []
+        (qid, q), (xid, x) = unpack(t, True), unpack(t, False)
+        found = threshold_topk(qid, q, xid, x, k) if len(qid) and len(xid) else []
         score = [s for _, s in found]
         top = np.iinfo(np.int64).max
         return pa.table(
             {
-                "query_id": np.repeat(ids[asks][: len(found)], [len(x) for x in score]).astype(np.int64),
+                "query_id": np.repeat(qid[: len(found)], [len(x) for x in score]).astype(np.int64),
                 "vec_id": np.concatenate([i for i, _ in found] or [np.zeros(0, np.int64)]).astype(np.int64),
                 "score": np.array([min(max(int(x), -top - 1), top) for s in score for x in s], dtype=np.int64),
             }

@@ -33,6 +33,7 @@ def run(spark, rows, k=5, modulo=3):
 def test_against_all_pairs(spark, monkeypatch, spread):
     monkeypatch.setattr(topk, "ROWS", 60)
     monkeypatch.setattr(topk, "QUERIES", 20)
+    monkeypatch.setattr(topk, "FEW", 50)
     rng = np.random.default_rng(4)
     rows = [(i, (spread * rng.normal(size=8)).tolist(), 0, 0, 0) for i in range(300)]
     assert run(spark, rows) == slow(rows, 5, 3)
@@ -59,3 +60,7 @@ def test_stops_early_and_stays_exact():
     x[:3] = 50
     found = topk.threshold_topk(np.array([9999]), np.array([[1, 2, 1, 1]]), np.arange(2000), x, 3)
     assert found[0][0].tolist() == [0, 1, 2]
+
+
+def test_narrowest_integers():
+    assert [topk._narrowest(*x) for x in ((-128, 127), (-129, 0), (0, 40_000), (0, 2**31), (0, 0))] == [np.int8, np.int16, np.int32, np.int64, np.int8]
