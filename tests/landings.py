@@ -9,7 +9,7 @@ from airloom.schema import RAW_READING
 TOWNS = ["Porto", "Gdansk", "Bergen", "Lucca", "Tartu"]
 
 
-def reading(id=1, value=10.0, utc="2026-08-27T10:00:00Z", **extra):
+def reading(id=1, value=11.5, utc="2025-10-16T10:00:00Z", **extra):
     """A landed reading of station ``id``, with the metadata that station always has."""
     n = id if isinstance(id, int) else 0
     meta = {"name": f"station {n}", "city": TOWNS[n % 5], "country": "PTPLNOITEE"[n % 5 * 2:][:2]}

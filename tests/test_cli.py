@@ -11,7 +11,7 @@ from landings import reading
 
 
 def test_curate_views_and_find(spark, tmp_path):
-    raw = tmp_path / "raw" / "date=2026-08-27"
+    raw = tmp_path / "raw" / "date=2025-10-16"
     os.makedirs(raw)
     (raw / "run_090000.json").write_text(json.dumps([reading(id=1, value=20.0), reading(id=6)],
                                                     indent=2))
@@ -25,14 +25,14 @@ def test_curate_views_and_find(spark, tmp_path):
     main(["views", "--curated", out, "--out", str(tmp_path / "views"),
           "--profile", "warehouse"])
     daily = spark.read.parquet(str(tmp_path / "views" / "vw_daily_avg_pm25_by_city"))
-    assert [(r.avg_pm25, r.reading_count) for r in daily.collect()] == [(15.0, 2)]
+    assert [(r.avg_pm25, r.reading_count) for r in daily.collect()] == [(15.75, 2)]
     cat = tmp_path / "cat.json"
     cat.write_text("\n".join(json.dumps(r) for r in [
-        {"id": 5, "name": "SF Bay", "locality": "San Francisco", "country": {"code": "US"},
+        {"id": 5, "name": "Harbour", "locality": "Nova Gorica", "country": {"code": "SI"},
          "sensors": [{"id": 9, "parameter": {"id": 2, "name": "pm25"}}]},
-        {"id": 6, "name": "Other", "locality": "Oakland", "country": {"code": "US"},
+        {"id": 6, "name": "Other", "locality": "Celje", "country": {"code": "SI"},
          "sensors": [{"id": 8, "parameter": {"id": 2, "name": "pm25"}}]}]))
-    main(["find", "--catalogue", str(cat), "--country", "US", "--search", "san fran",
+    main(["find", "--catalogue", str(cat), "--country", "SI", "--search", "va gor",
           "--out", str(tmp_path / "found")])
     found = spark.read.option("header", True).csv(str(tmp_path / "found")).collect()
     assert [r.id for r in found] == ["5"]

@@ -12,12 +12,12 @@ from landings import raw_frame, reading
 
 # Timestamp spellings and what they mean (UTC wall clock), None = unparseable.
 STAMPS = {
-    "2026-08-27T10:00:00Z": dt.datetime(2026, 8, 27, 10),
-    "2026-08-27T10:00:00+00:00": dt.datetime(2026, 8, 27, 10),
-    "2026-08-27T12:00:00+02:00": dt.datetime(2026, 8, 27, 10),
-    "2026-08-27 10:00:00": dt.datetime(2026, 8, 27, 10),
-    "2026-08-27": dt.datetime(2026, 8, 27, 0),
-    "2026-08-27T11:00:00Z": dt.datetime(2026, 8, 27, 11),
+    "2025-10-16T10:00:00Z": dt.datetime(2025, 10, 16, 10),
+    "2025-10-16T10:00:00+00:00": dt.datetime(2025, 10, 16, 10),
+    "2025-10-16T12:00:00+02:00": dt.datetime(2025, 10, 16, 10),
+    "2025-10-16 10:00:00": dt.datetime(2025, 10, 16, 10),
+    "2025-10-16": dt.datetime(2025, 10, 16, 0),
+    "2025-10-16T11:00:00Z": dt.datetime(2025, 10, 16, 11),
     "not-a-date": None,
     "": None,
     "10:00": None,

@@ -17,9 +17,9 @@ def flat_rows(spark, n=3000):
     rows = []
     for i in range(n):
         if i % 3 == 0:
-            rows.append((f"run_{i % 50:03d}", i, 1, "pm25", 10.0 + (i % 7), "2026-08-27T10:00:00Z"))
+            rows.append((f"run_{i % 50:03d}", i, 1, "pm25", 10.0 + (i % 7), "2025-10-16T10:00:00Z"))
         else:
-            ts = (dt.datetime(2026, 8, 27) + dt.timedelta(minutes=i)).strftime("%Y-%m-%dT%H:%M:%SZ")
+            ts = (dt.datetime(2025, 10, 16) + dt.timedelta(minutes=i)).strftime("%Y-%m-%dT%H:%M:%SZ")
             rows.append((f"run_{i % 50:03d}", i, 2 + i % 5, "pm25", float(i % 100), ts))
     df = spark.createDataFrame(
         rows, "_file string, _pos long, location_id long, parameter string, value double, "
@@ -53,7 +53,7 @@ def test_hot_station_daily_average_is_exact(spark):
     rows = []
     for i in range(3000):
         loc = 1 if i % 3 == 0 else 2 + i % 50
-        ts = dt.datetime(2026, 8, 27) + dt.timedelta(seconds=i)
+        ts = dt.datetime(2025, 10, 16) + dt.timedelta(seconds=i)
         rows.append((loc, "n", "Hot" if loc == 1 else f"c{loc}", "K", "pm25", float(i % 10), "u",
                      ts, False))
     df = spark.createDataFrame(rows, "location_id long, location_name string, city string, "
@@ -141,8 +141,8 @@ def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
     from airloom.sinks.curated import write_curated
 
     rows = [(i, "n", "C", "K", "pm25", float(i), "u",
-             dt.datetime(2026, 8, 27) + dt.timedelta(seconds=i), False,
-             "2026-08-27" if i % 10 else "2026-08-28")
+             dt.datetime(2025, 10, 16) + dt.timedelta(seconds=i), False,
+             "2025-10-16" if i % 10 else "2025-10-17")
             for i in range(20000)]
     df = spark.createDataFrame(rows, CURATED_PARTITIONED).repartition(8)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
@@ -150,6 +150,6 @@ def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
         write_curated(df, str(tmp_path / "cur"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    hot = [f for f in os.listdir(tmp_path / "cur" / "date=2026-08-27") if f.endswith(".parquet")]
+    hot = [f for f in os.listdir(tmp_path / "cur" / "date=2025-10-16") if f.endswith(".parquet")]
     assert len(hot) > 1
     assert spark.read.parquet(str(tmp_path / "cur")).count() == 20000

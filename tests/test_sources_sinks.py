@@ -22,9 +22,9 @@ def land_array(root, date, name, records, indent=2):
 
 def test_array_layout_reads_pretty_printed_files_in_order(spark, tmp_path):
     root = str(tmp_path / "raw")
-    land_array(root, "2026-08-27", "run_090000.json", [reading(id=1), reading(id=2, value=3.0)])
-    land_array(root, "2026-08-27", "run_100000.json", [reading(id=3)], indent=None)
-    with open(os.path.join(root, "date=2026-08-27", "notes.txt"), "w") as fh:
+    land_array(root, "2025-10-16", "run_090000.json", [reading(id=1), reading(id=2, value=3.0)])
+    land_array(root, "2025-10-16", "run_100000.json", [reading(id=3)], indent=None)
+    with open(os.path.join(root, "date=2025-10-16", "notes.txt"), "w") as fh:
         fh.write("not json")
     df = read_raw(spark, root)
     assert dict(df.dtypes)["date"] == "string"
@@ -33,18 +33,18 @@ def test_array_layout_reads_pretty_printed_files_in_order(spark, tmp_path):
     # _pos orders the rows within a file.
     assert [(f, i) for f, _, i in got] == [("run_090000.json", 1), ("run_090000.json", 2),
                                            ("run_100000.json", 3)]
-    assert {r.date for r in rows} == {"2026-08-27"}
+    assert {r.date for r in rows} == {"2025-10-16"}
 
 
 def test_array_layout_keeps_legacy_date_key(spark, tmp_path):
     root = str(tmp_path / "raw")
-    legacy = {"locationId": 7, "value": 2.0, "date": {"utc": "2026-08-27T10:00:00Z"}}
-    land_array(root, "2026-08-27", "run_1.json", [legacy])
+    legacy = {"locationId": 7, "value": 2.0, "date": {"utc": "2025-10-16T10:00:00Z"}}
+    land_array(root, "2025-10-16", "run_1.json", [legacy])
     from airloom.operators import clean as C
     from airloom.options import FlattenOptions
 
     row = C.flatten_readings(read_raw(spark, root), opts=FlattenOptions(profile="deployed")).first()
-    assert (row.date, row.location_id, row.date_utc) == ("2026-08-27", 7, "2026-08-27T10:00:00Z")
+    assert (row.date, row.location_id, row.date_utc) == ("2025-10-16", 7, "2025-10-16T10:00:00Z")
 
 
 def test_missing_root_gives_empty_frame(spark, tmp_path):
@@ -53,16 +53,16 @@ def test_missing_root_gives_empty_frame(spark, tmp_path):
     assert read_curated(spark, str(tmp_path / "nothing")).count() == 0
 
 
-ODD_ARRAY = """[{"locationsId": 1, "value": "12.5", "datetime": {"utc": "2026-08-27T10:00:00Z"}},
- {"locationsId": 4.0, "value": 2.5, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
- {"locationsId": "7", "value": 1e2, "location_meta": {"name": 3}, "datetime": {"utc": "2026-08-27T10:00:00Z"}},
+ODD_ARRAY = """[{"locationsId": 1, "value": "12.5", "datetime": {"utc": "2025-10-16T10:00:00Z"}},
+ {"locationsId": 4.0, "value": 2.5, "datetime": {"utc": "2025-10-16T10:00:00Z"}},
+ {"locationsId": "7", "value": 1e2, "location_meta": {"name": 3}, "datetime": {"utc": "2025-10-16T10:00:00Z"}},
  {"locationsId": 4.5, "value": true, "location_meta": "x"}, 5, null,
- {"locationsId": 9, "value": 3, "datetime": {"utc": "2026-08-27T10:00:00Z"}}]"""
+ {"locationsId": 9, "value": 3, "datetime": {"utc": "2025-10-16T10:00:00Z"}}]"""
 
 
 def odd_landing(root):
-    land_array(root, "2026-08-27", "run_1.json", [reading(id=1)])
-    folder = os.path.join(root, "date=2026-08-27")
+    land_array(root, "2025-10-16", "run_1.json", [reading(id=1)])
+    folder = os.path.join(root, "date=2025-10-16")
     for name, text in {"run_2": ODD_ARRAY, "run_3": "[{not json", "run_4": ODD_ARRAY[:200], "run_5": '{"locationsId": 1}', "run_6": "[]"}.items():
         with open(os.path.join(folder, f"{name}.json"), "w") as fh:
             fh.write(text)
@@ -107,9 +107,9 @@ def test_unreadable_parts_are_counted(spark, tmp_path):
 
 def test_date_selection_rejects_prefixes(spark, tmp_path):
     root = str(tmp_path / "raw")
-    land_array(root, "2026-08-27", "run_1.json", [reading(id=1)])
-    land_array(root, "2026-08-28", "run_1.json", [reading(id=2)])
-    assert read_raw_dates(spark, root, ["2026-08-28"]).count() == 1
+    land_array(root, "2025-10-16", "run_1.json", [reading(id=1)])
+    land_array(root, "2025-10-17", "run_1.json", [reading(id=2)])
+    assert read_raw_dates(spark, root, ["2025-10-17"]).count() == 1
     with pytest.raises(ValueError):
         read_raw_dates(spark, root, ["2026-08"])
 
@@ -125,61 +125,61 @@ def _lines(spark, root, rows):
 
 def test_lines_layout_round_trip_and_curate(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z"),
-                        ("2026-08-27", "run_2", 0, 1, 9.0, "2026-08-27T10:00:00Z"),
-                        ("2026-08-28", "run_1", 1, 2, -1.0, "2026-08-28T10:00:00Z")])
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z"),
+                        ("2025-10-16", "run_2", 0, 1, 9.0, "2025-10-16T10:00:00Z"),
+                        ("2025-10-17", "run_1", 1, 2, -1.0, "2025-10-17T10:00:00Z")])
     J.curate(spark, raw, out)
     rows = read_curated(spark, out).collect()
-    assert [(r.date, r.location_id, r.value) for r in rows] == [("2026-08-27", 1, 5.0)]
-    # 2026-08-28 had no valid row: no partition written.
-    assert [d for d in os.listdir(out) if d.startswith("date=")] == ["date=2026-08-27"]
+    assert [(r.date, r.location_id, r.value) for r in rows] == [("2025-10-16", 1, 5.0)]
+    # 2025-10-17 had no valid row: no partition written.
+    assert [d for d in os.listdir(out) if d.startswith("date=")] == ["date=2025-10-16"]
 
 
 def test_rerun_is_idempotent_and_empty_rerun_keeps_partition(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z")])
     J.curate(spark, raw, out)
     J.curate(spark, raw, out)
     assert read_curated(spark, out).count() == 1
     bad = str(tmp_path / "raw_bad")
-    _lines(spark, bad, [("2026-08-27", "run_9", 0, 1, -1.0, "2026-08-27T11:00:00Z")])
+    _lines(spark, bad, [("2025-10-16", "run_9", 0, 1, -1.0, "2025-10-16T11:00:00Z")])
     J.curate(spark, bad, out)
     assert [r.value for r in read_curated(spark, out).collect()] == [5.0]
 
 
 def test_dynamic_overwrite_replaces_only_present_dates(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z"),
-                        ("2026-08-28", "run_1", 1, 2, 6.0, "2026-08-28T10:00:00Z")])
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z"),
+                        ("2025-10-17", "run_1", 1, 2, 6.0, "2025-10-17T10:00:00Z")])
     J.curate(spark, raw, out)
     again = str(tmp_path / "raw2")
-    _lines(spark, again, [("2026-08-28", "run_2", 0, 2, 7.0, "2026-08-28T10:00:00Z")])
+    _lines(spark, again, [("2025-10-17", "run_2", 0, 2, 7.0, "2025-10-17T10:00:00Z")])
     J.curate(spark, again, out)
     got = {r.date: r.value for r in read_curated(spark, out).collect()}
-    assert got == {"2026-08-27": 5.0, "2026-08-28": 7.0}
+    assert got == {"2025-10-16": 5.0, "2025-10-17": 7.0}
 
 
 def test_register_table_discovers_new_partitions(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z")])
     J.curate(spark, raw, out)
     t = register_table(spark, "cur_t1", out)
     assert t.count() == 1
-    _lines(spark, raw, [("2026-08-29", "run_1", 0, 3, 6.0, "2026-08-29T10:00:00Z")])
-    J.curate(spark, raw, out, dates=["2026-08-29"])
+    _lines(spark, raw, [("2025-10-18", "run_1", 0, 3, 6.0, "2025-10-18T10:00:00Z")])
+    J.curate(spark, raw, out, dates=["2025-10-18"])
     assert register_table(spark, "cur_t1", out).count() == 2
     spark.sql("DROP TABLE cur_t1")
 
 
 def test_global_scope_curates_first_landing_across_dates(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "cur")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z"),
-                        ("2026-08-28", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z"),
+                        ("2025-10-17", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z")])
     from airloom.options import QualityRules
 
     J.curate(spark, raw, out, rules=QualityRules(dedup_scope="global"))
     assert [(r.date, r.location_id) for r in read_curated(spark, out).collect()] == [
-        ("2026-08-27", 1)]
+        ("2025-10-16", 1)]
     J.curate(spark, raw, str(tmp_path / "cur2"))
     assert read_curated(spark, str(tmp_path / "cur2")).count() == 2
 
@@ -209,8 +209,8 @@ def test_array_layout_order_survives_file_packing(spark, tmp_path):
 
 def test_lines_layout_malformed_policy(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    _lines(spark, raw, [("2026-08-27", "run_1", 0, 1, 5.0, "2026-08-27T10:00:00Z")])
-    with open(os.path.join(raw, "date=2026-08-27", "broken.json"), "w") as fh:
+    _lines(spark, raw, [("2025-10-16", "run_1", 0, 1, 5.0, "2025-10-16T10:00:00Z")])
+    with open(os.path.join(raw, "date=2025-10-16", "broken.json"), "w") as fh:
         fh.write('{"run_id": "run_2", "pos": 0, "record": {not json\n\n{"run_id": "run_3", "pos": 1, "record": {"value": "x", "locationsId": 3.0}}\n')
     df = read_raw(spark, raw, layout="lines", with_corrupt=True)
     rows = df.collect()
@@ -223,7 +223,7 @@ def test_lines_layout_malformed_policy(spark, tmp_path):
 def test_table_name_follows_its_root(spark, tmp_path):
     for n in (1, 2):
         raw, out = str(tmp_path / f"raw{n}"), str(tmp_path / f"cur{n}")
-        _lines(spark, raw, [("2026-08-27", "run_1", i, i, 5.0, "2026-08-27T10:00:00Z") for i in range(n)])
+        _lines(spark, raw, [("2025-10-16", "run_1", i, i, 5.0, "2025-10-16T10:00:00Z") for i in range(n)])
         J.curate(spark, raw, out)
         assert register_table(spark, "cur_moved", out).count() == n
     assert read_curated(spark, str(tmp_path / "cur1")).count() == 1
@@ -234,12 +234,12 @@ def test_partial_run_in_global_scope_is_refused(spark, tmp_path):
     from airloom.options import QualityRules
 
     with pytest.raises(ValueError):
-        J.curate(spark, str(tmp_path / "raw"), str(tmp_path / "cur"), dates=["2026-08-27"], rules=QualityRules(dedup_scope="global"))
+        J.curate(spark, str(tmp_path / "raw"), str(tmp_path / "cur"), dates=["2025-10-16"], rules=QualityRules(dedup_scope="global"))
 
 
 def test_landing_writes_few_files_per_day(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    rows = [(f"2026-08-{1 + i % 20:02d}", "run_1", i, i, 5.0, "2026-08-27T10:00:00Z") for i in range(400)]
+    rows = [(f"2026-08-{1 + i % 20:02d}", "run_1", i, i, 5.0, "2025-10-16T10:00:00Z") for i in range(400)]
     df = spark.createDataFrame(rows, "date string, run_id string, pos long, id long, v double, utc string").repartition(16)
     write_raw(df.select("date", "run_id", "pos", reading_record(F.col("id"), F.col("v"), F.col("utc")).alias("record")), raw)
     files = [f for d in os.listdir(raw) if d.startswith("date=") for f in os.listdir(os.path.join(raw, d)) if f.endswith(".json")]
