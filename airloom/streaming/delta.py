@@ -194,12 +194,14 @@ def curate_delta(
 
         def each(batch: DataFrame, batch_id: int, root: str = root, name: str = name) -> None:
             session = batch.sparkSession
+            batch = batch.persist()  # read once for its rows, notes and dates
             rows, notes = _new_rows(session, root, batch, layout)
             dates = sorted(r["date"] for r in batch.select("date").distinct().collect())  # days, not rows
             token = f"{name}-{batch_id:012d}"
             notes.coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}/notes/{token}")
             for k, v in _append(session, _valid(rows, rules, flatten), table_root, token, rules, dates).items():
                 totals[k] += v
+            batch.unpersist()
 
         reader = spark.readStream.option("pathGlobFilter", "*.json")
         if max_files:

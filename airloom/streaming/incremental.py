@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from airloom.operators import clean as C
 from airloom.options import FlattenOptions, QualityRules
 from airloom.plans.jobs import curate
-from airloom.storage import exists
+from airloom.storage import delete, exists, folders
 
 NOTE = "token string, date string"
+FILE = "path string, modificationTime timestamp, length long, content binary"  # the source's own columns
 
 
 def touched_stream(
@@ -35,19 +36,19 @@ def touched_stream(
 ) -> DataFrame:
     """File stream over a landing root: the ``date`` of every new file's rows.
 
-    Only the file paths matter here, so one reader serves both layouts and
-    no content can break it. ``max_files`` bounds a micro-batch;
+    Only the file paths matter here: files are listed, none is opened, so one
+    reader serves both layouts and no content can break it. ``max_files``
+    bounds a micro-batch;
     ``max_file_age`` (e.g. ``"30d"``) bounds the stream's log of seen files
     on a landing area that keeps growing.
     """
-    reader = spark.readStream.option("pathGlobFilter", "*.json")
+    reader = spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", "*.json")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_file_age:
         reader = reader.option("maxFileAge", max_file_age)
-    files = reader.text(f"{raw_root.rstrip('/')}/date=*")
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=([^/]+)/[^/]*$", 1)
-    return files.select(day.alias("date"))
+    files = reader.load(f"{raw_root.rstrip('/')}/date=*")
+    return files.select(F.regexp_extract("path", r"/date=([^/]+)/[^/]*$", 1).alias("date"))
 
 
 def _note(batch: DataFrame, folder: str, token: str) -> None:
@@ -56,15 +57,13 @@ def _note(batch: DataFrame, folder: str, token: str) -> None:
     dates.write.mode("overwrite").parquet(f"{folder}/touched/batch={token}")
 
 
-def _noted(spark: SparkSession, folder: str) -> DataFrame:
-    """Noted dates whose curation is not done."""
-    if not exists(spark, f"{folder}/touched"):
-        return spark.createDataFrame([], NOTE)
-    notes = spark.read.schema(NOTE).parquet(f"{folder}/touched").select("token", "date")
-    if not exists(spark, f"{folder}/done"):
-        return notes
-    done = spark.read.schema(NOTE).parquet(f"{folder}/done").select("token")
-    return notes.join(done.distinct(), "token", "left_anti")
+def _noted(spark: SparkSession, folder: str) -> tuple[list[str], list[str]]:
+    """Notes (folder names) whose curation is not done, and their dates."""
+    names = folders(spark, f"{folder}/touched")
+    if not names:
+        return [], []
+    notes = spark.read.schema(NOTE).parquet(*(f"{folder}/touched/{n}" for n in names))
+    return names, sorted(r["date"] for r in notes.select("date").distinct().collect() if r["date"])
 
 
 def curate_incremental(
@@ -108,14 +107,12 @@ def curate_incremental(
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-    notes = _noted(spark, checkpoint).collect()
-    dates = sorted({r["date"] for r in notes if r["date"]})
-    if not dates:
-        return []
-    whole = rules.dedup_scope == "global"
-    curate(spark, roots, out_root, None if whole else dates, layout, rules, flatten)
-    done = spark.createDataFrame([(r["token"], r["date"]) for r in notes], NOTE)
-    done.coalesce(1).write.mode("append").parquet(f"{checkpoint}/done")
+    notes, dates = _noted(spark, checkpoint)
+    if dates:
+        whole = rules.dedup_scope == "global"
+        curate(spark, roots, out_root, None if whole else dates, layout, rules, flatten)
+    for n in notes:  # a run that dies before this curates their dates once more
+        delete(spark, f"{checkpoint}/touched/{n}")
     return dates
 
 
