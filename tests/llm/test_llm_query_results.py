@@ -39,6 +39,17 @@ def test_sharding(spark, docs):
     assert all(0 <= k < 40 and sorted(v) == list(range(len(v))) for k, v in slots.items())
 
 
+def test_shards_have_near_equal_bytes(spark):
+    rows = queries.op2_sharding(spark, SF_DIR.replace("0.001", "0.01")).collect()
+    size = Counter()
+    for r in rows:
+        size[r.shard] += r.size
+    mean = sum(size.values()) / 40
+    assert len(size) == 40 and {r.law for r in rows} == {"bytes"}
+    # No further from the mean than rows are large: a shard has some 25 of them here.
+    assert max(abs(n - mean) for n in size.values()) <= min(0.15 * mean, max(r.size for r in rows))
+
+
 def test_packing(spark, docs, token_ids):
     rows = queries.op3_packing(spark, SF_DIR).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
