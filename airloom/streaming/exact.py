@@ -31,6 +31,19 @@ KEPT = T.StructType(
         T.StructField("_pos", T.LongType()),
     ]
 )
+# What is held of a key: its first copy, the time that tells keys apart, the time of its last copy.
+FIRSTS = T.StructType(
+    [
+        T.StructField(
+            "firsts",
+            T.ArrayType(
+                T.StructType([*KEPT.fields, T.StructField("_time", T.StringType()), T.StructField("_seen", T.LongType())])
+            ),
+        )
+    ]
+)
+_STATION, _PARAMETER = KEPT.names.index("location_id"), KEPT.names.index("parameter")
+BUCKETS = 1024  # of the keys of a landing date
 CHANGES = T.StructType([T.StructField("op", T.IntegerType()), *KEPT.fields])
 _CHANGE = Row(*CHANGES.names)
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -44,34 +57,65 @@ def _place(row: tuple) -> tuple:
 
 
 class KeepFirst(StatefulProcessor):
-    """One key's copies: state is the first of them."""
+    """The copies of a bucket of keys: state is the first copy of each.
 
-    def __init__(self, forget_after_ms: int | None = None):
+    A bucket's state is read and written once for all of its keys. A key is
+    the station, parameter and time (``time_col``) of a row; with
+    ``forget_after_ms`` it is dropped that long after its last copy, by one
+    timer for the bucket's earliest such moment.
+    """
+
+    def __init__(self, forget_after_ms: int | None = None, time_col: str = "date_utc"):
         self.forget_after_ms = forget_after_ms
+        self.time_col = time_col
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.first = handle.getValueState("first", KEPT)
+        self.first = handle.getValueState("first", FIRSTS)
+
+    def _held(self) -> dict[tuple, tuple]:
+        """Key -> (first copy, time of the last copy)."""
+        if not self.first.exists():
+            return {}
+        return {
+            (e[_STATION], e[_PARAMETER], e[-2]): (tuple(e[: len(KEPT)]), e[-1]) for e in self.first.get()[0]
+        }
+
+    def _store(self, held: dict[tuple, tuple]) -> None:
+        if held:
+            self.first.update(([(*copy, key[-1], seen) for key, (copy, seen) in held.items()],))
+        else:
+            self.first.clear()
+        if self.forget_after_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if held:
+                self.handle.registerTimer(min(seen for _, seen in held.values()) + self.forget_after_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = tuple(self.first.get()) if self.first.exists() else None
-        best = held
+        held = self._held()
+        best: dict[tuple, tuple] = {}
         for row in rows:
             copy = tuple(row[c] for c in KEPT.names)
-            if best is None or _place(copy) < _place(best):
-                best = copy
-        if self.forget_after_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.forget_after_ms)
-        if best is not held:
-            self.first.update(best)
-            if held is not None:
-                yield _CHANGE(-1, *held)
-            yield _CHANGE(1, *best)
+            at = (copy[_STATION], copy[_PARAMETER], row[self.time_col])
+            old = best.get(at) or (held[at][0] if at in held else None)
+            best[at] = copy if old is None or _place(copy) < _place(old) else old
+        now = None if self.forget_after_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        changed = [(held[at][0] if at in held else None, copy) for at, copy in best.items()]
+        changed = [(old, copy) for old, copy in changed if copy is not old]
+        if changed or now is not None:
+            self._store(held | {at: (copy, now) for at, copy in best.items()})
+        for old, copy in changed:
+            if old is not None:
+                yield _CHANGE(-1, *old)
+            yield _CHANGE(1, *copy)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.first.clear()
+        held = self._held()
+        if held:
+            # The timer is that of the earliest; others may be due by now.
+            due = max(min(seen for _, seen in held.values()), timerValues.getCurrentProcessingTimeInMs() - self.forget_after_ms)
+            self._store({at: (copy, seen) for at, (copy, seen) in held.items() if seen > due})
         return iter([])
 
     def close(self) -> None:
@@ -79,21 +123,31 @@ class KeepFirst(StatefulProcessor):
 
 
 def keep_first_changes(
-    flat_stream: DataFrame, rules: QualityRules = QualityRules(), forget_after_ms: int | None = None
+    flat_stream: DataFrame,
+    rules: QualityRules = QualityRules(),
+    forget_after_ms: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Changes (``CHANGES``) of the kept readings of a stream of flat readings.
 
     The stream has the flat columns with ``date``, ``_file`` and ``_pos``;
     invalid readings are dropped first. State is one row per dedup key. It
     is kept for ever, or until no copy of the key has come for
-    ``forget_after_ms``: a copy after that counts as a new key. Needs the
-    RocksDB state store (``rocksdb_state``).
+    ``forget_after_ms``: a copy after that counts as a new key. The keys of
+    a date are dealt over ``buckets``, whose state is read and written
+    whole; a checkpoint keeps the number it began with. Needs the RocksDB
+    state store (``rocksdb_state``).
     """
     if rules.dedup_scope == "global":
         raise ValueError("keep-first in a stream is per landing date")
-    valid = C.flag_outliers(C.drop_invalid(flat_stream, rules), rules).select(*KEPT.names)
-    return valid.groupBy("date", *C._dedup_keys(rules)).transformWithState(
-        statefulProcessor=KeepFirst(forget_after_ms),
+    time = C._dedup_keys(rules)[-1]  # after the station and the parameter
+    time = F.col(time) if isinstance(time, str) else time
+    valid = C.flag_outliers(C.drop_invalid(flat_stream, rules), rules).select(
+        *KEPT.names, time.cast("string").alias("_time")
+    )
+    bucket = F.pmod(F.xxhash64("location_id", "parameter", "_time"), F.lit(buckets)).cast("int")
+    return valid.withColumn("_bucket", bucket).groupBy("date", "_bucket").transformWithState(
+        statefulProcessor=KeepFirst(forget_after_ms, "_time"),
         outputStructType=CHANGES,
         outputMode="Append",
         timeMode="None" if forget_after_ms is None else "ProcessingTime",

@@ -93,3 +93,52 @@ def test_retraction_timer_and_forgetting():
 def test_global_scope_is_refused(spark):
     with pytest.raises(ValueError):
         keep_first_changes(spark.createDataFrame([], FLAT), QualityRules(dedup_scope="global"))
+
+
+class Counting(Handle):
+    """Counts the trips to the state store."""
+
+    def __init__(self):
+        super().__init__()
+        self.trips = 0
+
+    def exists(self):
+        self.trips += 1
+        return super().exists()
+
+    def get(self):
+        self.trips += 1
+        return super().get()
+
+    def update(self, value):
+        self.trips += 1
+        super().update(value)
+
+
+def test_a_bucket_of_keys_costs_the_trips_of_one():
+    handle, copies = Counting(), KeepFirst()
+    copies.init(handle)
+    row = lambda station, pos: dict(zip(CHANGES.names[1:], ("d", station, "n", "c", "k", "p", 1.0, "u", "t", False, "f", pos)))
+    ops = lambda *rows: [(r[0], r[2], r[-1]) for r in copies.handleInputRows(None, iter(rows), handle)]
+    assert len(ops(*(row(i, 5) for i in range(500)))) == 500 and handle.trips == 2
+    assert ops(row(7, 6), row(None, 6), row(3, 4), row(3, 2), row(None, 9)) == [(1, None, 6), (-1, 3, 5), (1, 3, 2)]
+    assert handle.trips == 5 and len(handle.value[0]) == 501
+
+
+def test_keys_of_a_bucket_are_forgotten_one_by_one():
+    class Clock(Handle):
+        now = 0
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    handle, copies = Clock(), KeepFirst(forget_after_ms=100)
+    copies.init(handle)
+    row = lambda station, pos: dict(zip(CHANGES.names[1:], ("d", station, "n", "c", "k", "p", 1.0, "u", "t", False, "f", pos)))
+    ops = lambda *rows: [(r[0], r[2], r[-1]) for r in copies.handleInputRows(None, iter(rows), handle)]
+    assert ops(row(1, 5), row(2, 5)) == [(1, 1, 5), (1, 2, 5)]
+    handle.now = 60
+    assert ops(row(2, 9)) == [] and handle.timers == [100]  # a later copy keeps its key longer
+    handle.now = 110
+    assert list(copies.handleExpiredTimer(None, handle, None)) == [] and handle.timers == [160]
+    assert ops(row(1, 7), row(2, 4)) == [(1, 1, 7), (-1, 2, 5), (1, 2, 4)]
