@@ -121,3 +121,17 @@ def test_legacy_files_of_unlike_footers(spark, tmp_path):
     assert by["2", 6.0].location_id is None and by["1", 6.0].location_id == 2
     assert by["3", 5.0].city is None and by["4", 5.0].unit is None and by["5", 5.0].unit == "u"
     assert read_legacy_curated(spark, str(tmp_path / "nothing")).collect() == []
+
+
+def test_stations_of_a_sequence_share_a_list(spark):
+    """The index has a row per sequence and batch of stations, not one per station."""
+    rows = [(i, f"Customer#{i:06d}", "Ås" if i % 2 else None, {"code": "FI", "name": "f"}, []) for i in range(400)]
+    cat = spark.createDataFrame([*rows, (None, "Customer", "x", None, [])], LOCATION_RESULT)
+    lists = SI.postings(cat).collect()
+    of = lambda gram: sorted(i for r in lists if r["gram"] == gram for i in r["ids"])
+    assert len(lists) < 400 * 4
+    assert of("cus") == of("#") == list(range(400)) and of("ås") == list(range(1, 400, 2)) and of("x") == []
+    grams = lambda t: {t[a : a + n] for n in (1, 2, 3) for a in range(len(t) - n + 1)}
+    for i in (0, 17, 399):
+        want = grams(f"customer#{i:06d}") | (grams("ås") if i % 2 else set())
+        assert {r["gram"] for r in lists if i in r["ids"]} == want
