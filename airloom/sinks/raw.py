@@ -10,16 +10,19 @@ landing id and are always read.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airloom.operators.ordering import numbered
 from airloom.schema import LOCATION_META
 from airloom.session import scratch_path
+from airloom.sources.raw import CONTINUED
 from airloom.sources.run_log import entry_path
-from airloom.storage import move_only_file
+from airloom.storage import delete, files, folders, move_only_file
 
 
 def reading_record(
@@ -150,22 +153,48 @@ def replace_runs(landed: DataFrame, root: str) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(entry)
 
 
+ARRAY_RECORDS = 50_000  # most records of one array file
+ARRAY_BYTES = 32 << 20  # and most bytes, unless one record has more
+
+
 def write_run_array(landed: DataFrame, root: str, date: str, run_id: str) -> str:
-    """Land one run of a day as one JSON array, ``root/date=D/<run_id>.json``.
+    """Land one run of a day as a JSON array, ``root/date=D/<run_id>.json``.
 
     The layout of the source pipeline: one object per run, replaced when the
-    run lands again, and no other object is touched. The array is built by
-    one task, so it suits runs whose records fit there (a run of an hourly
-    ingestion); ``replace_runs`` has no such bound. ``landed`` has (pos,
-    record); the file is written aside and then moved into place. Returns its
-    path.
+    run lands again, and no other object is touched. As a file is read by one
+    task, a run of more than ``ARRAY_RECORDS`` records or about
+    ``ARRAY_BYTES`` goes on in further arrays ``<run_id>.part-<first
+    position>.json``, which sort after the first file and are replaced with
+    it; ``read_raw`` gives every record its position in the run. No task
+    holds a file's records together. ``landed`` has (pos, record); the files
+    are written aside and then moved into place. Returns the first one's path.
     """
     spark = landed.sparkSession
-    row = F.struct(F.col("pos").cast("bigint").alias("pos"), F.to_json("record").alias("text"))
-    rows = landed.select(row.alias("row")).groupBy().agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    text = F.concat(F.lit("["), F.array_join("rows.text", ",\n"), F.lit("]")).alias("value")
+    scratch = scratch_path(spark, "run-array")
+    texts = landed.select(F.col("pos").cast("bigint").alias("pos"), F.to_json("record").alias("text"))
+    texts.where("text IS NOT NULL").write.parquet(scratch)
+    stored = spark.read.schema("pos long, text string").parquet(scratch)
+    total, longest = stored.agg(F.count(F.lit(1)), F.max(F.octet_length("text"))).first()
+    size = max(1, min(ARRAY_RECORDS, ARRAY_BYTES // (longest + 2))) if total else 1
     aside = f"{root.rstrip('/')}/_arrays/{new_landing()}"
-    rows.select(text).coalesce(1).write.text(aside)
-    path = f"{root.rstrip('/')}/date={date}/{run_id}.json"
-    move_only_file(spark, aside, path)
+    if total:
+        at, place = F.col("place") % size, F.col("place")
+        before = F.when(at == 0, F.lit("[")).otherwise(F.lit(""))
+        after = F.when((at == size - 1) | (place == total - 1), F.lit("]")).otherwise(F.lit(","))
+        lines = numbered(stored, "pos", "text").select(
+            (place - at).alias("first"), "place", F.concat(before, "text", after).alias("value")
+        )
+        lines = lines.repartition("first").sortWithinPartitions("first", "place").drop("place")
+    else:
+        lines = spark.range(1).coalesce(1).select(F.lit(0).alias("first"), F.lit("[]").alias("value"))
+    lines.write.partitionBy("first").text(aside)
+    day = f"{root.rstrip('/')}/date={date}"
+    path = f"{day}/{run_id}.json"
+    for name in files(spark, day):
+        if name.startswith(f"{run_id}.part-") and re.search(CONTINUED, name[len(run_id):]):
+            delete(spark, f"{day}/{name}")
+    for folder in folders(spark, aside):
+        first = int(folder.removeprefix("first="))
+        move_only_file(spark, f"{aside}/{folder}", f"{day}/{run_id}.part-{first:015d}.json" if first else path)
+    delete(spark, aside)
     return path

@@ -4,7 +4,9 @@ Two layouts are read:
 
 * ``array``: one JSON array per file (what the ingestion lands), pretty
   printed or compact. A file is read and parsed by one task, so a file must
-  fit a task's memory; many small files are packed into one task.
+  fit a task's memory; many small files are packed into one task. A large
+  run that ``sinks.raw.write_run_array`` landed in several files keeps its
+  positions: the later files are named by the first one they hold.
 * ``lines``: one JSON object per line with explicit ``run_id`` and ``pos``
   (what ``sinks.raw.write_raw`` writes). Splittable. Lines of a landing that
   the run log does not name as the latest of its (date, run) are left out.
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.schema import RAW_READING
-from airloom.sources.run_log import latest
+from airloom.sources.run_log import any_entry, latest
 
 RAW_SCAN = T.StructType(
     [
@@ -64,6 +66,8 @@ RAW_LINE = T.StructType(
     ]
 )
 LINE_FILES = "part-*"  # the names that Spark's writers give
+# A large run's further arrays (``sinks.raw.write_run_array``), named by their first position.
+CONTINUED = r"\.part-(\d{15})\.json$"
 OTHER_FILES = "{[!p],p[!a],pa[!r],par[!t],part[!-]}*"
 
 JSON_OPTIONS = {"allowNonNumericNumbers": "true"}
@@ -92,10 +96,17 @@ def _reading(parsed: Column) -> Column:
     return F.when(parsed.isNotNull(), F.struct(*fields))
 
 
+def _once(parsed: Column) -> Column:
+    """A parsed column as a generated one: filters on its fields stay above it, where a
+    projection's would be moved below and parse the text again for every condition."""
+    return F.explode(F.array(parsed))
+
+
 def parse_reading(text: Column, opts: dict | None = None) -> Column:
     """``schema.RAW_READING`` of one record's JSON text; null unless it is an object."""
-    parsed = F.from_json(text, PARSED_READING, opts or JSON_OPTIONS)
-    return _reading(F.when(F.ltrim(text).startswith("{"), parsed))
+    parsed = F.when(F.ltrim(text).startswith("{"), F.from_json(text, PARSED_READING, opts or JSON_OPTIONS))
+    # Bound once: every field of a conditional struct would parse the text again.
+    return F.transform(F.array(parsed), _reading)[0]
 
 
 def with_holds(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
@@ -103,8 +114,11 @@ def with_holds(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
     the one that the run log of ``root`` names as the latest of their (date, run).
 
     One pass over the lines. Those without a landing id can match nothing
-    and get keys of their own, so that they do not meet in one task.
+    and get keys of their own, so that they do not meet in one task. Without
+    a log there is nothing to look up, and no line is shuffled.
     """
+    if not any_entry(spark, root):
+        return lines.withColumn("_holds", F.col("l.landing").isNull())
     now = latest(spark, root).select(
         F.col("date").alias("_date"), F.col("run_id").alias("_run"), F.col("landing").alias("_landing")
     )
@@ -120,7 +134,7 @@ def with_holds(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, opts: dict | None = None) -> DataFrame:
     """Lines (date, value) -> (date, value, l), ``l`` being the parsed line."""
-    return lines.select("date", "value", F.from_json("value", RAW_LINE, opts or JSON_OPTIONS).alias("l"))
+    return lines.select("date", "value", _once(F.from_json("value", RAW_LINE, opts or JSON_OPTIONS)).alias("l"))
 
 
 def line_rows(parsed: DataFrame) -> DataFrame:
@@ -155,8 +169,10 @@ def array_rows(files: DataFrame, opts: dict | None = None) -> DataFrame:
     each = F.transform("_texts", lambda t, p: F.struct(p.cast("bigint").alias("p"), t.alias("t")))
     rows = F.when(F.col("_texts").isNull(), F.array(nothing)).otherwise(each)
     text = F.col("_row.t")
+    first = F.regexp_extract("_file", CONTINUED, 1).try_cast("bigint")
+    pos = F.col("_row.p") + F.coalesce(first, F.lit(0).cast("bigint"))
     return files.select("date", "_file", F.explode(rows).alias("_row")).select(
-        "date", "_file", F.col("_row.p").alias("_pos"), parse_reading(text, opts).alias("record"),
+        "date", "_file", pos.alias("_pos"), _once(parse_reading(text, opts)).alias("record"),
         F.try_parse_json(text).alias("raw"),
     )
 

@@ -19,13 +19,22 @@ def entry_path(root: str, landing: str) -> str:
     return f"{_log(root)}/{landing}"
 
 
+def _done(spark: SparkSession, root: str) -> list[str]:
+    """Entries whose write has finished (``_SUCCESS`` comes last)."""
+    entries = [entry_path(root, f) for f in folders(spark, _log(root))]
+    return [e for e in entries if exists(spark, f"{e}/_SUCCESS")]
+
+
+def any_entry(spark: SparkSession, root: str) -> bool:
+    return bool(_done(spark, root))
+
+
 def committed(spark: SparkSession, root: str) -> DataFrame:
     """(date, run_id, rows, landing) of every committed landing, none without a log.
 
-    An entry counts once its write has finished (``_SUCCESS`` comes last).
+    An entry counts once its write has finished.
     """
-    entries = [entry_path(root, f) for f in folders(spark, _log(root))]
-    done = [e for e in entries if exists(spark, f"{e}/_SUCCESS")]
+    done = _done(spark, root)
     return spark.read.schema(ENTRY).parquet(*done) if done else spark.createDataFrame([], ENTRY)
 
 

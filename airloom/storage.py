@@ -23,6 +23,14 @@ def folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def files(spark: SparkSession, root: str) -> list[str]:
+    """Names of the files directly below ``root`` (none when it is missing)."""
+    p, fs = _path(spark, root)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)

@@ -141,3 +141,26 @@ def test_two_runs_from_one_manifest_cannot_both_switch(spark, tmp_path):
     finally:
         versions._manifests = stale
     assert current(spark, out) == {"2025-11-09": "v1"}
+
+
+@pytest.mark.parametrize("size", [3, 4, 11, 50])
+def test_a_large_run_lands_in_several_arrays_and_keeps_its_positions(spark, tmp_path, monkeypatch, size):
+    from airloom.sinks import raw as sink
+    from airloom.sources.raw import read_raw
+
+    monkeypatch.setattr(sink, "ARRAY_RECORDS", size)
+    root, day = str(tmp_path / "raw"), tmp_path / "raw" / "date=2025-01-01"
+    records = lambda n: spark.range(n).selectExpr("(id * 7) % 11 AS pos", "named_struct('value', cast(id as double)) AS record")
+    files = lambda: sorted(p.name for p in day.iterdir() if not p.name.startswith("."))
+    sink.write_run_array(records(11), root, "2025-01-01", "run_1")
+    assert len(files()) == -(-11 // size) and files()[0] == "run_1.json"
+    arrays = [json.loads((day / f).read_text()) for f in files()]
+    assert max(map(len, arrays)) <= size
+    got = read_raw(spark, root, layout="auto").orderBy("_file", "_pos").select("_pos", "record.value").collect()
+    want = [float(i) for i in sorted(range(11), key=lambda i: i * 7 % 11)]
+    assert [tuple(r) for r in got] == list(enumerate(want)) and sum(arrays, []) == [{"value": v} for v in want]
+    sink.write_run_array(records(2), root, "2025-01-01", "run_10")
+    sink.write_run_array(records(2), root, "2025-01-01", "run_1")  # again, with fewer: no old part stays
+    assert files() == ["run_1.json", "run_10.json"]
+    sink.write_run_array(records(0), root, "2025-01-01", "run_1")
+    assert json.loads((day / "run_1.json").read_text()) == []

@@ -264,3 +264,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_a_line_is_parsed_once_and_not_shuffled_without_a_log(spark, tmp_path):
+    from airloom.operators import clean
+
+    day = tmp_path / "raw" / "date=2025-10-16"
+    day.mkdir(parents=True)
+    (day / "part-0.json").write_text(json.dumps({"run_id": "r", "pos": 1, "record": reading(id=1)}) + "\n")
+    flat = clean.flatten_readings(read_raw(spark, str(tmp_path / "raw"), layout="lines"))
+    plan = clean.drop_invalid(flat)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "Join" not in plan
+    assert clean.drop_invalid(flat).count() == 1
