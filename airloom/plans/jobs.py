@@ -23,7 +23,7 @@ from airloom.sinks.curated import drop_dates, write_curated
 from airloom.sinks.dimension import read_dimension, write_dimension
 from airloom.sinks.versions import publish, write_version
 from airloom.sinks.raw import order_key, reading_record, replace_runs, with_metadata, write_run_array
-from airloom.sources.pages import explode_pages, parse_envelope, results_of
+from airloom.sources.pages import explode_pages, latest_readings, parse_envelope, results_of
 from airloom.sources.raw import parse_reading, read_raw_dates
 
 
@@ -110,6 +110,13 @@ def _observed(observation: Observation, nothing: dict) -> dict:
         return nothing
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared scratch root, for more than one use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def enrich_job(
     latest_page_texts: DataFrame,
     detail_texts: DataFrame,
@@ -132,32 +139,35 @@ def enrich_job(
     enriched from what was written. Returns that dimension. A run landed
     again under its ``run_id`` replaces its earlier landing of the day.
     Records land as they came, with their unknown fields, and ``location_meta``
-    added. ``layout="array"`` lands the run as one JSON array (built in one
-    task) instead of lines.
+    added. ``layout="array"`` lands the run as a JSON array
+    (``sinks.raw.write_run_array``) instead of lines.
     """
     if layout not in ("lines", "array"):
         raise ValueError(f"layout must be 'lines' or 'array', got {layout!r}")
     spark = cache.sparkSession
-    readings = results_of(latest_page_texts, RESULT_TEXTS, limit)
-    flat = readings.select("page", "pos", "result", parse_reading(F.col("result")).alias("r"))
-    ids = D.distinct_locations(flat.select(F.col("r.locationsId").alias("location_id")))
+    if limit is None:  # the pages are parsed once, for their lengths and for their results
+        pages = _stored(parse_envelope(latest_page_texts.select("page", "text"), "text", RESULT_TEXTS), "pages")
+        readings = latest_readings(pages)
+    else:
+        readings = results_of(latest_page_texts, RESULT_TEXTS, limit)
+    location = parse_reading(F.col("result"))["locationsId"]
+    flat = _stored(readings.select("page", "pos", "result", location.alias("location_id")), "readings")
+    ids = D.distinct_locations(flat.select("location_id"))
     details = parse_envelope(detail_texts.join(ids, "location_id", "left_semi"), "text",
                              LOCATION_PAGE)
     # Failed lookups are not stored, so they enrich to null metadata.
     # They are written once: to see whether there are any, and to make the next version.
-    path = scratch_path(spark, "new-stations")
-    D.new_stations(cache, D.normalize_location(details), failed).write.parquet(path)
-    added = spark.read.schema(LOCATION_DIM).parquet(path)
+    added = _stored(D.new_stations(cache, D.normalize_location(details), failed), "new-stations")
     dim = cache
     if not added.isEmpty():
         write_dimension(cache.select(*D.DIM_COLUMNS).unionByName(added), dimension_root)
         dim = read_dimension(spark, dimension_root)
-    enriched = D.enrich(flat.withColumn("location_id", F.col("r.locationsId")), dim)
+    enriched = D.enrich(flat, dim)
     landed = enriched.select(
         F.lit(date).alias("date"),
         F.lit(run_id).alias("run_id"),
         order_key(F.col("page"), F.col("pos")).alias("pos"),
-        with_metadata(F.col("result"), F.col("r"), F.col("location_meta")).alias("record"),
+        with_metadata(F.col("result"), parse_reading(F.col("result")), F.col("location_meta")).alias("record"),
     )
     if layout == "array":
         write_run_array(landed, raw_root, date, run_id)

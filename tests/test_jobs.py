@@ -125,3 +125,21 @@ def test_warehouse_layout(spark, tmp_path):
     write_warehouse(spark.createDataFrame(rows, CURATED), str(tmp_path / "wh"), buckets=4)
     back = spark.read.parquet(str(tmp_path / "wh"))
     assert back.count() == 50 and "load_date" in back.columns
+
+
+def test_pages_of_a_run_are_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    page = json.dumps({"results": [{"locationsId": i, "value": 1.0, "datetime": {"utc": "2025-01-01T00:00:00Z"}} for i in (3, 4)]})
+    pages = spark.createDataFrame([(1, page)], "page int, text string").withColumn("text", counted("text"))
+    details = spark.createDataFrame([(3, '{"results":[{"name":"three"}]}')], "location_id long, text string")
+    cache = spark.createDataFrame([], "location_id long, name string, city string, country string")
+    J.enrich_job(pages, details, cache, str(tmp_path / "raw"), "run_1", "2025-01-01", str(tmp_path / "dim"))
+    assert seen.value == 1
+    rows = read_raw(spark, str(tmp_path / "raw"), layout="lines").select("record.locationsId", "record.location_meta.name").collect()
+    assert sorted(map(tuple, rows)) == [(3, "three"), (4, None)]
