@@ -140,7 +140,10 @@ def _new_rows(spark: SparkSession, root: str, batch: DataFrame, layout: str) ->
     lines = with_holds(spark, root, parse_lines(batch.where(F.trim("value") != "").select("date", "value")))
     log = committed(spark, root)
     again = log.groupBy("date", "run_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = lines.where(F.col("l.landing").isNotNull()).select("date", F.col("l.run_id").alias("run_id"), F.col("l.landing").alias("landing")).distinct()
+    marked = lines.where(F.col("l.landing").isNotNull()).select("date", F.col("l.run_id").alias("run_id"), F.col("l.landing").alias("landing")).distinct()
+    path = scratch_path(spark, "landings")  # one pass over the lines for both kinds of notes
+    marked.write.parquet(path)
+    own = spark.read.schema(marked.schema).parquet(path)
     rerun = own.join(again, ["date", "run_id"], "left_semi").select("date", F.lit(None).cast("string").alias("landing"))
     waiting = own.join(log, "landing", "left_anti").select("date", "landing")
     return line_rows(lines.where("_holds")), rerun.unionByName(waiting).distinct()
