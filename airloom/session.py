@@ -24,6 +24,9 @@ GROUP_LIMIT = 100_000
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles begin with so many partitions, and small ones are merged: what
+    # a task sorts follows the advisory size, not the size of the input.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
     # A station or city holding a large share of rows is split by AQE.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # row_number() <= n keeps a partial limit before the shuffle up to this
