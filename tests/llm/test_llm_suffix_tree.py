@@ -132,3 +132,34 @@ def test_odd_documents(spark):
     assert S.score(frame(spark, rows).limit(0), F.lit(False)).collect() == []
     alone = S.score(frame(spark, rows[:3]), F.lit(True)).collect()
     assert all(r.score == r.base_score == 0 and r.train_tokens == 0 and r.n_known == 0 for r in alone)
+
+
+def test_no_share_of_the_corpus_is_needed(spark):
+    """A context far below a hundred-thousandth of the tokens, and a context with many rare symbols."""
+    rare = ["u v"] * 9  # 9 in over a million tokens
+    many = [f"x s{i % 40}" for i in range(40 * 12)]  # each symbol has a share of 0.025
+    texts = [*rare, *many, *["f " * 60_000] * 18, "u v", "x s7"]
+    held = [i >= len(texts) - 2 for i in range(len(texts))]
+    got = S.score(frame(spark, [doc(i, t) for i, t in enumerate(texts)]), F.col("doc_id") >= len(texts) - 2).orderBy("doc_id").collect()
+    first, gain_v, gain_s = got[0], got[-2].score - got[-2].base_score, got[-1].score - got[-1].base_score
+    assert first.train_tokens > 1_000_000 and 9 < 1e-5 * first.train_tokens
+    assert gain_v > 4 and gain_s > 2
+    want, tree = slow(texts, held)
+    assert (b"u",) in tree and len(tree[(b"x",)][0]) == 40
+    for r, w in zip(got, want):
+        agree(tuple(r)[2:], w)
+
+
+def test_blocks_meet_a_state_without_its_symbols(spark, monkeypatch):
+    """Blocks ask for their part of the tree: a state comes without symbols that only others have."""
+    monkeypatch.setattr(S, "BLOCK_TOKENS", 8)
+    monkeypatch.setattr(S, "FILTER_BITS", 6)  # a full bitmap lets all through and changes nothing
+    monkeypatch.setattr(S, "HEAVY", 1000)  # and so do contexts dealt one by one
+    texts = [f"a b c{i % 3} d e" for i in range(40)] + [prose(i, 20) for i in range(10)] + ["a z", "b a", "q a b", None]
+    held = [i % 7 == 2 or i >= 50 for i in range(len(texts))]
+    want, tree = slow(texts, held)
+    assert len(tree) > 4
+    ids = [i for i, h in enumerate(held) if h]
+    got = S.score(frame(spark, [doc(i, t) for i, t in enumerate(texts)]), F.col("doc_id").isin(ids)).orderBy("doc_id").collect()
+    for r, w in zip(got, want):
+        agree(tuple(r)[2:], w)
