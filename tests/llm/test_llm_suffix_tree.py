@@ -163,3 +163,33 @@ def test_blocks_meet_a_state_without_its_symbols(spark, monkeypatch):
     got = S.score(frame(spark, [doc(i, t) for i, t in enumerate(texts)]), F.col("doc_id").isin(ids)).orderBy("doc_id").collect()
     for r, w in zip(got, want):
         agree(tuple(r)[2:], w)
+
+
+def test_a_block_sends_each_sequence_once(spark, monkeypatch):
+    """Many documents are one block, gone through in parts, and what it sends takes few bytes."""
+    monkeypatch.setattr(S, "PART_TOKENS", 5000)
+    monkeypatch.setattr(S, "COMMON", 50)  # most words are sent in full, and the others by rank
+    texts = [" ".join(f"w{(i * i * 7 + k * k * 3 + (k % 5) * i) % 300}" for k in range(3000)) for i in range(400)]
+    docs = frame(spark, [doc(i, t) for i, t in enumerate(texts)], parts=1)
+    blocks = [r.asDict() for r in S.code_texts(docs.select("doc_id", "text"), F.lit(False)).collect()]
+    assert [b["tokens"] for b in blocks] == [400 * 3001]
+    block = S.Block(blocks[0])
+    parts = list(block.parts())
+    assert len(parts) > 100 and sum(len(p.codes) for p in parts) == 400 * 3001
+    assert [i for p in parts for i in p.ids] == list(range(400))
+    assert len(blocks[0]["codes"]) < 2 * block.lengths.sum()  # four bytes a token before
+    words = block.vocabulary[block.codes]
+    want = Counter(zip(words[:-1][block.place[1:] > 0].tolist(), words[1:][block.place[1:] > 0].tolist()))
+    coded = S.code_texts(docs.select("doc_id", "text"), F.lit(False)).cache()
+    below = S.fit(coded, depth=1)[0].tables[0].select("own", "c").toArrow().to_pydict()
+    keys = S.extended(S.extended(S.np.zeros(len(want), S.np.uint64), S.np.array([x for x, _ in want], S.np.uint64)), S.np.array([y for _, y in want], S.np.uint64))
+    counts = dict(zip(keys.view(S.np.int64).tolist(), want.values()))
+    assert dict(zip(below["own"], below["c"])) == {k: n for k, n in counts.items() if n >= S.MIN_SYMBOL_COUNT}
+
+
+def test_listed_keys_come_back():
+    keys = S.np.array([9, 2, 2**63, 9, 7, 2, 5, 7], S.np.uint64)
+    for often in ([], [7], [2, 9], [1, 2**63, 5, 9, 2, 7]):
+        names = S.Common(S.np.array(often, S.np.uint64))
+        assert names.unlisted(*names.listed(keys, names.ranks(keys))).tolist() == keys.tolist()
+    assert S.unpressed(S.pressed(S.np.zeros(0, "<f8")), "<f8").tolist() == []
