@@ -25,18 +25,21 @@ let more through on larger inputs, the counts and joins behind them decide.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airloom.llm.common import partitions, runs, save, small_batches, text_bytes
 from airloom.llm.substring_dedup import P, mixed, words_of
+from airloom.session import scratch_path
 
 DEPTH = 3  # words of the longest context
 MIN_CONTEXT_COUNT, MIN_SYMBOL_COUNT = 8, 4  # least evidence for a context, for a symbol after it
@@ -50,23 +53,40 @@ BUCKET_ENTRIES = 2 << 20
 HEAVY = 4  # the sequences of a context with over 1 / HEAVY of a bucket's share of the tokens are dealt one by one
 FILTER_BITS = 27  # largest size of a bitmap of keys, whatever the input
 MARKS = 3  # most bits of a key in a bitmap; one that is full has fewer
-COMMON = 1 << 16  # the most frequent words are sent by their rank, whatever the input; so are sequences
+COMMON = 1 << 18  # at most so many of the most frequent words are sent by their rank, whatever the input; so are sequences
 END = np.uint64(0x452821E638D01377)  # the symbol after the last word
 SYMBOL = np.uint64(0x3C6EF372FE94F82B)  # tells a symbol of a state from a state of the same words
 
-CODED = "block long, tokens long, doc_ids array<long>, held array<boolean>, lengths array<int>, vocabulary binary, ranks binary, codes binary"
+CODED = "block long, tokens long, doc_ids array<long>, held array<boolean>, lengths array<int>, vocabulary binary, counts binary, codes binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``save`` that leaves no shuffle files behind: the written table is all that is read again."""
-    conf, setting = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = conf.get(setting)
-    conf.set(setting, "true")
+@contextmanager
+def no_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Jobs run here leave no shuffle files behind: their results are all that is read again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
     try:
-        return save(df, name)
+        yield
     finally:
-        conf.set(setting, old)
+        spark.conf.set(setting, old)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    with no_shuffle_files(df.sparkSession):
+        return save(df, name)
+
+
+def saved_by_block(df: DataFrame, name: str) -> DataFrame:
+    """``saved`` in files by hash of ``block``, so that a join on it moves the other side only."""
+    spark, table, n = df.sparkSession, f"{name}_{uuid.uuid4().hex}", partitions(df.sparkSession)
+    with no_shuffle_files(spark):
+        writer = df.repartition(n, "block").write.option("compression", "zstd").option("path", scratch_path(spark, name))
+        writer.bucketBy(n, "block").format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and ``out`` knows them
+    return out
 
 
 def extended(key: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -137,8 +157,16 @@ class Common:
 
 
 def common(sequences: DataFrame, key: str) -> Common:
-    top = sequences.select("c", key).orderBy(F.desc("c"), key).limit(COMMON).toArrow()
-    return Common(top.column(key).to_numpy().view(np.uint64))
+    """Those with the highest counts, as far as there are no more than COMMON."""
+    height = F.floor(8 * F.log2("c"))
+    heights = sorted(map(tuple, sequences.groupBy(height).count().collect()), reverse=True)
+    total = np.cumsum([n for _, n in heights])
+    fit = int((total <= COMMON).sum())
+    if not fit:
+        return Common(np.zeros(0, np.uint64))
+    top = sequences.filter(height >= heights[fit - 1][0]).select(key, "c").toArrow()
+    keys, c = (top.column(n).to_numpy() for n in (key, "c"))
+    return Common(keys[np.lexsort((keys, -c))].view(np.uint64))
 
 
 def distinct(keys: np.ndarray) -> np.ndarray:
@@ -154,7 +182,7 @@ def code_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("vocabulary", pa.binary()), ("ranks", pa.binary()), ("codes", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("vocabulary", pa.binary()), ("counts", pa.binary()), ("codes", pa.binary())])
         number = TaskContext.get().partitionId() << 32
         ids, held, lengths, size = [], [], [], 0
         parts = []  # (distinct words, codes) of some of the block's documents
@@ -171,10 +199,10 @@ def code_texts(docs: DataFrame, held_out: Column) -> DataFrame:
             vocabulary = distinct(np.concatenate([words for words, _ in parts]))
             codes = np.concatenate([_find(vocabulary, words)[codes].astype(np.int32) for words, codes in parts])
             # Frequent words get small numbers, which pack well.
-            by_count = np.argsort(-np.bincount(codes))
+            counts = np.bincount(codes).astype("<i4")
             ranks = np.empty(len(vocabulary), "<i4")
-            ranks[by_count] = np.arange(len(vocabulary))
-            row = [number, len(codes), ids, held, lengths, packed(vocabulary), pressed(ranks), pressed(ranks[codes])]
+            ranks[_by_count(counts)] = np.arange(len(vocabulary))
+            row = [number, len(codes), ids, held, lengths, packed(vocabulary), pressed(counts), pressed(ranks[codes])]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
 
         for b in batches:
@@ -198,13 +226,15 @@ def code_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     return docs.select("doc_id", F.coalesce(held_out, F.lit(False)), "text").mapInArrow(code, CODED)
 
 
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts, kind="stable").astype(np.int32)
+
+
 class Block:
     """One row of coded texts."""
 
     def __init__(self, row: dict):
-        ranks = unpressed(row["ranks"], "<i4")
-        by_rank = np.empty(len(ranks), np.int32)
-        by_rank[ranks] = np.arange(len(ranks), dtype=np.int32)
+        by_rank = _by_count(unpressed(row["counts"], "<i4"))
         self._set(unpacked(row["vocabulary"]), by_rank[unpressed(row["codes"], "<i4")], row["doc_ids"], np.array(row["held"], bool), np.array(row["lengths"], np.int64))
 
     def _set(self, vocabulary: np.ndarray, codes: np.ndarray, ids: list, held: np.ndarray, lengths: np.ndarray) -> None:
@@ -278,7 +308,8 @@ def bitmap(keys: DataFrame) -> Bitmap:
     marks = min(MARKS, max(1, round(math.log(2) * (1 << bits) / max(n, 1))))
     word = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << bits) - 1)), 6)
     mark = reduce(Column.bitwiseOR, (F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {x}) & 63 as int))") for x in _SHIFTS[:marks]))
-    words = keys.select(word.alias("i"), mark.alias("mark")).groupBy("i").agg(F.bit_or("mark").alias("bits")).toArrow()
+    with no_shuffle_files(keys.sparkSession):
+        words = keys.select(word.alias("i"), mark.alias("mark")).groupBy("i").agg(F.bit_or("mark").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
     out[words.column("i").to_numpy()] = words.column("bits").to_numpy()
     return Bitmap(out.view(np.uint64), marks)
@@ -420,14 +451,14 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def sequence_counts(coded: DataFrame, depth: int, below: DataFrame, often: tuple[Common, Common], train_tokens: int, buckets: int, least: float) -> DataFrame:
+def sequence_counts(coded: DataFrame, depth: int, below: DataFrame, often: tuple[Common, Common, Common], train_tokens: int, buckets: int, least: float) -> DataFrame:
     """(context, own, suffix, c) of the sequences of a context of ``depth`` words and a symbol
     that occur MIN_SYMBOL_COUNT times in training: keys of the context, of the sequence and of
     the sequence without its first word.
 
     ``below`` has the frequent sequences of ``depth`` words (own, c): a context is one of
     those with ``least`` occurrences, and the suffix is any of them. ``often`` are common
-    words and common sequences of ``depth - 1`` words.
+    words, sequences of ``depth - 1`` words and sequences of ``depth`` words.
     """
     contexts = below.filter(F.col("c") >= least).select(F.col("own").alias("key"))
     heavy = below.filter(F.col("c") > train_tokens / (HEAVY * buckets)).select("own").toArrow()
@@ -435,7 +466,7 @@ def sequence_counts(coded: DataFrame, depth: int, below: DataFrame, often: tuple
     sent = coded.sparkSession.sparkContext.broadcast((bitmap(contexts), bitmap(below.select(F.col("own").alias("key"))), heavy, often))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, suffixes, heavy, (often_words, often_shorter) = sent.value
+        contexts, suffixes, heavy, (often_words, often_shorter, often_contexts) = sent.value
         for _, block in blocks_of(batches):
             parts, first = [], (_maybe(contexts, block.alone), _maybe(suffixes, block.alone)) if depth == 1 else None
             for part in block.parts():
@@ -467,20 +498,20 @@ def sequence_counts(coded: DataFrame, depth: int, below: DataFrame, often: tuple
             order = np.argsort(route)
             bucket, context, shorter, codes, n = _bucket(route[order], buckets), context[order], shorter[order], codes[order], n[order]
             symbols, symbol_ranks = block.vocabulary[codes], often_words.ranks(block.vocabulary)[codes]
-            shorter_ranks = often_shorter.ranks(shorter)
+            shorter_ranks, context_ranks = often_shorter.ranks(shorter), often_contexts.ranks(context)
             cut = runs(bucket)
             rows = []
             for x, y in zip(cut[:-1], cut[1:]):
                 change = runs(context[x:y])
                 head = x + change[:-1]
-                rows.append((int(bucket[x]), packed(context[head]), *often_shorter.listed(shorter[head], shorter_ranks[head]), pressed(np.diff(change).astype("<i4")), *often_words.listed(symbols[x:y], symbol_ranks[x:y]), pressed(n[x:y])))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["bucket", "contexts", "shorter", "shorter_at", "lengths", "symbols", "symbols_at", "counts"])
+                rows.append((int(bucket[x]), *often_contexts.listed(context[head], context_ranks[head]), *often_shorter.listed(shorter[head], shorter_ranks[head]), pressed(np.diff(change).astype("<i4")), *often_words.listed(symbols[x:y], symbol_ranks[x:y]), pressed(n[x:y])))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["bucket", "contexts", "contexts_at", "shorter", "shorter_at", "lengths", "symbols", "symbols_at", "counts"])
 
     def total(t: pa.Table) -> pa.Table:
-        *_, (often_words, often_shorter) = sent.value
+        *_, (often_words, often_shorter, often_contexts) = sent.value
         joined = lambda read, *names: np.concatenate([read(*x) for x in zip(*(t.column(n).to_pylist() for n in names))])
         small = lambda x: unpressed(x, "<i4")
-        contexts, symbols = joined(unpacked, "contexts"), joined(often_words.unlisted, "symbols", "symbols_at")
+        contexts, symbols = joined(often_contexts.unlisted, "contexts", "contexts_at"), joined(often_words.unlisted, "symbols", "symbols_at")
         run = np.repeat(np.arange(len(contexts), dtype=np.int32), joined(small, "lengths"))
         own = extended(contexts[run], symbols)
         order = np.argsort(own)
@@ -492,17 +523,17 @@ def sequence_counts(coded: DataFrame, depth: int, below: DataFrame, often: tuple
         found = [contexts[run[first]], own[first], extended(shorter, symbols[first]), totals[stay]]
         return pa.table({n: c.view(np.int64) for n, c in zip(("context", "own", "suffix", "c"), found)})
 
-    sending = coded.mapInArrow(send, "bucket long, contexts binary, shorter binary, shorter_at binary, lengths binary, symbols binary, symbols_at binary, counts binary")
+    sending = coded.mapInArrow(send, "bucket long, contexts binary, contexts_at binary, shorter binary, shorter_at binary, lengths binary, symbols binary, symbols_at binary, counts binary")
     return sending.groupBy("bucket").applyInArrow(total, "context long, own long, suffix long, c long")
 
 
 def grow(coded: DataFrame, tree: SpreadTree, words: DataFrame, buckets: int, depth: int, min_context: float, min_symbol: float) -> None:
     """Add the states of each length in turn; ``words`` are the frequent words (word, own, c, p)."""
     least = max(MIN_CONTEXT_COUNT, min_context * tree.train_tokens)
-    below, often_words, shorter = words, common(words, "word"), Common(np.zeros(1, np.uint64))
+    below, often_words, contexts = words, common(words, "word"), Common(np.zeros(1, np.uint64))
     for n in range(1, depth + 1):
-        found = sequence_counts(coded, n, below, (often_words, shorter), tree.train_tokens, buckets, least)
-        shorter = common(below, "own")
+        shorter, contexts = contexts, common(below, "own")
+        found = sequence_counts(coded, n, below, (often_words, shorter, contexts), tree.train_tokens, buckets, least)
         below = saved(_judged(found, below, least, min_symbol), "tree-level")
         if below.isEmpty():
             return
@@ -618,7 +649,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_context: fl
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held"))
-    coded = save(code_texts(docs, F.col("held")), "coded-texts")
+    coded = saved_by_block(code_texts(docs, F.col("held")), "coded_texts")
     tree, totals, buckets = fit(coded, depth, min_context, min_symbol)
     levels = len(tree.tables)
     if levels:
